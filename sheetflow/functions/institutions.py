@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sheetflow.functions.outcome import has_any
 from sheetflow.functions.prose import clean_markdown, first_phrase, markdown_to_plain, split_sentences, usable_sentence
-from sheetflow.functions.strings import as_column, strip
+from sheetflow.functions.strings import as_column, let, strip
 
 # Key phrases, in the order they are tried.
 KEY_PHRASES = [
@@ -121,12 +121,11 @@ def clean_institution(name: Column | str, kind: Column | str = "host") -> Column
     text = F.regexp_replace(text, _IU + CUT_ROLE, "")
     text = F.regexp_replace(text, _U + CUT_YEAR, "")
     text = F.regexp_replace(text, _U + CUT_YEARS, "")
-    text = F.when(kind == "copyright", text).otherwise(F.regexp_replace(text, _IU + CUT_RELATED, ""))
-    text = F.when(kind.isin("copyright", "publisher"), F.regexp_replace(text, _U + r"\s+", " ")).otherwise(
-        F.regexp_replace(text, _U + r"[,;:\s]+", " ")
-    )
+    owner, listed = kind == "copyright", kind.isin("copyright", "publisher")
+    text = let(text, lambda t: F.when(owner, t).otherwise(F.regexp_replace(t, _IU + CUT_RELATED, "")))
+    text = let(text, lambda t: F.when(listed, F.regexp_replace(t, _U + r"\s+", " ")).otherwise(F.regexp_replace(t, _U + r"[,;:\s]+", " ")))
     text = F.regexp_replace(F.btrim(text, F.lit(" ,-.")), _U + r"^the\s+", "")
-    return F.when(has_any(F.lower(text), WORTHLESS), "").otherwise(strip(text))
+    return let(text, lambda t: F.when(has_any(F.lower(t), WORTHLESS), "").otherwise(strip(t)))
 
 
 def institution_type(sentence: Column | str, name: Column | str) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sheetflow.functions.strings import as_column, json_inner, strip
+from sheetflow.functions.strings import as_column, json_inner, let, strip
 
 ITEMS = "array<map<string,string>>"
 
@@ -55,7 +55,7 @@ def json_from_text(c: Column | str) -> Column:
         _first(arrays, is_json_array),
         _first(objects, is_json_object),
     )
-    return F.when(found.startswith("{"), F.concat(F.lit("["), found, F.lit("]"))).otherwise(found)
+    return let(found, lambda f: F.when(f.startswith("{"), F.concat(F.lit("["), f, F.lit("]"))).otherwise(f))
 
 
 def json_items(c: Column | str) -> Column:

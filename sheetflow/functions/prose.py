@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sheetflow.functions.strings import as_column, strip
 
@@ -51,7 +52,7 @@ NOISE_SEPARATOR_LIMIT = 3
 SENTENCE_END = r"[。！？!?]\s+|(?<=[a-z])\.\s+(?=[A-Z])|(?<=[A-Z][a-z]{2})\.\s+"
 PARAGRAPH_GAP = r"\n\s*\n"
 
-SENTENCES = "array<struct<sentence:string,pos:int>>"
+SENTENCES = T.ArrayType(T.StructType().add("sentence", "string").add("pos", "integer"))
 
 
 def clean_markdown(c: Column | str) -> Column:
@@ -71,7 +72,7 @@ def markdown_to_plain(c: Column | str) -> Column:
     return collapse(clean_markdown(c))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape_entities(texts: pd.Series) -> pd.Series:
     """Character references, by the table of the HTML standard."""
     return texts.map(html.unescape, na_action="ignore")

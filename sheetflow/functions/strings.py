@@ -17,6 +17,11 @@ def as_column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip(c: Column | str) -> Column:
     """Trim every kind of blank, not only the space."""
     return F.btrim(as_column(c).cast("string"), F.lit(BLANKS))

@@ -7,10 +7,11 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from sheetflow.functions.jsontext import json_from_text, json_items, valid_items
 from sheetflow.functions.outcome import classify_llm_error, token_cost
@@ -62,6 +63,8 @@ class RetryPolicy:
         return None, shown, kind, attempt
 
 
+OUTCOME = "status string, error_type string, error_message string, attempts int, duration_ms long, called_at string"
+
 # Kinds of model failures that are tried again.
 MODEL_RETRY = RetryPolicy(times=2, delay=5.0, cap=None, retry_on=("rate_limit", "timeout", "network_error"))
 
@@ -85,21 +88,19 @@ def call_each(
     repeat calls when it repeats a task, so read the log by latest row.
     """
     fields = T.StructType.fromDDL(result)
-    outcome = T.StructType.fromDDL("status string, error_type string, error_message string, attempts int, duration_ms long, called_at string")
-    schema = T.StructType([*tasks.schema.fields, *fields.fields, *outcome.fields])
-    wanted = [f.name for f in fields.fields]
+    schema = T.StructType([*tasks.schema.fields, *fields.fields, *T.StructType.fromDDL(OUTCOME).fields])
+    wanted, arrow = [f.name for f in fields.fields], to_arrow_schema(schema)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for row in batch.to_dict("records"):
+            for row in batch.to_pylist():
                 start = time.monotonic()
                 found, error, kind, attempts = retry.run(call, row)
-                found = found or {}
                 rows.append(
                     {
                         **row,
-                        **{name: found.get(name) for name in wanted},
+                        **{name: (found or {}).get(name) for name in wanted},
                         "status": "success" if error is None else "failed",
                         "error_type": kind or "",
                         "error_message": error or "",
@@ -108,11 +109,11 @@ def call_each(
                         "called_at": datetime.now(timezone.utc).isoformat(),
                     }
                 )
-            yield pd.DataFrame(rows, columns=schema.names)
+            yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
     if partitions:
         tasks = tasks.repartition(partitions, quoted(key)) if key else tasks.repartition(partitions)
-    return tasks.mapInPandas(run, schema)
+    return tasks.mapInArrow(run, schema)
 
 
 def enrich(
@@ -185,47 +186,46 @@ def scan_input(url1: Column | str, url2: Column | str) -> Column:
 
 
 def model_outcome(
-    reply: Column | str,
-    error: Column | str,
+    df: DataFrame,
+    reply: str,
+    error: str,
     fields: Sequence[str],
-    tokens_in: Column | None = None,
-    tokens_out: Column | None = None,
+    tokens_in: str | None = None,
+    tokens_out: str | None = None,
     price_in: float = 2.75,
     price_out: float = 22.0,
     validator: Callable[[Column], Column] | None = None,
-) -> Column:
-    """``struct<status, items, error_type, error_message, prompt_tokens, completion_tokens, total_tokens, cost>``.
+) -> DataFrame:
+    """Judge model calls from their reply or error text.
 
-    A call error is classified; a reply without JSON is json_parse_error; one
-    without a complete item is validation_error.
+    Adds status, items, results_count, error_type, error_message, total_tokens
+    and cost. A call error is classified; a reply without JSON is
+    json_parse_error; one without a complete item is validation_error. A
+    failed call reports no usage.
     """
-    text = F.col(reply) if isinstance(reply, str) else reply
-    failure = F.col(error) if isinstance(error, str) else error
-    none = F.lit(None).cast("long")
-    used_in = none if tokens_in is None else tokens_in
-    used_out = none if tokens_out is None else tokens_out
-    found = json_from_text(text)
-    items = valid_items(json_items(found), list(fields), validator)
+    failure = quoted(error)
+    usage = [F.when(failure.isNull(), F.lit(None).cast("long") if c is None else quoted(c)) for c in (tokens_in, tokens_out)]
+    read = df.withColumn("_found", F.when(failure.isNull(), json_from_text(quoted(reply))))
+    read = read.withColumn("_items", valid_items(json_items("_found"), list(fields), validator))
     kind = (
         F.when(failure.isNotNull(), classify_llm_error(failure))
-        .when(found.isNull(), "json_parse_error")
-        .when(F.coalesce(F.size(items), F.lit(0)) <= 0, "validation_error")
+        .when(F.col("_found").isNull(), "json_parse_error")
+        .when(F.coalesce(F.size("_items"), F.lit(0)) <= 0, "validation_error")
     )
+    judged = read.withColumn("error_type", kind)
+    good = F.col("error_type").isNull()
     message = (
         F.when(failure.isNotNull(), failure)
-        .when(kind == "json_parse_error", "Failed to extract JSON from response")
-        .when(kind == "validation_error", "No valid result items found")
-    )
-    # no usage is reported for a call that failed
-    used_in = F.when(failure.isNull(), used_in)
-    used_out = F.when(failure.isNull(), used_out)
-    return F.struct(
-        F.when(kind.isNull(), "success").otherwise("failed").alias("status"),
-        F.when(kind.isNull(), items).alias("items"),
-        kind.alias("error_type"),
-        message.alias("error_message"),
-        used_in.alias("prompt_tokens"),
-        used_out.alias("completion_tokens"),
-        (used_in + used_out).alias("total_tokens"),
-        token_cost(used_in, used_out, price_in, price_out).alias("cost"),
+        .when(F.col("error_type") == "json_parse_error", "Failed to extract JSON from response")
+        .when(F.col("error_type") == "validation_error", "No valid result items found")
     )
+    return judged.withColumns(
+        {
+            "status": F.when(good, "success").otherwise("failed"),
+            "items": F.when(good, F.col("_items")),
+            "results_count": F.when(good, F.size("_items")).otherwise(0),
+            "error_message": message,
+            "total_tokens": usage[0] + usage[1],
+            "cost": token_cost(*usage, price_in, price_out),
+        }
+    ).drop("_found", "_items")

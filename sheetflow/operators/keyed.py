@@ -221,9 +221,9 @@ def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], n: int = 5) -> DataFrame:
-    """A few keys that occur more than once."""
+    """The first few keys that occur more than once."""
     counted = df.groupBy(*[quoted(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
-    return sample_head(counted.filter("n > 1"), n)
+    return sample_head(counted.filter("n > 1"), n, keys)
 
 
 def check_unique(df: DataFrame, keys: Sequence[str], label: str = "table") -> None:
@@ -232,8 +232,9 @@ def check_unique(df: DataFrame, keys: Sequence[str], label: str = "table") -> No
         raise ValueError(f"{label}: key {list(keys)} is not unique, for example {found}")
 
 
-def sample_head(df: DataFrame, n: int = 5) -> DataFrame:
-    return df.limit(n)
+def sample_head(df: DataFrame, n: int = 5, order: Sequence[str] = ()) -> DataFrame:
+    """A few rows to show; with ``order`` always the same ones."""
+    return (df.orderBy(*[quoted(c) for c in order]) if order else df).limit(n)
 
 
 def in_input_order(df: DataFrame, row: str = "_row") -> DataFrame:

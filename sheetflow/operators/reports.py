@@ -481,13 +481,13 @@ def report_rows(names_df: DataFrame, results: DataFrame, kind: str = "search", r
 def flatten_lookup(df: DataFrame, text: str = "response") -> DataFrame:
     """(…, name, user_id, outcome): one row per user found, or one marker row."""
     body = quoted(text)
-    code = F.try_variant_get(F.try_parse_json(body), "$.code", "int")
-    ok = is_json_object(body) & F.coalesce(code == 0, F.lit(False))
-    listed = F.from_json(F.get_json_object(body, "$.data.users"), "array<map<string,string>>")
-    users = F.when(ok & (F.size(listed) > 0), listed)
-    outcome = F.when(~ok, "fail").when(users.isNull(), "no_match").otherwise("ok")
     kept = [c for c in df.columns if c != text]
-    rows = df.select(*[quoted(c) for c in kept], outcome.alias("outcome"), F.posexplode_outer(users).alias("_at", "_u"))
+    code = F.try_variant_get(F.try_parse_json(body), "$.code", "int")
+    read = df.withColumn("_ok", is_json_object(body) & F.coalesce(code == 0, F.lit(False)))
+    read = read.withColumn("_users", F.when(F.col("_ok"), F.from_json(F.get_json_object(body, "$.data.users"), "array<map<string,string>>")))
+    users = F.when(F.size("_users") > 0, F.col("_users"))
+    outcome = F.when(~F.col("_ok"), "fail").when(users.isNull(), "no_match").otherwise("ok")
+    rows = read.select(*[quoted(c) for c in kept], outcome.alias("outcome"), F.posexplode_outer(users).alias("_at", "_u"))
     marker = F.when(F.col("outcome") == "no_match", NO_MATCH).otherwise(CALL_FAILED)
 
     def of_user(field: str, otherwise: Column) -> Column:

@@ -66,7 +66,7 @@ def read_log(spark: SparkSession, path: str, kind: str | None = None, fmt: str =
     """A log with its extra columns kept, and ``_seq`` that orders the appends.
 
     Columns of the kind that a file lacks are added as nulls; numbers that do
-    not parse become null. A text cell is "" where the file has nothing.
+    not parse become null. A text cell of a CSV file is "" where the file has nothing.
     """
     if fmt == "csv":
         raw = spark.read.options(**_CSV).csv(path)
@@ -82,7 +82,7 @@ def read_log(spark: SparkSession, path: str, kind: str | None = None, fmt: str =
         known = F.col(f"`{name}`") if name in types else F.lit(None).cast("string")
         if types.get(name, "string") == "string":
             wanted = log_type(name) if kind else "string"
-            known = F.coalesce(known, F.lit("")) if wanted == "string" else known.try_cast(wanted)
+            known = known.try_cast(wanted) if wanted != "string" else F.coalesce(known, F.lit("")) if fmt == "csv" else known
         fields.append(known.alias(name))
     seq = F.struct(
         F.col("_metadata.file_modification_time").alias("time"),
