@@ -128,36 +128,46 @@ def clean_institution(name: Column | str, kind: Column | str = "host") -> Column
     return let(text, lambda t: F.when(has_any(F.lower(t), WORTHLESS), "").otherwise(strip(t)))
 
 
-def institution_type(sentence: Column | str, name: Column | str) -> Column:
-    """Kind by the words of sentence and name; copyright, then publisher, else host."""
-    both = F.lower(F.concat_ws("\n", as_column(sentence), as_column(name)))
+def _kind(lower: Column) -> Column:
     return (
-        F.when(has_any(both, KIND_WORDS["copyright"]), "copyright")
-        .when(has_any(both, KIND_WORDS["publisher"]), "publisher")
+        F.when(has_any(lower, KIND_WORDS["copyright"]), "copyright")
+        .when(has_any(lower, KIND_WORDS["publisher"]), "publisher")
         .otherwise("host")
     )
 
 
+def institution_type(sentence: Column | str, name: Column | str) -> Column:
+    """Kind by the words of sentence and name; copyright, then publisher, else host."""
+    return _kind(F.lower(F.concat_ws("\n", as_column(sentence), as_column(name))))
+
+
 def relevant_sentences(c: Column | str) -> Column:
-    """``array<struct<sentence,pos,phrase>>``: usable sentences with a key phrase."""
-    kept = F.filter(split_sentences(c), lambda s: usable_sentence(s["sentence"]))
+    """``array<struct<sentence,pos,lower,phrase>>``: usable sentences with a key phrase."""
+    lowered = F.transform(
+        split_sentences(c),
+        lambda s: F.struct(s["sentence"].alias("sentence"), s["pos"].alias("pos"), F.lower(s["sentence"]).alias("lower")),
+    )
     tagged = F.transform(
-        kept,
+        lowered,
         lambda s: F.struct(
             s["sentence"].alias("sentence"),
             s["pos"].alias("pos"),
-            first_phrase(s["sentence"], KEY_PHRASES).alias("phrase"),
+            s["lower"].alias("lower"),
+            first_phrase(s["sentence"], KEY_PHRASES, lower=s["lower"]).alias("phrase"),
         ),
     )
-    return F.filter(tagged, lambda s: s["phrase"].isNotNull())
+    return F.filter(tagged, lambda s: s["phrase"].isNotNull() & usable_sentence(s["sentence"], s["lower"]))
 
 
-def _names(sentence: Column) -> Column:
-    """(name, type, form) candidates of one sentence, forms in order."""
+def _names(sentence: Column, lower: Column) -> Column:
+    """(name, type) candidates of one sentence, forms in order.
+
+    A raw name is part of its sentence, so the sentence alone tells its kind.
+    """
+    kind = _kind(lower)
 
-    def cleaned(raw: Column, form: str, kind_of) -> Column:
-        typed = F.transform(raw, lambda r: F.struct(r.alias("raw"), kind_of(r).alias("type")))
-        named = F.transform(typed, lambda t: F.struct(clean_institution(t["raw"], t["type"]).alias("name"), t["type"].alias("type")))
+    def cleaned(raw: Column, form: str, kind: Column) -> Column:
+        named = F.transform(raw, lambda r: let(kind, lambda k: F.struct(clean_institution(r, k).alias("name"), k.alias("type"))))
         return F.filter(named, lambda t: F.length(t["name"]) > MIN_NAME[form])
 
     def found(pattern: str) -> Column:
@@ -167,9 +177,9 @@ def _names(sentence: Column) -> Column:
     roles = F.transform(found(_IU + ROLE_FORM), lambda r: F.regexp_replace(strip(r), "(?isU)" + AFTER_NAME + ".*$", ""))
     endings = found(_U + ENDING_FORM)
     return F.concat(
-        cleaned(owners, "copyright", lambda r: F.lit("copyright")),
-        cleaned(roles, "role", lambda r: institution_type(sentence, r)),
-        cleaned(endings, "ending", lambda r: institution_type(sentence, r)),
+        cleaned(owners, "copyright", F.lit("copyright")),
+        cleaned(roles, "role", kind),
+        cleaned(endings, "ending", kind),
     )
 
 
@@ -178,7 +188,7 @@ def institution_candidates(c: Column | str) -> Column:
     per_sentence = F.transform(
         relevant_sentences(clean_markdown(c)),
         lambda s: F.transform(
-            _names(s["sentence"]),
+            _names(s["sentence"], s["lower"]),
             lambda n: F.struct(
                 n["name"].alias("name"),
                 n["type"].alias("type"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,7 +40,7 @@ FETCH_MESSAGE_LENGTH = 200
 
 def has_any(text: Column, words: list[str]) -> Column:
     """Any of the words occurs as plain text."""
-    return text.rlike("|".join(rf"\Q{w}\E" for w in words))
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in words])
 
 
 def _ladder(start, text: Column, classes: dict[str, list[str]]):

@@ -36,14 +36,23 @@ MIN_SENTENCE = 10
 MAX_SENTENCE = 800
 
 # Marks of a navigation, list or button line (lower case).
-NOISE = [
-    r"^\s*[\+\-\*]\s+",
-    r"^\s*\d+\.\s+",
-    r"(browse|current issue|early view|accepted articles)",
-    r"(subscribe|alert|rss|facebook|twitter|x channel)",
-    r"(submit an article|journal metrics)",
-    r"^\s*##\s+",
-    r"png\)|jpg\)|gif\)",
+NOISE_STARTS = [r"[\+\-\*]\s+", r"\d+\.\s+", r"##\s+"]
+NOISE_WORDS = [
+    "browse",
+    "current issue",
+    "early view",
+    "accepted articles",
+    "subscribe",
+    "alert",
+    "rss",
+    "facebook",
+    "twitter",
+    "x channel",
+    "submit an article",
+    "journal metrics",
+    "png)",
+    "jpg)",
+    "gif)",
 ]
 NOISE_SEPARATORS = [" + ", " - "]
 NOISE_SEPARATOR_LIMIT = 3
@@ -132,28 +141,30 @@ def split_sentences(c: Column | str) -> Column:
     return _split_sentences(as_column(c))
 
 
-def is_noise(c: Column | str) -> Column:
-    """Navigation, list and button lines."""
+def is_noise(c: Column | str, lower: Column | None = None) -> Column:
+    """Navigation, list and button lines. ``lower`` saves computing it again."""
     text = as_column(c)
-    lower = F.lower(text)
-    hit = lower.rlike(_U + "(?:" + "|".join(NOISE) + ")")
+    low = F.lower(text) if lower is None else lower
+    hit = text.rlike(_U + r"^\s*(?:" + "|".join(NOISE_STARTS) + ")")
+    for word in NOISE_WORDS:
+        hit = hit | F.contains(low, F.lit(word))
     for separator in NOISE_SEPARATORS:
         count = (F.length(text) - F.length(F.replace(text, F.lit(separator)))) / len(separator)
         hit = hit | (count > NOISE_SEPARATOR_LIMIT)
     return hit
 
 
-def usable_sentence(c: Column | str) -> Column:
+def usable_sentence(c: Column | str, lower: Column | None = None) -> Column:
     """Length limits, and no noise."""
     size = F.length(as_column(c))
-    return (size > MIN_SENTENCE) & (size <= MAX_SENTENCE) & ~is_noise(c)
+    return (size > MIN_SENTENCE) & (size <= MAX_SENTENCE) & ~is_noise(c, lower)
 
 
-def first_phrase(c: Column | str, phrases: list[str], whole_word: bool = False) -> Column:
+def first_phrase(c: Column | str, phrases: list[str], whole_word: bool = False, lower: Column | None = None) -> Column:
     """First phrase of the ordered list that the text contains, in any case."""
-    lower = F.lower(as_column(c))
+    low = F.lower(as_column(c)) if lower is None else lower
 
     def hit(p: str) -> Column:
-        return lower.rlike(rf"(?U)\b\Q{p}\E\b") if whole_word else F.contains(lower, F.lit(p))
+        return low.rlike(rf"(?U)\b\Q{p}\E\b") if whole_word else F.contains(low, F.lit(p))
 
     return F.coalesce(*[F.when(hit(p.lower()), F.lit(p)) for p in phrases])

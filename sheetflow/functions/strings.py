@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 # Every character that counts as blank at the ends of a cell, by rule.
 BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
+_INK = "[^" + "".join(f"\\x{{{ord(c):x}}}" for c in BLANKS) + "]"
 _VAR = re.compile(r"\{\{(\w+)\}\}")
 
 
@@ -38,8 +39,8 @@ def filled(c: Column | str) -> Column:
 
 
 def non_empty(c: Column | str) -> Column:
-    """Filter: the text has something besides blanks."""
-    return cell(c) != ""
+    """Filter: the text has something besides blanks; stops at the first such character."""
+    return F.coalesce(as_column(c).rlike(_INK), F.lit(False))
 
 
 def sha1_hex(c: Column | str) -> Column:

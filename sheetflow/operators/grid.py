@@ -35,13 +35,15 @@ def header_names(cells: DataFrame, header_row: int = 1) -> dict[int, str]:
     return found
 
 
-def promote_header(cells: DataFrame, header_row: int = 1) -> DataFrame:
+def promote_header(cells: DataFrame, header_row: int = 1, names: dict[int, str] | None = None) -> DataFrame:
     """Sheet with named columns and ``_row``, from (row, col, value) cells.
 
     All files of the grid must share the header. Rows without any cell do not
-    appear. When a name repeats, the last column of that name counts.
+    appear. When a name repeats, the last column of that name counts. Pass
+    ``names`` when the header is known, to save reading the grid for it.
     """
-    by_name = {name: col for col, name in sorted(header_names(cells, header_row).items())}
+    found = header_names(cells, header_row) if names is None else names
+    by_name = {name: col for col, name in sorted(found.items())}
     keys = _group(cells)
     values = [F.max(F.when(F.col("col") == col, F.col("value"))).alias(name) for name, col in by_name.items()]
     return (

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sheetflow.functions.strings import cell, filled
+from sheetflow.functions.strings import as_column, cell, filled, non_empty, strip
 
-NULL_BUCKETS = 256
+# Rows without a key go to this many surrogate keys.
+NULL_BUCKETS = 1024
 
 
 def quoted(name: str) -> Column:
@@ -29,26 +30,33 @@ def _row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[quoted(c) for c in plain])
 
 
+def _surrogate(df: DataFrame, key: str) -> Column:
+    """Stand-in for a null key, so that such rows do not meet in one task."""
+    kind, bucket = df.schema[key].dataType, F.pmod(_row_hash(df), F.lit(NULL_BUCKETS))
+    if isinstance(kind, T.StringType):
+        return F.concat(F.lit("no key "), bucket.cast("string"))
+    return bucket.cast(kind) if isinstance(kind, (T.LongType, T.IntegerType)) else F.lit(None).cast(kind)
+
+
 def lookup(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "left", spread: int = 1) -> DataFrame:
     """Equi-join of many rows with a table that has one row per key.
 
-    Rows without a key are spread over buckets instead of meeting in one task.
-    Hot keys are split by adaptive skew handling; ``spread`` above 1 also
-    salts the left side and repeats each right row that many times. Size alone
-    decides whether the right side is broadcast, at run time.
+    Rows without a key are spread over stand-in keys that never match. Hot
+    keys are split by adaptive skew handling; ``spread`` above 1 also salts
+    the left side and repeats each right row that many times. Size alone
+    decides, at run time, whether the right side is broadcast.
     """
     keys = names(on)
-    no_key = F.lit(False)
-    for k in keys:
-        no_key = no_key | quoted(k).isNull()
-    own = F.pmod(_row_hash(left), F.lit(spread)) if spread > 1 else F.lit(0).cast("long")
-    salt = F.when(no_key, F.pmod(_row_hash(left), F.lit(NULL_BUCKETS)) + spread).otherwise(own)
+    wanted = [c for c in right.columns if c not in keys]
+    side = right.select(*[quoted(k).alias(f"_key{i}") for i, k in enumerate(keys)], *[quoted(c) for c in wanted])
+    match = F.lit(True)
+    for i, k in enumerate(keys):
+        match = match & (F.coalesce(quoted(k), _surrogate(left, k)) == F.col(f"_key{i}")) & quoted(k).isNotNull()
     if spread > 1:
-        copies = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long")))
-    else:
-        # always 0, but computed, so that the salt stays part of the join key
-        copies = F.pmod(F.xxhash64(*[quoted(k) for k in keys]), F.lit(1))
-    return left.withColumn("_salt", salt).join(right.withColumn("_salt", copies), [*keys, "_salt"], how).drop("_salt")
+        left = left.withColumn("_salt", F.pmod(_row_hash(left), F.lit(spread)))
+        side = side.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long"))))
+        match = match & (F.col("_salt") == F.col("_copy"))
+    return left.join(side, match, how).drop("_salt", "_copy", *[f"_key{i}" for i in range(len(keys))])
 
 
 def _winner(df: DataFrame, keys: list[str], pick, rank: Column) -> DataFrame:
@@ -82,14 +90,14 @@ def overlay(history: DataFrame, current: DataFrame, key: str | Sequence[str], or
 
 def successful(log: DataFrame, status: str = "status", good: str = "success", payload: str | None = None) -> DataFrame:
     """Rows whose status says success, with a payload when one is named."""
-    kept = log.filter(F.lower(cell(quoted(status))) == good.lower())
-    return kept.filter(filled(quoted(payload)).isNotNull()) if payload else kept
+    kept = log.filter(F.lower(quoted(status)) == good.lower())
+    return kept.filter(non_empty(quoted(payload))) if payload else kept
 
 
 def found_rows(log: DataFrame) -> DataFrame:
     """Search log rows with a result: found, with a query and a URL."""
-    trimmed = log.withColumns({"query": cell("query"), "url": cell("url")})
-    return trimmed.filter((F.lower(cell("FOUND")) == "true") & (F.col("query") != "") & (F.col("url") != ""))
+    kept = log.filter((F.lower("FOUND") == "true") & non_empty("query") & non_empty("url"))
+    return kept.withColumns({"query": strip("query"), "url": strip("url")})
 
 
 def exclude_urls(df: DataFrame, pattern: str | None, url: str = "url") -> DataFrame:
@@ -113,7 +121,8 @@ def pending(
     if policy not in ("any", "success"):
         raise ValueError(f"policy must be any or success, not {policy!r}")
     done = successful(log, status, good) if policy == "success" else log
-    settled = done.select(filled(quoted(log_key or key)).alias(key)).filter(quoted(key).isNotNull()).distinct()
+    source = quoted(log_key or key)
+    settled = done.filter(non_empty(source)).select(strip(source).alias(key)).distinct()
     return df.join(settled, key, "left_anti")
 
 
@@ -169,7 +178,7 @@ def top_n(df: DataFrame, by: str | Sequence[str], order: Sequence[str], n: int,
 
 def position(c: Column | str) -> Column:
     """Result position; what does not parse counts as 0."""
-    return F.coalesce(cell(c).try_cast("int"), F.lit(0))
+    return F.coalesce(as_column(c).try_cast("int"), F.lit(0))
 
 
 def joined_cells(
@@ -179,21 +188,20 @@ def joined_cells(
     order: Sequence[str],
     sep: str,
     out: str = "text",
-    distinct: bool = True,
+    apart: Column | None = None,
     part_size: int = 100_000,
 ) -> DataFrame:
-    """Values of each group joined into one text, in order.
+    """Distinct values of each group joined into one text, in order.
 
-    Repeats are dropped before the shuffle. A group with more than
-    ``part_size`` values does not meet in one task: it comes as several rows,
-    numbered by ``part``, each in order, that together hold every value once.
+    Repeats are dropped before the shuffle; rows that differ in ``apart`` do
+    not count as repeats. A group with more than ``part_size`` values does not
+    meet in one task: it comes as several rows, numbered by ``part``, each in
+    order, that together hold every value once.
     """
     by = list(by)
-    if distinct:
-        place = F.struct(*[quoted(c).alias(f"o{i}") for i, c in enumerate(order)])
-        rows = df.groupBy(*[quoted(c) for c in by], quoted(value).alias("_v")).agg(F.min(place).alias("_o"))
-    else:
-        rows = df.select(*[quoted(c) for c in by], quoted(value).alias("_v"), F.struct(*[quoted(c).alias(f"o{i}") for i, c in enumerate(order)]).alias("_o"))
+    place = F.struct(*[quoted(c).alias(f"o{i}") for i, c in enumerate(order)])
+    kept_apart = [] if apart is None else [apart.alias("_a")]
+    rows = df.groupBy(*[quoted(c) for c in by], quoted(value).alias("_v"), *kept_apart).agg(F.min(place).alias("_o"))
     large = (
         rows.groupBy(*[quoted(c) for c in by])
         .agg(F.count(F.lit(1)).alias("_n"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sheetflow.functions.jsontext import is_json, is_json_array, is_json_object, json_items
 from sheetflow.functions.links import is_http
-from sheetflow.functions.strings import build_keywords, cell, filled, prefix_path, render_template, sha1_hex
+from sheetflow.functions.strings import build_keywords, cell, filled, non_empty, prefix_path, render_template, sha1_hex, strip
 from sheetflow.operators.grid import method_set, require_columns, resolve_column
 from sheetflow.operators.keyed import exclude_urls, found_rows, joined_cells, latest, lookup, merge_values, position, quoted, successful, top_n
 
@@ -150,8 +150,8 @@ def assemble_extract(
     once, by row, however many URL columns there are.
     """
     fields = result_fields(log)
-    known = latest(successful(log, "SUCCESS", "true").withColumn("url", filled("url")).filter("url IS NOT NULL"), "url")
-    known = known.select("url", *[quoted(f) for f in fields])
+    good = successful(log, "SUCCESS", "true").filter(non_empty("url"))
+    known = latest(good.select(strip("url").alias("url"), *[quoted(f) for f in fields], "_seq"), "url").drop("_seq")
     hits = lookup(unpivot_urls(df, url_columns, [row]), known, "url", "inner", spread)
     wide = [
         F.max(F.when(F.col("column") == u, quoted(f))).alias(f"{u}-{f}")
@@ -212,7 +212,7 @@ def snapshot_status(expected: Column, tries: Column) -> Column:
 
 def search_snapshots(search_log: DataFrame, snapshot_log: DataFrame, sheet: str | None = None, prefix: str = "") -> DataFrame:
     """One row per keyword text: search outcome, snapshot status, links and paths."""
-    rows = search_log.withColumn("keywords", filled("keywords")).filter("keywords IS NOT NULL")
+    rows = search_log.filter(non_empty("keywords")).withColumn("keywords", strip("keywords"))
     if sheet is not None:
         rows = rows.filter(F.col("sheet") == sheet)
     last = latest(rows, "keywords")
@@ -350,19 +350,17 @@ def is_status_row(c: Column | str) -> Column:
 def by_keyword(items: DataFrame, row: str = "_row", part_size: int = 100_000) -> DataFrame:
     """(row, keyword, part, text): institution names per keyword column.
 
-    ``items`` has row, keyword, name and their order ``at``. Known keywords
-    merge distinct names; the others come as ``keyword: name`` under 其他, with
+    ``items`` has row, keyword, name and ``at``, their order within the row.
+    Known keywords merge distinct names; the others come as ``keyword: name`` under 其他, with
     未知 for a missing keyword and every entry kept.
     """
     known = F.create_map(*[x for k in KEYWORD_COLUMNS for x in (F.lit(k.lower()), F.lit(k))])
-    kw = F.lower(cell("keyword"))
-    named = items.withColumn("name", cell("name")).filter("name <> ''")
-    tagged = named.withColumn("_kw", F.try_element_at(known, kw))
-    grouped = joined_cells(tagged.filter("_kw IS NOT NULL"), [row, "_kw"], "name", ["at"], ";", part_size=part_size)
-    shown = F.concat_ws(": ", F.coalesce(filled("keyword"), F.lit(UNKNOWN)), F.col("name"))
-    rest = tagged.filter("_kw IS NULL").withColumn("name", shown).withColumn("_kw", F.lit(OTHER))
-    others = joined_cells(rest, [row, "_kw"], "name", ["at"], ";", distinct=False, part_size=part_size)
-    return grouped.unionByName(others).withColumnRenamed("_kw", "keyword")
+    named = items.filter(non_empty("name")).select(quoted(row), strip("keyword").alias("_given"), strip("name").alias("name"), "at")
+    found = F.try_element_at(known, F.lower("_given"))
+    tagged = named.withColumn("keyword", F.coalesce(found, F.lit(OTHER)))
+    other = F.col("keyword") == OTHER
+    shown = F.when(other, F.concat_ws(": ", F.coalesce(F.nullif("_given", F.lit("")), F.lit(UNKNOWN)), F.col("name"))).otherwise(F.col("name"))
+    return joined_cells(tagged.withColumn("name", shown), [row, "keyword"], "name", ["at"], ";", apart=F.when(other, F.col("at")), part_size=part_size)
 
 
 def keyword_pivot(items: DataFrame, row: str = "_row", part_size: int = 100_000) -> DataFrame:
@@ -383,8 +381,7 @@ def _field_values(items: Column, field: str) -> Column:
 
 def model_answers(log: DataFrame, fields: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
     """(name, fields…): merged field texts of the latest readable success per name."""
-    good = successful(log, payload="results_json").withColumn("journal_name", F.col("journal_name"))
-    readable = good.filter(is_json("results_json"))
+    readable = successful(log, payload="results_json").filter(is_json("results_json"))
     last = latest(readable.select("journal_name", "results_json", *extra, "_seq"), "journal_name")
     items = last.withColumn("_items", json_items("results_json")).filter(F.size("_items") > 0)
     return items.select(

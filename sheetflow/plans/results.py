@@ -7,6 +7,7 @@ from sheetflow.operators import reports
 from sheetflow.operators.keyed import joined_cells, latest, merge_values, order_by_source
 from sheetflow.plans.registry import query
 from sheetflow.plans.runs import LOG, SEARCH_LOG, SNAP_LOG, event_log, keyword_logs
+from sheetflow.session import spread_scan
 
 
 def order_search_log(t):
@@ -110,7 +111,7 @@ def search_rows(t):
         lambda i: F.struct((i + 1).alias("position"), F.concat(F.lit("http://r"), i.cast("string"), F.lit(".org")).alias("url"), F.concat(F.lit('say "'), i.cast("string"), F.lit('"')).alias("description")),
     )
     body = F.to_json(F.struct(F.struct(k.cast("int").alias("number_of_results")).alias("meta_data"), F.when(F.col("value") > 20, results).otherwise(F.slice(results, 1, 0)).alias("organic_results")))
-    replies = t.events.select(
+    replies = spread_scan(t.events).select(
         F.col("event_id").alias("row_number"),
         F.concat(F.lit("q"), k).alias("query"),
         F.when(F.col("event_type") == "view", "{}").when(F.col("event_type") != "error", body).alias("payload"),
@@ -300,7 +301,7 @@ def report_log(t):
     kind = F.col("event_type")
     k = F.get_json_object("props", "$.k")
     one = F.concat(F.lit('{"主办单位":"H'), k, F.lit('","关联单位":"R'), k, F.lit('","来源链接1":"http://own/'), k, F.lit('"}'))
-    log = t.events.filter("user_id <> 3").select(
+    log = spread_scan(t.events).filter("user_id <> 3").select(
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("journal_name"),
         F.when(kind.isin("click", "signup", "view"), "success").otherwise("failed").alias("status"),
         F.when(kind == "error", "timeout").when(kind == "purchase", F.lit(None)).otherwise("").alias("error_type"),

@@ -10,7 +10,7 @@ from sheetflow.operators.enrich import CallFailed, RetryPolicy, attach, call_eac
 from sheetflow.operators.keyed import extraction_status, latest, overlay, pending, rows_done, successful
 from sheetflow.plans.registry import query
 from sheetflow.plans.texts import REPLY, by_type, sql_by_type
-from sheetflow.session import work_dir
+from sheetflow.session import spread_scan, work_dir
 from sheetflow.sources.logs import append_log, read_log
 from sheetflow.sources.textfiles import read_blocks, read_lines
 from sheetflow.streaming.watch import watch
@@ -18,7 +18,7 @@ from sheetflow.streaming.watch import watch
 
 def event_log(t):
     """Events as a run log of users: an error is a failed try, later rows are newer."""
-    return t.events.select(
+    return spread_scan(t.events).select(
         F.col("user_id").cast("string").alias("key"),
         F.when(F.col("event_type") == "error", "failed").when(F.col("event_type") == "view", "skipped").otherwise("success").alias("status"),
         "event_type",
@@ -66,7 +66,7 @@ SNAP_LOG = """nl AS (SELECT CASE WHEN k % 3 = 0 THEN 'http://hot/' ELSE 'http://
 
 def keyword_logs(t):
     """A search log and a snapshot log whose keys repeat, with one hot URL."""
-    e = t.events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    e = spread_scan(t.events).withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     seq = F.struct("ts", "event_id").alias("_seq")
     k = F.col("k")
     some = k % 4 > 0
@@ -246,7 +246,7 @@ SELECT event_id, CASE WHEN error_type IS NULL THEN 'success' ELSE 'failed' END A
 )
 def model_replies(t):
     """Outcome of model calls from reply, error and token use."""
-    e = t.events.withColumn("k", F.get_json_object("props", "$.k").cast("long"))
+    e = spread_scan(t.events).withColumn("k", F.get_json_object("props", "$.k").cast("long"))
     failed = F.when((F.col("event_type") == "view") & (F.col("value") > 60), "HTTP 429")
     calls = e.select("event_id", by_type(REPLY).alias("reply"), failed.alias("failure"), "k", F.lit(10).alias("out"))
     judged = model_outcome(calls, "reply", "failure", ["k"], "k", "out", 1.0, 8.0)

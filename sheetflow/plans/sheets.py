@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from sheetflow.operators.grid import flatten_header, promote_header, skip_blank, slice_rows, stop_at_blank
 from sheetflow.plans.registry import query
-from sheetflow.sources.workbook import decode_cells, to_workbooks
+from sheetflow.sources.workbook import read_sheet, to_workbooks
 
 CUSTOMER_TEXT = """SELECT CAST(c_custkey + 2 AS INTEGER) AS _row, CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
  CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment FROM customer"""
@@ -98,4 +98,4 @@ def grid_stop_per_file(t):
 def xlsx_cells(t):
     """Customers written as workbooks of 500 rows, decoded, and given their header again."""
     books = to_workbooks(t.customer.withColumn("_at", F.col("c_custkey")), "_at", rows_per_file=500)
-    return promote_header(decode_cells(books)).drop("file", "sheet")
+    return read_sheet(books).drop("file", "sheet")

@@ -8,6 +8,7 @@ from sheetflow.functions.strings import build_keywords, non_empty, prefix_path,
 from sheetflow.operators.keyed import first_seen
 from sheetflow.operators.reports import flatten_lookup, lookup_stats, unpivot_urls, url_check, url_order, with_seq
 from sheetflow.plans.registry import query
+from sheetflow.session import spread_scan
 
 
 def people(t):
@@ -79,7 +80,7 @@ def snapshot_paths(t):
 FROM events"""
 )
 def file_names(t):
-    return t.events.select("event_id", safe_name(F.concat_ws(" of ", "event_type", "props")).alias("name"), stamp("ts").alias("stamp"), sha1_hex("props").alias("digest"))
+    return spread_scan(t.events).select("event_id", safe_name(F.concat_ws(" of ", "event_type", "props")).alias("name"), stamp("ts").alias("stamp"), sha1_hex("props").alias("digest"))
 
 
 @query(
@@ -139,7 +140,7 @@ SELECT event_id,
 FROM l"""
 )
 def error_classes(t):
-    m = t.events.select("event_id", by_type(MESSAGE).alias("m"))
+    m = spread_scan(t.events).select("event_id", by_type(MESSAGE).alias("m"))
     f = outcome.classify_fetch_error("m")
     return m.select(
         "event_id",
@@ -180,7 +181,7 @@ SELECT event_id, ok, CASE WHEN ok THEN NULL WHEN s = 200 THEN 'JSON 解析失败
  s = 200 AND regexp_matches(b, '[5-9]\\}}') AS has_word FROM c"""
 )
 def response_check(t):
-    r = t.events.select("event_id", by_type(STATUS).cast("int").alias("s"), by_type(BODY).alias("b"))
+    r = spread_scan(t.events).select("event_id", by_type(STATUS).cast("int").alias("s"), by_type(BODY).alias("b"))
     ok, key = outcome.response_ok("s", "b"), outcome.validate_response("s", "b", key=F.lit("k"))
     word = outcome.validate_response("s", "b", regex=F.lit("[5-9]\\}"))
     return r.select(
@@ -197,7 +198,7 @@ def response_check(t):
  CASE event_type WHEN 'error' THEN 'ConnectTimeout: ' || props WHEN 'signup' THEN 'Not Found' WHEN 'purchase' THEN '' ELSE '' END AS "错误原因" FROM events"""
 )
 def url_checks(t):
-    e = t.events
+    e = spread_scan(t.events)
     kind = F.col("event_type")
     url = F.concat(F.lit("http://h.example.org/"), F.col("user_id").cast("string"))
     failed = kind == "error"
@@ -236,7 +237,7 @@ SELECT event_id, found, item->>'k' AS k FROM x WHERE list_contains(json_keys(ite
 )
 def reply_items(t):
     """JSON items inside model replies that have the required field."""
-    r = t.events.select("event_id", json_from_text(by_type(REPLY)).alias("found"))
+    r = spread_scan(t.events).select("event_id", json_from_text(by_type(REPLY)).alias("found"))
     return r.select("event_id", "found", F.explode(valid_items(json_items("found"), ["k"])).alias("i")).select("event_id", "found", F.col("i")["k"].alias("k"))
 
 
@@ -244,7 +245,7 @@ def reply_items(t):
 def unicode_text(t):
     """Documents whose accents were written as escapes read as before."""
     escaped = F.replace(F.replace("text", F.lit("é"), F.lit("\\u00e9")), F.lit("ü"), F.lit("\\u00fc"))
-    d = t.documents.select("doc_id", decode_unicode(escaped).alias("text"))
+    d = spread_scan(t.documents).select("doc_id", decode_unicode(escaped).alias("text"))
     return d.select("doc_id", F.length("text").alias("n"), F.md5("text").alias("digest"))
 
 
@@ -258,7 +259,7 @@ def nested_posts(t):
     two = F.struct(F.lit('second "one"').alias("name"), F.lit(None).cast("string").alias("k"))
     posts = F.when(F.col("event_type") == "view", F.array(one)).otherwise(F.array(one, two))
     inner = F.when(F.col("event_type") == "error", F.lit("not json")).otherwise(F.to_json(F.struct(posts.alias("blog_posts"))))
-    outer = t.events.select("event_id", F.to_json(F.struct(inner.alias("ai_response"))).alias("body"))
+    outer = spread_scan(t.events).select("event_id", F.to_json(F.struct(inner.alias("ai_response"))).alias("body"))
     rows = outer.select("event_id", F.posexplode(nested_json("body", "ai_response", "blog_posts")).alias("at", "p"))
     return rows.select("event_id", "at", F.try_element_at("p", F.lit("name")).alias("name"), F.try_element_at("p", F.lit("k")).alias("k"))
 
@@ -277,7 +278,7 @@ UNION ALL SELECT event_id, '【调用失败】', '', 'fail' FROM events WHERE ev
 
 
 def answers(t):
-    return flatten_lookup(t.events.select(F.col("event_id").alias("input"), by_type(ANSWER).alias("response")))
+    return flatten_lookup(spread_scan(t.events).select(F.col("event_id").alias("input"), by_type(ANSWER).alias("response")))
 
 
 @query(FLAT + " SELECT * FROM f")

@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheetflow.operators.grid import header_names, promote_header
+
 CELLS = "file string, sheet string, row int, col int, value string"
 MERGES = "file string, sheet string, min_row int, min_col int, max_row int, max_col int"
 
@@ -77,7 +79,7 @@ def _number(text: str, is_date: bool) -> str:
     return str(int(number)) if number.is_integer() and abs(number) < 1e15 else repr(number)
 
 
-def _scan(content: bytes, sheet, rows) -> tuple[str, list[tuple[int, int, str]], list[tuple[int, int, int, int]]]:
+def _scan(content: bytes, sheet, rows, with_merges: bool = False) -> tuple[str, list[tuple[int, int, str]], list[tuple[int, int, int, int]]]:
     """Sheet name, cells within the row range, and merged ranges."""
     low, high = rows or (1, 1 << 30)
     with zipfile.ZipFile(io.BytesIO(content)) as book:
@@ -93,6 +95,8 @@ def _scan(content: bytes, sheet, rows) -> tuple[str, list[tuple[int, int, str]],
             if event == "start":
                 if tag == "row":
                     row, column = int(node.get("r") or row + 1), 0
+                    if row > high and not with_merges:
+                        break
                 continue
             if tag == "c":
                 ref = _REF.match(node.get("r") or "")
@@ -134,7 +138,7 @@ def decode_merges(files: DataFrame, sheet: str | int | None = None) -> DataFrame
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                name, _, merges = _scan(content, sheet, (1, 0))
+                name, _, merges = _scan(content, sheet, (1, 0), with_merges=True)
                 out = pd.DataFrame(merges, columns=["min_row", "min_col", "max_row", "max_col"])
                 yield out.assign(file=path, sheet=name)[["file", "sheet", "min_row", "min_col", "max_row", "max_col"]]
 
@@ -154,6 +158,12 @@ def read_xlsx_merges(spark: SparkSession, glob: str, sheet: str | int | None = N
     return decode_merges(_files(spark, glob), sheet)
 
 
+def read_sheet(files: DataFrame, sheet: str | int | None = None, header_row: int = 1) -> DataFrame:
+    """Workbooks as one table with named columns; the header is read on its own."""
+    names = header_names(decode_cells(files, sheet, (header_row, header_row)), header_row)
+    return promote_header(decode_cells(files, sheet, (header_row + 1, 1 << 30)), header_row, names)
+
+
 # -- writing ------------------------------------------------------------------
 
 # The parts of a minimal workbook.
