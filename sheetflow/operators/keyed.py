@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -199,21 +200,27 @@ def joined_cells(
     order, that together hold every value once.
     """
     by = list(by)
-    place = F.struct(*[quoted(c).alias(f"o{i}") for i, c in enumerate(order)])
+    groups = [quoted(c) for c in by]
     kept_apart = [] if apart is None else [apart.alias("_a")]
-    rows = df.groupBy(*[quoted(c) for c in by], quoted(value).alias("_v"), *kept_apart).agg(F.min(place).alias("_o"))
+    if len(order) == 1:
+        place = F.min(quoted(order[0]))
+    else:
+        place = F.min(F.struct(*[quoted(c).alias(f"o{i}") for i, c in enumerate(order)]))
+    rows = df.groupBy(*groups, quoted(value).alias("_v"), *kept_apart).agg(place.alias("_o"))
+    # counting the places, and matching nulls, keeps this branch equal to the
+    # other one down to its shuffle, which is then done once
     large = (
-        rows.groupBy(*[quoted(c) for c in by])
-        .agg(F.count(F.lit(1)).alias("_n"))
+        rows.groupBy(*groups)
+        .agg(F.count("_o").alias("_n"))
         .filter(F.col("_n") > part_size)
-        .withColumn("_parts", F.ceil(F.col("_n") / part_size).cast("int"))
-        .drop("_n")
+        .select(*[quoted(c).alias(f"_by{i}") for i, c in enumerate(by)], F.ceil(F.col("_n") / part_size).cast("int").alias("_parts"))
     )
+    same = reduce(lambda x, y: x & y, [quoted(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)])
     part = F.coalesce(F.pmod(F.xxhash64("_v", "_o"), F.col("_parts")).cast("int"), F.lit(0))
-    cut = rows.join(large, by, "left").withColumn("part", part)
+    cut = rows.join(large, same, "left").withColumn("part", part)
     listed = F.array_sort(F.collect_list(F.struct("_o", "_v")))
     text = F.array_join(F.transform(listed, lambda x: x["_v"].cast("string")), sep)
-    return cut.groupBy(*[quoted(c) for c in by], "part").agg(text.alias(out))
+    return cut.groupBy(*groups, "part").agg(text.alias(out))
 
 
 def merge_values(values: Column | str, sep: str = ";") -> Column:

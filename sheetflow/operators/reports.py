@@ -215,10 +215,11 @@ def search_snapshots(search_log: DataFrame, snapshot_log: DataFrame, sheet: str
     rows = search_log.filter(non_empty("keywords")).withColumn("keywords", strip("keywords"))
     if sheet is not None:
         rows = rows.filter(F.col("sheet") == sheet)
-    last = latest(rows, "keywords")
     urls = ["url1", "url2", "url3"]
-    long = last.select("keywords", F.posexplode(F.array(*urls)).alias("_at", "url")).filter(cell("url") != "")
-    shots = latest(snapshot_log.filter(cell("url") != ""), "url").select("url", "snapshot_path", "snapshot_error")
+    shown_columns = ["keywords", "search_time", "search_duration_ms", "search_result_json", "search_error", *urls]
+    last = latest(rows.select(*shown_columns, "_seq"), "keywords").drop("_seq")
+    long = last.select("keywords", F.posexplode(F.array(*urls)).alias("_at", "url")).filter(non_empty("url"))
+    shots = latest(snapshot_log.filter(non_empty("url")).select("url", "snapshot_path", "snapshot_error", "_seq"), "url").drop("_seq")
     tried = lookup(long, shots, "url")
     slots = [
         F.max(F.when(F.col("_at") == i, F.struct(F.col("url"), F.col("snapshot_path").alias("path"), F.col("snapshot_error").alias("error")))).alias(f"_t{i}")
@@ -366,11 +367,10 @@ def by_keyword(items: DataFrame, row: str = "_row", part_size: int = 100_000) ->
 def keyword_pivot(items: DataFrame, row: str = "_row", part_size: int = 100_000) -> DataFrame:
     """One column per keyword, in the fixed order, then 其他."""
     cells = by_keyword(items, row, part_size)
-    wide = [
-        F.coalesce(F.max(F.when(F.col("keyword") == k, F.col("text"))), F.lit("")).alias(f"关键词_{k}")
-        for k in [*KEYWORD_COLUMNS, OTHER]
-    ]
-    return cells.groupBy(row, "part").agg(*wide)
+    texts = F.map_from_entries(F.collect_list(F.struct("keyword", "text")))
+    one = cells.groupBy(row, "part").agg(texts.alias("_texts"))
+    wide = [F.coalesce(F.try_element_at("_texts", F.lit(k)), F.lit("")).alias(f"关键词_{k}") for k in [*KEYWORD_COLUMNS, OTHER]]
+    return one.select(row, "part", *wide)
 
 
 def _field_values(items: Column, field: str) -> Column:
@@ -518,11 +518,17 @@ def url_provenance(df: DataFrame, part_size: int = 100_000) -> DataFrame:
 
     Distinct values, sheets and keywords by text, rows by number, one per line.
     """
-    joined = None
-    for source, out, order in (("sheet", "sheets", "sheet"), ("row", "rows", "row"), ("keywords", "keywords", "keywords")):
-        text = joined_cells(df, ["url"], source, [order], "\n", out=out, part_size=part_size)
-        joined = text if joined is None else joined.join(text, ["url", "part"], "full_outer")
-    return joined
+    kinds = {
+        "sheets": (F.lit(0).cast("long"), F.col("sheet")),
+        "rows": (F.col("row").cast("long"), F.col("row").cast("string")),
+        "keywords": (F.lit(0).cast("long"), F.col("keywords")),
+    }
+    entries = [F.struct(F.lit(k).alias("kind"), number.alias("number"), text.alias("text")) for k, (number, text) in kinds.items()]
+    long = df.select("url", F.inline(F.array(*entries))).filter("text IS NOT NULL")
+    cells = joined_cells(long, ["url", "kind"], "text", ["number", "text"], "\n", out="lines", part_size=part_size)
+    texts = F.map_from_entries(F.collect_list(F.struct("kind", "lines")))
+    one = cells.groupBy("url", "part").agg(texts.alias("_texts"))
+    return one.select("url", "part", *[F.try_element_at("_texts", F.lit(k)).alias(k) for k in kinds])
 
 
 def run_stats(log: DataFrame, status: str = "status") -> DataFrame:

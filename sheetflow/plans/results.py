@@ -12,7 +12,7 @@ from sheetflow.session import spread_scan
 
 def order_search_log(t):
     """Line items as the logged search results of their order."""
-    li = t.lineitem
+    li = spread_scan(t.lineitem)
     return li.select(
         F.concat(F.lit("order "), F.col("l_orderkey").cast("string")).alias("query"),
         F.when(F.col("l_returnflag") == "R", "False").otherwise("true").alias("FOUND"),
