@@ -124,7 +124,7 @@ def pending(
     done = successful(log, status, good) if policy == "success" else log
     source = quoted(log_key or key)
     settled = done.filter(non_empty(source)).select(strip(source).alias(key)).distinct()
-    return df.join(settled, key, "left_anti")
+    return df.join(settled, key, "left_anti").select(*[quoted(c) for c in df.columns])
 
 
 def rows_done(

@@ -316,7 +316,7 @@ def line_files(t):
     lines = read_lines(t.spark, path)
     per_file = lines.groupBy("file").agg(F.max("seq").alias("high"), F.count_distinct("seq").alias("n"))
     total = per_file.agg(F.sum("n").alias("n"), F.bool_and(F.col("high") == F.col("n")).alias("gap_free"))
-    return lines.select("line", F.lit(1).alias("_one")).join(total.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    return lines.select("line", total.select("gap_free").scalar().alias("gap_free"), total.select("n").scalar().alias("n"))
 
 
 CURL = """concat(CASE WHEN page_id % 2 = 0 THEN concat('name=Page ', page_id, '\n') ELSE '' END, CASE WHEN page_id % 3 = 0 THEN 'expected_json_key=status\n' ELSE '' END,
