@@ -163,12 +163,17 @@ def extraction_status(urls: DataFrame, snapshots: DataFrame, artifacts: DataFram
     """
     if method not in ("auto", "langextract", "regexp"):
         raise ValueError(f"unknown method {method!r}")
-    present = snapshots.select("url_hash").distinct().withColumn("_snap", F.lit(True))
     kept = artifacts if method == "auto" else artifacts.filter(F.col("method") == method)
-    extracted = kept.select("url_hash").distinct().withColumn("_art", F.lit(True))
-    joined = lookup(lookup(urls, present, "url_hash"), extracted, "url_hash")
-    status = F.when(F.col("_snap").isNull(), "no_snapshot").when(F.col("_art") & F.lit(not force), "already_extracted").otherwise("ready")
-    return joined.withColumn("status", status).drop("_snap", "_art")
+    stages = snapshots.select("url_hash", F.lit(1).alias("_stage")).unionByName(kept.select("url_hash", F.lit(2).alias("_stage")))
+    state = stages.groupBy("url_hash").agg(
+        F.bool_or(F.col("_stage") == 1).alias("_snap"), F.bool_or(F.col("_stage") == 2).alias("_art")
+    )
+    status = (
+        F.when(~F.coalesce("_snap", F.lit(False)), "no_snapshot")
+        .when(F.coalesce("_art", F.lit(False)) & F.lit(not force), "already_extracted")
+        .otherwise("ready")
+    )
+    return lookup(urls, state, "url_hash").withColumn("status", status).drop("_snap", "_art")
 
 
 def top_n(df: DataFrame, by: str | Sequence[str], order: Sequence[str], n: int, rank: str = "rank") -> DataFrame:

@@ -312,12 +312,19 @@ def combine_extracted(journals: DataFrame, snapshots: DataFrame, extracts: DataF
     ``journals`` comes from :func:`journal_urls`; the logs have ``hash`` and
     ``_seq``; ``artifacts`` comes from :func:`load_artifacts`.
     """
-    snap = latest(snapshots.select(F.col("hash").alias("url_hash"), F.col("status").alias("_ss"), F.col("error_type").alias("_se"), "_seq"), "url_hash").drop("_seq")
-    ext = latest(extracts.select(F.col("hash").alias("url_hash"), F.col("status").alias("_es"), F.col("error_type").alias("_ee"), "_seq"), "url_hash").drop("_seq")
-    hashed = journals.withColumn("url_hash", sha1_hex("url"))
-    joined = hashed
-    for side in (artifacts.select("url_hash", "items"), snap, ext):
-        joined = lookup(joined, side, "url_hash", spread=spread)
+    def tries(log: DataFrame, tag: str) -> DataFrame:
+        return log.select(F.col("hash").alias("url_hash"), F.struct("status", "error_type").alias(f"_{tag}"), F.struct("_seq").alias(f"_{tag}_seq"))
+
+    # the stages of a URL come together before the many rows that ask for it,
+    # so that these rows meet a single join, which can split a frequent URL
+    both = tries(snapshots, "s").unionByName(tries(extracts, "e"), allowMissingColumns=True)
+    last = both.groupBy("url_hash").agg(F.max_by("_s", "_s_seq").alias("_s"), F.max_by("_e", "_e_seq").alias("_e"))
+    state = artifacts.select("url_hash", "items").join(last, "url_hash", "full_outer").select(
+        "url_hash",
+        "items",
+        *[F.col(f"_{tag}.{field}").alias(f"_{tag}{field[0]}") for tag in ("s", "e") for field in ("status", "error_type")],
+    )
+    joined = lookup(journals.withColumn("url_hash", sha1_hex("url")), state, "url_hash", spread=spread)
     status = stage_status(F.col("items"), F.col("_ss"), F.col("_se"), F.col("_es"), F.col("_ee"), F.col("url"))
     kept = [c for c in journals.columns if c not in ("name", "url")]
     rows = joined.withColumn("_status", status).select("*", F.posexplode_outer("items").alias("item_at", "_i"))
@@ -414,18 +421,25 @@ def combine_methods(
         if source:
             out = out.withColumn(shown, quoted(f"原始_{source}"))
 
-    def attach(out: DataFrame, log: DataFrame | None, on: bool, prefix: str, fields: Sequence[str], links: dict[str, str]) -> DataFrame:
-        shown = ["期刊名称", *fields, *links]
+    def answers(log: DataFrame | None, on: bool, prefix: str, fields: Sequence[str], links: dict[str, str]) -> DataFrame | None:
         if not on or log is None:
-            return out.withColumns({f"{prefix}_{c}": F.lit("") for c in shown})
-        answers = model_answers(log, fields, list(links.values()))
-        hits = answers.withColumn("期刊名称", F.col("_name")).withColumnsRenamed({v: k for k, v in links.items()})
-        hits = hits.select("_name", *[quoted(c).alias(f"{prefix}_{c}") for c in shown])
-        joined = lookup(out, hits, "_name", spread=spread)
-        return joined.withColumns({f"{prefix}_{c}": F.coalesce(quoted(f"{prefix}_{c}"), F.lit("")) for c in shown})
-
-    out = attach(out, scan_log, "scan" in methods, "AI精准", SCAN_FIELDS[1:4], {"来源链接1": "url1", "来源链接2": "url2"})
-    out = attach(out, search_log, "search" in methods, "AI核心", SEARCH_FIELDS[1:], {})
+            return None
+        found = model_answers(log, fields, list(links.values())).withColumn("期刊名称", F.col("_name"))
+        found = found.withColumnsRenamed({v: k for k, v in links.items()})
+        return found.select("_name", *[quoted(c).alias(f"{prefix}_{c}") for c in ("期刊名称", *fields, *links)])
+
+    scan_links = {"来源链接1": "url1", "来源链接2": "url2"}
+    groups = [
+        (answers(scan_log, "scan" in methods, "AI精准", SCAN_FIELDS[1:4], scan_links), [f"AI精准_{c}" for c in SCAN_FIELDS]),
+        (answers(search_log, "search" in methods, "AI核心", SEARCH_FIELDS[1:], {}), [f"AI核心_{c}" for c in SEARCH_FIELDS]),
+    ]
+    present = [found for found, _ in groups if found is not None]
+    if present:
+        # one row per name from both methods, then a single join
+        both = present[0] if len(present) == 1 else present[0].join(present[1], "_name", "full_outer")
+        out = lookup(out, both, "_name", spread=spread)
+    for found, shown in groups:
+        out = out.withColumns({c: F.lit("") if found is None else F.coalesce(quoted(c), F.lit("")) for c in shown})
     wide = [f"关键词_{k}" for k in [*KEYWORD_COLUMNS, OTHER]]
     if "extract" in methods and items is not None:
         out = out.join(keyword_pivot(items, row), row, "left")

@@ -146,14 +146,17 @@ def snapshot_report(t):
 
 # -- institutions per URL -----------------------------------------------------
 
-STAGE = """u AS (SELECT page_id, url, sha1(url) AS h, page_id % 9 AS m, length(url) % 5 AS l FROM pages),
-arts AS (SELECT *, CASE WHEN m = 0 THEN [] WHEN m = 1 THEN [{'name': 'Org ' || page_id, 'kw': 'press', 's': 'S'}, {'name': 'B' || l, 'kw': '', 's': ''}] WHEN m = 2 THEN [{'name': 'Rule ' || page_id, 'kw': 'Owner', 's': 'T'}] END AS items,
+# Stage of a page, by language, host and scheme of its URL.
+STAGE_OF = """CASE WHEN url LIKE '%/fr/%' THEN 0 WHEN url LIKE '%/de/%' THEN 1 WHEN url LIKE '%/es/%' THEN 2 WHEN url LIKE 'https:%.org/%' THEN 3 WHEN url LIKE '%.org/%' THEN 4
+ WHEN url LIKE 'https:%.net/%' THEN 5 WHEN url LIKE '%.net/%' THEN 6 ELSE 7 END"""
+STAGE = f"""u AS (SELECT page_id, url, sha1(url) AS h, {STAGE_OF} AS m, length(url) % 5 AS l FROM pages),
+arts AS (SELECT *, CASE WHEN m = 0 THEN [] WHEN m = 1 THEN [{{'name': 'Org ' || page_id, 'kw': 'press', 's': 'S'}}, {{'name': 'B' || l, 'kw': '', 's': ''}}] WHEN m = 2 THEN [{{'name': 'Rule ' || page_id, 'kw': 'Owner', 's': 'T'}}] END AS items,
   CASE WHEN m IN (1) THEN 'langextract' ELSE 'regexp' END AS how FROM u)"""
 
 
 def stage_tables(t):
     """Snapshot log, extract log and artefacts, by page number."""
-    u = t.pages.select("page_id", "url", sha1_hex("url").alias("hash"), (F.col("page_id") % 9).alias("m"), (F.length("url") % 5).alias("l"))
+    u = t.pages.select("page_id", "url", sha1_hex("url").alias("hash"), F.expr(STAGE_OF).alias("m"), (F.length("url") % 5).alias("l"))
     m = F.col("m")
     snaps = u.filter("m <> 3").select("hash", F.when(m == 4, "failed").otherwise("success").alias("status"), F.when(m == 4, "timeout").alias("error_type"), F.col("page_id").alias("_seq"))
     exts = u.filter("m NOT IN (3, 4, 5)").select(
@@ -186,16 +189,16 @@ def journals(t):
     """Pages as journals: the URL twice, some without a URL, some without a name."""
     sheet = t.pages.select(
         F.col("page_id").alias("_row"),
-        F.when(F.col("page_id") % 11 != 10, F.concat(F.lit("J"), F.col("page_id").cast("string"))).alias("刊名"),
-        F.when(F.col("page_id") % 7 == 0, "none").otherwise(F.col("url")).alias("a"),
-        F.when(F.col("page_id") % 7 != 0, F.col("url")).alias("b"),
+        F.when(~F.col("url").endswith("#top"), F.concat(F.lit("J"), F.col("page_id").cast("string"))).alias("刊名"),
+        F.when(F.col("url").endswith(".html"), "none").otherwise(F.col("url")).alias("a"),
+        F.when(~F.col("url").endswith(".html"), F.col("url")).alias("b"),
     )
     return reports.journal_urls(sheet, "刊名", ["a", "b"])
 
 
-COMBINED = f"""WITH {STAGE}, rows AS (SELECT page_id AS _row, 'J' || page_id AS j, CASE WHEN page_id % 7 <> 0 THEN url END AS url FROM pages WHERE page_id % 11 <> 10),
+COMBINED = f"""WITH {STAGE}, rows AS (SELECT page_id AS _row, 'J' || page_id AS j, CASE WHEN url NOT LIKE '%.html' THEN url END AS url FROM pages WHERE url NOT LIKE '%#top'),
 c AS (SELECT _row, CASE WHEN rows.url IS NULL THEN NULL ELSE 0 END AS "at", j, coalesce(rows.url, '') AS url, h, m, how, items, CASE WHEN rows.url IS NULL THEN '无URL' WHEN m = 0 THEN '无匹配' WHEN m = 3 THEN '待快照' WHEN m = 4 THEN '快照失败 (timeout)'
-   WHEN m = 5 THEN '待提取' WHEN m = 6 THEN '提取失败 (api_error)' WHEN m > 6 THEN '数据缺失' END AS status FROM rows LEFT JOIN arts ON rows.url = arts.url),
+   WHEN m = 5 THEN '待提取' WHEN m = 6 THEN '提取失败 (api_error)' WHEN m = 7 THEN '数据缺失' END AS status FROM rows LEFT JOIN arts ON rows.url = arts.url),
 f AS (SELECT _row, "at", NULL::INTEGER AS item_at, j, url, status AS org, '' AS kw, '' AS s, '' AS how, coalesce(h, '') AS h FROM c WHERE status IS NOT NULL
  UNION ALL SELECT _row, "at", CAST(i AS INTEGER), j, url, items[i + 1].name, items[i + 1].kw, items[i + 1].s, how, h FROM c, unnest(range(2)) AS x(i) WHERE status IS NULL AND i < len(items))"""
 

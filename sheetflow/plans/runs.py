@@ -319,16 +319,16 @@ def line_files(t):
     return lines.select("line", total.select("gap_free").scalar().alias("gap_free"), total.select("n").scalar().alias("n"))
 
 
-CURL = """concat(CASE WHEN page_id % 2 = 0 THEN concat('name=Page ', page_id, '\n') ELSE '' END, CASE WHEN page_id % 3 = 0 THEN 'expected_json_key=status\n' ELSE '' END,
- 'curl ''', url, ''' \\\\\n  -H ''accept: text/html'' \\\\\n  -H ''Cookie: x=1'' \\\\\n  -b ''sid=', page_id, '; t=a=b; keep=1''', CASE WHEN page_id % 5 = 0 THEN ' \\\\\n  --data-raw ''q=1''' ELSE '' END)"""
+CURL = """concat(CASE WHEN url LIKE 'https:%' THEN concat('name=Page ', page_id, '\n') ELSE '' END, CASE WHEN url LIKE '%/en/%' THEN 'expected_json_key=status\n' ELSE '' END,
+ 'curl ''', url, ''' \\\\\n  -H ''accept: text/html'' \\\\\n  -H ''Cookie: x=1'' \\\\\n  -b ''sid=', page_id, '; t=a=b; keep=1''', CASE WHEN url LIKE '%.com/%' THEN ' \\\\\n  --data-raw ''q=1''' ELSE '' END)"""
 
 
 @query(
-    """SELECT CASE WHEN page_id % 2 = 0 THEN 'Page ' || page_id ELSE 'Command for ' || url[1:50] || '...' END AS name,
- CASE WHEN page_id % 3 = 0 THEN 'status' END AS expected_json_key, url, CASE WHEN page_id % 5 = 0 THEN 'POST' ELSE 'GET' END AS method,
- 'text/html' AS accept, CAST(page_id AS VARCHAR) AS sid, 'a=b' AS t, CASE WHEN page_id % 5 = 0 THEN 'q=1' END AS data,
+    """SELECT CASE WHEN url LIKE 'https:%' THEN 'Page ' || page_id ELSE 'Command for ' || url[1:50] || '...' END AS name,
+ CASE WHEN url LIKE '%/en/%' THEN 'status' END AS expected_json_key, url, CASE WHEN url LIKE '%.com/%' THEN 'POST' ELSE 'GET' END AS method,
+ 'text/html' AS accept, CAST(page_id AS VARCHAR) AS sid, 'a=b' AS t, CASE WHEN url LIKE '%.com/%' THEN 'q=1' END AS data,
  'curl ''' || url || ''' \\' || chr(10) || '  -H ''accept: text/html'' \\' || chr(10) || '  -b ''sid=' || page_id || '; keep=1''' ||
-   CASE WHEN page_id % 5 = 0 THEN ' \\' || chr(10) || '  --data-raw ''q=1''' ELSE '' END AS smaller
+   CASE WHEN url LIKE '%.com/%' THEN ' \\' || chr(10) || '  --data-raw ''q=1''' ELSE '' END AS smaller
 FROM pages"""
 )
 def curl_files(t):

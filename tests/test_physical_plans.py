@@ -34,12 +34,15 @@ def test_top_n_is_cut_before_the_shuffle(spark):
 
 def test_columns_are_pruned(spark):
     text = plan(entry.queries()["pending_success"](spark, DATA))
-    assert "c_acctbal" not in text and "ReadSchema: struct<c_custkey:bigint>" in text
+    assert "FileScan parquet [c_custkey" in text and "c_acctbal" not in text and "c_name" not in text
 
 
 def test_only_the_old_keys_are_read_for_added_rows(spark):
     text = plan(entry.queries()["diff_added"](spark, DATA))
-    assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp>" in text and "GreaterThanOrEqual(o_orderdate" in text
+    scans = [line for line in text.split("\n") if "FileScan" in line]
+    assert len(scans) == 2 and "LeftAnti" in text
+    assert "o_totalprice" in scans[0] and "FileScan parquet [o_orderkey" in scans[1] and "o_totalprice" not in scans[1]
+    assert all("DataFilters: [isnotnull(o_orderdate" in s for s in scans)
 
 
 def test_null_safe_keys_stay_an_equi_join(spark):
