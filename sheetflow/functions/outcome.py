@@ -53,6 +53,12 @@ def classify_llm_error(message: Column | str) -> Column:
     return _ladder(F, F.lower(as_column(message)), MODEL_ERRORS).otherwise("unknown_error")
 
 
+def model_error_kind(failure: Exception) -> str:
+    """The same classes for an exception at hand, for deciding on another attempt."""
+    message = str(failure).lower()
+    return next((kind for kind, words in MODEL_ERRORS.items() if any(w in message for w in words)), "unknown_error")
+
+
 def classify_fetch_error(message: Column | str, timed_out: Column | None = None) -> Column:
     """``struct<error_type, error_message>``; the message is cut for the log."""
     text = as_column(message)

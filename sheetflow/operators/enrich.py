@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from sheetflow.functions.jsontext import json_from_text, json_items, valid_items
-from sheetflow.functions.outcome import classify_llm_error, token_cost
+from sheetflow.functions.outcome import classify_llm_error, model_error_kind, token_cost
 from sheetflow.functions.strings import filled
 from sheetflow.operators.keyed import first_seen, latest, lookup, pending, quoted
 from sheetflow.sources.logs import append_log, read_log
@@ -34,7 +34,8 @@ class RetryPolicy:
 
     Waits ``delay`` times the attempt number, at most ``cap`` seconds. With
     ``retry_on`` only failures of those kinds are tried again. ``keep`` joins
-    the messages of ``all`` attempts, or gives the ``last`` one.
+    the messages of ``all`` attempts, or gives the ``last`` one. ``classify``
+    names the kind of an exception that does not name its own.
     """
 
     times: int = 1
@@ -42,6 +43,11 @@ class RetryPolicy:
     cap: float | None = 5.0
     retry_on: tuple[str, ...] | None = None
     keep: str = "last"
+    classify: Callable[[Exception], str] | None = None
+
+    def kind(self, failure: Exception) -> str:
+        own = getattr(failure, "kind", None)
+        return own or (self.classify(failure) if self.classify else "unknown")
 
     def wait(self, attempt: int) -> float:
         pause = self.delay * attempt
@@ -54,7 +60,7 @@ class RetryPolicy:
             try:
                 return call(row), None, None, attempt
             except Exception as failure:  # a failed call is a result, not a failed task
-                kind = getattr(failure, "kind", "unknown")
+                kind = self.kind(failure)
                 messages.append(str(failure))
             if attempt > self.times or (self.retry_on is not None and kind not in self.retry_on):
                 break
@@ -66,7 +72,9 @@ class RetryPolicy:
 OUTCOME = "status string, error_type string, error_message string, attempts int, duration_ms long, called_at string"
 
 # Kinds of model failures that are tried again.
-MODEL_RETRY = RetryPolicy(times=2, delay=5.0, cap=None, retry_on=("rate_limit", "timeout", "network_error"))
+MODEL_RETRY = RetryPolicy(
+    times=2, delay=5.0, cap=None, retry_on=("rate_limit", "timeout", "network_error"), classify=model_error_kind
+)
 
 
 def new_tasks(
@@ -195,24 +203,27 @@ def model_outcome(
     price_in: float = 2.75,
     price_out: float = 22.0,
     validator: Callable[[Column], Column] | None = None,
+    kind: str | None = None,
 ) -> DataFrame:
     """Judge model calls from their reply or error text.
 
     Adds status, items, results_count, error_type, error_message, total_tokens
     and cost. A call error is classified; a reply without JSON is
     json_parse_error; one without a complete item is validation_error. A
-    failed call reports no usage.
+    failed call reports no usage. ``kind`` names a column that already has the
+    class of a call error.
     """
     failure = quoted(error)
     usage = [F.when(failure.isNull(), F.lit(None).cast("long") if c is None else quoted(c)) for c in (tokens_in, tokens_out)]
     read = df.withColumn("_found", F.when(failure.isNull(), json_from_text(quoted(reply))))
     read = read.withColumn("_items", valid_items(json_items("_found"), list(fields), validator))
-    kind = (
-        F.when(failure.isNotNull(), classify_llm_error(failure))
+    named = classify_llm_error(failure) if kind is None else quoted(kind)
+    error_type = (
+        F.when(failure.isNotNull(), named)
         .when(F.col("_found").isNull(), "json_parse_error")
         .when(F.coalesce(F.size("_items"), F.lit(0)) <= 0, "validation_error")
     )
-    judged = read.withColumn("error_type", kind)
+    judged = read.withColumn("error_type", error_type)
     good = F.col("error_type").isNull()
     message = (
         F.when(failure.isNotNull(), failure)
@@ -229,3 +240,41 @@ def model_outcome(
             "cost": token_cost(*usage, price_in, price_out),
         }
     ).drop("_found", "_items")
+
+
+def ask_model(
+    df: DataFrame,
+    prompt: Column,
+    call: Callable[[str], dict],
+    fields: Sequence[str],
+    price_in: float = 2.75,
+    price_out: float = 22.0,
+    problem: Column | None = None,
+    retry: RetryPolicy = MODEL_RETRY,
+    partitions: int | None = None,
+    validator: Callable[[Column], Column] | None = None,
+) -> DataFrame:
+    """Prompt each row, call, and judge the replies: rows of a model log.
+
+    ``call`` takes the prompt and gives ``reply`` and, where known,
+    ``prompt_tokens`` and ``completion_tokens``. A row with a ``problem`` fails
+    as invalid_input without a call. The rows should be distinct and not yet
+    logged (:func:`new_tasks`); append the result to the log.
+    """
+    none = F.lit(None).cast("string")
+    tasks = df.withColumns({"_prompt": prompt, "_problem": none if problem is None else problem})
+
+    def ask(row: dict) -> dict:
+        if row["_problem"]:
+            raise CallFailed(row["_problem"], "invalid_input")
+        return call(row["_prompt"])
+
+    called = call_each(tasks, ask, "reply string, prompt_tokens long, completion_tokens long", retry, partitions)
+    failed = called.withColumn("_failure", F.when(F.col("status") == "failed", F.col("error_message")))
+    named = failed.withColumnRenamed("error_type", "_kind").drop("status", "error_message", "attempts")
+    judged = model_outcome(
+        named, "reply", "_failure", fields, "prompt_tokens", "completion_tokens", price_in, price_out, validator, "_kind"
+    )
+    return judged.withColumns(
+        {"results_json": F.to_json("items"), "elapsed_time": F.col("duration_ms") / 1000}
+    ).drop("_prompt", "_problem", "_failure", "_kind", "reply", "items", "duration_ms")

@@ -380,6 +380,20 @@ def keyword_pivot(items: DataFrame, row: str = "_row", part_size: int = 100_000)
     return one.select(row, "part", *wide)
 
 
+def sheet_items(df: DataFrame, artifacts: DataFrame, row: str = "_row", spread: int = 1) -> DataFrame:
+    """(row, keyword, name, at): institutions behind the sheet's URL columns.
+
+    Takes the introduction, home page and host columns that the sheet has, in
+    that order. ``artifacts`` comes from :func:`load_artifacts`.
+    """
+    columns = [c for c in (resolve_column(df, ALIASES[k]) for k in ("intro", "home", "host")) if c]
+    long = unpivot_urls(df, columns, [row])
+    long = long.select(row, sha1_hex("url").alias("url_hash"), url_order(columns).alias("_url_at"))
+    found = lookup(long, artifacts.select("url_hash", "items"), "url_hash", "inner", spread)
+    exploded = found.select(row, "_url_at", F.posexplode("items").alias("_item_at", "_i"))
+    return exploded.select(row, F.col("_i.matched_keyword").alias("keyword"), F.col("_i.name").alias("name"), F.struct("_url_at", "_item_at").alias("at"))
+
+
 def _field_values(items: Column, field: str) -> Column:
     """Texts of one field; a list value gives each of its entries."""
     values = F.transform(items, lambda x: F.coalesce(F.try_element_at(x, F.lit(field)), F.lit("")))

@@ -260,6 +260,23 @@ def keyword_columns(t):
     return reports.keyword_pivot(supplier_items(t))
 
 
+@query(
+    f"""WITH {STAGE}, s AS (SELECT page_id AS _row, url AS a, CASE WHEN url LIKE 'https:%' THEN replace(url, 'https:', 'http:') END AS b FROM pages),
+l AS (SELECT _row, 1 AS p, a AS url FROM s UNION ALL SELECT _row, 2, a FROM s WHERE _row > 9 UNION ALL SELECT _row, 3, b FROM s)
+SELECT _row, items[i + 1].kw AS keyword, items[i + 1].name AS name, p AS url_at, CAST(i AS INTEGER) AS item_at FROM l JOIN arts USING (url), unnest(range(2)) AS x(i) WHERE i < len(items)"""
+)
+def sheet_institutions(t):
+    """Institutions found behind the three URL columns of a sheet."""
+    sheet = t.pages.select(
+        F.col("page_id").alias("_row"),
+        F.concat(F.lit(" "), "url").alias("简介链接"),
+        F.when(F.col("page_id") > 9, F.col("url")).alias("期刊主页链接"),
+        F.when(F.col("url").startswith("https:"), F.replace("url", F.lit("https:"), F.lit("http:"))).alias("主办链接"),
+    )
+    items = reports.sheet_items(sheet, reports.load_artifacts(stage_tables(t)[2]))
+    return items.select("_row", "keyword", "name", F.col("at._url_at").cast("int").alias("url_at"), F.col("at._item_at").alias("item_at"))
+
+
 ANSWERS = """'[{"期刊名称":"x","主办单位":["U' || k || '"," U' || k || ' ","V"],"关键句子":"s","关联单位":"R' || k || '","信息位置":null}, {"主办单位":"V","关键句子":"s","关联单位":"","来源链接":"http://' || k || '"}]'"""
 
 

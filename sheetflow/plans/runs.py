@@ -1,12 +1,26 @@
 """Run logs: what is pending, what came last, resuming, counting."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from sheetflow.functions.curl import parse_block, parse_curl, render_curl
 from sheetflow.functions.institutions import extract_auto
 from sheetflow.functions.strings import sha1_hex
 from sheetflow.operators import reports
-from sheetflow.operators.enrich import CallFailed, RetryPolicy, attach, call_each, enrich, model_outcome, new_tasks, prompt_text, scan_input
+from sheetflow.operators.enrich import (
+    MODEL_RETRY,
+    CallFailed,
+    RetryPolicy,
+    ask_model,
+    attach,
+    call_each,
+    enrich,
+    model_outcome,
+    new_tasks,
+    prompt_text,
+    scan_input,
+)
 from sheetflow.operators.keyed import extraction_status, latest, overlay, pending, rows_done, successful
 from sheetflow.plans.registry import query
 from sheetflow.plans.texts import REPLY, by_type, sql_by_type
@@ -264,6 +278,47 @@ def scan_prompts(t):
     return p.select("page_id", text.alias("prompt"), F.col("s.problem").alias("problem"))
 
 
+def scan_reply(prompt):
+    """Stands for a model: prose around JSON, sometimes an error, sometimes nothing of use."""
+    if ".net/" in prompt:
+        raise RuntimeError("429 Too Many Requests")
+    if "/fr/" in prompt:
+        return {"reply": "I found nothing.", "prompt_tokens": len(prompt)}
+    if "/es/" in prompt:
+        return {"reply": '{"name": "x"}', "prompt_tokens": len(prompt), "completion_tokens": 5}
+    return {"reply": f'Sure: [{{"name": "N", "unit": "{prompt[5:20]}"}}, {{"name": "no unit"}}] ok', "prompt_tokens": len(prompt), "completion_tokens": 10}
+
+
+@query(
+    """WITH p AS (SELECT page_id, url, 'Scan ' || CASE WHEN url LIKE 'https:%' THEN url ELSE '' END AS prompt FROM pages),
+k AS (SELECT *, CASE WHEN url NOT LIKE 'https:%' THEN 'invalid_input' WHEN prompt LIKE '%.net/%' THEN 'rate_limit' WHEN prompt LIKE '%/fr/%' THEN 'json_parse_error'
+  WHEN prompt LIKE '%/es/%' THEN 'validation_error' END AS kind FROM p)
+SELECT page_id, CASE WHEN kind IS NULL THEN 'success' ELSE 'failed' END AS status, CASE WHEN kind IS NULL THEN 1 ELSE 0 END AS results_count, kind AS error_type,
+ CASE kind WHEN 'invalid_input' THEN '两个 URL 均为空' WHEN 'rate_limit' THEN '429 Too Many Requests' WHEN 'json_parse_error' THEN 'Failed to extract JSON from response'
+   WHEN 'validation_error' THEN 'No valid result items found' END AS error_message,
+ CASE WHEN kind IS NULL OR kind IN ('json_parse_error', 'validation_error') THEN length(prompt) END AS prompt_tokens,
+ CASE WHEN kind IS NULL THEN length(prompt) + 10 WHEN kind = 'validation_error' THEN length(prompt) + 5 END AS total_tokens,
+ CASE WHEN kind IS NULL THEN length(prompt) / 1000000.0::DOUBLE * 1.0::DOUBLE + 10 / 1000000.0::DOUBLE * 8.0::DOUBLE
+   WHEN kind = 'validation_error' THEN length(prompt) / 1000000.0::DOUBLE * 1.0::DOUBLE + 5 / 1000000.0::DOUBLE * 8.0::DOUBLE END AS cost,
+ CASE WHEN kind IS NULL THEN '[{"name":"N","unit":"' || prompt[6:20] || '"}]' END AS results_json FROM k"""
+)
+def model_scan(t):
+    """Prompts, calls and judged replies of a scan of all pages."""
+    pages = t.pages.select("page_id", F.when(F.col("url").startswith("https:"), F.col("url")).otherwise("").alias("url1"))
+    asked = ask_model(
+        pages,
+        F.concat(F.lit("Scan "), "url1"),
+        scan_reply,
+        ["name", "unit"],
+        1.0,
+        8.0,
+        problem=scan_input("url1", F.lit(""))["problem"],
+        retry=replace(MODEL_RETRY, delay=0.0),
+        partitions=8,
+    )
+    return asked.select("page_id", "status", "results_count", "error_type", "error_message", "prompt_tokens", "total_tokens", "cost", "results_json")
+
+
 @query(
     """SELECT event_id, CASE WHEN event_type = 'click' THEN 'langextract' ELSE 'regexp' END AS method,
  CASE WHEN event_type = 'click' THEN 'model ' || user_id ELSE 'rules ' || user_id END AS name FROM events"""

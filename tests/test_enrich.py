@@ -1,10 +1,11 @@
 import os
+from dataclasses import replace
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from sheetflow.operators.enrich import CallFailed, RetryPolicy, attach, call_each, enrich, new_tasks, scan_input
+from sheetflow.operators.enrich import MODEL_RETRY, CallFailed, RetryPolicy, ask_model, attach, call_each, enrich, new_tasks, prompt_text, scan_input
 from sheetflow.session import checkpoint_root, settle, work_dir
 from sheetflow.sources.logs import read_log
 from sheetflow.streaming.watch import watch
@@ -99,3 +100,33 @@ def test_shared_folder(spark):
     assert checkpoint_root(spark) == root and work_dir(spark, "x").startswith(root + "/x-")
     settled = settle(spark.range(5).withColumn("u", F.uuid()))
     assert settled.collect() == settled.collect()
+
+
+def test_model_stage(spark):
+    def call(prompt):
+        if "slow" in prompt:
+            raise RuntimeError("Request timed out")
+        if "key" in prompt:
+            raise RuntimeError("401")
+        return {"reply": '[{"a": "%s"}]' % prompt, "prompt_tokens": 1_000_000, "completion_tokens": 0}
+
+    df = spark.createDataFrame([("x", None), ("slow", None), ("key", None), ("none", "blank")], "name string, problem string")
+    out = ask_model(df, prompt_text("ask {name} {other}", {"name": F.col("name")}), call, ["a"], problem=F.col("problem"), retry=replace(MODEL_RETRY, delay=0.0))
+    got = {r.name: (r.status, r.error_type, r.results_json, r.cost) for r in out.collect()}
+    assert got == {
+        "x": ("success", None, '[{"a":"ask x {other}"}]', 2.75),
+        "slow": ("failed", "timeout", None, None),
+        "key": ("failed", "auth_error", None, None),
+        "none": ("failed", "invalid_input", None, None),
+    }
+
+
+def test_model_retries():
+    made = []
+
+    def flaky(row):
+        made.append(row)
+        raise RuntimeError("Rate limit" if len(made) < 3 else "401")
+
+    policy = replace(MODEL_RETRY, times=5, delay=0.0)
+    assert policy.run(flaky, {})[1:] == ("401", "auth_error", 3) and len(made) == 3

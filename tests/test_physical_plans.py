@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 
 # Queries that hand work to Python: page texts, workbooks, supplied calls.
 PYTHON = {
-    "page_text", "page_paragraphs", "sentences", "institution_names", "institutions", "page_institutions", "xlsx_cells", "enrich_resume",
+    "page_text", "page_paragraphs", "sentences", "institution_names", "institutions", "page_institutions", "xlsx_cells", "enrich_resume", "model_scan",
 }
 # Queries that write and read files while they are built.
 FILES = {"enrich_log", "watch_folder", "log_files", "line_files", "curl_files"}
