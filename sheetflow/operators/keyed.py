@@ -50,14 +50,21 @@ def lookup(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str
     keys = names(on)
     wanted = [c for c in right.columns if c not in keys]
     side = right.select(*[quoted(k).alias(f"_key{i}") for i, k in enumerate(keys)], *[quoted(c) for c in wanted])
+    ask = [F.coalesce(quoted(k), _surrogate(left, k)) for k in keys]
     match = F.lit(True)
     for i, k in enumerate(keys):
-        match = match & (F.coalesce(quoted(k), _surrogate(left, k)) == F.col(f"_key{i}")) & quoted(k).isNotNull()
+        match = match & (ask[i] == F.col(f"_key{i}")) & quoted(k).isNotNull()
     if spread > 1:
-        left = left.withColumn("_salt", F.pmod(_row_hash(left), F.lit(spread)))
-        side = side.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long"))))
-        match = match & (F.col("_salt") == F.col("_copy"))
-    return left.join(side, match, how).drop("_salt", "_copy", *[f"_key{i}" for i in range(len(keys))])
+        salt = F.pmod(_row_hash(left), F.lit(spread))
+        copy = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long")))
+    else:
+        # Always 0. As a further join key it gives the right side a shuffle of
+        # its own, also where it was grouped by the key: only a join straight
+        # on two shuffles can split a hot key.
+        salt = F.pmod(F.xxhash64(*ask), F.lit(1))
+        copy = F.pmod(F.xxhash64(*[F.col(f"_key{i}") for i in range(len(keys))]), F.lit(1))
+    joined = left.withColumn("_salt", salt).join(side.withColumn("_copy", copy), match & (F.col("_salt") == F.col("_copy")), how)
+    return joined.drop("_salt", "_copy", *[f"_key{i}" for i in range(len(keys))])
 
 
 def _winner(df: DataFrame, keys: list[str], pick, rank: Column) -> DataFrame:
