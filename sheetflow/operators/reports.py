@@ -402,8 +402,8 @@ def _field_values(items: Column, field: str) -> Column:
 
 def model_answers(log: DataFrame, fields: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
     """(name, fields…): merged field texts of the latest readable success per name."""
-    readable = successful(log, payload="results_json").filter(is_json("results_json"))
-    last = latest(readable.select("journal_name", "results_json", *extra, "_seq"), "journal_name")
+    good = successful(log).select("journal_name", "results_json", *extra, "_seq", F.coalesce(is_json("results_json"), F.lit(False)).alias("_reads"))
+    last = latest(good, "journal_name", prefer=F.col("_reads")).filter("_reads")
     items = last.withColumn("_items", json_items("results_json")).filter(F.size("_items") > 0)
     return items.select(
         F.col("journal_name").alias("_name"),
@@ -429,11 +429,13 @@ def combine_methods(
     methods = method_set(include)
     sheet = [c for c in df.columns if c != row]
     name = resolve_column(df, ALIASES["name"], required=True)
-    out = df.select(row, cell(quoted(name)).alias("_name"), *[cell(quoted(c)).alias(f"原始_{c}") for c in sheet])
+    original = [f"原始_{c}" for c in sheet]
+    out = df.select(row, cell(quoted(name)).alias("_name"), *[cell(quoted(c)).alias(o) for c, o in zip(sheet, original)])
+    manual = []
     for key, shown in (("manual_unit", "人工_人工判断单位"), ("manual_sentence", "人工_人工判断关键语句")):
         source = resolve_column(df, ALIASES[key])
         if source:
-            out = out.withColumn(shown, quoted(f"原始_{source}"))
+            manual.append(quoted(f"原始_{source}").alias(shown))
 
     def answers(log: DataFrame | None, on: bool, prefix: str, fields: Sequence[str], links: dict[str, str]) -> DataFrame | None:
         if not on or log is None:
@@ -452,15 +454,17 @@ def combine_methods(
         # one row per name from both methods, then a single join
         both = present[0] if len(present) == 1 else present[0].join(present[1], "_name", "full_outer")
         out = lookup(out, both, "_name", spread=spread)
-    for found, shown in groups:
-        out = out.withColumns({c: F.lit("") if found is None else F.coalesce(quoted(c), F.lit("")) for c in shown})
-    wide = [f"关键词_{k}" for k in [*KEYWORD_COLUMNS, OTHER]]
-    if "extract" in methods and items is not None:
-        out = out.join(keyword_pivot(items, row), row, "left")
-        out = out.withColumns({c: F.coalesce(quoted(c), F.lit("")) for c in wide}).withColumn("part", F.coalesce("part", F.lit(0)))
-    else:
-        out = out.withColumns({c: F.lit("") for c in wide}).withColumn("part", F.lit(0))
-    return out.drop("_name")
+    keywords = [f"关键词_{k}" for k in [*KEYWORD_COLUMNS, OTHER]]
+    part = F.lit(0)
+    with_items = "extract" in methods and items is not None
+    if with_items:
+        out, part = out.join(keyword_pivot(items, row), row, "left"), F.coalesce("part", F.lit(0))
+
+    def shown(columns: Sequence[str], there: bool) -> list[Column]:
+        return [(F.coalesce(quoted(c), F.lit("")) if there else F.lit("")).alias(c) for c in columns]
+
+    answered = [c for found, columns in groups for c in shown(columns, found is not None)]
+    return out.select(row, *[quoted(c) for c in original], *manual, *answered, *shown(keywords, with_items), part.alias("part"))
 
 
 def report_rows(names_df: DataFrame, results: DataFrame, kind: str = "search", row: str = "_row", spread: int = 1) -> DataFrame:
@@ -553,7 +557,7 @@ def url_provenance(df: DataFrame, part_size: int = 100_000) -> DataFrame:
     }
     entries = [F.struct(F.lit(k).alias("kind"), number.alias("number"), text.alias("text")) for k, (number, text) in kinds.items()]
     long = df.select("url", F.inline(F.array(*entries))).filter("text IS NOT NULL")
-    cells = joined_cells(long, ["url", "kind"], "text", ["number", "text"], "\n", out="lines", part_size=part_size)
+    cells = joined_cells(long, ["url", "kind"], "text", ["number", "text"], "\n", out="lines", tied=True, part_size=part_size)
     texts = F.map_from_entries(F.collect_list(F.struct("kind", "lines")))
     one = cells.groupBy("url", "part").agg(texts.alias("_texts"))
     return one.select("url", "part", *[F.try_element_at("_texts", F.lit(k)).alias(k) for k in kinds])

@@ -60,3 +60,20 @@ def read_blocks(spark: SparkSession, path: str, start: str = BLOCK_START, end: s
         .filter(F.trim("block") != "")
         .select("file", F.col("_at").alias("seq"), "block")
     )
+
+
+def read_hashed(spark: SparkSession, root: str, pattern: str) -> DataFrame:
+    """(url_hash, name, content): small files below hash-sharded folders.
+
+    The two folder levels and the rest of the path together give the digest.
+    """
+    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
+    path = F.col("_metadata.file_path")
+    digest = F.concat(*[F.regexp_extract(path, "([0-9a-f]{2})/([0-9a-f]{2})/([0-9a-f]{36})/[^/]*$", i) for i in (1, 2, 3)])
+    return files.select(digest.alias("url_hash"), F.regexp_extract(path, "([^/]*)$", 1).alias("name"), F.col("value").alias("content"))
+
+
+def read_artifacts(spark: SparkSession, root: str) -> DataFrame:
+    """(url_hash, method, content) of the extraction results kept as one JSON file per URL and method."""
+    found = read_hashed(spark, root, "host-*.json")
+    return found.select("url_hash", F.regexp_extract("name", "^host-(.*)\\.json$", 1).alias("method"), "content")

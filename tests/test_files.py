@@ -120,3 +120,22 @@ def test_workbook_types(spark, tmp_path):
     got = rows(workbook.read_xlsx_cells(spark, str(tmp_path), "b"), "row", "col", "value")
     assert got == [(2, 2, "one"), (2, 4, "2024-01-01 12:00:00"), (2, 5, "True"), (5, 27, "two"), (5, 28, "1000"), (5, 29, "2024-01-01 00:00:00"), (5, 30, "0.1")]
     assert workbook.read_xlsx_cells(spark, str(tmp_path)).count() == 0
+
+
+def test_artifacts_on_disk(spark, tmp_path):
+    import hashlib
+
+    from sheetflow.operators.reports import load_artifacts
+
+    for url, method, text in (("http://a", "langextract", "{broken"), ("http://a", "regexp", '{"host_institutions": [\n{"name": "R"}]}'), ("http://b", "regexp", '{"host_institutions": []}')):
+        h = hashlib.sha1(url.encode()).hexdigest()
+        folder = tmp_path / h[:2] / h[2:4] / h[4:]
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"host-{method}.json").write_text(text)
+        (folder / "dom.html").write_text("<p>x</p>")
+    found = textfiles.read_artifacts(spark, str(tmp_path))
+    best = load_artifacts(found).select("url_hash", "method", "items")
+    got = {r.url_hash: (r.method, [i["name"] for i in r["items"]]) for r in best.collect()}
+    assert got == {hashlib.sha1(b"http://a").hexdigest(): ("regexp", ["R"]), hashlib.sha1(b"http://b").hexdigest(): ("regexp", [])}
+    pages = textfiles.read_hashed(spark, str(tmp_path), "dom.html")
+    assert rows(pages, "name", "content") == [("dom.html", "<p>x</p>")] * 2
