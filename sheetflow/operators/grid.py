@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from sheetflow.functions.strings import cell, col_index, filled
 from sheetflow.operators.keyed import quoted
 
-# The column limit of the workbook format bounds every header.
 GROUP = ["file", "sheet"]
 
+# Fixed value: the column limit of the workbook format, which bounds a header.
+MAX_COLUMNS = 16_384
+
 
 def _group(df: DataFrame) -> list[str]:
     return [c for c in GROUP if c in df.columns]
@@ -25,11 +27,11 @@ def header_names(cells: DataFrame, header_row: int = 1) -> dict[int, str]:
         .select("col", filled("value").alias("name"))
         .filter("name IS NOT NULL")
         .distinct()
-        .orderBy("col", "name")
+        .limit(MAX_COLUMNS + 1)  # one more can only mean two names for a column
         .collect()
     )
     found: dict[int, str] = {}
-    for r in rows:
+    for r in sorted(rows):
         if found.setdefault(r["col"], r["name"]) != r["name"]:
             raise ValueError(f"column {r['col']} has different headers: {found[r['col']]!r}, {r['name']!r}")
     return found

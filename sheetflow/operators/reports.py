@@ -508,12 +508,16 @@ def report_rows(names_df: DataFrame, results: DataFrame, kind: str = "search", r
 
 
 def flatten_lookup(df: DataFrame, text: str = "response") -> DataFrame:
-    """(…, name, user_id, outcome): one row per user found, or one marker row."""
+    """(…, name, user_id, outcome): one row per user found, or one marker row.
+
+    Entries of the user list that are no objects are passed over.
+    """
     body = quoted(text)
     kept = [c for c in df.columns if c != text]
     code = F.try_variant_get(F.try_parse_json(body), "$.code", "int")
     read = df.withColumn("_ok", is_json_object(body) & F.coalesce(code == 0, F.lit(False)))
-    read = read.withColumn("_users", F.when(F.col("_ok"), F.from_json(F.get_json_object(body, "$.data.users"), "array<map<string,string>>")))
+    listed = F.filter(F.from_json(F.get_json_object(body, "$.data.users"), "array<string>"), lambda u: u.startswith("{"))
+    read = read.withColumn("_users", F.when(F.col("_ok"), F.transform(listed, lambda u: F.from_json(u, "map<string,string>"))))
     users = F.when(F.size("_users") > 0, F.col("_users"))
     outcome = F.when(~F.col("_ok"), "fail").when(users.isNull(), "no_match").otherwise("ok")
     rows = read.select(*[quoted(c) for c in kept], outcome.alias("outcome"), F.posexplode_outer(users).alias("_at", "_u"))
@@ -552,7 +556,7 @@ def url_provenance(df: DataFrame, part_size: int = 100_000) -> DataFrame:
     """
     kinds = {
         "sheets": (F.lit(0).cast("long"), F.col("sheet")),
-        "rows": (F.col("row").cast("long"), F.col("row").cast("string")),
+        "rows": (F.coalesce(F.col("row").cast("string").try_cast("long"), F.lit(0).cast("long")), F.col("row").cast("string")),
         "keywords": (F.lit(0).cast("long"), F.col("keywords")),
     }
     entries = [F.struct(F.lit(k).alias("kind"), number.alias("number"), text.alias("text")) for k, (number, text) in kinds.items()]

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import io
+import os
 import re
+import uuid
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime, timedelta
@@ -216,3 +218,24 @@ def to_workbooks(df: DataFrame, row: str, rows_per_file: int = 100_000, sheet: s
 
     book = F.floor(F.col(row) / rows_per_file).cast("long")
     return df.withColumn("_book", book).groupBy("_book").applyInPandas(encode, "path string, content binary")
+
+
+def save_workbooks(books: DataFrame, folder: str) -> int:
+    """Write (path, content) workbooks into a folder; gives their number.
+
+    The tasks write, so the folder must be a mount that every executor has. A
+    file appears under its name only when it is complete.
+    """
+
+    def save(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        os.makedirs(folder, exist_ok=True)
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                target = os.path.join(folder, os.path.basename(path))
+                part = f"{target}.{uuid.uuid4().hex}.part"
+                with open(part, "wb") as out:
+                    out.write(content)
+                os.replace(part, target)
+            yield batch[["path"]]
+
+    return books.select("path", "content").mapInPandas(save, "path string").distinct().count()

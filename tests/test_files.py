@@ -139,3 +139,11 @@ def test_artifacts_on_disk(spark, tmp_path):
     assert got == {hashlib.sha1(b"http://a").hexdigest(): ("regexp", ["R"]), hashlib.sha1(b"http://b").hexdigest(): ("regexp", [])}
     pages = textfiles.read_hashed(spark, str(tmp_path), "dom.html")
     assert rows(pages, "name", "content") == [("dom.html", "<p>x</p>")] * 2
+
+
+def test_save_workbooks(spark, tmp_path):
+    df = spark.range(0, 250).selectExpr("id AS _row", "id * 2 AS twice", "concat('n', id) AS name")
+    folder = str(tmp_path / "books")
+    assert workbook.save_workbooks(workbook.to_workbooks(df, "_row", 100), folder) == 3
+    back = workbook.read_sheet(spark.read.format("binaryFile").load(folder))
+    assert rows(back, "twice", "name") == sorted(((str(2 * i), f"n{i}") for i in range(250)), key=repr)

@@ -146,11 +146,13 @@ def test_lookup_rows(spark):
         ("d", '{"code":9}'),
         ("e", "<html>"),
         ("f", None),
+        ("g", '{"code":0,"data":{"users":["x",{"name":"Z"},5]}}'),
+        ("h", '[{"code":0}]'),
     ]
     flat = flatten_lookup(spark.createDataFrame(data, "input string, response string"))
     got = sorted(tuple(r) for r in flat.select("input", "name", "user_id").collect())
-    assert got == [("a", "M", ""), ("a", "N", "1"), ("b", "【无匹配】", ""), ("c", "【无匹配】", ""), ("d", "【调用失败】", ""), ("e", "【调用失败】", ""), ("f", "【调用失败】", "")]
-    assert {r.outcome: r.n for r in lookup_stats(flat).collect()} == {"ok": 1, "no_match": 2, "fail": 3}
+    assert got == [("a", "M", ""), ("a", "N", "1"), ("b", "【无匹配】", ""), ("c", "【无匹配】", ""), ("d", "【调用失败】", ""), ("e", "【调用失败】", ""), ("f", "【调用失败】", ""), ("g", "Z", ""), ("h", "【调用失败】", "")]
+    assert {r.outcome: r.n for r in lookup_stats(flat).collect()} == {"ok": 2, "no_match": 2, "fail": 4}
 
 
 def test_url_check(spark):
