@@ -11,18 +11,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sheetflow.functions.strings import as_column, strip
+from sheetflow.functions.strings import as_column, let, strip
 
 # Flags: Unicode classes, and "\n" as the only line end.
 _U = "(?dU)"
 
-# Markup patterns, applied in this order.
+# Markup patterns, applied in this order, each with a text that
+# it cannot do without.
 MARKDOWN = [
-    (r"\[([^\]]+)\]\([^\)]+\)", "$1"),
-    (r"\*\*([^\*]+)\*\*", "$1"),
-    (r"\*([^\*]+)\*", "$1"),
-    (r"`([^`]+)`", "$1"),
-    (r"<[^>]+>", ""),
+    ("[", r"\[([^\]]+)\]\([^\)]+\)", "$1"),
+    ("**", r"\*\*([^\*]+)\*\*", "$1"),
+    ("*", r"\*([^\*]+)\*", "$1"),
+    ("`", r"`([^`]+)`", "$1"),
+    ("<", r"<[^>]+>", ""),
 ]
 
 # Elements that end a paragraph of a page.
@@ -65,9 +66,14 @@ SENTENCES = T.ArrayType(T.StructType().add("sentence", "string").add("pos", "int
 
 
 def clean_markdown(c: Column | str) -> Column:
+    """Text without markup; a pattern only runs over texts that have its mark."""
+
+    def without(mark: str, pattern: str, kept: str):
+        return lambda t: F.when(F.contains(t, F.lit(mark)), F.regexp_replace(t, pattern, kept)).otherwise(t)
+
     text = as_column(c)
-    for pattern, kept in MARKDOWN:
-        text = F.regexp_replace(text, pattern, kept)
+    for step in MARKDOWN:
+        text = let(text, without(*step))
     return text
 
 
