@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetflow.llm import decontaminate, language, packing, secret_scan, token_counts
+from sheetflow.llm import decontaminate, language, packing, pii, secret_scan, substring_dedup, suffix_dedup, token_counts, topk
 from sheetflow.llm.common import span_text, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,10 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+def _covered(starts: str, stops: str):
+    return F.aggregate(F.zip_with(starts, stops, lambda b, e: e - b), F.lit(0).cast("long"), lambda a, x: a + x)
+
+
 def tokenizer(name: str) -> str:
     import public_tokenizers
 
@@ -39,6 +43,18 @@ def op3_best_fit_packing(spark, folder):
     return packing.pack(pieces).withColumnRenamed("key", "doc_id")
 
 
+@query
+def op4_substring_dedup(spark, folder):
+    found = substring_dedup.repeated_words(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", _covered("starts", "stops").alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op5_exact_top_k(spark, folder):
+    rows = table(spark, folder, "embeddings").withColumn("vector", topk.grid_vector(F.col("embedding")))
+    return topk.top_k(rows, F.col("vec_id") % 50 == 0)
+
+
 @query
 def op6_secret_scan(spark, folder):
     found = secret_scan.secret_spans(table(spark, folder, "documents"))
@@ -47,11 +63,26 @@ def op6_secret_scan(spark, folder):
     return found.select("doc_id", n("assign"), n("access"), n("hex"), F.sha2(text, 256).alias("base_sha256"), text.alias("spans"))
 
 
+@query
+def op7_personal_data(spark, folder):
+    found = pii.personal_spans(table(spark, folder, "documents"))
+    n = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base, spans = span_text(F.col("base")), span_text(F.col("spans"))
+    return found.select("doc_id", n("email"), n("ip"), n("card"), n("phone"), F.sha2(base, 256).alias("base_sha256"), spans.alias("spans"))
+
+
 @query
 def op8_token_counts(spark, folder):
     return token_counts.count_tokens(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+@query
+def op9_suffix_dedup(spark, folder):
+    found = suffix_dedup.repeated_bytes(table(spark, folder, "documents"))
+    runs = F.size("starts").cast("long").alias("n_spans")
+    return found.select("doc_id", "n_bytes", _covered("starts", "stops").alias("n_removed"), runs, F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op10_benchmark_decontamination(spark, folder):
     hits = decontaminate.benchmark_hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
