@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetflow.llm import decontaminate, language, packing, pii, secret_scan, substring_dedup, suffix_dedup, token_counts, topk
+from sheetflow.llm import decontaminate, jaccard, language, packing, pii, secret_scan, substring_dedup, suffix_dedup, token_counts, topk
 from sheetflow.llm.common import span_text, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,11 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_ngram_jaccard(spark, folder):
+    return jaccard.similar_groups(table(spark, folder, "documents"), rule=jaccard.Rule(3, 90, 100))
+
+
 @query
 def op2_language_id(spark, folder):
     docs = table(spark, folder, "documents")
