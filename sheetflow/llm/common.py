@@ -54,6 +54,34 @@ def per_text(df: DataFrame, work: Callable[[Iterator[tuple]], Iterator[dict[str,
     return df.mapInArrow(run, schema)
 
 
+def apart(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the frame does not have yet."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
+
+
+def keep_rows(df: DataFrame, text: str, judge: Callable[[], Callable[[list], list[bool]]], only: Column | None = None) -> DataFrame:
+    """The rows of ``df`` whose text is accepted, with all their columns, where they are read.
+
+    ``judge`` is called once per task and gives a function from the texts of a
+    batch, as bytes, to keep or drop. Where ``only`` does not hold, the text is
+    handed over as null.
+    """
+    name = apart(df, "_judged")
+    body = quoted(text).cast("string").cast("binary")
+    rows = df.withColumn(name, body if only is None else F.when(only, body))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        accept = judge()
+        for b in batches:
+            last = b.num_columns - 1
+            keep = pa.array(accept(b.column(last).to_pylist()), pa.bool_())
+            yield b.select(list(range(last))).filter(keep)
+
+    return rows.mapInArrow(run, df.schema)
+
+
 KINDS = {
     "long": pa.int64(),
     "int": pa.int32(),

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheetflow.llm.common import keyed_bytes, per_text
+from sheetflow.llm.common import keep_rows, keyed_bytes, per_text
 from sheetflow.operators.keyed import quoted
 
 # A-Z to lower case; of the ASCII range only letters and digits are part of words.
@@ -156,18 +156,9 @@ def benchmark_hits(
     ``shard_words`` words; each shard's automaton is broadcast, so its size is
     bounded however large the benchmark is. With one shard there is no shuffle.
     """
-    spark = docs.sparkSession
-    listed = items.filter(quoted(item_key).isNotNull()).select(
-        quoted(item_key).cast("string").alias("id"), quoted(item_text).cast("binary").alias("text")
-    )
-    size = listed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, -(-(size // 4) // shard_words))
-    parts = []
-    for shard in range(shards):
-        rows = listed.filter(F.pmod(F.xxhash64("id"), F.lit(shards)) == shard).collect()
-        automaton = spark.sparkContext.broadcast(Automaton([(r["id"], normal_words(r["text"])) for r in rows], window))
-        parts.append(per_text(keyed_bytes(docs, key, text), _task(automaton), HITS))
-    if shards == 1:
+    automata = _automata(items, item_key, item_text, window, shard_words)
+    parts = [per_text(keyed_bytes(docs, key, text), _task(a), HITS) for a in automata]
+    if len(parts) == 1:
         return parts[0].withColumnRenamed("key", key)
     # one row per shard and document: a group is as large as there are shards
     together = parts[0]
@@ -186,6 +177,21 @@ def benchmark_hits(
     )
 
 
+def _automata(items: DataFrame, item_key: str, item_text: str, window: int, shard_words: int) -> list:
+    """Broadcast automata over all items, each of bounded size."""
+    listed = items.filter(quoted(item_key).isNotNull()).select(
+        quoted(item_key).cast("string").alias("id"), quoted(item_text).cast("string").cast("binary").alias("text")
+    )
+    size = listed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(1, -(-(size // 4) // shard_words))
+    out = []
+    for shard in range(shards):
+        rows = listed.filter(F.pmod(F.xxhash64("id"), F.lit(shards)) == shard).collect()
+        found = Automaton([(r["id"], normal_words(r["text"])) for r in rows], window)
+        out.append(items.sparkSession.sparkContext.broadcast(found))
+    return out
+
+
 HITS = "key long, n_words long, starts array<long>, stops array<long>, items array<string>"
 
 
@@ -231,6 +237,27 @@ def contamination(hits: DataFrame, share: int = 20) -> DataFrame:
     )
 
 
+def keep_clean(
+    docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text",
+    window: int = 13, share: int = 20, shard_words: int = 1_000_000,
+) -> DataFrame:
+    """Rows that are not contaminated (see ``contamination``), with all their columns; the others go."""
+    automata = _automata(items, item_key, item_text, window, shard_words)
+
+    def judge():
+        def clean(t: bytes | None) -> bool:
+            words = normal_words(t)
+            hit: set[int] = set()
+            for a in automata if words else ():
+                for b, e in _match(a.value, words)[0]:
+                    hit.update(range(b, e))
+            return not hit or share * len(hit) < len(words)
+
+        return lambda texts: [clean(t) for t in texts]
+
+    return keep_rows(docs, text, judge)
+
+
 def without_spans(texts: list[bytes | None], starts: list[list[int]], stops: list[list[int]]) -> list[str | None]:
     """Texts without the words of their spans; for the texts themselves and not only the digests."""
     out: list[str | None] = []

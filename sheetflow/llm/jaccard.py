@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheetflow.llm import repeats as R
-from sheetflow.llm.common import stored
+from sheetflow.llm.common import apart, stored
 from sheetflow.llm.components import components
 from sheetflow.operators.keyed import lookup, quoted
 
@@ -117,7 +117,8 @@ def _nodes(batches, rule: Rule):
             grams = shingles(t, rule, powers)
             names.append(set_id(grams) if len(grams) else None)
             sizes.append(len(grams))
-        yield pa.RecordBatch.from_arrays([*b.columns[:1], *b.columns[2:], pa.array(names, pa.int64()), pa.array(sizes, pa.int64())], names=["doc", "key", "node", "size"])
+        found = [pa.array(names, pa.int64()), pa.array(sizes, pa.int64())]
+        yield pa.RecordBatch.from_arrays([b.column(0), *b.columns[2:], *found], names=["doc", "key", "hash", "node", "size"])
 
 
 def _blocks(grams: np.ndarray, blocks: int) -> np.ndarray:
@@ -270,10 +271,37 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", rul
     key is never the smallest. Other columns are ignored. N-grams are compared
     by 64-bit hashes.
     """
+    nodes, sets = _joined(docs, key, text, rule)
+    least = sets.groupBy("component").agg(F.min("key").alias("least"))
+    named = stored(lookup(sets, least, "component").select("node", "least"), "named")
+    out = lookup(nodes, named, "node")
+    return out.select(F.col("key").alias(key), F.col("size").alias("n_shingles"), F.coalesce("least", "key").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Rule = Rule()) -> DataFrame:
+    """One row of each group of similar texts, with all its columns: the one with the smallest key.
+
+    Of rows with equal key and text one stays. Texts without words are groups
+    of their own.
+    """
+    nodes, sets = _joined(docs, key, text, rule)
+    first = nodes.filter("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("doc", "hash")).alias("first"))
+    first = lookup(sets.select("node", "component"), first, "node", "inner").groupBy("component").agg(F.min("first").alias("first"))
+    chosen = first.select("first.*").union(nodes.filter("node IS NULL").select("doc", "hash")).distinct()
+    doc, mark = apart(docs, "_doc"), apart(docs, "_hash")
+    body = quoted(text).cast("string")
+    rows = docs.withColumns({doc: R.row_key(quoted(key), body), mark: F.xxhash64(body)})
+    kept = rows.join(chosen.select(F.col("doc").alias(doc), F.col("hash").alias(mark)), [doc, mark])
+    return kept.dropDuplicates([doc, mark]).select(*[quoted(c) for c in docs.columns])
+
+
+def _joined(docs: DataFrame, key: str, text: str, rule: Rule) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc, key, hash of the text, node, size), and nodes with their smallest doc and key and their component."""
+    body = quoted(text).cast("string")
     rows = docs.select(
-        R.row_key(quoted(key), quoted(text).cast("string")).alias("doc"), quoted(text).cast("binary").alias("text"), quoted(key).cast("long").alias("key")
+        R.row_key(quoted(key), body).alias("doc"), body.cast("binary").alias("text"), quoted(key).cast("long").alias("key"), F.xxhash64(body).alias("hash")
     )
-    nodes = stored(rows.mapInArrow(lambda b: _nodes(b, rule), "doc long, key long, node long, size long"), "nodes")
+    nodes = stored(rows.mapInArrow(lambda b: _nodes(b, rule), "doc long, key long, hash long, node long, size long"), "nodes")
     sizes = nodes.filter("size BETWEEN 1 AND 64").groupBy("size").count().collect()
     limit = rule.light_limit({r["size"]: r["count"] for r in sizes})
     listed = rows.select("doc", "text").mapInArrow(lambda b: _lists(b, rule, limit), R.ROWS)
@@ -318,10 +346,5 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", rul
     if not more.isEmpty():
         member = components(links.unionByName(more))
 
-    # the smallest key of each component, by way of its sets
     of_set = one.join(member, "node", "left").select("node", "key", F.coalesce("component", "node").alias("component"))
-    of_set = stored(of_set, "sets-keys")
-    least = of_set.groupBy("component").agg(F.min("key").alias("least"))
-    named = stored(lookup(of_set, least, "component").select("node", "least"), "named")
-    out = lookup(nodes, named, "node")
-    return out.select(F.col("key").alias(key), F.col("size").alias("n_shingles"), F.coalesce("least", "key").alias("component_id"))
+    return nodes, stored(of_set, "components")

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheetflow.llm.common import keyed_bytes, per_text
+from sheetflow.llm.common import keep_rows, keyed_bytes, per_text
 from sheetflow.operators.keyed import quoted
 
 LENGTHS = (1, 2, 3, 4)
@@ -130,25 +130,45 @@ def identify(docs: DataFrame, model: Model | None, key: str = "doc_id", text: st
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(pairs) -> Iterator[dict[str, list]]:
-        m, flags = shared.value, np.zeros(SLOTS, bool)
+        flags = np.zeros(SLOTS, bool)
         for keys, texts in pairs:
-            names, scores = [unknown] * len(texts), [0.0] * len(texts)
-            at = [i for i, t in enumerate(texts) if t is not None] if m else []
-            for first in range(0, len(at), 256):
-                part = at[first : first + 256]
-                slots = [gram_slots(texts[i], flags) for i in part]
-                sizes = np.array([len(s) for s in slots])
-                begin = np.concatenate(([0], np.cumsum(sizes[:-1])))
-                sums = np.add.reduceat(m.weights[np.concatenate(slots)], begin, axis=0, dtype=np.float64)
-                value = sums / np.sqrt(sizes)[:, None] + m.bias
-                best = value.argmax(axis=1)
-                for i, b, v in zip(part, best.tolist(), value.max(axis=1).tolist(), strict=True):
-                    names[i], scores[i] = m.languages[b], min(1.0, max(0.0, v))
+            names, scores = _score(shared.value, texts, flags, unknown)
             yield {"key": keys, "lang_pred": names, "score": scores}
 
     return per_text(rows, work, "key long, lang_pred string, score double").withColumnRenamed("key", key)
 
 
+def _score(m: Model | None, texts: list, flags: np.ndarray, unknown: str) -> tuple[list[str], list[float]]:
+    names, scores = [unknown] * len(texts), [0.0] * len(texts)
+    at = [i for i, t in enumerate(texts) if t is not None] if m else []
+    for first in range(0, len(at), 256):
+        part = at[first : first + 256]
+        slots = [gram_slots(texts[i], flags) for i in part]
+        sizes = np.array([len(s) for s in slots])
+        begin = np.concatenate(([0], np.cumsum(sizes[:-1])))
+        sums = np.add.reduceat(m.weights[np.concatenate(slots)], begin, axis=0, dtype=np.float64)
+        value = sums / np.sqrt(sizes)[:, None] + m.bias
+        best = value.argmax(axis=1)
+        for i, b, v in zip(part, best.tolist(), value.max(axis=1).tolist(), strict=True):
+            names[i], scores[i] = m.languages[b], min(1.0, max(0.0, v))
+    return names, scores
+
+
+def keep_identified(docs: DataFrame, model: Model | None, text: str = "text", least: float = 0.2, unknown: str = UNKNOWN) -> DataFrame:
+    """Rows whose text has a language: one is predicted, with a score of ``least`` or more. Without a model all rows go."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def judge():
+        flags = np.zeros(SLOTS, bool)
+
+        def accept(texts: list) -> list[bool]:
+            return [n != unknown and s >= least for n, s in zip(*_score(shared.value, texts, flags, unknown), strict=True)]
+
+        return accept
+
+    return keep_rows(docs, text, judge, has_letter(quoted(text).cast("string")))
+
+
 def held_out(key: str = "doc_id", folds: int = 5) -> Column:
     """Rows that nothing may learn from: crc32 of the key as text, modulo ``folds``, is 0. A null key is not held out."""
     return F.coalesce(F.crc32(quoted(key).cast("string").cast("binary")) % folds == 0, F.lit(False))

@@ -251,9 +251,13 @@ def _match(swept: DataFrame, plan: list[tuple], capacity: int) -> tuple[DataFram
     aimed = lost.mapInArrow(aim, f"{STATE}, to_part int, to_rank long")
     piece = aimed.filter("to_part >= 0").select("to_part", "to_rank", F.col("size").alias("took"), *PIECE)
     offered = gaps.filter("rank IS NOT NULL").select(F.col("part").alias("to_part"), F.col("rank").alias("to_rank"), "size", "seq")
-    inside = Window.partitionBy("to_part", "to_rank").orderBy("key", "piece")
+    gap = Window.partitionBy("to_part", "to_rank")
+    inside = gap.orderBy(*PIECE)
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     joined = offered.join(piece, ["to_part", "to_rank"], "left")
-    filled = joined.select("seq", "size", "took", *PIECE, F.sum("took").over(inside).alias("upto"), F.sum("took").over(inside.orderBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("all"), F.row_number().over(inside).alias("nth"))
+    filled = joined.select(
+        "seq", "size", "took", *PIECE, F.sum("took").over(upto).alias("upto"), F.sum("took").over(gap).alias("all"), F.row_number().over(inside).alias("nth")
+    )
     kept = stored(filled, "matched")
     matched = kept.filter("took IS NOT NULL").select(*PIECE, "seq", (capacity - F.col("size") + F.col("upto") - F.col("took")).cast("int").alias("at"))
     waiting = aimed.filter("to_part < 0").select("state", "size", "seq", *PIECE)

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sheetflow.llm.common import apart
 from sheetflow.operators.keyed import quoted
 from sheetflow.session import work_dir
 
@@ -109,43 +110,58 @@ def ledger_rows(spark, ledger: str) -> DataFrame | None:
     return spark.read.schema(FOUND).parquet(ledger)
 
 
-def secret_spans(
-    versions: DataFrame, key: str = "doc_id", text: str = "text", rules=RULES, ledger: str | None = None
-) -> DataFrame:
-    """Key and spans (kind, start, stop in code points, by start and then rule order) of every row.
+def found_by_blob(versions: DataFrame, text: str = "text", rules=RULES, ledger: str | None = None) -> DataFrame:
+    """digest and spans (kind, start, stop in code points, by start and then rule order) of every blob with a finding.
 
-    Null text counts as empty. Each row of ``versions`` gives one row, also
-    rows of equal key or text; other columns are ignored. ``ledger`` names the
-    ledger's folder; without one, the run starts an empty one in the shared
-    folder.
+    ``ledger`` names the ledger's folder; without one, the run starts an empty
+    one in the shared folder.
     """
     spark = versions.sparkSession
     ledger = ledger or work_dir(spark, "ledger")
     scan_unseen(versions, ledger, text, rules)
     wanted = [f"{r.kind}:{r.version}" for r in rules]
     found = ledger_rows(spark, ledger).filter(F.concat_ws(":", "kind", "version").isin(wanted) & (F.size("spans") > 0))
-    # at most one row per blob and rule, so no group is larger than the rule set
-    found = found.groupBy("digest").agg(F.flatten(F.collect_list("spans")).alias("found"))
+    # one row per blob and rule, more only if runs overlapped; no group is larger than the rule set
+    found = found.dropDuplicates(["digest", "kind", "version"]).groupBy("digest").agg(F.flatten(F.collect_list("spans")).alias("found"))
     number = F.create_map(*[F.lit(x) for i, r in enumerate(rules) for x in (r.kind, i)])
     places = F.transform("found", lambda s: F.struct(s["start"].alias("start"), number[s["kind"]].alias("n"), s.alias("s")))
-    spans = F.transform(F.array_sort(places), lambda s: s["s"])
-    sorted_spans = found.select("digest", spans.alias("spans"))
-    paths = digests(versions, key, text)
+    return found.select("digest", F.transform(F.array_sort(places), lambda s: s["s"]).alias("spans"))
+
+
+def secret_spans(
+    versions: DataFrame, key: str = "doc_id", text: str = "text", rules=RULES, ledger: str | None = None
+) -> DataFrame:
+    """Key and spans of every row; see ``found_by_blob``.
+
+    Null text counts as empty. Each row of ``versions`` gives one row, also
+    rows of equal key or text; other columns are ignored.
+    """
+    found = found_by_blob(versions, text, rules, ledger)
     none = F.array().cast(f"array<{SPAN}>")
-    return paths.join(sorted_spans, "digest", "left").select(key, F.coalesce("spans", none).alias("spans"))
+    return digests(versions, key, text).join(found, "digest", "left").select(key, F.coalesce("spans", none).alias("spans"))
+
 
+def redacted(docs: DataFrame, text: str = "text", length: str | None = None, mark: str = "[secret]", rules=RULES, ledger: str | None = None) -> DataFrame:
+    """``docs`` with every secret replaced by ``mark``; overlapping spans are replaced as one.
 
-def redact(docs: DataFrame, spans: DataFrame, key: str = "doc_id", text: str = "text", mark: str = "[secret]") -> DataFrame:
-    """``docs`` with every span replaced by ``mark``; overlapping spans are cut out as one. Keys must be unique."""
-    hit = spans.filter(F.size("spans") > 0).select(F.col(key).alias("_key"), F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("b"), s["stop"].alias("e")))).alias("_spans"))
+    Rows without a secret stay as they are. ``length`` names a column that
+    holds the text's number of characters; it follows the text.
+    """
+    found = found_by_blob(docs, text, rules, ledger)
+    at, where = apart(docs, "_digest"), apart(docs, "_spans")
+    found = found.select(F.col("digest").alias(at), F.transform("spans", lambda s: F.struct(s["start"].alias("b"), s["stop"].alias("e"))).alias(where))
+    body = quoted(text).cast("string")
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    body = quoted(text)
 
     def step(a, s):
         new = F.concat(a["out"], F.substring(body, a["at"] + 1, s["b"] - a["at"]), F.lit(mark))
         out = F.when(s["b"] >= a["at"], new).otherwise(a["out"])
         return F.struct(out.alias("out"), F.greatest(a["at"], s["e"]).alias("at"))
 
-    done = F.aggregate("_spans", start, step, lambda a: F.concat(a["out"], F.substring(body, a["at"] + 1, F.char_length(body))))
-    joined = docs.join(hit, quoted(key) == F.col("_key"), "left")
-    return joined.withColumn(text, F.when(F.col("_spans").isNotNull(), done).otherwise(body)).select(*[quoted(c) for c in docs.columns])
+    done = F.aggregate(F.array_sort(where), start, step, lambda a: F.concat(a["out"], F.substring(body, a["at"] + 1, F.char_length(body))))
+    joined = docs.withColumn(at, _address(quoted(text))).join(found, at, "left")
+    new = joined.withColumn(text, F.when(F.col(where).isNotNull(), done).otherwise(quoted(text)))
+    if length:
+        kind = docs.schema[length].dataType
+        new = new.withColumn(length, F.when(F.col(where).isNotNull(), F.char_length(quoted(text)).cast(kind)).otherwise(quoted(length)))
+    return new.select(*[quoted(c) for c in docs.columns])
