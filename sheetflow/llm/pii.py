@@ -139,7 +139,7 @@ def disclosing_terms(docs: DataFrame, holders: DataFrame, text: str = "text", th
     often = each.groupBy("entity").agg(F.count("text").alias("n_entity")).filter(F.col("n_entity") >= support)
     asked = lookup(each, often, "entity", "inner").withColumn("words", _terms(F.col("text")))
     at = F.posexplode("words").alias("at", "term")
-    beside = F.xxhash64(F.try_element_at("words", F.col("at")), F.try_element_at("words", F.col("at") + 2))
+    beside = F.xxhash64(F.get("words", F.col("at") - 1), F.get("words", F.col("at") + 1))
     around = asked.select("entity", "n_entity", F.monotonically_increasing_id().alias("doc"), "words", at)
     around = around.filter(~F.lower("entity").contains(F.col("term"))).withColumn("beside", beside)
     once = around.groupBy("entity", "n_entity", "term", "doc").agg(F.min("beside").alias("beside"))
