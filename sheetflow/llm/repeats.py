@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -132,27 +133,30 @@ class Scan:
         divided by ``size``, so equal windows are in equal blocks. The core is
         what all windows of a block have in common, the hull what they cover.
         """
-        first, last, core, hull = [], [], [], []
         n = self.window - self.gram + 1
-        for r in runs.tolist():
-            lo, hi = int(self.begin[r]), int(self.end[r])
-            start = np.arange(lo, hi)
-            place = lo + np.flatnonzero(self.grams[lo : hi + n - 1] == self.bucket[r])
-            near = place[np.searchsorted(place, start)]
-            block = (near - start) // size
-            cut = np.concatenate(([0], np.flatnonzero((block[1:] != block[:-1]) | (near[1:] != near[:-1])) + 1, [len(start)]))
-            a, b = start[cut[:-1]], start[cut[1:] - 1]
-            p, k = near[cut[:-1]], block[cut[:-1]]
-            low, high = p - k * size, np.maximum(p - k * size - size + 1, p - n + 1)
-            mark = k.astype(U) * U(0xA0761D6478BD642F)
-            core.append(mix(self.powers.hash(self.sums, low, high + self.window) + mark))
-            hull.append(mix(self.powers.hash(self.sums, a, b + self.window) + mark + (p - a).astype(U)))
-            first.append(a)
-            last.append(b)
-        if not first:
-            none = np.zeros(0, np.int64)
-            return none, none, none.astype(U), none.astype(U)
-        return tuple(map(np.concatenate, (first, last, core, hull)))
+        place = self._places(runs, n)
+        start = _ranges(self.begin[runs], self.end[runs])
+        of = np.repeat(np.arange(len(runs)), self.end[runs] - self.begin[runs])
+        block = (place[of] - start) // size
+        if not len(start):
+            return start, start, start.astype(U), start.astype(U)
+        cut = np.concatenate(([0], np.flatnonzero((of[1:] != of[:-1]) | (block[1:] != block[:-1])) + 1, [len(start)]))
+        first, last = start[cut[:-1]], start[cut[1:] - 1]
+        p, k = place[of[cut[:-1]]], block[cut[:-1]]
+        low, high = p - k * size, np.maximum(p - k * size - size + 1, p - n + 1)
+        mark = k.astype(U) * U(0xA0761D6478BD642F)
+        core = mix(self.powers.hash(self.sums, low, high + self.window) + mark)
+        hull = mix(self.powers.hash(self.sums, first, last + self.window) + mark + (p - first).astype(U))
+        return first, last, core, hull
+
+    def _places(self, runs: np.ndarray, n: int) -> np.ndarray:
+        """Where the first smallest gram of each run stands."""
+        out = []
+        for at in range(0, len(runs), 2000):
+            part = runs[at : at + 2000]
+            inside = self.grams[self.begin[part][:, None] + np.arange(n)] == self.bucket[part][:, None]
+            out.append(self.begin[part] + inside.argmax(axis=1))
+        return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
 def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -219,13 +223,16 @@ def distinct_rows(doc: np.ndarray, bucket: np.ndarray, name: np.ndarray) -> pa.R
     return pa.RecordBatch.from_arrays(arrays, names=["bucket", "name", "doc", "twice"])
 
 
-def repeats(rows: DataFrame, everywhere: bool, label: str) -> DataFrame:
+def repeats(rows: DataFrame, everywhere: bool, label: str, once: bool = False) -> DataFrame:
     """What the sweep says of each row: doc, name, gone, check.
 
     ``gone``: the name occurs elsewhere as well (``everywhere``: in any other
     row, or twice in this one; else: in a row of a smaller document). ``check``:
-    the bucket may hold other names, and this row stands for its name.
+    the bucket may hold other names, and this row stands for its name. To find
+    the ranges, Spark computes ``rows`` twice; ``once`` writes them to the
+    shared folder first, where computing them costs more than that.
     """
+    rows = stored(rows, f"{label}-rows") if once else rows
     order = ["bucket", "name", "doc"]
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # the number is given so that the ranges are not merged into fewer, larger ones
@@ -322,25 +329,33 @@ def by_document(found: DataFrame, **wanted: Column) -> DataFrame:
     return found.groupBy("doc").agg(*[F.collect_set(F.when(c, F.col("name"))).alias(n) for n, c in wanted.items()])
 
 
-def names_of(array: pa.Array, i: int) -> np.ndarray:
-    """The sorted names of row ``i``; an absent array has none."""
-    return np.sort(np.asarray(array[i].values)) if array[i].is_valid else np.zeros(0, np.int64)
+class Wanted:
+    """Names that each text of a batch asks for, from an array column of the batch."""
+
+    def __init__(self, column: pa.Array):
+        sizes = np.diff(column.offsets.to_numpy()) if not column.null_count else pc.fill_null(pc.list_value_length(column), 0).to_numpy()
+        names = column.flatten().to_numpy().view(U)
+        self.keys = np.sort(mix(names + np.repeat(np.arange(len(sizes)), sizes).astype(U) * BASE))
+        self.any = sizes > 0
+
+    def has(self, text: np.ndarray, name: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros(len(name), bool)
+        x = mix(name + text.astype(U) * BASE)
+        return self.keys[np.minimum(np.searchsorted(self.keys, x), len(self.keys) - 1)] == x
 
 
-def among(x: np.ndarray, names: np.ndarray) -> np.ndarray:
-    if not len(names):
-        return np.zeros(len(x), bool)
-    x = x.view(np.int64)
-    at = np.minimum(np.searchsorted(names, x), len(names) - 1)
-    return names[at] == x
+def spans_by_text(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each of ``n`` texts the begins and ends among ``found``: (text, begin, end)."""
+    text, begin, end = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in range(3))
+    order = np.argsort(text, kind="stable")
+    cuts = np.searchsorted(text[order], np.arange(n + 1))
+    return [(begin[order[a:b]], end[order[a:b]]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-def cover(n: int, spans: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+def cover(n: int, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Which of ``n`` values lie in one of the spans begin..end-1."""
-    delta = np.zeros(n + 1, np.int64)
-    for begin, end in spans:
-        np.add.at(delta, begin, 1)
-        np.add.at(delta, end, -1)
+    delta = np.bincount(begin, minlength=n + 1) - np.bincount(end, minlength=n + 1)
     return np.cumsum(delta[:-1]) > 0
 
 

@@ -36,7 +36,7 @@ def repeated_words(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     texts = R.packed(docs, key, text)
     branching = R.by_document(paths.filter("check"), ask=F.col("check"))
     edges = texts.join(branching, "doc").mapInArrow(lambda b: _edges(b, window), R.ROWS)
-    gone = R.settle_edges(R.repeats(edges, False, "edges"), False)
+    gone = R.settle_edges(R.repeats(edges, False, "edges", once=True), False)
     both = paths.filter("gone").select("doc", "name", F.lit(True).alias("path")).unionByName(gone.select("doc", "name", F.lit(False).alias("path")))
     found = R.by_document(both, paths=F.col("path"), edges=~F.col("path"))
     out = texts.join(found, "doc", "left").mapInArrow(
@@ -56,35 +56,32 @@ def _paths(batches, window: int):
 def _edges(batches, window: int):
     powers = R.Powers(2 * R.PIECE)
     for b in batches:
-        keys, asked = b.column(0).to_numpy(), b.column(2)
-        texts = R.unpacked(b.column(1))
-        for i, t in enumerate(texts):
-            names = R.names_of(asked, i)
-            for scan, _, _ in R.scans([t], R.word_values, window, GRAM, powers):
-                _, edge = scan.windows(np.flatnonzero(R.among(scan.run, names)))
-                if len(edge):
-                    yield R.distinct_rows(np.full(len(edge), keys[i]), edge, edge)
+        keys, asked = b.column(0).to_numpy(), R.Wanted(b.column(2))
+        for scan, text, _ in R.scans(R.unpacked(b.column(1)), R.word_values, window, GRAM, powers):
+            start, edge = scan.windows(np.flatnonzero(asked.has(text[scan.owner[scan.begin]], scan.run)))
+            if len(edge):
+                yield R.distinct_rows(keys[text[scan.owner[start]]], edge, edge)
 
 
 def _removed(batches, window: int):
     powers = R.Powers(2 * R.PIECE)
     for b in batches:
         out: dict[str, list] = {n: [] for n in ("n_words", "starts", "stops", "kept")}
-        paths, edges = b.column(2), b.column(3)
-        for i, t in enumerate(R.unpacked(b.column(1))):
+        paths, edges = R.Wanted(b.column(2)), R.Wanted(b.column(3))
+        texts = R.unpacked(b.column(1))
+        found = []
+        hit = [t if h else None for t, h in zip(texts, (paths.any | edges.any).tolist(), strict=True)]
+        for scan, text, shift in R.scans(hit, R.word_values, window, GRAM, powers):
+            whole = paths.has(text[scan.owner[scan.begin]], scan.run)
+            first, last = scan.begin[whole], scan.end[whole] - 1
+            start, name = scan.windows(np.flatnonzero(~whole))
+            start = start[edges.has(text[scan.owner[start]], name)]
+            first, last = np.concatenate((first, start)), np.concatenate((last, start))
+            move = shift[scan.owner[first]]
+            found.append((text[scan.owner[first]], first + move, last + window + move))
+        for t, (begin, end) in zip(texts, R.spans_by_text(found, len(texts)), strict=True):
             words = t.split() if t else []
-            path, edge = R.names_of(paths, i), R.names_of(edges, i)
-            spans = []
-            if len(path) or len(edge):
-                for scan, _, shift in R.scans([t], R.word_values, window, GRAM, powers):
-                    # one text per scan, in pieces: shift takes a value's place in the scan to that in the text
-                    whole = R.among(scan.run, path)
-                    first, last = scan.begin[whole], scan.end[whole]
-                    spans.append((first + shift[scan.owner[first]], last - 1 + window + shift[scan.owner[first]]))
-                    start, name = scan.windows(np.flatnonzero(~whole)) if len(edge) else (first[:0], scan.run[:0])
-                    start = start[R.among(name, edge)]
-                    spans.append((start + shift[scan.owner[start]], start + window + shift[scan.owner[start]]))
-            gone = R.cover(len(words), spans)
+            gone = R.cover(len(words), begin, end) if len(begin) else np.zeros(0, bool)
             starts, stops = R.span_edges(gone)
             kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g] if starts else words
             for n, v in zip(out, (len(words), starts, stops, b" ".join(kept).decode()), strict=True):

@@ -36,11 +36,11 @@ def repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     runs = R.repeats(rows.mapInArrow(lambda b: _runs(b, window, gram), R.ROWS), True, "runs")
     texts = R.packed(docs, key, text)
     mixed = R.by_document(runs.filter("check"), runs=F.col("check"))
-    blocks = R.repeats(texts.join(mixed, "doc").mapInArrow(lambda b: _blocks(b, window, gram), R.ROWS), True, "blocks")
+    blocks = R.repeats(texts.join(mixed, "doc").mapInArrow(lambda b: _blocks(b, window, gram), R.ROWS), True, "blocks", once=True)
     both = blocks.filter("check").select("doc", "name", F.lit(1).alias("level"))
     both = both.unionByName(runs.filter("check").select("doc", "name", F.lit(0).alias("level")))
     mixed = R.by_document(both, runs=F.col("level") == 0, blocks=F.col("level") == 1).filter(F.size("blocks") > 0)
-    singles = R.repeats(texts.join(mixed, "doc").mapInArrow(lambda b: _singles(b, window, gram), R.ROWS), True, "windows")
+    singles = R.repeats(texts.join(mixed, "doc").mapInArrow(lambda b: _singles(b, window, gram), R.ROWS), True, "windows", once=True)
     level = lambda df, n: df.select("doc", "name", F.lit(n).alias("level"))
     gone = level(runs.filter("gone"), 0).unionByName(level(blocks.filter("gone"), 1))
     gone = gone.unionByName(level(R.settle_edges(singles, True), 2))
@@ -71,61 +71,51 @@ def _per_text(number: np.ndarray, keys: np.ndarray, bucket: np.ndarray, name: np
 def _blocks(batches, window: int, gram: int):
     powers = R.Powers(2 * R.PIECE)
     for b in batches:
-        keys = b.column(0).to_numpy()
-        for i, t in enumerate(R.unpacked(b.column(1))):
-            names = R.names_of(b.column(2), i)
-            for scan, _, _ in R.scans([t], R.byte_values, window, gram, powers):
-                _, _, core, hull = scan.blocks(np.flatnonzero(R.among(scan.run, names)), BLOCK)
-                if len(core):
-                    yield R.distinct_rows(np.full(len(core), keys[i]), core, hull)
+        keys, asked = b.column(0).to_numpy(), R.Wanted(b.column(2))
+        for scan, text, _ in R.scans(R.unpacked(b.column(1)), R.byte_values, window, gram, powers):
+            first, _, core, hull = scan.blocks(np.flatnonzero(asked.has(text[scan.owner[scan.begin]], scan.run)), BLOCK)
+            if len(core):
+                yield _per_text(text[scan.owner[first]], keys, core, hull)
 
 
 def _singles(batches, window: int, gram: int):
     powers = R.Powers(2 * R.PIECE)
     for b in batches:
-        keys = b.column(0).to_numpy()
-        for i, t in enumerate(R.unpacked(b.column(1))):
-            runs, blocks = R.names_of(b.column(2), i), R.names_of(b.column(3), i)
-            for scan, _, _ in R.scans([t], R.byte_values, window, gram, powers):
-                first, last, _, hull = scan.blocks(np.flatnonzero(R.among(scan.run, runs)), BLOCK)
-                use = R.among(hull, blocks)
-                start = R._ranges(first[use], last[use] + 1)
-                if len(start):
-                    name = powers.hash(scan.sums, start, start + window)
-                    yield R.distinct_rows(np.full(len(name), keys[i]), name, name)
+        keys, runs, blocks = b.column(0).to_numpy(), R.Wanted(b.column(2)), R.Wanted(b.column(3))
+        for scan, text, _ in R.scans(R.unpacked(b.column(1)), R.byte_values, window, gram, powers):
+            first, last, _, hull = scan.blocks(np.flatnonzero(runs.has(text[scan.owner[scan.begin]], scan.run)), BLOCK)
+            use = blocks.has(text[scan.owner[first]], hull)
+            start = R._ranges(first[use], last[use] + 1)
+            if len(start):
+                name = powers.hash(scan.sums, start, start + window)
+                yield _per_text(text[scan.owner[start]], keys, name, name)
 
 
 def _removed(batches, window: int, gram: int):
     powers = R.Powers(2 * R.PIECE)
     for b in batches:
         out: dict[str, list] = {n: [] for n in ("n_bytes", "starts", "stops", "kept")}
-        for i, t in enumerate(R.unpacked(b.column(1))):
-            t = t or b""
-            runs, blocks, windows, mixed = (R.names_of(b.column(c), i) for c in (2, 3, 4, 5))
-            spans = []
-            if len(runs) or len(blocks) or len(windows):
-                for scan, _, shift in R.scans([t], R.byte_values, window, gram, powers):
-                    whole = R.among(scan.run, runs)
-                    first, last = scan.begin[whole], scan.end[whole] - 1
-                    spans.append(_span(first, last, scan, shift, window))
-                    parts = np.flatnonzero(R.among(scan.run, mixed) & ~whole)
-                    if len(blocks):
-                        first, last, _, hull = scan.blocks(parts, BLOCK)
-                        use = R.among(hull, blocks)
-                        spans.append(_span(first[use], last[use], scan, shift, window))
-                    if len(windows):
-                        start, name = scan.windows(parts)
-                        start = start[R.among(name, windows)]
-                        spans.append(_span(start, start, scan, shift, window))
-            gone = R.cover(len(t), spans)
+        runs, blocks, windows, mixed = (R.Wanted(b.column(c)) for c in (2, 3, 4, 5))
+        texts = [t or b"" for t in R.unpacked(b.column(1))]
+        found = []
+        hit = [t if h else None for t, h in zip(texts, (runs.any | blocks.any | windows.any).tolist(), strict=True)]
+        for scan, text, shift in R.scans(hit, R.byte_values, window, gram, powers):
+            of_run = text[scan.owner[scan.begin]]
+            whole = runs.has(of_run, scan.run)
+            parts = np.flatnonzero(mixed.has(of_run, scan.run) & ~whole)
+            first, last, _, hull = scan.blocks(parts, BLOCK)
+            use = blocks.has(text[scan.owner[first]], hull)
+            start, name = scan.windows(parts)
+            start = start[windows.has(text[scan.owner[start]], name)]
+            first = np.concatenate((scan.begin[whole], first[use], start))
+            last = np.concatenate((scan.end[whole] - 1, last[use], start))
+            move = shift[scan.owner[first]]
+            found.append((text[scan.owner[first]], first + move, last + window + move))
+        for t, (begin, end) in zip(texts, R.spans_by_text(found, len(texts)), strict=True):
+            gone = R.cover(len(t), begin, end) if len(begin) else np.zeros(0, bool)
             starts, stops = R.span_edges(gone)
             kept = np.frombuffer(t, np.uint8)[~gone].tobytes() if starts else t
             for n, v in zip(out, (len(t), starts, stops, kept), strict=True):
                 out[n].append(v)
         kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
         yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True)]], names=["doc", *out])
-
-
-def _span(first: np.ndarray, last: np.ndarray, scan: R.Scan, shift: np.ndarray, window: int):
-    move = shift[scan.owner[first]] if len(first) else 0
-    return first + move, last + window + move
