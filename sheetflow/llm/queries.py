@@ -19,6 +19,56 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+def checked(sql: str):
+    def register(build):
+        CHECKS[build.__name__] = sql
+        return query(build)
+
+    return register
+
+
+# Whole tables, in plain SQL: fast enough for small tables, which is what a check needs.
+WORDS_SQL = r"list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+JACCARD_SQL = f"""WITH RECURSIVE w AS (SELECT doc_id, {WORDS_SQL.format(text=LOWER_SQL)} AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+ ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS s FROM w),
+t AS (SELECT min(doc_id) AS id, md5(array_to_string(list_sort(s), chr(10))) AS h, any_value(s) AS s FROM s WHERE len(s) > 0 GROUP BY h),
+x AS (SELECT id, len(s) AS n, unnest(s) AS g FROM t),
+pairs AS (SELECT a.id AS a, b.id AS b, a.n AS n, b.n AS m, count(*) AS i FROM x a JOIN x b ON a.g = b.g AND a.id <> b.id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n) GROUP BY ALL),
+links AS (SELECT a, b FROM pairs WHERE 100 * i >= 90 * (n + m - i)),
+reach AS (SELECT id AS a, id AS b FROM t UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT s.doc_id, len(s.s) AS n_shingles, coalesce(component_id, s.doc_id) AS component_id
+FROM s LEFT JOIN t ON t.h = md5(array_to_string(list_sort(s.s), chr(10))) AND len(s.s) > 0 LEFT JOIN c ON c.a = t.id"""
+
+REPEATS_SQL = f"""WITH w AS (SELECT doc_id, {WORDS_SQL.format(text="coalesce(text, '')")} AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM w)),
+f AS (SELECT s, min(doc_id) AS earliest FROM g GROUP BY s),
+hit AS (SELECT DISTINCT doc_id, i + k AS i FROM g JOIN f USING (s), range(13) AS r(k) WHERE earliest < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM w),
+k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n FROM words ANTI JOIN hit USING (doc_id, i) GROUP BY doc_id)
+SELECT w.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN k USING (doc_id)"""
+
+TOP_K_SQL = """WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+ WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score FROM e q JOIN e c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM p
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5"""
+
+NORMAL_SQL = r"list_filter(regexp_split_to_array({text}, '[^0-9a-z\x{{80}}-\x{{10FFFF}}]+'), lambda x: x <> '')".format(text=LOWER_SQL)
+HITS_SQL = f"""WITH d AS (SELECT doc_id, {NORMAL_SQL} AS w FROM documents), b AS (SELECT CAST(item_id AS VARCHAR) AS item, {NORMAL_SQL} AS w FROM benchmark),
+win AS (SELECT DISTINCT item, least(13, len(w)) AS n, array_to_string(w[i:i + 12], ' ') AS s FROM (SELECT item, w, unnest(range(1, greatest(2, len(w) - 11))) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+g AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS s FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes)),
+m AS (SELECT doc_id, i, g.n, item FROM g JOIN win ON win.s = g.s AND win.n = g.n),
+hit AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM m, range(13) AS r(k) WHERE k < n GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM m) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+ coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)"""
+
+
 def _covered(starts: str, stops: str):
     return F.aggregate(F.zip_with(starts, stops, lambda b, e: e - b), F.lit(0).cast("long"), lambda a, x: a + x)
 
@@ -29,7 +79,7 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-@query
+@checked(JACCARD_SQL)
 def op1_ngram_jaccard(spark, folder):
     return jaccard.similar_groups(table(spark, folder, "documents"), rule=jaccard.Rule(3, 90, 100))
 
@@ -48,13 +98,13 @@ def op3_best_fit_packing(spark, folder):
     return packing.pack(pieces).withColumnRenamed("key", "doc_id")
 
 
-@query
+@checked(REPEATS_SQL)
 def op4_substring_dedup(spark, folder):
     found = substring_dedup.repeated_words(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", _covered("starts", "stops").alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query
+@checked(TOP_K_SQL)
 def op5_exact_top_k(spark, folder):
     rows = table(spark, folder, "embeddings").withColumn("vector", topk.grid_vector(F.col("embedding")))
     return topk.top_k(rows, F.col("vec_id") % 50 == 0)
@@ -88,7 +138,7 @@ def op9_suffix_dedup(spark, folder):
     return found.select("doc_id", "n_bytes", _covered("starts", "stops").alias("n_removed"), runs, F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query
+@checked(HITS_SQL)
 def op10_benchmark_decontamination(spark, folder):
     hits = decontaminate.benchmark_hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return decontaminate.contamination(hits).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
