@@ -129,11 +129,8 @@ def clean_institution(name: Column | str, kind: Column | str = "host") -> Column
 
 
 def _kind(lower: Column) -> Column:
-    return (
-        F.when(has_any(lower, KIND_WORDS["copyright"]), "copyright")
-        .when(has_any(lower, KIND_WORDS["publisher"]), "publisher")
-        .otherwise("host")
-    )
+    """The first kind of ``KIND_WORDS`` with a word in the text; host if there is none."""
+    return F.coalesce(*[F.when(has_any(lower, words), F.lit(kind)) for kind, words in KIND_WORDS.items()], F.lit("host"))
 
 
 def institution_type(sentence: Column | str, name: Column | str) -> Column:

@@ -96,19 +96,22 @@ def unescape_entities(texts: pd.Series) -> pd.Series:
 def html_to_text(c: Column | str, paragraphs: bool = False) -> Column:
     """Text of a page without scripts, styles, comments and tags.
 
-    Tags fall away in the JVM; Python only resolves character references, and
-    only where the text has any. With ``paragraphs`` block elements leave an
+    Tags fall away in the JVM, with ``>`` in quoted attributes; a script or
+    style that is not closed goes on to the end. Python only resolves character
+    references, and only gets the texts that have any. With ``paragraphs`` block elements leave an
     empty line, so that sentences do not run across them.
     """
     text = as_column(c)
     text = F.regexp_replace(text, r"(?s)<!--.*?-->", " ")
-    text = F.regexp_replace(text, r"(?is)<script\b.*?</script\s*>", " ")
-    text = F.regexp_replace(text, r"(?is)<style\b.*?</style\s*>", " ")
+    text = F.regexp_replace(text, r"(?is)<script\b.*?(?:</script\s*>|\z)", " ")
+    text = F.regexp_replace(text, r"(?is)<style\b.*?(?:</style\s*>|\z)", " ")
     if paragraphs:
         text = F.regexp_replace(text, r"\s+", " ")
         text = F.regexp_replace(text, rf"(?i)</?(?:{BLOCK_TAGS})(?:\s[^>]*)?/?>", "\n\n")
+    # an attribute whose quote is not closed: the tag ends at the next >
+    text = F.regexp_replace(text, r"""</?[A-Za-z!?](?:[^>"']++|"[^"]*+"|'[^']*+')*+>""", " ")
     text = F.regexp_replace(text, r"</?[A-Za-z!?][^>]*>", " ")
-    text = unescape_entities(text)
+    text = F.coalesce(unescape_entities(F.when(F.contains(text, F.lit("&")), text)), text)
     if not paragraphs:
         return collapse(text)
     text = F.regexp_replace(text, r"(?U)[\s&&[^\n]]+", " ")

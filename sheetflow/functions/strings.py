@@ -61,13 +61,20 @@ def col_index(letters: str, base: int = 0) -> int:
     return position - 1 + base
 
 
-def keyword_columns(spec: str, columns: list[str]) -> list[tuple[str, bool]]:
-    """``"C*,D"`` as (column name, quoted) pairs; names work as well as letters."""
+def keyword_columns(spec: str, columns: list[str], names: bool = False) -> list[tuple[str, bool]]:
+    """``"C*,D"`` as (column name, quoted) pairs.
+
+    The entries are column letters, whatever the columns are called; with
+    ``names`` they are column names instead. Letters beyond the table are
+    passed over, an unknown name is an error.
+    """
     found = []
     for token in filter(None, (t.strip() for t in spec.split(","))):
         quoted = token.endswith("*")
         token = token.rstrip("*")
-        if token in columns:
+        if names:
+            if token not in columns:
+                raise ValueError(f"no column {token!r}; there are {columns}")
             found.append((token, quoted))
             continue
         at = col_index(token)
@@ -78,10 +85,10 @@ def keyword_columns(spec: str, columns: list[str]) -> list[tuple[str, bool]]:
     return found
 
 
-def build_keywords(spec: str, columns: list[str]) -> Column:
+def build_keywords(spec: str, columns: list[str], names: bool = False) -> Column:
     """Search text from the chosen columns, in order; starred ones in quotes."""
     parts = []
-    for name, quoted in keyword_columns(spec, columns):
+    for name, quoted in keyword_columns(spec, columns, names):
         text = strip(F.replace(F.col(f"`{name}`").cast("string"), F.lit("\n"), F.lit(" ")))
         shown = F.concat(F.lit('"'), text, F.lit('"')) if quoted else text
         parts.append(F.when(text != "", shown))

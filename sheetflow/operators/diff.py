@@ -35,7 +35,7 @@ def _comparable(c: Column, kind: T.DataType, as_text: bool) -> Column:
 class KeyedDiff:
     """The parts of a comparison, each a lazy DataFrame.
 
-    A null key part matches another null; rows whose key is null in every part
+    A null key part matches another null; keys of unlike type match as text; rows whose key is null in every part
     are left out. Keys must be unique on both sides.
     """
 
@@ -53,14 +53,19 @@ class KeyedDiff:
             self._verify()
 
     def _verify(self) -> None:
-        sides = [df.select(F.lit(label).alias("_side"), *[quoted(k) for k in self.keys]) for label, df in (("old", self.old), ("new", self.new))]
+        sides = [df.select(F.lit(label).alias("_side"), *[self._key(quoted(k), k).alias(k) for k in self.keys]) for label, df in (("old", self.old), ("new", self.new))]
         found = duplicate_keys(sides[0].unionByName(sides[1]), ["_side", *self.keys]).collect()
         if found:
             raise ValueError(f"key {self.keys} is not unique, for example {[tuple(r)[:-1] for r in found]}")
 
+    def _key(self, c: Column, name: str) -> Column:
+        """Keys of unlike type are compared as text."""
+        alike = self.old.schema[name].dataType == self.new.schema[name].dataType
+        return c if alike else c.cast("string")
+
     def _missing_in(self, a: DataFrame, b: DataFrame) -> DataFrame:
         a, b = a.alias("a"), b.select(*[quoted(k) for k in self.keys]).alias("b")
-        return a.join(b, reduce(lambda x, y: x & y, [F.col(f"a.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in self.keys]), "left_anti")
+        return a.join(b, reduce(lambda x, y: x & y, [self._key(F.col(f"a.`{k}`"), k).eqNullSafe(self._key(F.col(f"b.`{k}`"), k)) for k in self.keys]), "left_anti")
 
     @property
     def added(self) -> DataFrame:
@@ -76,7 +81,7 @@ class KeyedDiff:
             return df.select(*picked, F.lit(True).alias(f"{tag}_in"))
 
         a, b = side(self.old, "o"), side(self.new, "n")
-        on = reduce(lambda x, y: x & y, [a[f"o{i}"].eqNullSafe(b[f"n{i}"]) for i in range(len(self.keys))])
+        on = reduce(lambda x, y: x & y, [self._key(a[f"o{i}"], k).eqNullSafe(self._key(b[f"n{i}"], k)) for i, k in enumerate(self.keys)])
         return a.join(b, on, how)
 
     def _cells(self) -> list[tuple[str, Column, Column, Column]]:

@@ -8,13 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheetflow.functions.strings import cell, col_index, filled
-from sheetflow.operators.keyed import quoted
+from sheetflow.operators.keyed import lookup, quoted
 
 GROUP = ["file", "sheet"]
 
-# Fixed value: the column limit of the workbook format, which bounds a header.
-MAX_COLUMNS = 16_384
-
 
 def _group(df: DataFrame) -> list[str]:
     return [c for c in GROUP if c in df.columns]
@@ -22,19 +19,13 @@ def _group(df: DataFrame) -> list[str]:
 
 def header_names(cells: DataFrame, header_row: int = 1) -> dict[int, str]:
     """Column position to trimmed name; blank names are left out."""
-    rows = (
-        cells.filter(F.col("row") == header_row)
-        .select("col", filled("value").alias("name"))
-        .filter("name IS NOT NULL")
-        .distinct()
-        .limit(MAX_COLUMNS + 1)  # one more can only mean two names for a column
-        .collect()
-    )
-    found: dict[int, str] = {}
-    for r in sorted(rows):
-        if found.setdefault(r["col"], r["name"]) != r["name"]:
-            raise ValueError(f"column {r['col']} has different headers: {found[r['col']]!r}, {r['name']!r}")
-    return found
+    named = cells.filter(F.col("row") == header_row).select("col", filled("value").alias("name")).filter("name IS NOT NULL")
+    # one row per column, and the workbook format bounds the columns
+    found = named.groupBy("col").agg(F.min("name").alias("first"), F.max("name").alias("last")).collect()
+    for r in sorted(found):
+        if r["first"] != r["last"]:
+            raise ValueError(f"column {r['col']} has different headers: {r['first']!r}, {r['last']!r}")
+    return {r["col"]: r["first"] for r in found}
 
 
 def promote_header(cells: DataFrame, header_row: int = 1, names: dict[int, str] | None = None) -> DataFrame:
@@ -110,12 +101,14 @@ def slice_rows(df: DataFrame, spec: str, first_row: int = 1, single: str = "open
     return kept if high is None else kept.filter(F.col(row) <= high)
 
 
-def stop_at_blank(df: DataFrame, columns: Sequence[str] | None = None, mode: str = "name", row: str = "_row") -> DataFrame:
+def stop_at_blank(df: DataFrame, columns: Sequence[str] | None = None, mode: str = "name", row: str = "_row", gaps: bool = True) -> DataFrame:
     """Rows before the first blank one.
 
-    ``name``: blank in the one named column; ``all``: blank in every column.
-    One file stops by a scalar subquery that becomes a plain filter; several
-    files each stop at their own blank row.
+    ``name``: blank in the one named column; ``all``: blank in every column. A
+    row without any cell is not in the table at all, so a gap in the row
+    numbers is a blank row as well; ``gaps=False`` is for tables whose numbers
+    are not those of a sheet. One file stops by a scalar subquery that becomes
+    a plain filter; several files each stop at their own blank row.
     """
     groups = _group(df)
     looked_at = list(columns) if columns else [c for c in df.columns if c not in (*groups, row)]
@@ -126,12 +119,19 @@ def stop_at_blank(df: DataFrame, columns: Sequence[str] | None = None, mode: str
     blank = F.lit(True)
     for c in looked_at:
         blank = blank & (cell(quoted(c)) == "")
-    ends = df.filter(blank)
+    at = [quoted(g) for g in groups]
+    ends = df.filter(blank).select(*at, F.col(row).cast("long").alias("_stop"))
+    if gaps:
+        # the number after a row is a gap unless there is a row of that number
+        here = F.col(row).cast("long")
+        after = df.select(*at, F.inline(F.array(F.struct((here + 1).alias("_stop"), F.lit(False).alias("_there")), F.struct(here.alias("_stop"), F.lit(True).alias("_there")))))
+        open_ends = after.groupBy(*at, "_stop").agg(F.bool_or("_there").alias("_there")).filter(~F.col("_there"))
+        ends = ends.unionByName(open_ends.drop("_there"))
     if not groups:
-        stop = ends.agg(F.min(row)).scalar()
-        return df.filter(F.col(row) < F.coalesce(stop, F.lit((1 << 31) - 1)))
-    first = ends.groupBy(*groups).agg(F.min(row).alias("_stop"))
-    return df.join(first, groups, "left").filter(F.col("_stop").isNull() | (F.col(row) < F.col("_stop"))).drop("_stop")
+        stop = ends.agg(F.min("_stop")).scalar()
+        return df.filter(F.col(row) < F.coalesce(stop, F.lit((1 << 63) - 1)))
+    first = ends.groupBy(*at).agg(F.min("_stop").alias("_stop"))
+    return lookup(df, first, groups).filter(F.col("_stop").isNull() | (F.col(row) < F.col("_stop"))).drop("_stop")
 
 
 def skip_blank(df: DataFrame, column: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sheetflow.functions.strings import as_column, cell, filled, non_empty, strip
+from sheetflow.session import settle
 
 # Rows without a key go to this many surrogate keys.
 NULL_BUCKETS = 1024
@@ -36,7 +37,7 @@ def _surrogate(df: DataFrame, key: str) -> Column:
     kind, bucket = df.schema[key].dataType, F.pmod(_row_hash(df), F.lit(NULL_BUCKETS))
     if isinstance(kind, T.StringType):
         return F.concat(F.lit("no key "), bucket.cast("string"))
-    return bucket.cast(kind) if isinstance(kind, (T.LongType, T.IntegerType)) else F.lit(None).cast(kind)
+    return bucket.cast(kind) if isinstance(kind, T.NumericType) else F.lit(None).cast(kind)
 
 
 def lookup(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "left", spread: int = 1) -> DataFrame:
@@ -130,8 +131,9 @@ def pending(
         raise ValueError(f"policy must be any or success, not {policy!r}")
     done = successful(log, status, good) if policy == "success" else log
     source = quoted(log_key or key)
-    settled = done.filter(non_empty(source)).select(strip(source).alias(key)).distinct()
-    return df.join(settled, key, "left_anti").select(*[quoted(c) for c in df.columns])
+    settled = done.filter(non_empty(source)).select(strip(source).alias(key)).distinct().withColumn("_settled", F.lit(True))
+    # a lookup and not an anti join: it splits frequent keys and spreads rows without one
+    return lookup(df, settled, key).filter(F.col("_settled").isNull()).select(*[quoted(c) for c in df.columns])
 
 
 def rows_done(
@@ -194,6 +196,48 @@ def position(c: Column | str) -> Column:
     return F.coalesce(as_column(c).try_cast("int"), F.lit(0))
 
 
+def numbered(rows: DataFrame, by: Sequence[str], order: Sequence[str], nth: str = "nth") -> DataFrame:
+    """Rows numbered from 1 within their group, however large the group is.
+
+    The rows are sorted into ranges by group and order, so a large group lies
+    in several ranges; each range counts its own rows, and the counts of the
+    ranges before it are added.
+    """
+    groups = [quoted(c) for c in by]
+    place = [*groups, *[quoted(c) for c in order]]
+    count = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # settled, for Spark draws the bounds of the ranges anew whenever it computes them
+    ranged = settle(rows.repartitionByRange(count, *place).withColumn("_range", F.spark_partition_id()))
+    inside = Window.partitionBy("_range", *groups).orderBy(*[quoted(c) for c in order])
+    local = ranged.withColumn("_local", F.row_number().over(inside))
+    sizes = local.groupBy("_range", *groups).agg(F.max("_local").alias("_size"))
+    before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    start = sizes.select("_range", *groups, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    start = start.select(F.col("_range").alias("_r"), F.col("_start"), *[quoted(c).alias(f"_by{i}") for i, c in enumerate(by)])
+    same = reduce(lambda x, y: x & y, [quoted(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)], F.col("_range") == F.col("_r"))
+    joined = local.join(start, same)
+    return joined.select(*[quoted(c) for c in rows.columns], (F.col("_local") + F.col("_start")).alias(nth))
+
+
+def distinct_values(
+    df: DataFrame, by: Sequence[str], value: str, order: Sequence[str], apart: Column | None = None, tied: bool = False
+) -> DataFrame:
+    """Distinct values of each group, one per row, numbered from 1 in order: the groups, ``value`` and ``nth``.
+
+    Repeats are dropped before the shuffle; rows that differ in ``apart`` do
+    not count as repeats. ``tied`` says that a value always has the same place,
+    which spares looking for its first one.
+    """
+    groups = [quoted(c) for c in by]
+    kept_apart = [] if apart is None else [apart.alias("_a")]
+    place = quoted(order[0]) if len(order) == 1 else F.struct(*[quoted(c).alias(f"o{i}") for i, c in enumerate(order)])
+    if tied:
+        rows = df.select(*groups, quoted(value).alias("_v"), place.alias("_o"), *kept_apart).distinct()
+    else:
+        rows = df.groupBy(*groups, quoted(value).alias("_v"), *kept_apart).agg(F.min(place).alias("_o"))
+    return numbered(rows, by, ["_o", "_v"]).select(*groups, F.col("_v").alias(value), "nth")
+
+
 def joined_cells(
     df: DataFrame,
     by: Sequence[str],
@@ -203,38 +247,20 @@ def joined_cells(
     out: str = "text",
     apart: Column | None = None,
     tied: bool = False,
-    part_size: int = 100_000,
+    length: int = 10_000,
 ) -> DataFrame:
-    """Distinct values of each group joined into one text, in order.
+    """Distinct values of each group joined into texts, in order.
 
-    Repeats are dropped before the shuffle; rows that differ in ``apart`` do
-    not count as repeats. ``tied`` says that a value always has the same
-    place, which spares looking for its first one. A group with more than ``part_size`` values does not
-    meet in one task: it comes as several rows, numbered by ``part``, each in
-    order, that together hold every value once.
+    A rendering of :func:`distinct_values`: row ``part`` (from 0) of a group
+    holds its values from ``part * length`` on, at most ``length`` of them. The
+    rule is the same for every group, and the parts in order are the whole.
     """
     by = list(by)
-    groups = [quoted(c) for c in by]
-    kept_apart = [] if apart is None else [apart.alias("_a")]
-    place = quoted(order[0]) if len(order) == 1 else F.struct(*[quoted(c).alias(f"o{i}") for i, c in enumerate(order)])
-    if tied:
-        rows = df.select(*groups, quoted(value).alias("_v"), place.alias("_o"), *kept_apart).distinct()
-    else:
-        rows = df.groupBy(*groups, quoted(value).alias("_v"), *kept_apart).agg(F.min(place).alias("_o"))
-    # counting the places, and matching nulls, keeps this branch equal to the
-    # other one down to its shuffle, which is then done once
-    large = (
-        rows.groupBy(*groups)
-        .agg(F.count("_o").alias("_n"))
-        .filter(F.col("_n") > part_size)
-        .select(*[quoted(c).alias(f"_by{i}") for i, c in enumerate(by)], F.ceil(F.col("_n") / part_size).cast("int").alias("_parts"))
-    )
-    same = reduce(lambda x, y: x & y, [quoted(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)])
-    part = F.coalesce(F.pmod(F.xxhash64("_v", "_o"), F.col("_parts")).cast("int"), F.lit(0))
-    cut = rows.join(large, same, "left").withColumn("part", part)
-    listed = F.array_sort(F.collect_list(F.struct("_o", "_v")))
+    values = distinct_values(df, by, value, order, apart, tied)
+    cut = values.select(*[quoted(c) for c in by], F.floor((F.col("nth") - 1) / length).cast("int").alias("part"), "nth", quoted(value).alias("_v"))
+    listed = F.array_sort(F.collect_list(F.struct("nth", "_v")))
     text = F.array_join(F.transform(listed, lambda x: x["_v"].cast("string")), sep)
-    return cut.groupBy(*groups, "part").agg(text.alias(out))
+    return cut.groupBy(*[quoted(c) for c in by], "part").agg(text.alias(out))
 
 
 def merge_values(values: Column | str, sep: str = ";") -> Column:

@@ -11,7 +11,7 @@ from sheetflow.functions.jsontext import is_json, is_json_array, is_json_object,
 from sheetflow.functions.links import is_http
 from sheetflow.functions.strings import build_keywords, cell, filled, non_empty, prefix_path, render_template, sha1_hex, strip
 from sheetflow.operators.grid import method_set, require_columns, resolve_column
-from sheetflow.operators.keyed import exclude_urls, found_rows, joined_cells, latest, lookup, merge_values, position, quoted, successful, top_n
+from sheetflow.operators.keyed import distinct_values, exclude_urls, found_rows, joined_cells, latest, lookup, merge_values, position, quoted, successful, top_n
 
 # Report wording.
 NO_MATCH, CALL_FAILED = "【无匹配】", "【调用失败】"
@@ -355,25 +355,36 @@ def is_status_row(c: Column | str) -> Column:
 # -- comparison of methods ----------------------------------------------------
 
 
-def by_keyword(items: DataFrame, row: str = "_row", part_size: int = 100_000) -> DataFrame:
-    """(row, keyword, part, text): institution names per keyword column.
-
-    ``items`` has row, keyword, name and ``at``, their order within the row.
-    Known keywords merge distinct names; the others come as ``keyword: name`` under 其他, with
-    未知 for a missing keyword and every entry kept.
-    """
+def _by_keyword(items: DataFrame, row: str) -> tuple[DataFrame, Column]:
     known = F.create_map(*[x for k in KEYWORD_COLUMNS for x in (F.lit(k.lower()), F.lit(k))])
     named = items.filter(non_empty("name")).select(quoted(row), strip("keyword").alias("_given"), strip("name").alias("name"), "at")
     found = F.try_element_at(known, F.lower("_given"))
     tagged = named.withColumn("keyword", F.coalesce(found, F.lit(OTHER)))
     other = F.col("keyword") == OTHER
     shown = F.when(other, F.concat_ws(": ", F.coalesce(F.nullif("_given", F.lit("")), F.lit(UNKNOWN)), F.col("name"))).otherwise(F.col("name"))
-    return joined_cells(tagged.withColumn("name", shown), [row, "keyword"], "name", ["at"], ";", apart=F.when(other, F.col("at")), part_size=part_size)
+    return tagged.withColumn("name", shown), F.when(other, F.col("at"))
+
 
+def keyword_names(items: DataFrame, row: str = "_row") -> DataFrame:
+    """(row, keyword, name, nth): institution names per keyword column, numbered in order.
 
-def keyword_pivot(items: DataFrame, row: str = "_row", part_size: int = 100_000) -> DataFrame:
-    """One column per keyword, in the fixed order, then 其他."""
-    cells = by_keyword(items, row, part_size)
+    ``items`` has row, keyword, name and ``at``, their order within the row.
+    Known keywords merge distinct names; the others come as ``keyword: name`` under 其他, with
+    未知 for a missing keyword and every entry kept.
+    """
+    tagged, apart = _by_keyword(items, row)
+    return distinct_values(tagged, [row, "keyword"], "name", ["at"], apart)
+
+
+def by_keyword(items: DataFrame, row: str = "_row", length: int = 10_000) -> DataFrame:
+    """(row, keyword, part, text): the names of :func:`keyword_names` as texts of at most ``length`` names."""
+    tagged, apart = _by_keyword(items, row)
+    return joined_cells(tagged, [row, "keyword"], "name", ["at"], ";", apart=apart, length=length)
+
+
+def keyword_pivot(items: DataFrame, row: str = "_row", length: int = 10_000) -> DataFrame:
+    """One column per keyword, in the fixed order, then 其他; a row for each ``part`` that a keyword has."""
+    cells = by_keyword(items, row, length)
     texts = F.map_from_entries(F.collect_list(F.struct("keyword", "text")))
     one = cells.groupBy(row, "part").agg(texts.alias("_texts"))
     wide = [F.coalesce(F.try_element_at("_texts", F.lit(k)), F.lit("")).alias(f"关键词_{k}") for k in [*KEYWORD_COLUMNS, OTHER]]
@@ -424,7 +435,8 @@ def combine_methods(
     """The sheet beside the answers of up to three methods, one name prefix per group.
 
     ``items`` has row, keyword, name and ``at``. The AI columns stay blank for
-    methods that are not included.
+    methods that are not included. Where keyword texts go on in further parts,
+    those rows have blanks in all other columns.
     """
     methods = method_set(include)
     sheet = [c for c in df.columns if c != row]
@@ -435,7 +447,7 @@ def combine_methods(
     for key, shown in (("manual_unit", "人工_人工判断单位"), ("manual_sentence", "人工_人工判断关键语句")):
         source = resolve_column(df, ALIASES[key])
         if source:
-            manual.append(quoted(f"原始_{source}").alias(shown))
+            manual.append((shown, quoted(f"原始_{source}")))
 
     def answers(log: DataFrame | None, on: bool, prefix: str, fields: Sequence[str], links: dict[str, str]) -> DataFrame | None:
         if not on or log is None:
@@ -463,8 +475,14 @@ def combine_methods(
     def shown(columns: Sequence[str], there: bool) -> list[Column]:
         return [(F.coalesce(quoted(c), F.lit("")) if there else F.lit("")).alias(c) for c in columns]
 
-    answered = [c for found, columns in groups for c in shown(columns, found is not None)]
-    return out.select(row, *[quoted(c) for c in original], *manual, *answered, *shown(keywords, with_items), part.alias("part"))
+    def once(c: Column, name: str) -> Column:
+        return (F.when(part == 0, c).otherwise("") if with_items else c).alias(name)
+
+    names = [c for _, columns in groups for c in columns]
+    answered = [once(c, n) for n, c in zip(names, (c for found, columns in groups for c in shown(columns, found is not None)))]
+    sheet_cells = [once(quoted(c), c) for c in original]
+    by_hand = [once(c, n) for n, c in manual]
+    return out.select(row, *sheet_cells, *by_hand, *answered, *shown(keywords, with_items), part.alias("part"))
 
 
 def report_rows(names_df: DataFrame, results: DataFrame, kind: str = "search", row: str = "_row", spread: int = 1) -> DataFrame:
@@ -549,7 +567,7 @@ def url_check(responses: DataFrame) -> DataFrame:
 # -- provenance and counts ----------------------------------------------------
 
 
-def url_provenance(df: DataFrame, part_size: int = 100_000) -> DataFrame:
+def url_provenance(df: DataFrame, length: int = 10_000) -> DataFrame:
     """(url, part, sheets, rows, keywords): where each URL came from.
 
     Distinct values, sheets and keywords by text, rows by number, one per line.
@@ -561,7 +579,7 @@ def url_provenance(df: DataFrame, part_size: int = 100_000) -> DataFrame:
     }
     entries = [F.struct(F.lit(k).alias("kind"), number.alias("number"), text.alias("text")) for k, (number, text) in kinds.items()]
     long = df.select("url", F.inline(F.array(*entries))).filter("text IS NOT NULL")
-    cells = joined_cells(long, ["url", "kind"], "text", ["number", "text"], "\n", out="lines", tied=True, part_size=part_size)
+    cells = joined_cells(long, ["url", "kind"], "text", ["number", "text"], "\n", out="lines", tied=True, length=length)
     texts = F.map_from_entries(F.collect_list(F.struct("kind", "lines")))
     one = cells.groupBy("url", "part").agg(texts.alias("_texts"))
     return one.select("url", "part", *[F.try_element_at("_texts", F.lit(k)).alias(k) for k in kinds])

@@ -7,12 +7,11 @@ from sheetflow.operators import reports
 from sheetflow.operators.keyed import joined_cells, latest, merge_values, order_by_source
 from sheetflow.plans.registry import query
 from sheetflow.plans.runs import LOG, SEARCH_LOG, SNAP_LOG, event_log, keyword_logs
-from sheetflow.session import spread_scan
 
 
 def order_search_log(t):
     """Line items as the logged search results of their order."""
-    li = spread_scan(t.lineitem)
+    li = t.lineitem
     return li.select(
         F.concat(F.lit("order "), F.col("l_orderkey").cast("string")).alias("query"),
         F.when(F.col("l_returnflag") == "R", "False").otherwise("true").alias("FOUND"),
@@ -111,7 +110,7 @@ def search_rows(t):
         lambda i: F.struct((i + 1).alias("position"), F.concat(F.lit("http://r"), i.cast("string"), F.lit(".org")).alias("url"), F.concat(F.lit('say "'), i.cast("string"), F.lit('"')).alias("description")),
     )
     body = F.to_json(F.struct(F.struct(k.cast("int").alias("number_of_results")).alias("meta_data"), F.when(F.col("value") > 20, results).otherwise(F.slice(results, 1, 0)).alias("organic_results")))
-    replies = spread_scan(t.events).select(
+    replies = t.events.select(
         F.col("event_id").alias("row_number"),
         F.concat(F.lit("q"), k).alias("query"),
         F.when(F.col("event_type") == "view", "{}").when(F.col("event_type") != "error", body).alias("payload"),
@@ -245,11 +244,22 @@ def keyword_cells(t):
 
 @query(f"WITH {ITEMS}, v AS (SELECT _row, keyword, unnest(string_split(text, ';')) AS v FROM cells) SELECT _row, keyword, v, count(*) AS n FROM v GROUP BY ALL")
 def keyword_cells_split(t):
-    """Groups over a tenth of a thousand values come in several rows; together they hold every value."""
-    cells = reports.by_keyword(supplier_items(t), part_size=10)
+    """Long groups come in several rows; together they hold every value."""
+    cells = reports.by_keyword(supplier_items(t), length=10)
     return cells.select("_row", "keyword", F.explode(F.split("text", ";")).alias("v")).groupBy("_row", "keyword", "v").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    f"""WITH {ITEMS}, long AS (SELECT _row, kw AS keyword, name, "at" FROM firsts
+ UNION ALL SELECT _row, '其他', CASE WHEN keyword = '' THEN '未知' ELSE keyword END || ': ' || name, "at" FROM known WHERE kw IS NULL)
+SELECT _row, keyword, name, row_number() OVER (PARTITION BY _row, keyword ORDER BY "at", name) AS nth FROM long"""
+)
+def keyword_long(t):
+    """Every name of a keyword with its number, whatever the size of the group."""
+    return reports.keyword_names(supplier_items(t))
+
+
+# The keyword columns, in their order.
 KEYWORD_COLS = ["On behalf of", "journal of", "publication of", "Affiliate", "Edited", "Own", "In association with", "responsible", "supervise", "sponsor", "Patronage",
                 "Compile", "partnership", "Societies", "In cooperation with", "The backing of", "administrated", "Copyright ©", "©", "Press", "Funded", "其他"]
 PIVOT = ", ".join(f"""coalesce(max(CASE WHEN keyword = '{k}' THEN text END), '') AS "关键词_{k}\"""" for k in KEYWORD_COLS)
@@ -321,7 +331,7 @@ def report_log(t):
     kind = F.col("event_type")
     k = F.get_json_object("props", "$.k")
     one = F.concat(F.lit('{"主办单位":"H'), k, F.lit('","关联单位":"R'), k, F.lit('","来源链接1":"http://own/'), k, F.lit('"}'))
-    log = spread_scan(t.events).filter("user_id <> 3").select(
+    log = t.events.filter("user_id <> 3").select(
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("journal_name"),
         F.when(kind.isin("click", "signup", "view"), "success").otherwise("failed").alias("status"),
         F.when(kind == "error", "timeout").when(kind == "purchase", F.lit(None)).otherwise("").alias("error_type"),

@@ -24,7 +24,7 @@ from sheetflow.operators.enrich import (
 from sheetflow.operators.keyed import extraction_status, latest, overlay, pending, rows_done, successful
 from sheetflow.plans.registry import query
 from sheetflow.plans.texts import REPLY, by_type, sql_by_type
-from sheetflow.session import spread_scan, work_dir
+from sheetflow.session import work_dir
 from sheetflow.sources.logs import append_log, read_log
 from sheetflow.sources.textfiles import read_blocks, read_lines
 from sheetflow.streaming.watch import watch
@@ -32,7 +32,7 @@ from sheetflow.streaming.watch import watch
 
 def event_log(t):
     """Events as a run log of users: an error is a failed try, later rows are newer."""
-    return spread_scan(t.events).select(
+    return t.events.select(
         F.col("user_id").cast("string").alias("key"),
         F.when(F.col("event_type") == "error", "failed").when(F.col("event_type") == "view", "skipped").otherwise("success").alias("status"),
         "event_type",
@@ -80,7 +80,7 @@ SNAP_LOG = """nl AS (SELECT CASE WHEN k % 3 = 0 THEN 'http://hot/' ELSE 'http://
 
 def keyword_logs(t):
     """A search log and a snapshot log whose keys repeat, with one hot URL."""
-    e = spread_scan(t.events).withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    e = t.events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     seq = F.struct("ts", "event_id").alias("_seq")
     k = F.col("k")
     some = k % 4 > 0
@@ -260,7 +260,7 @@ SELECT event_id, CASE WHEN error_type IS NULL THEN 'success' ELSE 'failed' END A
 )
 def model_replies(t):
     """Outcome of model calls from reply, error and token use."""
-    e = spread_scan(t.events).withColumn("k", F.get_json_object("props", "$.k").cast("long"))
+    e = t.events.withColumn("k", F.get_json_object("props", "$.k").cast("long"))
     failed = F.when((F.col("event_type") == "view") & (F.col("value") > 60), "HTTP 429")
     calls = e.select("event_id", by_type(REPLY).alias("reply"), failed.alias("failure"), "k", F.lit(10).alias("out"))
     judged = model_outcome(calls, "reply", "failure", ["k"], "k", "out", 1.0, 8.0)
@@ -339,6 +339,30 @@ def method_fallback(t):
 # -- files --------------------------------------------------------------------
 
 
+def drifted(t, fmt: str):
+    """Two appends of the events whose rule columns differ."""
+    path = work_dir(t.spark, f"drift-{fmt}")
+    rows = t.events.select(F.concat(F.lit("k"), F.col("event_id").cast("string")).alias("url"), F.lit("true").alias("SUCCESS"), "event_type", "user_id")
+    click = F.col("event_type") == "click"
+    append_log(rows.filter(click).select("url", "SUCCESS", F.concat(F.lit("p"), F.col("user_id").cast("string")).alias("price")), path, fmt)
+    append_log(rows.filter(~click).select("url", "SUCCESS", F.col("event_type").alias("title")), path, fmt)
+    return read_log(t.spark, path, fmt=fmt).select("url", "SUCCESS", "price", "title")
+
+
+DRIFT = """SELECT 'k' || event_id AS url, 'true' AS SUCCESS, CASE WHEN event_type = 'click' THEN 'p' || user_id {other} END AS price,
+ CASE WHEN event_type <> 'click' THEN event_type {other} END AS title FROM events"""
+
+
+@query(DRIFT.format(other=""))
+def log_drift_parquet(t):
+    return drifted(t, "parquet")
+
+
+@query(DRIFT.format(other="ELSE ''"))
+def log_drift_csv(t):
+    return drifted(t, "csv")
+
+
 @query(
     """WITH log AS (SELECT DISTINCT ON (user_id) 'user "' || user_id || '"' AS journal_name, event_type AS status, CAST(json_extract_string(props, '$.k') AS BIGINT) AS total_tokens,
    '[' || props || ',' || chr(10) || '"é"]' AS results_json FROM events WHERE event_type <> 'error' ORDER BY user_id, ts DESC, event_id DESC)

@@ -88,6 +88,34 @@ SELECT f.* FROM f LEFT JOIN stops USING (file) WHERE stop IS NULL OR _row < stop
 def grid_stop_per_file(t):
     """Each file stops at its own first blank row."""
     files = customer_sheet(t).select(F.col("c_nationkey").cast("string").alias("file"), "_row", "name", "c_mktsegment")
+    return stop_at_blank(files, ["name"], gaps=False)
+
+
+GAPS = "SELECT * FROM sheet WHERE c_nationkey <> 7"
+
+
+@query(
+    SHEET_SQL
+    + f""", g AS ({GAPS}), stop AS (SELECT min(_row + 1) AS s FROM g WHERE _row + 1 NOT IN (SELECT _row FROM g))
+SELECT * FROM g WHERE _row < (SELECT s FROM stop) AND _row < coalesce((SELECT min(_row) FROM g WHERE trim(name, ' ' || chr(9)) = ''), 9000000000)"""
+)
+def grid_stop_at_gap(t):
+    """Rows that are missing altogether end the sheet like blank ones."""
+    return stop_at_blank(customer_sheet(t).filter("c_nationkey <> 7"), ["name"])
+
+
+@query(
+    SHEET_SQL
+    + f""", f AS (SELECT CAST(_row % 3 AS VARCHAR) AS file, _row // 3 AS _row, name, c_mktsegment FROM ({GAPS})),
+ends AS (SELECT file, _row AS s FROM f WHERE trim(name, ' ' || chr(9)) = ''
+ UNION ALL SELECT file, _row + 1 FROM f WHERE (file, _row + 1) NOT IN (SELECT (file, _row) FROM f)),
+stops AS (SELECT file, min(s) AS s FROM ends GROUP BY file)
+SELECT f.* FROM f JOIN stops USING (file) WHERE _row < s"""
+)
+def grid_gap_per_file(t):
+    """Each file stops at its own first gap or blank row."""
+    rows = customer_sheet(t).filter("c_nationkey <> 7")
+    files = rows.select((F.col("_row") % 3).cast("string").alias("file"), F.floor(F.col("_row") / 3).alias("_row"), "name", "c_mktsegment")
     return stop_at_blank(files, ["name"])
 
 

@@ -58,13 +58,3 @@ def settle(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage with a reliable checkpoint."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread_scan(df: DataFrame) -> DataFrame:
-    """A table scan spread over all cores when its files give fewer parts.
-
-    For work that is heavy per row, such as reading page texts. Large tables
-    have parts enough and pass through without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -68,14 +68,16 @@ def read_log(spark: SparkSession, path: str, kind: str | None = None, fmt: str =
     Columns of the kind that a file lacks are added as nulls; numbers that do
     not parse become null. A text cell of a CSV file is "" where the file has nothing.
     """
+    where = ["_metadata.file_modification_time", "_metadata.file_name"]
     if fmt == "csv":
-        raw = spark.read.options(**_CSV).csv(path)
-        raw = raw.withColumnsRenamed({c: c.lstrip(BOM) for c in raw.columns})
-        place = F.monotonically_increasing_id()
+        raw = _read_csv(spark, path)
+        where, place = ["_time", "_file"], F.col("_place")
     else:
-        raw = spark.read.format(fmt).load(path)
+        # appends may differ in their columns
+        raw = spark.read.option("mergeSchema", "true").format(fmt).load(path)
         place = F.col("_metadata.row_index") if fmt == "parquet" else F.monotonically_increasing_id()
-    names = list(dict.fromkeys([*(LOG_COLUMNS[kind] if kind else []), *raw.columns]))
+    own = [c for c in raw.columns if fmt != "csv" or c not in ("_time", "_file", "_place")]
+    names = list(dict.fromkeys([*(LOG_COLUMNS[kind] if kind else []), *own]))
     types = dict(raw.dtypes)
     fields = []
     for name in names:
@@ -85,13 +87,44 @@ def read_log(spark: SparkSession, path: str, kind: str | None = None, fmt: str =
             known = known.try_cast(wanted) if wanted != "string" else F.coalesce(known, F.lit("")) if fmt == "csv" else known
         fields.append(known.alias(name))
     seq = F.struct(
-        F.col("_metadata.file_modification_time").alias("time"),
-        F.col("_metadata.file_name").alias("file"),
+        F.col(where[0]).alias("time"),
+        F.col(where[1]).alias("file"),
         place.alias("place"),
     )
     return raw.select(*fields, seq.alias("_seq"))
 
 
+def _read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Every file by its own header: files of equal header are read together, and columns meet by name.
+
+    The driver reads the first line of each file, wherever Spark can read it; a
+    header must not have line breaks.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    by_header: dict[str, list[str]] = {}
+    for status in fs.globStatus(root) or []:
+        listed = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+        for f in listed:
+            if f.isDirectory() or not f.getLen() or f.getPath().getName()[0] in "._":
+                continue
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(f.getPath()), "UTF-8"))
+            by_header.setdefault(reader.readLine(), []).append(f.getPath().toString())
+            reader.close()
+    if not by_header:
+        by_header = {"": [path]}
+    parts = []
+    for _, files in sorted(by_header.items()):
+        part = spark.read.options(**_CSV).csv(files)
+        meta = {"_time": F.col("_metadata.file_modification_time"), "_file": F.col("_metadata.file_name"), "_place": F.monotonically_increasing_id()}
+        parts.append(part.withColumns(meta).withColumnsRenamed({c: c.lstrip(BOM) for c in part.columns}))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
 def append_log(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Add rows to a log; every CSV part carries its own header."""
     writer = df.drop("_seq").write.mode("append")

@@ -97,16 +97,16 @@ def test_found_rows(spark):
     assert rows(kept) == [("http://b/y",), (None,)]
 
 
-@pytest.mark.parametrize("part_size", [1000, 7])
-def test_joined_cells(spark, part_size):
+@pytest.mark.parametrize("length", [1000, 7])
+def test_joined_cells(spark, length):
     df = spark.range(300).select((F.col("id") % 2).alias("g"), F.concat(F.lit("v"), (F.col("id") % 30).cast("string")).alias("v"), F.col("id").alias("o"))
-    cells = keyed.joined_cells(df, ["g"], "v", ["o"], ",", part_size=part_size).collect()
+    cells = keyed.joined_cells(df, ["g"], "v", ["o"], ",", length=length).collect()
     for g in (0, 1):
         expected = [f"v{i}" for i in range(30) if i % 2 == g]
         texts = [r["text"].split(",") for r in cells if r["g"] == g]
         assert sorted(sum(texts, [])) == sorted(expected)
         assert all(t == [v for v in expected if v in t] for t in texts)
-        assert (len(texts) == 1) == (part_size == 1000)
+        assert (len(texts) == 1) == (length == 1000)
 
 
 def test_joined_cells_kept_apart(spark):

@@ -7,9 +7,10 @@ import pytest
 from conftest import DATA
 
 import __spark_entry__ as entry
+from sheetflow.plans import registry
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-QUERIES, CHECKS = entry.queries(), entry.oracle_sql()
+QUERIES, CHECKS = registry.QUERIES, registry.CHECKS
 
 
 @pytest.fixture(scope="module")
@@ -45,5 +46,9 @@ def test_query(spark, duck, name):
     assert table(df.columns, df.collect()) == table(expected.columns, expected.fetchall())
 
 
+def test_entry_offers_every_query():
+    assert set(QUERIES) <= set(entry.queries()) and set(CHECKS) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns == ["o_orderkey", "_col", "变化的列", "旧值", "新值"]

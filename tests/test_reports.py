@@ -107,5 +107,5 @@ def test_run_counts_of_nothing(spark):
 def test_provenance_in_numeric_order(spark):
     df = spark.createDataFrame([("u", "s", "10", "b"), ("u", "s", "9", "a"), ("u", "t", "x", None), ("v", "s", "1", "c")], "url string, sheet string, row string, keywords string")
     assert rows(reports.url_provenance(df)) == [("u", 0, "s\nt", "x\n9\n10", "a\nb"), ("v", 0, "s", "1", "c")]
-    parts = reports.url_provenance(df, part_size=1).filter("url = 'u'").collect()
+    parts = reports.url_provenance(df, length=1).filter("url = 'u'").collect()
     assert sorted(x for p in parts for x in (p["rows"] or "").split("\n") if x) == ["10", "9", "x"]
