@@ -95,12 +95,14 @@ def fit(
 
 
 def _solve(languages, sample, marks, ridge: float) -> Model:
-    landmarks = np.zeros((len(marks), SLOTS), np.float32)
+    # one byte for each n-gram of a landmark: this matrix is the largest thing on the driver
+    landmarks = np.zeros((len(marks), SLOTS), np.uint8)
     for row, slots in zip(landmarks, marks, strict=True):
-        row[slots] = 1 / np.sqrt(len(slots))
+        row[slots] = 1
+    size = np.sqrt([len(m) for m in marks])
 
     def kernel(slots: np.ndarray) -> np.ndarray:
-        return landmarks[:, slots].sum(axis=1, dtype=np.float64) / np.sqrt(len(slots))
+        return landmarks[:, slots].sum(axis=1, dtype=np.int64) / size / np.sqrt(len(slots))
 
     between = np.array([kernel(m) for m in marks])
     value, vector = np.linalg.eigh((between + between.T) / 2)
@@ -113,7 +115,10 @@ def _solve(languages, sample, marks, ridge: float) -> Model:
     gram = centred.T @ centred + ridge * len(sample) * np.eye(centred.shape[1])
     solution = root @ np.linalg.solve(gram, centred.T @ (target - target.mean(axis=0)))
     bias = target.mean(axis=0) - mean @ np.linalg.solve(gram, centred.T @ (target - target.mean(axis=0)))
-    return Model(languages, (landmarks.T @ solution).astype(np.float32), bias)
+    scaled = (solution / size[:, None]).astype(np.float32)
+    step = SLOTS // 32
+    weights = [landmarks[:, at : at + step].T.astype(np.float32) @ scaled for at in range(0, SLOTS, step)]
+    return Model(languages, np.concatenate(weights), bias)
 
 
 def identify(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str = "text", unknown: str = UNKNOWN) -> DataFrame:

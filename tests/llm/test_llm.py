@@ -104,7 +104,7 @@ def test_keep_one(docs, rows, none):
     assert kept.columns == docs.columns
     classes = defaultdict(set)
     for (k, t), (_, n, c) in zip(rows, brute.groups(rows, 5, 80), strict=True):
-        classes[(c if n else (k, t))].add((k, t))
+        classes[c if n and c is not None else (k, t)].add((k, t))
     found = [(r["doc_id"], r["text"]) for r in kept.collect()]
     assert len(found) == len(classes)
     assert all(len(c & set(found)) == 1 for c in classes.values())
