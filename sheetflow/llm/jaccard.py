@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheetflow.llm import repeats as R
-from sheetflow.llm.common import apart, stored
+from sheetflow.llm.common import apart, free, stored
 from sheetflow.llm.components import components
 from sheetflow.operators.keyed import lookup, quoted
 
@@ -311,6 +311,7 @@ def _joined(docs: DataFrame, key: str, text: str, rule: Rule) -> tuple[DataFrame
     chosen = wanted.join(one, "node").select("node", "doc")
     texts = R.packed(docs, key, text).join(chosen, "doc").select("node", "text")
     sets = stored(texts.mapInArrow(lambda b: _sets(b, rule), "node long, size long, grams binary").dropDuplicates(["node"]), "sets")
+    free(docs.sparkSession)
 
     # first step: one set stands for each list; in light lists the smallest, in heavy ones the one in most lists
     lists = shared.groupBy("node").agg(F.count("list").alias("lists"))
@@ -325,6 +326,7 @@ def _joined(docs: DataFrame, key: str, text: str, rule: Rule) -> tuple[DataFrame
     star = lookup(entries, stands, "list", "inner").filter(can & (F.col("a") != F.col("node")))
     star = stored(star.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(), "star")
     links = stored(_exact(star, sets, rule), "links")
+    free(docs.sparkSession)
     member = components(links)
 
     # second step: lists with several components, cut into pieces of work

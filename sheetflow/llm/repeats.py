@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheetflow.llm.common import stored
+from sheetflow.llm.common import free, stored
 from sheetflow.operators.keyed import quoted
 
 U = np.uint64
@@ -239,7 +239,10 @@ def repeats(rows: DataFrame, everywhere: bool, label: str, once: bool = False) -
     swept = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(
         lambda batches: sweep(batches, everywhere), "doc long, name long, gone boolean, check boolean"
     )
-    return stored(swept, label)
+    done = stored(swept, label)
+    del swept
+    free(rows.sparkSession)
+    return done
 
 
 def sweep(batches, everywhere: bool) -> Iterator[pa.RecordBatch]:
