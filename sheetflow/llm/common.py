@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import sys
 from collections.abc import Callable, Iterable, Iterator
 
@@ -55,16 +54,6 @@ def per_text(df: DataFrame, work: Callable[[Iterator[tuple]], Iterator[dict[str,
     return df.mapInArrow(run, schema)
 
 
-def free(spark: SparkSession) -> None:
-    """Have the driver collect its garbage, upon which Spark deletes shuffle files that nothing refers to any more.
-
-    To be called where a large shuffle has just been written out as a table;
-    Spark itself would wait for its next periodic collection.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def apart(df: DataFrame, name: str) -> str:
     """A column name like ``name`` that the frame does not have yet."""
     while name.lower() in (c.lower() for c in df.columns):
