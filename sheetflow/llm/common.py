@@ -27,6 +27,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs, whose results are written: it waits for a collection on the driver."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def keyed_bytes(df: DataFrame, key: str, text: str) -> DataFrame:
     """The key and the UTF-8 bytes of the text; other columns are left out."""
     return df.select(quoted(key).alias("key"), quoted(text).cast("string").cast("binary").alias("text"))

@@ -29,14 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheetflow.llm import repeats as R
-from sheetflow.llm.common import apart, stored
+from sheetflow.llm.common import apart, release, stored
 from sheetflow.llm.components import components
 from sheetflow.operators.keyed import lookup, quoted
 
 U = np.uint64
 LIGHT = 63  # class number of light lists; heavy classes are below
 GROWTH = 1.5  # of size classes
-CELLS = 4  # sketch cells per block
+CELLS = 2  # sketch cells per block
 ITEM = 256  # sets compared with as many others in one piece of work
 
 
@@ -128,19 +128,21 @@ def _blocks(grams: np.ndarray, blocks: int) -> np.ndarray:
     return sums
 
 
-def _lists(batches, rule: Rule, limit: int):
-    """One row per list a set is in: the list, the set. The list's last six bits are its class."""
+LISTED = "part int, lists binary, nodes binary, counts binary, shared boolean"
+
+
+def _lists(batches, rule: Rule, limit: int, parts: int):
+    """The lists that sets are in, gathered from many sets for each of ``parts`` equal ranges of lists.
+
+    A list's last six bits are its class. Of several sets of one list the first
+    goes to the list's part and is marked as sharing it; the others are known to
+    share it and go to any part, so no list fills one.
+    """
     powers = R.Powers(2 * R.PIECE)
     start = rule.common(limit + 1)
     for b in batches:
         seen: set[int] = set()
         lists, nodes = [], []
-
-        def flush():
-            both = np.concatenate(lists).view(np.int64)
-            names = np.repeat(np.array(nodes, np.int64), [len(x) for x in lists])
-            return pa.RecordBatch.from_arrays([pa.array(both), pa.array(names), pa.array(both), pa.array(np.zeros(len(both), bool))], names=["bucket", "name", "doc", "twice"])
-
         for t in b.column(1).to_pylist():
             grams = shingles(t, rule, powers)
             n = len(grams)
@@ -165,10 +167,65 @@ def _lists(batches, rule: Rule, limit: int):
                 lists.append(np.concatenate(rows))
                 nodes.append(name)
             if len(lists) >= 2000:
-                yield flush()
+                yield _gathered(lists, nodes, parts)
                 lists, nodes = [], []
         if lists:
-            yield flush()
+            yield _gathered(lists, nodes, parts)
+
+
+def _gathered(lists: list[np.ndarray], nodes: list[int], parts: int) -> pa.RecordBatch:
+    """One row per part and mark: the lists, set by set, the sets, and how many lists each has there."""
+    both = np.concatenate(lists)
+    of = np.repeat(np.arange(len(nodes)), [len(x) for x in lists])
+    order = np.argsort(both, kind="stable")
+    both, of = both[order], of[order]
+    again = np.concatenate(([False], both[1:] == both[:-1]))
+    shared = again | np.concatenate((again[1:], [False]))
+    names = np.array(nodes, np.int64)
+    place = np.where(again, R.mix(both + names[of].view(U)), both)
+    part = ((place >> U(32)) * U(parts) >> U(32)).astype(np.int64)
+    group = 2 * part + shared
+    order = np.lexsort((of, group))
+    both, of, group = both[order], of[order], group[order]
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(group)) + 1, [len(group)]))
+    columns: list[list] = [[], [], [], [], []]
+    for begin, end in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        here, counts = np.unique(of[begin:end], return_counts=True)
+        values = (int(group[begin]) // 2, both[begin:end].tobytes(), names[here].tobytes(), counts.astype(np.uint32).tobytes(), bool(group[begin] % 2))
+        for column, value in zip(columns, values, strict=True):
+            column.append(value)
+    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.bool_()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["part", "lists", "nodes", "counts", "shared"])
+
+
+def _spread_out(batches):
+    """One row per list and set again."""
+    for b in batches:
+        for lists, nodes, counts, shared in zip(*(x.to_pylist() for x in b.columns[1:]), strict=True):
+            both = np.frombuffer(lists, np.int64)
+            names = np.repeat(np.frombuffer(nodes, np.int64), np.frombuffer(counts, np.uint32))
+            yield pa.RecordBatch.from_arrays([pa.array(both), pa.array(names), pa.array(np.full(len(both), shared))], names=["list", "node", "shared"])
+
+
+def _shared(batches):
+    """Of rows sorted by list and set, those whose list has several sets or is marked; each once."""
+    held = None  # the last row, and whether it is out already
+    for b in batches:
+        if not b.num_rows:
+            continue
+        lists, nodes = (b.column(i).to_numpy() for i in range(2))
+        marked, out = b.column(2).to_numpy(zero_copy_only=False), np.zeros(b.num_rows, bool)
+        if held is not None:
+            lists, nodes, marked, out = (np.concatenate(pair) for pair in zip(held, (lists, nodes, marked, out), strict=True))
+        with_last = np.concatenate(([False], lists[1:] == lists[:-1]))
+        same = with_last & np.concatenate(([False], nodes[1:] == nodes[:-1]))
+        first = np.flatnonzero(~same)
+        marked = np.logical_or.reduceat(marked, first)
+        lists, nodes, out, with_last = lists[first], nodes[first], out[first], with_last[first]
+        keep = marked | with_last | np.concatenate((with_last[1:], [False]))
+        now = keep & ~out
+        yield pa.RecordBatch.from_arrays([pa.array(lists[now]), pa.array(nodes[now])], names=["list", "node"])
+        held = lists[-1:], nodes[-1:], marked[-1:], (out | keep)[-1:]
 
 
 def _listed(hashes: np.ndarray, c: int) -> np.ndarray:
@@ -181,7 +238,7 @@ def _sets(batches, rule: Rule):
     for b in batches:
         for node, t in zip(b.column(0).to_pylist(), R.unpacked(b.column(1)), strict=True):
             grams = shingles(t, rule, powers)
-            if len(grams) and set_id(grams) == node:  # rows of equal key may have other texts
+            if len(grams):
                 yield pa.RecordBatch.from_arrays([pa.array([node]), pa.array([len(grams)]), pa.array([grams.tobytes()])], names=["node", "size", "grams"])
 
 
@@ -304,18 +361,22 @@ def _joined(docs: DataFrame, key: str, text: str, rule: Rule) -> tuple[DataFrame
     nodes = stored(rows.mapInArrow(lambda b: _nodes(b, rule), "doc long, key long, hash long, node long, size long"), "nodes")
     sizes = nodes.filter("size BETWEEN 1 AND 64").groupBy("size").count().collect()
     limit = rule.light_limit({r["size"]: r["count"] for r in sizes})
-    listed = rows.select("doc", "text").mapInArrow(lambda b: _lists(b, rule, limit), R.ROWS)
-    shared = R.repeats(listed, True, "lists").filter("check").select(F.col("doc").alias("list"), F.col("name").alias("node"))
-    wanted = shared.select("node").distinct()
-    one = nodes.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc").alias("doc"), F.min("key").alias("key"))
-    chosen = wanted.join(one, "node").select("node", "doc")
-    texts = R.packed(docs, key, text).join(chosen, "doc").select("node", "text")
-    sets = stored(texts.mapInArrow(lambda b: _sets(b, rule), "node long, size long, grams binary").dropDuplicates(["node"]), "sets")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    listed = rows.select("doc", "text").mapInArrow(lambda b: _lists(b, rule, limit, parts), LISTED).repartitionById(parts, F.col("part"))
+    listed = listed.mapInArrow(_spread_out, "list long, node long, shared boolean").sortWithinPartitions("list", "node")
+    shared = stored(listed.mapInArrow(_shared, "list long, node long"), "lists").distinct()
+    release(docs.sparkSession)
+    one = nodes.filter("node IS NOT NULL").groupBy("node").agg(
+        F.min(F.struct("doc", "hash")).alias("first"), F.min("key").alias("key"), F.max("size").alias("size")
+    )
+    about = shared.groupBy("node").agg(F.count("list").alias("lists")).join(one, "node")
+    about = stored(about.select("node", "size", "lists", "first.doc", "first.hash"), "about")
+    texts = R.packed(docs, key, text, hashed=True).join(about.select("node", "doc", "hash"), ["doc", "hash"])
+    texts = texts.dropDuplicates(["node"]).select("node", "text")
+    sets = stored(texts.mapInArrow(lambda b: _sets(b, rule), "node long, size long, grams binary"), "sets")
 
     # first step: one set stands for each list; in light lists the smallest, in heavy ones the one in most lists
-    lists = shared.groupBy("node").agg(F.count("list").alias("lists"))
-    about = stored(sets.select("node", "size").join(lists, "node"), "about")
-    entries = stored(lookup(shared, about, "node", "inner"), "entries")
+    entries = stored(lookup(shared, about.select("node", "size", "lists"), "node", "inner"), "entries")
     light = F.col("list").bitwiseAND(F.lit(63)) == LIGHT
     weight = F.when(light, -F.col("size")).otherwise(F.col("lists"))
     stands = entries.groupBy("list").agg(F.max_by("node", F.struct(weight, "node")).alias("a"), F.max_by("size", F.struct(weight, "node")).alias("size_a"), F.count("node").alias("n"))
@@ -325,24 +386,28 @@ def _joined(docs: DataFrame, key: str, text: str, rule: Rule) -> tuple[DataFrame
     star = lookup(entries, stands, "list", "inner").filter(can & (F.col("a") != F.col("node")))
     star = stored(star.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(), "star")
     links = stored(_exact(star, sets, rule), "links")
+    release(docs.sparkSession)
     member = components(links)
 
-    # second step: lists with several components, cut into pieces of work
+    # second step: lists with several components, cut into pieces of work; of lists of the same sets one does
     known = lookup(entries.filter(~light), member.select("node", F.col("component").alias("c")), "node")
     known = stored(known.select("list", "node", "size", F.coalesce("c", "node").alias("component")), "known")
-    mixed = known.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("node").alias("n"))
-    mixed = mixed.filter("low <> high").select("list", F.ceil(F.col("n") / ITEM).cast("int").alias("cuts"))
-    parts = lookup(known, mixed, "list", "inner")
-    parts = parts.withColumn("side", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int")).withColumn("class", F.col("list").bitwiseAND(F.lit(63)).cast("int"))
+    mixed = known.groupBy("list").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("node").alias("n"), F.bit_xor(F.xxhash64("node")).alias("who")
+    )
+    mixed = mixed.filter("low <> high").groupBy("n", "who").agg(F.min("list").alias("list"))
+    mixed = mixed.select("list", F.ceil(F.col("n") / ITEM).cast("int").alias("cuts"))
+    held = lookup(known, mixed, "list", "inner")
+    held = held.withColumn("side", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int")).withColumn("class", F.col("list").bitwiseAND(F.lit(63)).cast("int"))
     sketches = stored(sets.mapInArrow(lambda b: _sketches(b, rule), "node long, class int, size long, sketch binary"), "sketches")
-    parts = lookup(stored(parts.drop("size"), "parts"), sketches, ["node", "class"], "inner")
-    parts = parts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-    parts = parts.select("node", "component", "size", "side", "sketch", "list", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
-    count = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pieces = parts.repartition(count, "list", "i", "j").sortWithinPartitions("list", "i", "j", "node")
+    held = lookup(stored(held.drop("size"), "held"), sketches, ["node", "class"], "inner")
+    held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+    held = held.select("node", "component", "size", "side", "sketch", "list", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
+    pieces = held.repartition(parts, "list", "i", "j").sortWithinPartitions("list", "i", "j", "node")
     near = pieces.mapInArrow(lambda b: _compare(b, rule), "a long, b long").distinct()
     near = stored(near.join(star, ["a", "b"], "left_anti"), "near")
-    more = stored(_exact(near, sets, rule), "links")
+    ends = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
+    more = stored(_exact(near, sets.join(ends, "node", "left_semi"), rule), "links")
     if not more.isEmpty():
         member = components(links.unionByName(more))
 

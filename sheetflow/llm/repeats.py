@@ -306,17 +306,19 @@ def settle_edges(swept: DataFrame, everywhere: bool) -> DataFrame:
     return swept.filter("gone").select("doc", "name").unionByName(more)
 
 
-def packed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Row key and text, the text compressed, for it is to be shuffled to what was found in it."""
-    rows = docs.select(row_key(quoted(key), quoted(text).cast("string")).alias("doc"), quoted(text).cast("binary").alias("text"))
+def packed(docs: DataFrame, key: str, text: str, hashed: bool = False) -> DataFrame:
+    """Row key and text, the text compressed, for it is to be shuffled to what was found in it; ``hashed``: and its hash."""
+    body = quoted(text).cast("string")
+    more = [F.xxhash64(body).alias("hash")] if hashed else []
+    rows = docs.select(row_key(quoted(key), body).alias("doc"), body.cast("binary").alias("text"), *more)
 
     def run(batches):
         press = zstandard.ZstdCompressor(level=3)
         for b in batches:
             small = [None if t is None else press.compress(t) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(small, pa.binary())], names=["doc", "text"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(small, pa.binary()), *b.columns[2:]], names=b.schema.names)
 
-    return rows.mapInArrow(run, "doc long, text binary")
+    return rows.mapInArrow(run, "doc long, text binary, hash long" if hashed else "doc long, text binary")
 
 
 def unpacked(column: pa.Array) -> list:
