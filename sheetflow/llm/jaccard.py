@@ -37,6 +37,7 @@ U = np.uint64
 LIGHT = 63  # class number of light lists; heavy classes are below
 GROWTH = 1.5  # of size classes
 CELLS = 2  # sketch cells per block
+PARTS = 8  # of the lists of a shuffle partition, of which a task holds one at a time
 ITEM = 256  # sets compared with as many others in one piece of work
 
 
@@ -132,7 +133,7 @@ LISTED = "part int, lists binary, nodes binary, counts binary, shared boolean"
 
 
 def _lists(batches, rule: Rule, limit: int, parts: int):
-    """The lists that sets are in, gathered from many sets for each of ``parts`` equal ranges of lists.
+    """The lists that sets are in, gathered from many sets for each of ``parts`` equal ranges of lists (see ``_shared``).
 
     A list's last six bits are its class. Of several sets of one list the first
     goes to the list's part and is marked as sharing it; the others are known to
@@ -198,34 +199,40 @@ def _gathered(lists: list[np.ndarray], nodes: list[int], parts: int) -> pa.Recor
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["part", "lists", "nodes", "counts", "shared"])
 
 
-def _spread_out(batches):
-    """One row per list and set again."""
-    for b in batches:
-        for lists, nodes, counts, shared in zip(*(x.to_pylist() for x in b.columns[1:]), strict=True):
-            both = np.frombuffer(lists, np.int64)
-            names = np.repeat(np.frombuffer(nodes, np.int64), np.frombuffer(counts, np.uint32))
-            yield pa.RecordBatch.from_arrays([pa.array(both), pa.array(names), pa.array(np.full(len(both), shared))], names=["list", "node", "shared"])
-
-
 def _shared(batches):
-    """Of rows sorted by list and set, those whose list has several sets or is marked; each once."""
-    held = None  # the last row, and whether it is out already
+    """List and set where a list has several sets, or is marked; each once. Rows arrive sorted by part; one part is held at a time."""
+    held: list[tuple] = []
     for b in batches:
-        if not b.num_rows:
-            continue
-        lists, nodes = (b.column(i).to_numpy() for i in range(2))
-        marked, out = b.column(2).to_numpy(zero_copy_only=False), np.zeros(b.num_rows, bool)
-        if held is not None:
-            lists, nodes, marked, out = (np.concatenate(pair) for pair in zip(held, (lists, nodes, marked, out), strict=True))
-        with_last = np.concatenate(([False], lists[1:] == lists[:-1]))
-        same = with_last & np.concatenate(([False], nodes[1:] == nodes[:-1]))
-        first = np.flatnonzero(~same)
-        marked = np.logical_or.reduceat(marked, first)
-        lists, nodes, out, with_last = lists[first], nodes[first], out[first], with_last[first]
-        keep = marked | with_last | np.concatenate((with_last[1:], [False]))
-        now = keep & ~out
-        yield pa.RecordBatch.from_arrays([pa.array(lists[now]), pa.array(nodes[now])], names=["list", "node"])
-        held = lists[-1:], nodes[-1:], marked[-1:], (out | keep)[-1:]
+        for row in zip(*(x.to_pylist() for x in b.columns), strict=True):
+            if held and held[0][0] != row[0]:
+                yield _of_part(held)
+                held = []
+            held.append(row)
+    if held:
+        yield _of_part(held)
+
+
+def _of_part(rows: list[tuple]) -> pa.RecordBatch:
+    lists = np.frombuffer(b"".join(r[1] for r in rows), np.int64)
+    counts = [np.frombuffer(r[3], np.uint32) for r in rows]
+    nodes = np.repeat(np.frombuffer(b"".join(r[2] for r in rows), np.int64), np.concatenate(counts))
+    marked = np.repeat([r[4] for r in rows], [int(c.sum()) for c in counts])
+    order = np.argsort(lists, kind="stable")
+    lists = lists[order]
+    near = lists[1:] == lists[:-1]
+    keep = marked[order] | np.concatenate((near, [False])) | np.concatenate(([False], near))
+    lists, nodes, marked = lists[keep], nodes[order[keep]], marked[order[keep]]
+    # equal sets from several tasks are one
+    order = np.lexsort((nodes, lists))
+    lists, nodes, marked = lists[order], nodes[order], marked[order]
+    if len(lists):
+        new = np.concatenate(([True], (lists[1:] != lists[:-1]) | (nodes[1:] != nodes[:-1])))
+        marked = np.logical_or.reduceat(marked, np.flatnonzero(new))
+        lists, nodes = lists[new], nodes[new]
+        near = lists[1:] == lists[:-1]
+        keep = marked | np.concatenate((near, [False])) | np.concatenate(([False], near))
+        lists, nodes = lists[keep], nodes[keep]
+    return pa.RecordBatch.from_arrays([pa.array(lists), pa.array(nodes)], names=["list", "node"])
 
 
 def _listed(hashes: np.ndarray, c: int) -> np.ndarray:
@@ -362,8 +369,8 @@ def _joined(docs: DataFrame, key: str, text: str, rule: Rule) -> tuple[DataFrame
     sizes = nodes.filter("size BETWEEN 1 AND 64").groupBy("size").count().collect()
     limit = rule.light_limit({r["size"]: r["count"] for r in sizes})
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    listed = rows.select("doc", "text").mapInArrow(lambda b: _lists(b, rule, limit, parts), LISTED).repartitionById(parts, F.col("part"))
-    listed = listed.mapInArrow(_spread_out, "list long, node long, shared boolean").sortWithinPartitions("list", "node")
+    listed = rows.select("doc", "text").mapInArrow(lambda b: _lists(b, rule, limit, PARTS * parts), LISTED)
+    listed = listed.repartitionById(parts, F.expr(f"part div {PARTS}").cast("int")).sortWithinPartitions("part")
     shared = stored(listed.mapInArrow(_shared, "list long, node long"), "lists").distinct()
     release(docs.sparkSession)
     one = nodes.filter("node IS NOT NULL").groupBy("node").agg(
