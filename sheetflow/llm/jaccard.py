@@ -37,7 +37,7 @@ U = np.uint64
 LIGHT = 63  # class number of light lists; heavy classes are below
 GROWTH = 1.5  # of size classes
 CELLS = 2  # sketch cells per block
-PARTS = 8  # of the lists of a shuffle partition, of which a task holds one at a time
+PARTS = 2  # of the lists of a shuffle partition, of which a task holds one at a time
 ITEM = 256  # sets compared with as many others in one piece of work
 
 
@@ -239,40 +239,36 @@ def _listed(hashes: np.ndarray, c: int) -> np.ndarray:
     return (hashes & ~U(63)) | U(c)
 
 
-def _sets(batches, rule: Rule):
-    """The sets of the wanted nodes, from their texts."""
-    powers = R.Powers(2 * R.PIECE)
-    for b in batches:
-        for node, t in zip(b.column(0).to_pylist(), R.unpacked(b.column(1)), strict=True):
-            grams = shingles(t, rule, powers)
-            if len(grams):
-                yield pa.RecordBatch.from_arrays([pa.array([node]), pa.array([len(grams)]), pa.array([grams.tobytes()])], names=["node", "size", "grams"])
-
-
 def _linked(batches, rule: Rule):
-    """The pairs that are linked, by their exact sets."""
+    """The pairs that are linked, by their exact sets; rows of equal ``a`` mostly follow one another."""
+    powers = R.Powers(2 * R.PIECE)
+    last, x = None, None
     for b in batches:
-        a, c, first, second = (x.to_pylist() for x in b.columns)
+        a, c = b.column(0).to_pylist(), b.column(1).to_pylist()
         keep = []
-        for x, y in zip(first, second, strict=True):
-            x, y = np.frombuffer(x, U), np.frombuffer(y, U)
+        for node, first, second in zip(a, b.column(2).to_pylist(), R.unpacked(b.column(3)), strict=True):
+            if x is None or node != last:
+                last, x = node, shingles(R.unpacked([first])[0], rule, powers)
+            y = shingles(second, rule, powers)
             both = len(x) + len(y)
             at = np.minimum(np.searchsorted(x, y), len(x) - 1)
             same = int((x[at] == y).sum())
             keep.append(rule.den * same >= rule.num * (both - same))
-        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(c)], names=["a", "b"]).filter(pa.array(keep))
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 def _sketches(batches, rule: Rule):
     """For each class a set is listed in, one byte for each of its many small blocks."""
+    powers = R.Powers(2 * R.PIECE)
     for b in batches:
         node, c, sketch, size = [], [], [], []
-        for n, s, g in zip(*(x.to_pylist() for x in b.columns), strict=True):
-            for number, blocks in rule.classes(s):
+        for n, t in zip(b.column(0).to_pylist(), R.unpacked(b.column(1)), strict=True):
+            grams = shingles(t, rule, powers)
+            for number, blocks in rule.classes(len(grams)):
                 node.append(n)
                 c.append(number)
-                size.append(s)
-                sketch.append((R.mix(_blocks(np.frombuffer(g, U), CELLS * blocks)) & U(255)).astype(np.uint8).tobytes())
+                size.append(len(grams))
+                sketch.append((R.mix(_blocks(grams, CELLS * blocks)) & U(255)).astype(np.uint8).tobytes())
         yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(c, pa.int32()), pa.array(size, pa.int64()), pa.array(sketch, pa.binary())], names=["node", "class", "size", "sketch"])
 
 
@@ -318,10 +314,9 @@ def _compare(batches, rule: Rule):
 
 
 def _exact(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """The linked ones of ``pairs`` (a, b)."""
-    grams = sets.select("node", "grams")
-    first = pairs.join(grams.select(F.col("node").alias("a"), F.col("grams").alias("x")), "a")
-    both = first.join(grams.select(F.col("node").alias("b"), F.col("grams").alias("y")), "b")
+    """The linked ones of ``pairs`` (a, b): what is shuffled to them is compressed text, far smaller than its n-grams."""
+    of_b = pairs.join(sets.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
+    both = lookup(of_b, sets.select(F.col("node").alias("a"), F.col("text").alias("x")), "a", "inner")
     return both.select("a", "b", "x", "y").mapInArrow(lambda b: _linked(b, rule), "a long, b long")
 
 
@@ -379,8 +374,8 @@ def _joined(docs: DataFrame, key: str, text: str, rule: Rule) -> tuple[DataFrame
     about = shared.groupBy("node").agg(F.count("list").alias("lists")).join(one, "node")
     about = stored(about.select("node", "size", "lists", "first.doc", "first.hash"), "about")
     texts = R.packed(docs, key, text, hashed=True).join(about.select("node", "doc", "hash"), ["doc", "hash"])
-    texts = texts.dropDuplicates(["node"]).select("node", "text")
-    sets = stored(texts.mapInArrow(lambda b: _sets(b, rule), "node long, size long, grams binary"), "sets")
+    sets = stored(texts.dropDuplicates(["node"]).select("node", "text"), "sets")
+    release(docs.sparkSession)
 
     # first step: one set stands for each list; in light lists the smallest, in heavy ones the one in most lists
     entries = stored(lookup(shared, about.select("node", "size", "lists"), "node", "inner"), "entries")

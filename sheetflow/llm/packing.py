@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from sheetflow.llm.common import PLAIN_LETTERS, keyed_bytes, per_text, stored, worker_memo
 from sheetflow.llm.token_counts import byte_letters
 
-MEMO_SIZE = 600_000
+MEMO_SIZE = 300_000
 WORD = re.compile(rf"([{PLAIN_LETTERS}]+)([.,]?)")
 
 

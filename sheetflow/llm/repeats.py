@@ -321,9 +321,10 @@ def packed(docs: DataFrame, key: str, text: str, hashed: bool = False) -> DataFr
     return rows.mapInArrow(run, "doc long, text binary, hash long" if hashed else "doc long, text binary")
 
 
-def unpacked(column: pa.Array) -> list:
+def unpacked(column: pa.Array | list) -> list:
     open_ = zstandard.ZstdDecompressor()
-    return [None if t is None else open_.decompress(t) for t in column.to_pylist()]
+    texts = column if isinstance(column, list) else column.to_pylist()
+    return [None if t is None else open_.decompress(t) for t in texts]
 
 
 def by_document(found: DataFrame, **wanted: Column) -> DataFrame:
