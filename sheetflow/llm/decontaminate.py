@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheetflow.llm.common import keep_rows, keyed_bytes, per_text
+from sheetflow.llm.common import keep_rows, keyed_bytes, per_text, stored
 from sheetflow.operators.keyed import quoted
 
 # A-Z to lower case; of the ASCII range only letters and digits are part of words.
@@ -155,17 +155,23 @@ def benchmark_hits(
     The items are cut by a hash of their id into shards of about
     ``shard_words`` words; each shard's automaton is broadcast, so its size is
     bounded however large the benchmark is. With one shard there is no shuffle.
+    With more, the rows are numbered in the shared folder, for keys do not tell
+    them apart, and what the shards find is merged by number.
     """
     automata = _automata(items, item_key, item_text, window, shard_words)
-    parts = [per_text(keyed_bytes(docs, key, text), _task(a), HITS) for a in automata]
-    if len(parts) == 1:
-        return parts[0].withColumnRenamed("key", key)
-    # one row per shard and document: a group is as large as there are shards
+    texts = keyed_bytes(docs, key, text)
+    if len(automata) == 1:
+        return per_text(texts, _task(automata[0]), HITS).withColumnRenamed("key", key)
+    texts = stored(texts.withColumn("number", F.monotonically_increasing_id()), "numbered")
+    numbered = texts.select(F.col("number").alias("key"), "text")
+    parts = [per_text(numbered, _task(a), HITS) for a in automata]
+    # one row per shard and number: a group is as large as there are shards
     together = parts[0]
     for p in parts[1:]:
         together = together.unionByName(p)
-    rows = together.withColumn("row", F.struct("starts", "stops", "items"))
-    merged = rows.groupBy("key").agg(F.first("n_words").alias("n_words"), F.collect_list("row").alias("rows"))
+    rows = together.withColumn("row", F.struct("starts", "stops", "items")).withColumnRenamed("key", "number")
+    merged = rows.groupBy("number").agg(F.first("n_words").alias("n_words"), F.collect_list("row").alias("rows"))
+    merged = merged.join(texts.select("number", "key"), "number")
     spans = F.array_sort(F.flatten(F.transform("rows", lambda r: F.arrays_zip(r["starts"], r["stops"]))))
     union = F.aggregate(spans, F.array().cast("array<struct<starts:long,stops:long>>"), _join_span)
     return merged.withColumn("spans", union).select(

@@ -324,3 +324,14 @@ def test_decontamination(spark, docs, rows, none):
     assert {r["items"] == [] for r in decontaminate.benchmark_hits(docs, bench.filter("false")).collect()} == {True}
     removed = {r["doc_id"]: r["text"] for r in decontaminate.remove_benchmark(unique, bench, share=1).collect()}
     assert removed[9006] is None and removed[9004] == "one"
+
+
+def test_shards_keep_every_row(spark):
+    """Rows without a key, and of equal key, are rows of their own however many shards there are."""
+    rows = [(None, "alpha beta gamma"), (None, "one two"), (7, "one two three"), (7, "one two three"), (7, ""), (8, None), (None, None)]
+    items = [(i, t) for i, t in enumerate(["alpha beta", "one two", "three", "beta gamma delta", "gamma"])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    columns = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    for words in (1, 4, 1000):
+        same(decontaminate.contamination(decontaminate.benchmark_hits(df, bench, shard_words=words)), brute.hits(rows, items), columns)
