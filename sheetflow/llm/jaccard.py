@@ -8,7 +8,9 @@ which are scanned. Where light ends is chosen by cost, from the sizes there are.
 An inverted list belongs to a block of the n-grams rather than a single one:
 a hash deals the n-grams into one block more than linked sets can differ in, so
 linked sets agree in a whole block at least. A frequent passage therefore makes
-no long list; only texts that agree in all of a block meet.
+no long list; only texts that agree in all of a block meet. Blocks without
+n-grams make no lists: sets that may agree in nothing else are also listed by
+their blocks with one n-gram left out, or as many as it takes.
 
 Equal sets are one node from the start. Lists are scanned in two steps, neither
 of which writes out all pairs of a list. First the set that is in most lists
@@ -73,6 +75,21 @@ class Rule:
             return [own]
         return [own, (c + 1, self.differ(2 * (self.class_start(c + 2) - 1)) + 1)]
 
+    def left_out(self, size: int, c: int, counts: np.ndarray) -> int:
+        """How many n-grams a set with so many in each block leaves out of a block to meet linked sets that agree with it in empty blocks only.
+
+        Say they agree in ``a`` of the blocks, all empty, and ``m`` of the others
+        hold something in common. All others differ, so of the ``differ`` n-grams
+        at most ``over`` more than one each are left to the ``m``.
+        """
+        largest = min(size * self.den // self.num, self.class_start(c + 1) - 1)
+        some = np.sort(counts[counts > 0])
+        over = self.differ(size + largest) - len(some)
+        if over < 0:
+            return 0
+        m = len(some) - int(np.searchsorted(np.cumsum(some), size - self.common(size), side="right"))
+        return 1 + over // m
+
     def subsets(self, size: int) -> int:
         """How many subsets a light set of this size enumerates."""
         from math import comb
@@ -122,13 +139,35 @@ def _nodes(batches, rule: Rule):
         yield pa.RecordBatch.from_arrays([b.column(0), *b.columns[2:], *found], names=["doc", "key", "hash", "node", "size"])
 
 
+def _dealt(grams: np.ndarray, blocks: int) -> np.ndarray:
+    """The block that a hash deals each n-gram to."""
+    return (R.mix(grams + U(77)) % U(blocks)).astype(np.int64)
+
+
 def _blocks(grams: np.ndarray, blocks: int) -> np.ndarray:
     """For each of ``blocks`` blocks the sum of the n-grams that a hash deals to it."""
     sums = np.zeros(blocks, U)
-    np.add.at(sums, (R.mix(grams + U(77)) % U(blocks)).astype(np.int64), grams)
+    np.add.at(sums, _dealt(grams, blocks), grams)
     return sums
 
 
+def _heavy(grams: np.ndarray, rule: Rule) -> list[np.ndarray]:
+    """The inverted lists of a set."""
+    rows = []
+    for c, blocks in rule.classes(len(grams)):
+        sums, of = _blocks(grams, blocks), _dealt(grams, blocks)
+        counts = np.bincount(of, minlength=blocks)
+        at = np.flatnonzero(counts) if len(grams) > blocks else np.arange(blocks)
+        rows.append(_listed(R.mix(sums[at] + (at.astype(U) + U(1)) * R.BASE), c))
+        for out in range(1, rule.left_out(len(grams), c, counts) + 1):
+            more = np.flatnonzero(counts > out)
+            gone = [[sum(x) & (2**64 - 1) for x in combinations(grams[of == k].tolist(), out)] for k in more.tolist()]
+            at = np.repeat(more, [len(x) for x in gone])
+            left = sums[at] - np.array([x for g in gone for x in g], U)
+            rows.append(_listed(R.mix(left + (at.astype(U) + U(1)) * R.BASE), c))
+    return rows
+
+
 LISTED = "part int, lists binary, nodes binary, counts binary, shared boolean"
 
 
@@ -159,11 +198,7 @@ def _lists(batches, rule: Rule, limit: int, parts: int):
                     size = U((n - out) * int(R.BASE) & (2**64 - 1))
                     rows.append(_listed(R.mix(total - gone + size), LIGHT))
             if n >= start:
-                for c, blocks in rule.classes(n):
-                    sums = _blocks(grams, blocks)
-                    # a block without n-grams brings nobody together who is not together elsewhere, unless all are empty
-                    at = np.flatnonzero(sums) if n > blocks else np.arange(blocks)
-                    rows.append(_listed(R.mix(sums[at] + (at.astype(U) + U(1)) * R.BASE), c))
+                rows += _heavy(grams, rule)
             if rows:
                 lists.append(np.concatenate(rows))
                 nodes.append(name)

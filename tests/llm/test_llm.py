@@ -92,6 +92,34 @@ def test_jaccard_families(spark, words, num):
     same(found, expected)
 
 
+@pytest.mark.parametrize("num, sizes", [(80, (8, 10)), (80, (9, 11)), (80, (12, 15)), (80, (14, 17)), (90, (9, 10)), (70, (7, 10))])
+def test_linked_sets_share_a_list(num, sizes):
+    """Also those that agree in blocks without n-grams only."""
+    rule, draw = jaccard.Rule(5, num, 100), np.random.default_rng(5)
+    small, large = sizes
+    lost = agree_in_empty = 0
+    for _ in range(2000):
+        grams = draw.integers(0, 2**64, large, np.uint64)
+        a, b = np.sort(grams[:small]), np.sort(grams[:large])
+        x, y = (set(np.concatenate(jaccard._heavy(s, rule)).tolist()) for s in (a, b))
+        lost += not x & y
+        blocks = {c: k for c, k in rule.classes(len(a)) if (c, k) in rule.classes(len(b))}
+        same = [(p == q, p == 0) for k in blocks.values() for p, q in zip(jaccard._blocks(a, k), jaccard._blocks(b, k), strict=True)]
+        agree_in_empty += all(empty for equal, empty in same if equal)
+    assert agree_in_empty and not lost
+
+
+def test_pairs_that_agree_in_empty_blocks_are_linked(spark):
+    """Texts of 8 and 10 five-word shingles, 8 of them in common."""
+    draw = random.Random(11)
+    rows = []
+    for _ in range(400):
+        words = [f"w{draw.randrange(10**9)}" for _ in range(14)]
+        rows += [(len(rows), " ".join(words[:12])), (len(rows) + 1, " ".join(words))]
+    found = jaccard.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"), rule=jaccard.Rule(5, 80, 100))
+    same(found.select("doc_id", "component_id"), [(k, k - k % 2) for k, _ in rows])
+
+
 def test_light_limit_follows_cost():
     rule = jaccard.Rule()
     assert rule.light_limit({}) == 0
