@@ -117,8 +117,8 @@ def pattern_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", kind
     return rows.select("key", "text", F.concat(*[F.col(k.name) for k in kinds]).alias("spans"))
 
 
-# A term: a run of letters and digits of three characters or more.
-TERM = r"[\p{L}\p{N}]{3,}+"
+# A term: a run of letters and digits, of one character or more.
+TERM = r"[\p{L}\p{N}]++"
 
 
 def _terms(text: Column) -> Column:
@@ -130,30 +130,26 @@ def disclosing_terms(docs: DataFrame, holders: DataFrame, text: str = "text", th
 
     ``holders``: texts with an entity and their ``entities``, from
     ``personal_spans``. All rows of ``docs`` count for the probabilities. A
-    pair needs ``support`` documents, and the term must stand in as many
-    different surroundings (the words beside it), none of which makes up more
-    than half of them: a passage copied from text to text, with a word changed
-    here and there, is one piece of evidence.
+    pair needs ``support`` different texts: copies, also with other case, spaces
+    or signs, are one piece of evidence. What a template says beside the term
+    does not matter. The terms of the entity itself are none.
     """
     each = holders.select("text", F.explode("entities").alias("entity"))
     often = each.groupBy("entity").agg(F.count("text").alias("n_entity")).filter(F.col("n_entity") >= support)
     asked = lookup(each, often, "entity", "inner").withColumn("words", _terms(F.col("text")))
-    at = F.posexplode("words").alias("at", "term")
-    beside = F.xxhash64(F.get("words", F.col("at") - 1), F.get("words", F.col("at") + 1))
-    around = asked.select("entity", "n_entity", F.monotonically_increasing_id().alias("doc"), "words", at)
-    around = around.filter(~F.lower("entity").contains(F.col("term"))).withColumn("beside", beside)
-    once = around.groupBy("entity", "n_entity", "term", "doc").agg(F.min("beside").alias("beside"))
-    counted = once.groupBy("entity", "n_entity", "term", "beside").agg(F.count("doc").alias("n"))
-    joint = counted.groupBy("entity", "n_entity", "term").agg(
-        F.sum("n").alias("joint"), F.count("n").alias("places"), F.max("n").alias("commonest")
-    )
-    joint = joint.filter((F.col("places") >= support) & (2 * F.col("commonest") <= F.col("joint")))
+    own = _terms(F.regexp_replace("entity", "^[a-z]+:", ""))
+    others = F.explode(F.array_except("words", own)).alias("term")
+    around = asked.select("entity", "n_entity", F.xxhash64("words").alias("same"), others)
+    counted = around.groupBy("entity", "n_entity", "term", "same").agg(F.count("same").alias("n"))
+    joint = counted.groupBy("entity", "n_entity", "term").agg(F.sum("n").alias("joint"), F.count("n").alias("texts"))
+    joint = joint.filter(F.col("texts") >= support)
     joint = stored(joint.select("entity", "n_entity", "term", "joint"), "terms")
     if joint.isEmpty():
         return joint.select("entity", "term", "joint", F.lit(1.0).alias("information"))
     # document counts of the candidates over the whole corpus
     everywhere = docs.select(F.explode(F.array_distinct(_terms(quoted(text)))).alias("term"))
-    n_term = everywhere.join(joint.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("term").alias("n_term"))
+    # counted before the join: tasks send their vocabulary, not every word
+    n_term = everywhere.groupBy("term").agg(F.count("term").alias("n_term"))
     n_all = docs.count()
     share = 1 - F.log(F.col("n_term") / F.col("joint")) / F.log(F.greatest(F.lit(n_all), F.col("n_entity") + 1) / F.col("n_entity"))
     scored = joint.join(n_term, "term").withColumn("information", share)

@@ -308,6 +308,19 @@ def test_disclosing_terms(spark):
     assert "zorbelius" not in clean and "[email]" in clean and "z@example.com" not in clean
 
 
+def test_signatures_disclose(spark):
+    """A name that stands in one template in different letters discloses the address, however short it is; in copies it does not."""
+    texts = [f"letter{i} about matter{i} Regards Zorbelius z@example.com" for i in range(6)]
+    texts += [f"letter{i} on topic{i} 王伟 Q w@example.cn" for i in range(6)]
+    texts += [f"plain{i} letter{i} about or on Regards" for i in range(60)]
+    texts += ["The one letter of Quintus x@example.org", "the one  letter of quintus, x@example.org"] * 5
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: {s["value"].lower() for s in r["spans"][len(r["base"]) :]} for r in pii.personal_spans(df).collect()}
+    assert all(found[i] == {"zorbelius"} for i in range(6))
+    assert all(found[i] >= {"王伟", "q"} for i in range(6, 12))
+    assert not any(found[i] for i in range(12, len(texts)))
+
+
 def test_token_counts(docs, rows, none):
     path = public_tokenizers.path("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)
