@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetflow.llm import decontaminate, jaccard, language, packing, pii, secret_scan, substring_dedup, suffix_dedup, token_counts, topk
+from sheetflow.llm import decontaminate, fill_in_middle, jaccard, language, packing, pii, secret_scan, substring_dedup, suffix_dedup, token_counts, topk
 from sheetflow.llm.common import span_text, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,6 +68,14 @@ its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item)
 SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)"""
 
+FILL_SQL = r"""WITH t AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+d AS (SELECT *, len(u) AS n, list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(h, i, 8) AS BIGINT)) AS r FROM t),
+c AS (SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS a, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS b,
+ CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR r[3] % 100 >= 100 THEN 'plain' WHEN r[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:], '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+ sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256 FROM p"""
+
 
 def _covered(starts: str, stops: str):
     return F.aggregate(F.zip_with(starts, stops, lambda b, e: e - b), F.lit(0).cast("long"), lambda a, x: a + x)
@@ -142,3 +150,10 @@ def op9_suffix_dedup(spark, folder):
 def op10_benchmark_decontamination(spark, folder):
     hits = decontaminate.benchmark_hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return decontaminate.contamination(hits).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@checked(FILL_SQL)
+def op11_fill_in_middle(spark, folder):
+    made = fill_in_middle.restore(fill_in_middle.fill_in_middle(table(spark, folder, "documents")))
+    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256")
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest("output"), digest("restored"))
