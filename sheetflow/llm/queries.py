@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetflow.llm import decontaminate, fill_in_middle, jaccard, language, packing, pii, secret_scan, substring_dedup, suffix_dedup, token_counts, topk
+from sheetflow.llm import decontaminate, fill_in_middle, jaccard, language, mixing, packing, pii, secret_scan, substring_dedup, suffix_dedup, token_counts, topk
 from sheetflow.llm.common import span_text, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +157,9 @@ def op11_fill_in_middle(spark, folder):
     made = fill_in_middle.restore(fill_in_middle.fill_in_middle(table(spark, folder, "documents")))
     digest = lambda c: F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256")
     return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest("output"), digest("restored"))
+
+
+@query
+def op12_source_mixing(spark, folder):
+    found = mixing.taken(mixing.mix(table(spark, folder, "documents")))
+    return found.select("doc_id", "size", "source_size", "target", "taken", F.array_join("pieces", ",").alias("pieces"))
