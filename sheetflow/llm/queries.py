@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetflow.llm import decontaminate, fill_in_middle, jaccard, language, mixing, packing, pii, secret_scan, substring_dedup, suffix_dedup, token_counts, topk
+from sheetflow.llm import conversations, decontaminate, fill_in_middle, jaccard, language, mixing, packing, pii, secret_scan, substring_dedup, suffix_dedup, token_counts, topk
 from sheetflow.llm.common import span_text, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -163,3 +163,22 @@ def op11_fill_in_middle(spark, folder):
 def op12_source_mixing(spark, folder):
     found = mixing.taken(mixing.mix(table(spark, folder, "documents")))
     return found.select("doc_id", "size", "source_size", "target", "taken", F.array_join("pieces", ",").alias("pieces"))
+
+
+@query
+def op13_conversation_repair(spark, folder):
+    given = table(spark, folder, "conversations")
+    found = conversations.repair(conversations.damaged(given))
+    written = F.array_sort(F.collect_list(F.struct("place", F.concat_ws(":", "role", "text").alias("t"))))
+    texts = found.turns.groupBy("conv_id").agg(F.array_join(F.transform(written, lambda x: x["t"]), "\n").alias("_text"))
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    out = given.select("conv_id").distinct()
+    for part in (found.conversations, texts):
+        named = part.withColumnRenamed("conv_id", "_id")
+        out = out.join(named, F.col("conv_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    return out.select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.sha2(F.coalesce("_text", F.lit("")).cast("binary"), 256).alias("repaired_sha256"),
+    )
