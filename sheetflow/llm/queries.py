@@ -77,6 +77,43 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix
  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256 FROM p"""
 
 
+def _repair_sql() -> str:
+    """Rows as events (i: a turn may be put in), folded into the best cost and audit, as one text, for each of the four states."""
+    add = lambda v, w, edit: f"lpad(CAST(CAST(substr({v}, 1, 8) AS INTEGER) + {w} AS VARCHAR), 8, '0') || substr({v}, 9) || '{edit}'"
+    v = ["v[1]", "v[2]", "v[3]", "v[4]"]
+    after = {2: {"s": [0]}, 3: {"u": [0, 1, 3]}, 4: {"a": [2]}}
+    put = {q: [add(v[x], 3, "I") for x in [0, 1, 3] if q == 3] + [add(v[2], 3, "I")] * (q == 4) for q in (1, 2, 3, 4)}
+    cut, sound = "CASE e[2] WHEN '3' THEN 3 ELSE 0 END", "e[2] IN ('0', '3')"
+    moved = {q: [add(v[q - 1], 4, "D")] for q in (1, 2, 3, 4)}
+    for q, ways in after.items():
+        for role, before in ways.items():
+            for x in before:
+                moved[q].append(f"CASE WHEN {sound} AND e[1] = '{role}' THEN {add(v[x], cut, 'K')} END")
+                if q > 2:
+                    moved[q].append(f"CASE WHEN {sound} THEN {add(v[x], f'3 + {cut}', 'R')} END")
+    fold = ", ".join(f"CASE WHEN e = 'i' THEN least({', '.join([v[q - 1], *put[q]])}) ELSE least({', '.join(moved[q])}) END" for q in (1, 2, 3, 4))
+    crc = "xor(list_reduce(list_transform(range(1, length(k) + 1), lambda i: CAST(ascii(substr(k, i, 1)) AS BIGINT)), lambda c, b: list_reduce(range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(c, b)), CAST(4294967295 AS BIGINT)), 4294967295) % 20"
+    blank = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""WITH g AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+h AS (SELECT *, {crc} AS kind FROM g),
+d AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+ unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM h),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(concat_ws(chr(0), turn IS NULL, coalesce(CAST(turn AS VARCHAR), ''), role, text))) AS i, rtrim(text, {blank}) AS bare FROM d),
+f AS (SELECT *, CASE WHEN bare = '' THEN '1' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN '2' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN '3' ELSE '0' END AS fault,
+ lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) || substr(role, 1, 1) AS pair FROM n),
+c AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = '1') AS blank, count(*) FILTER (fault = '2') AS duplicate, count(*) FILTER (fault = '3') AS truncated,
+ count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, flatten(list(['i', 'i', CASE WHEN substr(role, 1, 1) IN ('s', 'u', 'a') THEN substr(role, 1, 1) ELSE 'x' END || fault] ORDER BY i)) || ['i', 'i'] AS events FROM f GROUP BY conv_id),
+b AS (SELECT * EXCLUDE events, list_reduce(events, lambda v, e: [{fold}], ['00000000', NULL, NULL, NULL]) AS v FROM c),
+a AS (SELECT * EXCLUDE v, CAST(substr(least(v[1], v[4]), 1, 8) AS BIGINT) AS cost, substr(least(v[1], v[4]), 9) AS audit FROM b),
+l AS (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS p FROM a),
+t AS (SELECT conv_id, substr(audit, p, 1) AS letter, length(replace(audit[1:p], 'I', '')) AS i, length(replace(audit[1:p], 'D', '')) AS place, length(replace(audit, 'D', '')) AS turns FROM l),
+w AS (SELECT t.conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN (place - turns) % 2 <> 0 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY place) AS texts
+ FROM t JOIN n ON n.conv_id IS NOT DISTINCT FROM t.conv_id AND n.i = greatest(t.i, 1) WHERE letter <> 'D' GROUP BY t.conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+ coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(texts, '')) AS repaired_sha256 FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN a ON a.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN w ON w.conv_id IS NOT DISTINCT FROM o.conv_id"""
+
+
 def _covered(starts: str, stops: str):
     return F.aggregate(F.zip_with(starts, stops, lambda b, e: e - b), F.lit(0).cast("long"), lambda a, x: a + x)
 
@@ -165,7 +202,7 @@ def op12_source_mixing(spark, folder):
     return found.select("doc_id", "size", "source_size", "target", "taken", F.array_join("pieces", ",").alias("pieces"))
 
 
-@query
+@checked(_repair_sql())
 def op13_conversation_repair(spark, folder):
     given = table(spark, folder, "conversations")
     found = conversations.repair(conversations.damaged(given))
