@@ -17,7 +17,9 @@ from sheetflow.functions.jsontext import json_from_text, json_items, valid_items
 from sheetflow.functions.outcome import classify_llm_error, model_error_kind, token_cost
 from sheetflow.functions.strings import filled
 from sheetflow.operators.keyed import first_seen, latest, lookup, pending, quoted
-from sheetflow.sources.logs import append_log, read_log
+from sheetflow.session import work_dir
+from sheetflow.sources.logs import adopt_log, read_log
+from sheetflow.sources.runlog import SLICE, SLICES, RunLog, slice_of
 
 
 class CallFailed(Exception):
@@ -69,6 +71,9 @@ class RetryPolicy:
         return None, shown, kind, attempt
 
 
+# Rows whose results are handed on together.
+HANDED_ON = 100
+
 OUTCOME = "status string, error_type string, error_message string, attempts int, duration_ms long, called_at string"
 
 # Kinds of model failures that are tried again.
@@ -99,25 +104,25 @@ def call_each(
     schema = T.StructType([*tasks.schema.fields, *fields.fields, *T.StructType.fromDDL(OUTCOME).fields])
     wanted, arrow = [f.name for f in fields.fields], to_arrow_schema(schema)
 
+    def outcome(row: dict) -> dict:
+        start = time.monotonic()
+        found, error, kind, attempts = retry.run(call, row)
+        return {
+            **row,
+            **{name: (found or {}).get(name) for name in wanted},
+            "status": "success" if error is None else "failed",
+            "error_type": kind or "",
+            "error_message": error or "",
+            "attempts": attempts,
+            "duration_ms": int((time.monotonic() - start) * 1000),
+            "called_at": datetime.now(timezone.utc).isoformat(),
+        }
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for row in batch.to_pylist():
-                start = time.monotonic()
-                found, error, kind, attempts = retry.run(call, row)
-                rows.append(
-                    {
-                        **row,
-                        **{name: (found or {}).get(name) for name in wanted},
-                        "status": "success" if error is None else "failed",
-                        "error_type": kind or "",
-                        "error_message": error or "",
-                        "attempts": attempts,
-                        "duration_ms": int((time.monotonic() - start) * 1000),
-                        "called_at": datetime.now(timezone.utc).isoformat(),
-                    }
-                )
-            yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+            for at in range(0, batch.num_rows, HANDED_ON):
+                rows = batch.slice(at, HANDED_ON).to_pylist()
+                yield pa.RecordBatch.from_pylist([outcome(row) for row in rows], schema=arrow)
 
     if partitions:
         tasks = tasks.repartition(partitions, quoted(key)) if key else tasks.repartition(partitions)
@@ -135,29 +140,41 @@ def enrich(
     retry: RetryPolicy = RetryPolicy(),
     partitions: int | None = None,
     fmt: str = "parquet",
+    waves: int = 4,
+    slices: int = SLICES,
 ) -> DataFrame:
     """Dedupe keys, skip logged ones, call, append to the log, return the log.
 
-    Without a log path the result rows come back unwritten. With one, the
-    calls run in the write only, and the returned table is the log read back.
+    Without a log path the result rows come back unwritten. With one, the keys
+    fall into ``slices`` by hash, and the slices are worked off in ``waves``.
+    Each wave is committed to the log when its calls are over: a run that fails
+    keeps the waves before, and the next one plans what is then still pending.
+    A wave reads the slices of the log that its own keys lie in. A plain folder
+    of log files is taken over as the first run.
     """
     spark = df.sparkSession
-    known = None
-    if log is not None and _exists(spark, log):
-        known = read_log(spark, log, fmt=fmt)
-    called = call_each(new_tasks(df, key, order, known, policy), call, result, retry, partitions, key)
     if log is None:
-        return called
-    append_log(called, log, fmt)
+        return call_each(new_tasks(df, key, order), call, result, retry, partitions, key)
+    journal = RunLog(spark, log, fmt)
+    if journal.is_plain():
+        adopt_log(spark, log, fmt, key, slices)
+    # written once, so that the waves do not work out the tasks again
+    staged = work_dir(spark, "tasks")
+    tasks = new_tasks(df, key, order)
+    tasks.withColumn(SLICE, slice_of(quoted(key), slices)).write.partitionBy(SLICE).parquet(staged)
+    laid = spark.read.schema(T.StructType([*tasks.schema.fields, T.StructField(SLICE, T.IntegerType())])).parquet(staged)
+    present = sorted(r[0] for r in laid.select(SLICE).distinct().collect())
+    run = journal.next_run()
+    for wave in range(waves):
+        mine = [n for n in present if n % waves == wave]
+        if mine or not journal.exists():
+            todo = laid.filter(F.col(SLICE).isin(mine)).drop(SLICE)
+            if journal.exists():
+                todo = pending(todo, journal.rows(key, mine, slices), key, policy)
+            journal.append(call_each(todo, call, result, retry, partitions, key), run, wave, key, slices)
     return read_log(spark, log, fmt=fmt)
 
 
-def _exists(spark, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
-
 def attach(df: DataFrame, log: DataFrame, key: str, columns: Sequence[str], prefer_success: bool = False, spread: int = 1) -> DataFrame:
     """Join the latest logged result of each key back to every row that asks for it."""
     prefer = (F.col("status") == "success") if prefer_success else None
@@ -165,6 +182,40 @@ def attach(df: DataFrame, log: DataFrame, key: str, columns: Sequence[str], pref
     return lookup(df.withColumn("_key", filled(quoted(key))), last, "_key", spread=spread).drop("_key")
 
 
+def auto_extract(
+    df: DataFrame,
+    key: str,
+    call: Callable[[dict], dict],
+    rules: Callable[[DataFrame], DataFrame],
+    kind: str,
+    ask: Sequence[str] = (),
+    log: str | None = None,
+    order: Sequence[str] = ("_row",),
+    retry: RetryPolicy = RetryPolicy(),
+    partitions: int | None = None,
+    policy: str = "success",
+    waves: int = 4,
+) -> DataFrame:
+    """The rows with ``items`` and ``method``: the model's items where it has any, else those of the ``rules``.
+
+    ``call`` sees the key and the columns in ``ask`` and gives ``items`` (of type
+    ``kind``); ``rules`` adds ``items`` to the rows it is given. The outcome of a call is
+    settled in a log, below the shared folder where none is named, before the
+    rules are planned; so the rules work on the rows that it left empty and on
+    no others. With a log that is kept, keys that have succeeded are not asked
+    again.
+    """
+    tasks = df.select(*[quoted(c) for c in dict.fromkeys([key, *order, *ask])])
+    done = enrich(tasks, key, call, f"items {kind}", log or work_dir(df.sparkSession, "model"), order, policy, retry, partitions, waves=waves)
+    last = latest(done, key, prefer=F.col("status") == "success")
+    found = last.filter((F.col("status") == "success") & (F.size("items") > 0)).select(quoted(key).alias("_key"), "items")
+    asked = df.withColumn("_key", filled(quoted(key)))
+    by_model = lookup(asked, found, "_key", "inner").withColumn("method", F.lit("langextract"))
+    left = lookup(asked, found.select("_key", F.lit(True).alias("_found")), "_key").filter(F.col("_found").isNull()).drop("_found")
+    by_rules = rules(left).withColumns({"items": F.col("items").cast(kind), "method": F.lit("regexp")})
+    return by_model.unionByName(by_rules).drop("_key")
+
+
 # -- model replies ------------------------------------------------------------
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheetflow.sources.runlog import CSV, PLACE, RUN, SLICES, RunLog
+
 # Log columns, and the types of those that are not text.
 LOG_COLUMNS = {
     "search": [
@@ -47,14 +49,6 @@ LONGS = {
 }
 DOUBLES = {"cost", "elapsed_time", "响应体大小(KB)"}
 
-_CSV = {
-    "header": "true",
-    "quote": '"',
-    "escape": '"',
-    "multiLine": "true",
-    "ignoreLeadingWhiteSpace": "false",
-    "ignoreTrailingWhiteSpace": "false",
-}
 BOM = "\ufeff"
 
 
@@ -66,8 +60,14 @@ def read_log(spark: SparkSession, path: str, kind: str | None = None, fmt: str =
     """A log with its extra columns kept, and ``_seq`` that orders the appends.
 
     Columns of the kind that a file lacks are added as nulls; numbers that do
-    not parse become null. A text cell of a CSV file is "" where the file has nothing.
+    not parse become null. A text cell of a CSV file is "" where the file has
+    nothing. A log of :func:`append_log` is read by its manifest and ordered by
+    run and place; a plain folder of files is ordered by their times.
     """
+    journal = RunLog(spark, path, fmt)
+    if journal.exists():
+        raw, seq = journal.rows(), F.struct(F.col(RUN).alias("run"), F.col(PLACE).alias("place"))
+        return _typed(raw, seq, kind, fmt, (RUN, PLACE))
     where = ["_metadata.file_modification_time", "_metadata.file_name"]
     if fmt == "csv":
         raw = _read_csv(spark, path)
@@ -76,7 +76,12 @@ def read_log(spark: SparkSession, path: str, kind: str | None = None, fmt: str =
         # appends may differ in their columns
         raw = spark.read.option("mergeSchema", "true").format(fmt).load(path)
         place = F.col("_metadata.row_index") if fmt == "parquet" else F.monotonically_increasing_id()
-    own = [c for c in raw.columns if fmt != "csv" or c not in ("_time", "_file", "_place")]
+    seq = F.struct(F.col(where[0]).alias("time"), F.col(where[1]).alias("file"), place.alias("place"))
+    return _typed(raw, seq, kind, fmt, ("_time", "_file", "_place") if fmt == "csv" else ())
+
+
+def _typed(raw: DataFrame, seq, kind: str | None, fmt: str, inner: tuple[str, ...]) -> DataFrame:
+    own = [c for c in raw.columns if c not in inner]
     names = list(dict.fromkeys([*(LOG_COLUMNS[kind] if kind else []), *own]))
     types = dict(raw.dtypes)
     fields = []
@@ -86,11 +91,6 @@ def read_log(spark: SparkSession, path: str, kind: str | None = None, fmt: str =
             wanted = log_type(name) if kind else "string"
             known = known.try_cast(wanted) if wanted != "string" else F.coalesce(known, F.lit("")) if fmt == "csv" else known
         fields.append(known.alias(name))
-    seq = F.struct(
-        F.col(where[0]).alias("time"),
-        F.col(where[1]).alias("file"),
-        place.alias("place"),
-    )
     return raw.select(*fields, seq.alias("_seq"))
 
 
@@ -116,7 +116,7 @@ def _read_csv(spark: SparkSession, path: str) -> DataFrame:
         by_header = {"": [path]}
     parts = []
     for _, files in sorted(by_header.items()):
-        part = spark.read.options(**_CSV).csv(files)
+        part = spark.read.options(**CSV).csv(files)
         meta = {"_time": F.col("_metadata.file_modification_time"), "_file": F.col("_metadata.file_name"), "_place": F.monotonically_increasing_id()}
         parts.append(part.withColumns(meta).withColumnsRenamed({c: c.lstrip(BOM) for c in part.columns}))
     out = parts[0]
@@ -126,18 +126,24 @@ def _read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_log(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Add rows to a log; every CSV part carries its own header."""
-    writer = df.drop("_seq").write.mode("append")
-    if fmt == "csv":
-        writer = writer.options(**{**_CSV, "emptyValue": "", "nullValue": ""})
-    writer.format(fmt).save(path)
+    """Add rows to a log as a new run; every CSV part carries its own header."""
+    RunLog(df.sparkSession, path, fmt).append(df)
+
+
+def adopt_log(spark: SparkSession, path: str, fmt: str = "parquet", key: str | None = None, slices: int = SLICES) -> None:
+    """Make a plain folder of log files a log with run numbers: its rows become the first run, in the order of the files."""
+    RunLog(spark, path, fmt).append(read_log(spark, path, fmt=fmt).orderBy("_seq"), key=key, slices=slices)
+
+
+def compact_log(spark: SparkSession, path: str, key: str | None = None, fmt: str = "parquet", files: int | None = None, purge: bool = False) -> None:
+    """Rewrite a log as one commit, with ``key`` only its last rows; see :meth:`RunLog.compact`."""
+    RunLog(spark, path, fmt).compact(key, files, purge)
 
 
 def write_csv_bom(df: DataFrame, path: str) -> None:
     """CSV whose parts start with a byte order mark, for spreadsheet programs."""
     first, *rest = df.columns
-    options = {**_CSV, "emptyValue": "", "nullValue": ""}
-    df.toDF(BOM + first, *rest).write.mode("overwrite").options(**options).csv(path)
+    df.toDF(BOM + first, *rest).write.mode("overwrite").options(**CSV).csv(path)
 
 
 def write_report(sections: dict[str, DataFrame], path: str, always: tuple[str, ...] = (), fmt: str = "csv") -> list[str]:

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sheetflow.operators.enrich import RetryPolicy, enrich
 from sheetflow.session import work_dir
+from sheetflow.sources.runlog import SLICES
 
 
 def watch(
@@ -27,17 +28,23 @@ def watch(
     source: Callable[[DataFrame], DataFrame] | None = None,
     fmt: str = "parquet",
     once: bool = True,
+    log_fmt: str = "parquet",
+    waves: int = 1,
+    slices: int = SLICES,
 ) -> StreamingQuery:
     """Follow ``folder``: each batch of new files is enriched into ``log``.
 
-    A repeated batch calls nothing again, because the log settles its keys.
-    ``once`` works off what is there and stops; otherwise it keeps running.
+    A repeated batch calls nothing again, because the log settles its keys. A
+    batch reads only those slices of the log that its own keys lie in, however
+    long the log has become. ``once`` works off what is there and stops;
+    otherwise it keeps running. ``fmt`` is the format of the folder, ``log_fmt``
+    that of the log.
     """
     stream = spark.readStream.schema(schema).format(fmt).load(folder)
     stream = source(stream) if source else stream
 
     def on_batch(batch: DataFrame, _epoch: int) -> None:
-        enrich(batch, key, call, result, log, order, policy, retry, partitions)
+        enrich(batch, key, call, result, log, order, policy, retry, partitions, log_fmt, waves, slices)
 
     place = checkpoint or work_dir(spark, "watch")
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", place)

@@ -5,7 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from sheetflow.operators.enrich import MODEL_RETRY, CallFailed, RetryPolicy, ask_model, attach, call_each, enrich, new_tasks, prompt_text, scan_input
+from sheetflow.operators.enrich import MODEL_RETRY, CallFailed, RetryPolicy, ask_model, attach, auto_extract, call_each, enrich, new_tasks, prompt_text, scan_input
 from sheetflow.session import checkpoint_root, settle, work_dir
 from sheetflow.sources.logs import read_log
 from sheetflow.streaming.watch import watch
@@ -130,3 +130,38 @@ def test_model_retries():
 
     policy = replace(MODEL_RETRY, times=5, delay=0.0)
     assert policy.run(flaky, {})[1:] == ("401", "auth_error", 3) and len(made) == 3
+
+
+def test_model_first_then_rules(spark, tmp_path):
+    """The rules are planned over what the settled model log leaves, and see no other row."""
+    seen = str(tmp_path / "seen")
+    os.mkdir(seen)
+    kind = "array<struct<name:string>>"
+
+    def model(row):
+        if row["url"] == "bad":
+            raise CallFailed("429", "rate_limit")
+        return {"items": [{"name": f"model {row['url']}"}] if row["url"].startswith("m") else []}
+
+    @F.udf(kind)
+    def found(text):
+        open(os.path.join(seen, text), "w").close()
+        return [] if text == "t4" else [{"name": f"rules {text}"}]
+
+    def rules(rows):
+        return rows.withColumn("items", found("text"))
+
+    given = [(1, "m1", "t1"), (2, "x", "t2"), (3, "bad", "t3"), (4, "y", "t4"), (5, None, "t5"), (6, " m1 ", "t6")]
+    df = spark.createDataFrame(given, "_row int, url string, text string")
+    log = str(tmp_path / "log")
+    out = auto_extract(df, "url", model, rules, kind, log=log, retry=RetryPolicy(times=0))
+    got = {r["_row"]: (r["method"], [i["name"] for i in r["items"]]) for r in out.collect()}
+    assert got == {
+        1: ("langextract", ["model m1"]), 2: ("regexp", ["rules t2"]), 3: ("regexp", ["rules t3"]), 4: ("regexp", []), 5: ("regexp", ["rules t5"]), 6: ("langextract", ["model m1"]),
+    }
+    assert set(os.listdir(seen)) == {"t2", "t3", "t4", "t5"} and out.columns == ["_row", "url", "text", "items", "method"]
+    # what a call does not ask for does not go into the log
+    assert "text" not in read_log(spark, log).columns
+    # the log keeps the model's answers: only what failed is asked again
+    again = auto_extract(df, "url", lambda row: {"items": [{"name": "second"}]}, rules, kind, log=log, retry=RetryPolicy(times=0))
+    assert {r["_row"]: r["method"] for r in again.collect()} == {1: "langextract", 2: "regexp", 3: "langextract", 4: "regexp", 5: "regexp", 6: "langextract"}
