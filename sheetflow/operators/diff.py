@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sheetflow.operators.keyed import drop_null_keys, duplicate_keys, quoted
+from sheetflow.session import work_dir
 
 # Report wording.
 CHANGED_COLUMN, OLD_VALUE, NEW_VALUE = "变化的列", "旧值", "新值"
@@ -32,6 +33,26 @@ def _comparable(c: Column, kind: T.DataType, as_text: bool) -> Column:
     return c
 
 
+CELL = f"array<struct<_col:int,`{CHANGED_COLUMN}`:string,`{OLD_VALUE}`:string,`{NEW_VALUE}`:string>>"
+
+
+def _changes(cells: list[tuple[str, Column, Column, Column]]) -> Column:
+    """The changed cells of a row, in the order of the columns."""
+    entries = [
+        F.when(
+            changed,
+            F.struct(
+                F.lit(at).alias("_col"),
+                F.lit(name).alias(CHANGED_COLUMN),
+                o.cast("string").alias(OLD_VALUE),
+                n.cast("string").alias(NEW_VALUE),
+            ),
+        )
+        for at, (name, o, n, changed) in enumerate(cells)
+    ]
+    return F.array_compact(F.array(*entries)).cast(CELL)
+
+
 class KeyedDiff:
     """The parts of a comparison, each a lazy DataFrame.
 
@@ -84,11 +105,11 @@ class KeyedDiff:
         on = reduce(lambda x, y: x & y, [self._key(a[f"o{i}"], k).eqNullSafe(self._key(b[f"n{i}"], k)) for i, k in enumerate(self.keys)])
         return a.join(b, on, how)
 
-    def _cells(self) -> list[tuple[str, Column, Column, Column]]:
-        """(column, old, new, changed) for each compared column."""
+    def _cells(self, old=lambda i, _: F.col(f"o{i}"), new=lambda i, _: F.col(f"n{i}")) -> list[tuple[str, Column, Column, Column]]:
+        """(column, old, new, changed) for each compared column; ``old`` and ``new`` give a column by place and name."""
         cells = []
         for i, name in enumerate(self.columns, len(self.keys)):
-            o, n = F.col(f"o{i}"), F.col(f"n{i}")
+            o, n = old(i, name), new(i, name)
             kinds = self.old.schema[name].dataType, self.new.schema[name].dataType
             as_text = kinds[0] != kinds[1]
             same = _comparable(o, kinds[0], as_text).eqNullSafe(_comparable(n, kinds[1], as_text))
@@ -103,20 +124,8 @@ class KeyedDiff:
             empty = self.old.select(*[quoted(k) for k in self.keys]).limit(0)
             return empty.withColumns({c: F.lit("") for c in (CHANGED_COLUMN, OLD_VALUE, NEW_VALUE)}).withColumn("_col", F.lit(0))
         any_change = reduce(lambda x, y: x | y, [changed for *_, changed in cells])
-        entries = [
-            F.when(
-                changed,
-                F.struct(
-                    F.lit(at).alias("_col"),
-                    F.lit(name).alias(CHANGED_COLUMN),
-                    o.cast("string").alias(OLD_VALUE),
-                    n.cast("string").alias(NEW_VALUE),
-                ),
-            )
-            for at, (name, o, n, changed) in enumerate(cells)
-        ]
         rows = self._paired("inner").filter(any_change)
-        shown = rows.withColumn("_cell", F.explode(F.array_compact(F.array(*entries))))
+        shown = rows.withColumn("_cell", F.explode(_changes(cells)))
         return shown.select(*[F.col(f"o{i}").alias(k) for i, k in enumerate(self.keys)], F.col("_cell.*"))
 
     @property
@@ -160,10 +169,89 @@ class KeyedDiff:
             "修改的详情": changed,
         }
 
-    def report(self, old_label: str = "old", new_label: str = "new", at: str | None = None) -> dict[str, DataFrame]:
-        overview = self.summary(old_label, new_label, at).orderBy("_line").drop("_line")
-        return {"差异总览": overview, **self.ordered()}
+    def settled(self, path: str | None = None) -> SettledDiff:
+        """The same comparison worked out in one pass and written; its parts are read back from there."""
+        return SettledDiff(self, path or work_dir(self.old.sparkSession, "diff"))
+
+    def report(self, old_label: str = "old", new_label: str = "new", at: str | None = None, path: str | None = None) -> dict[str, DataFrame]:
+        """All sections, from one pass over both tables."""
+        done = self.settled(path)
+        overview = done.summary(old_label, new_label, at).orderBy("_line").drop("_line")
+        return {"差异总览": overview, **done.ordered()}
+
+
+ADDED, DELETED, MODIFIED, REPEATED = "added", "deleted", "modified", "repeated"
+
+
+class SettledDiff(KeyedDiff):
+    """A comparison written to a folder, one part of it for each kind of difference.
+
+    Both tables are grouped by key together: a key of one side only is added
+    or deleted, one of both sides is compared, and one that a side has twice
+    is an error, found in the same pass. Nothing is joined, so that null keys
+    need no care and a key that many rows repeat is counted before the shuffle.
+    """
+
+    def __init__(self, plain: KeyedDiff, path: str):
+        self.keys, self.columns, self.only_old, self.only_new = plain.keys, plain.columns, plain.only_old, plain.only_new
+        self.old, self.new, self.path = plain.old, plain.new, path
+        tagged = self._tagged()
+        tagged.write.partitionBy("_kind").parquet(path)
+        self._parts = tagged.sparkSession.read.schema(tagged.schema).parquet(path)
+        names = [f"k{i}" for i in range(len(self.keys))]
+        for label in ("old", "new"):
+            found = self._part(REPEATED).filter(F.col(f"_{label}s") > 1).select(*names).orderBy(*names).limit(5).collect()
+            if found:
+                raise ValueError(f"{label} table: key {self.keys} is not unique, for example {[tuple(r) for r in found]}")
+
+    def _part(self, kind: str) -> DataFrame:
+        return self._parts.filter(F.col("_kind") == kind)
+
+    def _tagged(self) -> DataFrame:
+        """One row per key that differs: its kind, the whole row where it is on one side only, else the changed cells."""
+
+        def side(df: DataFrame, mine: str, other: str, missing: T.StructType) -> DataFrame:
+            keys = [self._key(quoted(k), k).alias(f"k{i}") for i, k in enumerate(self.keys)]
+            return df.select(*keys, F.struct(*[quoted(c) for c in df.columns]).alias(mine), F.lit(None).cast(missing).alias(other))
+
+        both = side(self.old, "o", "n", self.new.schema).unionByName(side(self.new, "n", "o", self.old.schema))
+        names = [f"k{i}" for i in range(len(self.keys))]
+        one = both.groupBy(*names).agg(*[F.first(c, ignorenulls=True).alias(c) for c in "on"], F.count("o").alias("_olds"), F.count("n").alias("_news"))
+        cells = self._cells(lambda _, c: F.col("o").getField(c), lambda _, c: F.col("n").getField(c))
+        changes = _changes(cells) if cells else F.array().cast(CELL)
+        kind = (
+            F.when((F.col("_olds") > 1) | (F.col("_news") > 1), REPEATED)
+            .when(F.col("_olds") == 0, ADDED)
+            .when(F.col("_news") == 0, DELETED)
+            .when(F.size("_cells") > 0, MODIFIED)
+        )
+        told = one.withColumn("_cells", F.when((F.col("_olds") > 0) & (F.col("_news") > 0), changes)).withColumn("_kind", kind).filter("_kind IS NOT NULL")
+        single = {"o": DELETED, "n": ADDED}
+        rows = [F.when(F.col("_kind") == k, F.col(c)).alias(c) for c, k in single.items()]
+        shown = [F.when(F.col("_kind") == MODIFIED, F.col("o").getField(k)).alias(f"_old{i}") for i, k in enumerate(self.keys)]
+        return told.select(*names, *shown, *rows, "_cells", "_olds", "_news", "_kind")
+
+    @property
+    def added(self) -> DataFrame:
+        return self._part(ADDED).select("n.*")
+
+    @property
+    def deleted(self) -> DataFrame:
+        return self._part(DELETED).select("o.*")
+
+    @property
+    def modified(self) -> DataFrame:
+        return self._part(MODIFIED).select(*[F.col(f"_old{i}").alias(k) for i, k in enumerate(self.keys)], F.inline("_cells"))
+
+    @property
+    def counts(self) -> DataFrame:
+        """One row: added, deleted and modified rows, counted where they are written."""
+        return self._parts.agg(*[F.count_if(F.col("_kind") == k).alias(k) for k in (ADDED, DELETED, MODIFIED)])
+
+    def settled(self, path: str | None = None) -> SettledDiff:
+        return self
 
 
 def diff(old: DataFrame, new: DataFrame, keys: Sequence[str], ignore: Sequence[str] = (), verify: bool = True) -> KeyedDiff:
+    """A lazy comparison; ``verify`` looks for repeated keys at once. :meth:`KeyedDiff.settled` does both in one pass."""
     return KeyedDiff(old, new, keys, ignore, verify)

@@ -3,7 +3,7 @@ from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from sheetflow.operators.diff import common_columns, diff
+from sheetflow.operators.diff import SettledDiff, common_columns, diff
 from sheetflow.sources.logs import read_log, write_report
 
 STAFF = "`员工ID` int, `姓名` string, `部门` string, `薪水` int, `入职日期` string"
@@ -85,3 +85,60 @@ def test_against_dictionaries(spark, old, new):
     assert {(r["k"], r["变化的列"]) for r in d.modified.collect()} == expected
     assert rows(d.counts) == [(len(new.keys() - old.keys()), len(old.keys() - new.keys()), len({k for k, _ in expected}))]
     assert rows(diff(frame(old), frame(old), ["k"]).counts) == [(0, 0, 0)]
+
+
+def final_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from([None, 1, 2, 3, 4]), st.sampled_from([None, "a", "b"]), st.sampled_from([None, "", "x", "y"])), max_size=9), st.integers(0, 9))
+def test_settled_diff_is_the_same(spark, cells, cut):
+    schema = "k int, l string, v string, w string"
+    tables = [spark.createDataFrame([(*key, v, v) for key, v in {(k, g): v for k, g, v in part}.items()], schema) for part in (cells[:cut], cells[cut:])]
+    d = diff(*tables, ["k", "l"], ["w"])
+    one = d.settled()
+    assert rows(one.added) == rows(d.added) and rows(one.deleted) == rows(d.deleted)
+    assert rows(one.modified) == rows(d.modified) and rows(one.counts) == rows(d.counts)
+    assert one.added.schema == d.added.schema and one.modified.columns == d.modified.columns
+
+
+def test_settled_diff_of_unlike_types(spark):
+    old = spark.createDataFrame([(1, float("nan"), {"a": 1}), (2, 2.0, None), (7, 0.0, None)], "k int, d double, m map<string,int>")
+    new = spark.createDataFrame([("1", None, "x"), ("2", 2.5, "y"), ("z", 0.5, None)], "k string, d double, e string")
+    d = diff(old, new, ["k"]).settled()
+    assert rows(d.modified, "k", "变化的列", "旧值", "新值") == [(2, "d", "2.0", "2.5")]
+    assert rows(d.added, "k", "e") == [("z", None)] and [r["k"] for r in d.deleted.collect()] == [7] and d.only_old == ["m"]
+
+
+def test_settled_diff_checks_the_keys_in_its_pass(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "y"), (2, "z"), (None, "n")], "k int, v string")
+    b = a.dropDuplicates(["k"])
+    with pytest.raises(ValueError, match=r"old table: key \['k'\] is not unique, for example \[\(1,\)\]"):
+        diff(a, b, ["k"], verify=False).settled()
+    with pytest.raises(ValueError, match="new table"):
+        diff(b, a, ["k"], verify=False).report()
+
+
+def test_a_report_takes_one_pass(spark, staff, monkeypatch):
+    """One grouping of both tables, no join; every section is read from what it wrote."""
+    made = []
+    plain = SettledDiff._tagged
+    monkeypatch.setattr(SettledDiff, "_tagged", lambda self: made.append(plain(self)) or made[-1])
+    report = staff.report("a", "b")
+    assert len(made) == 1
+    text = final_plan(made[0])
+    assert "Join" not in text and text.count("Exchange hashpartitioning") == 1
+    for name, df in report.items():
+        assert "FileScan parquet" in final_plan(df) and "Join" not in final_plan(df), name
+    assert "PartitionFilters: [isnotnull(_kind" in final_plan(report["新增的行"])
+
+
+def test_sections_are_in_order(spark):
+    old = spark.createDataFrame([(i, "a", "b") for i in range(200)], "k int, v string, w string").repartition(7)
+    new = spark.createDataFrame([(i, "x" if i % 2 else "a", "y") for i in range(50, 260)], "k int, v string, w string").repartition(5)
+    sections = diff(old, new, ["k"]).settled().ordered()
+    changed = [(r["k"], r["变化的列"]) for r in sections["修改的详情"].collect()]
+    assert changed == [(k, c) for k in range(50, 200) for c in (["v", "w"] if k % 2 else ["w"])]
+    assert [r["k"] for r in sections["新增的行"].collect()] == list(range(200, 260))
+    assert [r["k"] for r in sections["删除的行"].collect()] == list(range(50))
