@@ -213,7 +213,7 @@ def dedupe_contained(items: Column | str, field: str = "name", item_type: str =
 
 
 def extract_institutions(c: Column | str) -> Column:
-    """Institutions of a text; texts without any key phrase skip the Python split."""
+    """Institutions of a text; texts without any key phrase are not split."""
     text = as_column(c)
     worth_reading = has_any(F.lower(text), KEY_PHRASES)
     found = institution_candidates(F.when(worth_reading, text))

@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 import html
-import re
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sheetflow.functions.strings import as_column, let, strip
+from sheetflow.functions.strings import BLANK, BLANKS, as_column, let, running_sums, strip
 
 # Flags: Unicode classes, and "\n" as the only line end.
 _U = "(?dU)"
@@ -62,8 +60,6 @@ NOISE_SEPARATOR_LIMIT = 3
 SENTENCE_END = r"[。！？!?]\s+|(?<=[a-z])\.\s+(?=[A-Z])|(?<=[A-Z][a-z]{2})\.\s+"
 PARAGRAPH_GAP = r"\n\s*\n"
 
-SENTENCES = T.ArrayType(T.StructType().add("sentence", "string").add("pos", "integer"))
-
 
 def clean_markdown(c: Column | str) -> Column:
     """Text without markup; a pattern only runs over texts that have its mark."""
@@ -118,36 +114,38 @@ def html_to_text(c: Column | str, paragraphs: bool = False) -> Column:
     return strip(F.regexp_replace(text, r" ?\n[ \n]*", "\n\n"))
 
 
-def _sentences(text: str) -> list[tuple[str, int]]:
-    cuts = sorted(
-        {0, len(text)}
-        | {m.start() for m in re.finditer(PARAGRAPH_GAP, text)}
-        | {m.end() for m in re.finditer(PARAGRAPH_GAP, text)}
-    )
-    found = []
-    for begin, end in zip(cuts, cuts[1:]):
-        paragraph = text[begin:end]
-        ends = [m.end() for m in re.finditer(SENTENCE_END, paragraph)] + [len(paragraph)]
-        for left, right in zip([0, *ends], ends):
-            piece = paragraph[left:right]
-            bare = piece.strip()
-            if len(bare) > MIN_SENTENCE:
-                found.append((bare, begin + left + len(piece) - len(piece.lstrip())))
-    return found
-
-
-@F.pandas_udf(SENTENCES)
-def _split_sentences(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for texts in batches:
-        yield texts.map(lambda t: [{"sentence": s, "pos": p} for s, p in _sentences(t)], na_action="ignore")
+# Stands between sentences while a text is cut; where a text has it itself,
+# another character takes its place for that time.
+_MARK, _STAND_IN = "\uffff", "\ufffe"
 
 
 def split_sentences(c: Column | str) -> Column:
     """``array<struct<sentence,pos>>`` of the sentences longer than ten characters.
 
-    ``pos`` is the offset of the sentence in the whole text.
+    Paragraph gaps and sentence ends are marked off and the text is split
+    there; the running lengths of the pieces are their places. ``pos`` is the
+    offset of the sentence in the whole text.
     """
-    return _split_sentences(as_column(c))
+
+    def placed(text: Column, piece: Column, begin: Column) -> Column:
+        pos = begin + F.length(piece) - F.length(F.ltrim(piece, F.lit(BLANKS)))
+        bare = F.btrim(piece, F.lit(BLANKS))
+        own = F.when(F.contains(bare, F.lit(_STAND_IN)), F.substring(text, pos + 1, F.length(bare))).otherwise(bare)
+        return F.struct(own.alias("sentence"), pos.alias("pos"))
+
+    def cut(text: Column) -> Column:
+        marked = F.translate(text, _MARK, _STAND_IN)
+        marked = F.regexp_replace(marked, "(" + PARAGRAPH_GAP.replace(r"\s", BLANK) + ")", f"{_MARK}$1{_MARK}")
+        marked = F.regexp_replace(marked, "(" + SENTENCE_END.replace(r"\s", BLANK) + ")", f"$1{_MARK}")
+
+        def sentences(pieces: Column) -> Column:
+            starts = running_sums(F.transform(pieces, F.length))
+            found = let(starts, lambda at: F.transform(pieces, lambda p, i: placed(text, p, F.get(at, i))))
+            return F.filter(found, lambda s: F.length(s["sentence"]) > MIN_SENTENCE)
+
+        return let(F.split(marked, _MARK), sentences)
+
+    return let(as_column(c), cut)
 
 
 def is_noise(c: Column | str, lower: Column | None = None) -> Column:

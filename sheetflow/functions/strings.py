@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 # Every character that counts as blank at the ends of a cell, by rule.
 BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
+# One blank, and one character that is none, for Java patterns.
+BLANK = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in BLANKS) + "]"
 _INK = "[^" + "".join(f"\\x{{{ord(c):x}}}" for c in BLANKS) + "]"
 _VAR = re.compile(r"\{\{(\w+)\}\}")
 
@@ -47,6 +49,34 @@ def sha1_hex(c: Column | str) -> Column:
     return F.sha1(F.encode(as_column(c), "UTF-8"))
 
 
+def running_sums(values: Column) -> Column:
+    """Sum of all values before each one, over an array of numbers.
+
+    The values are taken in blocks of about the root of their number: the sums
+    of whole blocks, then those inside a block, so the work stays far below the
+    square of the length.
+    """
+
+    def total(xs: Column) -> Column:
+        return F.aggregate(xs, F.lit(0), lambda a, x: a + x)
+
+    def inside(block: Column, before: Column) -> Column:
+        return F.transform(block, lambda _, i: before + total(F.slice(block, F.lit(1), i)))
+
+    def summed(xs: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(xs))).cast("int")
+        blocks = F.transform(F.sequence(F.lit(1), F.size(xs), width), lambda at: F.slice(xs, at, width))
+        return let(
+            blocks,
+            lambda bs: let(
+                F.transform(bs, total),
+                lambda sums: F.flatten(F.transform(bs, lambda b, k: let(total(F.slice(sums, F.lit(1), k)), lambda before: inside(b, before)))),
+            ),
+        )
+
+    return F.when(F.size(values) > 0, summed(values)).otherwise(F.array().cast("array<int>"))
+
+
 # -- column letters -----------------------------------------------------------
 
 

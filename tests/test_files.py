@@ -54,6 +54,35 @@ def test_lines_across_splits(spark, tmp_path):
         assert mine == list(enumerate(expected, 1))
 
 
+def test_lines_are_numbered_where_they_are_read(spark, tmp_path):
+    for name in ("a", "b", "c"):
+        (tmp_path / f"{name}.txt").write_text("".join(f"{name}{i}\n" for i in range(500)))
+    (tmp_path / "empty.txt").write_text("\n \n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        df = textfiles.read_lines(spark, str(tmp_path))
+        assert {(r["seq"], r["line"]) for r in df.collect()} == {(i + 1, f"{n}{i}") for i in range(500) for n in "abc"}
+        text = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    # the lines are not shuffled: only the small table of splits moves
+    assert "Exchange hashpartitioning" not in text and "SortMergeJoin" not in text and "BroadcastHashJoin" in text
+
+
+def test_blocks_are_numbered_by_their_markers(spark, tmp_path):
+    body = "\nfirst\n[CURL_END]\n" + "".join(f"[CURL_START]\nc{i}\n" + ("[CURL_END]\n" if i % 3 else "") for i in range(90))
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.txt").write_text(body)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        got = textfiles.read_blocks(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    expected = sorted((i + 1, f"c{i}") for i in range(90) if i % 3)
+    for name in ("a", "b"):
+        assert sorted((r["seq"], r["block"].strip()) for r in got if r["file"].endswith(f"{name}.txt")) == expected
+
+
 BLOCKS = """stray [CURL_END]
 [CURL_END]
   [CURL_START]

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -5,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sheetflow.functions import institutions as inst
 from sheetflow.functions import prose
+from sheetflow.functions.strings import running_sums
 
 
 def expected_sentences(text):
@@ -32,6 +34,22 @@ def test_sentences(one):
     assert one(prose.split_sentences(F.lit(""))) == []
 
 
+def test_sentences_of_any_text(spark):
+    """Against the plain walk over the text, also with odd blanks, astral characters and the marks used inside."""
+    rng = random.Random(11)
+    bits = ["Abc", "word", " ", "  ", ". ", ".", "! ", "？", "。\u3000", "\n", "\n\n", "\n \t\n", "\x1c", "\xa0", "\x85", "\u2028", "\U0001f600", "\uffff", "\ufffe", "é", "Xyz. ", "Q. A", "\r\n", "longer words here"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(60))) for _ in range(600)] + ["Many a sentence. " * 3000, "\n\n" * 500, "x" * 50_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", prose.split_sentences("t").alias("s"))
+    for r in df.collect():
+        assert [(s["sentence"], s["pos"]) for s in r["s"]] == expected_sentences(texts[r["i"]]), texts[r["i"]]
+
+
+@pytest.mark.parametrize("values", [[], [5], [1, 2], [3, 0, 4, 1], list(range(101))])
+def test_running_sums(one, values):
+    given = F.array(*[F.lit(v) for v in values]).cast("array<int>")
+    assert one(running_sums(given)) == [sum(values[:i]) for i in range(len(values))]
+
+
 def test_html(one):
     page = "<html><head><title>T&amp;x</title><style>p{}</style><SCRIPT>var t='</p>'</SCRIPT></head><body><!-- <p>no</p> --><p>One <b>two</b>&copy; 1 < 2 &lt;b&gt;\n\nx</p><p>Three&nbsp;four</p></body>"
     assert one(prose.html_to_text(F.lit(page))) == "T&x One two © 1 < 2 <b> x Three four"
