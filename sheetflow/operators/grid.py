@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheetflow.functions.strings import cell, col_index, filled
-from sheetflow.operators.keyed import lookup, quoted
+from sheetflow.operators.keyed import lookup, numbered, quoted
 
 GROUP = ["file", "sheet"]
 
@@ -46,6 +47,34 @@ def promote_header(cells: DataFrame, header_row: int = 1, names: dict[int, str]
     )
 
 
+def header_map(cells: DataFrame, header_row: int = 1) -> DataFrame:
+    """(file, sheet, col, name): the header of each sheet; of columns with one name the last counts."""
+    keys = _group(cells)
+    named = cells.filter(F.col("row") == header_row).select(*keys, "col", filled("value").alias("name")).filter("name IS NOT NULL")
+    return named.groupBy(*keys, "name").agg(F.max("col").alias("col"))
+
+
+def promote_headers(cells: DataFrame, header_row: int = 1, columns: Sequence[str] | None = None) -> DataFrame:
+    """Sheets with named columns and ``_row``, each by its own header.
+
+    Every cell is renamed by the header of its own file and sheet, so sheets
+    whose columns stand in another order, or that lack some, meet by name. The
+    names of all headers, or the ``columns`` given, are the columns, in order of
+    their first place and name; a sheet without one has nulls there. Rows
+    without any cell under a name do not appear.
+    """
+    keys = _group(cells)
+    heads = header_map(cells, header_row)
+    if columns is None:
+        # one row per name: what the columns of the result are called
+        found = heads.groupBy("name").agg(F.min("col").alias("col")).collect()
+        columns = [r["name"] for r in sorted(found, key=lambda r: (r["col"], r["name"]))]
+    body = cells.filter(F.col("row") > header_row).select(*keys, "row", "col", "value")
+    named = lookup(body, heads, [*keys, "col"], "inner")
+    values = [F.max(F.when(F.col("name") == name, F.col("value"))).alias(name) for name in columns]
+    return named.filter(F.col("name").isin(list(columns))).groupBy(*keys, F.col("row").alias("_row")).agg(*values)
+
+
 def flatten_header(cells: DataFrame, merges: DataFrame | None, rows: int = 3, sep: str = "/") -> DataFrame:
     """(col, path): names of the header rows joined downwards.
 
@@ -101,14 +130,17 @@ def slice_rows(df: DataFrame, spec: str, first_row: int = 1, single: str = "open
     return kept if high is None else kept.filter(F.col(row) <= high)
 
 
-def stop_at_blank(df: DataFrame, columns: Sequence[str] | None = None, mode: str = "name", row: str = "_row", gaps: bool = True) -> DataFrame:
+def stop_at_blank(
+    df: DataFrame, columns: Sequence[str] | None = None, mode: str = "name", row: str = "_row", gaps: bool = True, first: int | None = None
+) -> DataFrame:
     """Rows before the first blank one.
 
     ``name``: blank in the one named column; ``all``: blank in every column. A
     row without any cell is not in the table at all, so a gap in the row
     numbers is a blank row as well; ``gaps=False`` is for tables whose numbers
-    are not those of a sheet. One file stops by a scalar subquery that becomes
-    a plain filter; several files each stop at their own blank row.
+    are not those of a sheet. ``first`` is the first row that was asked for:
+    where it is missing, nothing is read. One file stops by a scalar subquery
+    that becomes a plain filter; several files each stop at their own blank row.
     """
     groups = _group(df)
     looked_at = list(columns) if columns else [c for c in df.columns if c not in (*groups, row)]
@@ -119,19 +151,38 @@ def stop_at_blank(df: DataFrame, columns: Sequence[str] | None = None, mode: str
     blank = F.lit(True)
     for c in looked_at:
         blank = blank & (cell(quoted(c)) == "")
+    asked = df if first is None else df.filter(F.col(row) >= first)
     at = [quoted(g) for g in groups]
-    ends = df.filter(blank).select(*at, F.col(row).cast("long").alias("_stop"))
+    ends = asked.filter(blank).select(*at, F.col(row).cast("long").alias("_stop"))
     if gaps:
-        # the number after a row is a gap unless there is a row of that number
-        here = F.col(row).cast("long")
-        after = df.select(*at, F.inline(F.array(F.struct((here + 1).alias("_stop"), F.lit(False).alias("_there")), F.struct(here.alias("_stop"), F.lit(True).alias("_there")))))
-        open_ends = after.groupBy(*at, "_stop").agg(F.bool_or("_there").alias("_there")).filter(~F.col("_there"))
-        ends = ends.unionByName(open_ends.drop("_there"))
+        ends = ends.unionByName(_first_gaps(asked, groups, row, first))
     if not groups:
         stop = ends.agg(F.min("_stop")).scalar()
-        return df.filter(F.col(row) < F.coalesce(stop, F.lit((1 << 63) - 1)))
-    first = ends.groupBy(*at).agg(F.min("_stop").alias("_stop"))
-    return lookup(df, first, groups).filter(F.col("_stop").isNull() | (F.col(row) < F.col("_stop"))).drop("_stop")
+        return asked.filter(F.col(row) < F.coalesce(stop, F.lit((1 << 63) - 1)))
+    nearest = ends.groupBy(*at).agg(F.min("_stop").alias("_stop"))
+    return lookup(asked, nearest, groups).filter(F.col("_stop").isNull() | (F.col(row) < F.col("_stop"))).drop("_stop")
+
+
+def _first_gaps(df: DataFrame, groups: Sequence[str], row: str, first: int | None) -> DataFrame:
+    """The groups and ``_stop``, the number of their first missing row.
+
+    Without a gap the nth row has the number n - 1 after the first one. The
+    numbers alone are sorted into ranges for that, so no task sees a whole sheet.
+    """
+    numbers = df.select(*[quoted(g) for g in groups], F.col(row).cast("long").alias("_number")).distinct()
+    placed = numbered(numbers, groups, ["_number"], "_nth")
+    # the first number less its place, from the narrow table itself
+    begin = F.lit(first - 1) if first is not None else None
+    at = [quoted(g) for g in groups]
+    if begin is None:
+        lowest = placed.filter("_nth = 1").select(*[quoted(g).alias(f"_g{i}") for i, g in enumerate(groups)], (F.col("_number") - 1).alias("_begin"))
+        same = reduce(lambda x, y: x & y, [quoted(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(groups)], F.lit(True))
+        if not groups:
+            begin = lowest.agg(F.min("_begin")).scalar()
+        else:
+            placed, begin = placed.join(lowest, same), F.col("_begin")
+    late = placed.withColumn("_stop", begin + F.col("_nth")).filter(F.col("_number") > F.col("_stop"))
+    return late.groupBy(*at).agg(F.min("_stop").alias("_stop")) if groups else late.agg(F.min("_stop").alias("_stop"))
 
 
 def skip_blank(df: DataFrame, column: str) -> DataFrame:

@@ -11,7 +11,7 @@ from sheetflow.functions.jsontext import is_json, is_json_array, is_json_object,
 from sheetflow.functions.links import is_http
 from sheetflow.functions.strings import build_keywords, cell, filled, non_empty, prefix_path, render_template, sha1_hex, strip
 from sheetflow.operators.grid import method_set, require_columns, resolve_column
-from sheetflow.operators.keyed import distinct_values, exclude_urls, found_rows, joined_cells, latest, lookup, merge_values, position, quoted, successful, top_n
+from sheetflow.operators.keyed import distinct_values, exclude_urls, found_rows, joined_cells, latest, lookup, merge_values, names, position, quoted, successful, top_n
 
 # Report wording.
 NO_MATCH, CALL_FAILED = "【无匹配】", "【调用失败】"
@@ -142,25 +142,27 @@ def result_fields(log: DataFrame) -> list[str]:
 
 
 def assemble_extract(
-    df: DataFrame, log: DataFrame, url_columns: Sequence[str], mode: str = "after_url", row: str = "_row", spread: int = 1
+    df: DataFrame, log: DataFrame, url_columns: Sequence[str], mode: str = "after_url", row: str | Sequence[str] = "_row", spread: int = 1
 ) -> DataFrame:
     """The sheet with the extracted fields of each URL column.
 
     All URL columns go through one narrow join; the wide sheet is shuffled
-    once, by row, however many URL columns there are.
+    once, by row, however many URL columns there are. ``row`` names the column,
+    or the columns (file, sheet and row), that tell the rows apart.
     """
     fields = result_fields(log)
     good = successful(log, "SUCCESS", "true").filter(non_empty("url"))
     known = latest(good.select(strip("url").alias("url"), *[quoted(f) for f in fields], "_seq"), "url").drop("_seq")
-    hits = lookup(unpivot_urls(df, url_columns, [row]), known, "url", "inner", spread)
+    rows = names(row)
+    hits = lookup(unpivot_urls(df, url_columns, rows), known, "url", "inner", spread)
     wide = [
         F.max(F.when(F.col("column") == u, quoted(f))).alias(f"{u}-{f}")
         for u in url_columns
         for f in fields
     ]
-    per_row = hits.groupBy(row).agg(*wide)
+    per_row = hits.groupBy(*[quoted(r) for r in rows]).agg(*wide)
     order = place_columns(df.columns, url_columns, fields, mode)
-    return df.join(per_row, row, "left").select(*[quoted(c) for c in order])
+    return df.join(per_row, rows, "left").select(*[quoted(c) for c in order])
 
 
 def explode_search(df: DataFrame, payload: str = "payload", error: str = "error", n: int = 0) -> DataFrame:
@@ -299,11 +301,11 @@ def stage_status(items: Column, snap_status: Column, snap_error: Column, ext_sta
     )
 
 
-def journal_urls(df: DataFrame, name: str, url_columns: Sequence[str], row: str = "_row") -> DataFrame:
+def journal_urls(df: DataFrame, name: str, url_columns: Sequence[str], row: str | Sequence[str] = "_row") -> DataFrame:
     """(row, name, url, at): http URLs of each row without repeats; one null URL when there is none."""
     cells = F.array(*[filled(quoted(c)) for c in url_columns])
     urls = F.array_distinct(F.filter(cells, lambda u: u.isNotNull() & is_http(u)))
-    return df.filter(cell(quoted(name)) != "").select(row, filled(quoted(name)).alias("name"), F.posexplode_outer(urls).alias("at", "url"))
+    return df.filter(cell(quoted(name)) != "").select(*[quoted(r) for r in names(row)], filled(quoted(name)).alias("name"), F.posexplode_outer(urls).alias("at", "url"))
 
 
 def combine_extracted(journals: DataFrame, snapshots: DataFrame, extracts: DataFrame, artifacts: DataFrame, spread: int = 1) -> DataFrame:
@@ -355,9 +357,9 @@ def is_status_row(c: Column | str) -> Column:
 # -- comparison of methods ----------------------------------------------------
 
 
-def _by_keyword(items: DataFrame, row: str) -> tuple[DataFrame, Column]:
+def _by_keyword(items: DataFrame, rows: Sequence[str]) -> tuple[DataFrame, Column]:
     known = F.create_map(*[x for k in KEYWORD_COLUMNS for x in (F.lit(k.lower()), F.lit(k))])
-    named = items.filter(non_empty("name")).select(quoted(row), strip("keyword").alias("_given"), strip("name").alias("name"), "at")
+    named = items.filter(non_empty("name")).select(*[quoted(r) for r in rows], strip("keyword").alias("_given"), strip("name").alias("name"), "at")
     found = F.try_element_at(known, F.lower("_given"))
     tagged = named.withColumn("keyword", F.coalesce(found, F.lit(OTHER)))
     other = F.col("keyword") == OTHER
@@ -365,44 +367,48 @@ def _by_keyword(items: DataFrame, row: str) -> tuple[DataFrame, Column]:
     return tagged.withColumn("name", shown), F.when(other, F.col("at"))
 
 
-def keyword_names(items: DataFrame, row: str = "_row") -> DataFrame:
+def keyword_names(items: DataFrame, row: str | Sequence[str] = "_row") -> DataFrame:
     """(row, keyword, name, nth): institution names per keyword column, numbered in order.
 
-    ``items`` has row, keyword, name and ``at``, their order within the row.
+    ``items`` has row (one column or several), keyword, name and ``at``, their order within the row.
     Known keywords merge distinct names; the others come as ``keyword: name`` under 其他, with
     未知 for a missing keyword and every entry kept.
     """
-    tagged, apart = _by_keyword(items, row)
-    return distinct_values(tagged, [row, "keyword"], "name", ["at"], apart)
+    rows = names(row)
+    tagged, apart = _by_keyword(items, rows)
+    return distinct_values(tagged, [*rows, "keyword"], "name", ["at"], apart)
 
 
-def by_keyword(items: DataFrame, row: str = "_row", length: int = 10_000) -> DataFrame:
+def by_keyword(items: DataFrame, row: str | Sequence[str] = "_row", length: int = 10_000) -> DataFrame:
     """(row, keyword, part, text): the names of :func:`keyword_names` as texts of at most ``length`` names."""
-    tagged, apart = _by_keyword(items, row)
-    return joined_cells(tagged, [row, "keyword"], "name", ["at"], ";", apart=apart, length=length)
+    rows = names(row)
+    tagged, apart = _by_keyword(items, rows)
+    return joined_cells(tagged, [*rows, "keyword"], "name", ["at"], ";", apart=apart, length=length)
 
 
-def keyword_pivot(items: DataFrame, row: str = "_row", length: int = 10_000) -> DataFrame:
+def keyword_pivot(items: DataFrame, row: str | Sequence[str] = "_row", length: int = 10_000) -> DataFrame:
     """One column per keyword, in the fixed order, then 其他; a row for each ``part`` that a keyword has."""
     cells = by_keyword(items, row, length)
     texts = F.map_from_entries(F.collect_list(F.struct("keyword", "text")))
-    one = cells.groupBy(row, "part").agg(texts.alias("_texts"))
+    rows = [quoted(r) for r in names(row)]
+    one = cells.groupBy(*rows, "part").agg(texts.alias("_texts"))
     wide = [F.coalesce(F.try_element_at("_texts", F.lit(k)), F.lit("")).alias(f"关键词_{k}") for k in [*KEYWORD_COLUMNS, OTHER]]
-    return one.select(row, "part", *wide)
+    return one.select(*rows, "part", *wide)
 
 
-def sheet_items(df: DataFrame, artifacts: DataFrame, row: str = "_row", spread: int = 1) -> DataFrame:
+def sheet_items(df: DataFrame, artifacts: DataFrame, row: str | Sequence[str] = "_row", spread: int = 1) -> DataFrame:
     """(row, keyword, name, at): institutions behind the sheet's URL columns.
 
     Takes the introduction, home page and host columns that the sheet has, in
     that order. ``artifacts`` comes from :func:`load_artifacts`.
     """
     columns = [c for c in (resolve_column(df, ALIASES[k]) for k in ("intro", "home", "host")) if c]
-    long = unpivot_urls(df, columns, [row])
-    long = long.select(row, sha1_hex("url").alias("url_hash"), url_order(columns).alias("_url_at"))
+    rows = names(row)
+    long = unpivot_urls(df, columns, rows)
+    long = long.select(*[quoted(r) for r in rows], sha1_hex("url").alias("url_hash"), url_order(columns).alias("_url_at"))
     found = lookup(long, artifacts.select("url_hash", "items"), "url_hash", "inner", spread)
-    exploded = found.select(row, "_url_at", F.posexplode("items").alias("_item_at", "_i"))
-    return exploded.select(row, F.col("_i.matched_keyword").alias("keyword"), F.col("_i.name").alias("name"), F.struct("_url_at", "_item_at").alias("at"))
+    exploded = found.select(*[quoted(r) for r in rows], "_url_at", F.posexplode("items").alias("_item_at", "_i"))
+    return exploded.select(*[quoted(r) for r in rows], F.col("_i.matched_keyword").alias("keyword"), F.col("_i.name").alias("name"), F.struct("_url_at", "_item_at").alias("at"))
 
 
 def _field_values(items: Column, field: str) -> Column:
@@ -429,20 +435,22 @@ def combine_methods(
     scan_log: DataFrame | None,
     search_log: DataFrame | None,
     include: str = "extract,scan,search",
-    row: str = "_row",
+    row: str | Sequence[str] = "_row",
     spread: int = 1,
 ) -> DataFrame:
     """The sheet beside the answers of up to three methods, one name prefix per group.
 
-    ``items`` has row, keyword, name and ``at``. The AI columns stay blank for
+    ``items`` has row, keyword, name and ``at``; ``row`` names the column, or the
+    columns (file, sheet and row), that tell the rows apart. The AI columns stay blank for
     methods that are not included. Where keyword texts go on in further parts,
     those rows have blanks in all other columns.
     """
     methods = method_set(include)
-    sheet = [c for c in df.columns if c != row]
+    rows = names(row)
+    sheet = [c for c in df.columns if c not in rows]
     name = resolve_column(df, ALIASES["name"], required=True)
     original = [f"原始_{c}" for c in sheet]
-    out = df.select(row, cell(quoted(name)).alias("_name"), *[cell(quoted(c)).alias(o) for c, o in zip(sheet, original)])
+    out = df.select(*[quoted(r) for r in rows], cell(quoted(name)).alias("_name"), *[cell(quoted(c)).alias(o) for c, o in zip(sheet, original)])
     manual = []
     for key, shown in (("manual_unit", "人工_人工判断单位"), ("manual_sentence", "人工_人工判断关键语句")):
         source = resolve_column(df, ALIASES[key])
@@ -470,7 +478,7 @@ def combine_methods(
     part = F.lit(0)
     with_items = "extract" in methods and items is not None
     if with_items:
-        out, part = out.join(keyword_pivot(items, row), row, "left"), F.coalesce("part", F.lit(0))
+        out, part = out.join(keyword_pivot(items, rows), rows, "left"), F.coalesce("part", F.lit(0))
 
     def shown(columns: Sequence[str], there: bool) -> list[Column]:
         return [(F.coalesce(quoted(c), F.lit("")) if there else F.lit("")).alias(c) for c in columns]
@@ -478,11 +486,11 @@ def combine_methods(
     def once(c: Column, name: str) -> Column:
         return (F.when(part == 0, c).otherwise("") if with_items else c).alias(name)
 
-    names = [c for _, columns in groups for c in columns]
-    answered = [once(c, n) for n, c in zip(names, (c for found, columns in groups for c in shown(columns, found is not None)))]
+    titles = [c for _, columns in groups for c in columns]
+    answered = [once(c, n) for n, c in zip(titles, (c for found, columns in groups for c in shown(columns, found is not None)))]
     sheet_cells = [once(quoted(c), c) for c in original]
     by_hand = [once(c, n) for n, c in manual]
-    return out.select(row, *sheet_cells, *by_hand, *answered, *shown(keywords, with_items), part.alias("part"))
+    return out.select(*[quoted(r) for r in rows], *sheet_cells, *by_hand, *answered, *shown(keywords, with_items), part.alias("part"))
 
 
 def report_rows(names_df: DataFrame, results: DataFrame, kind: str = "search", row: str = "_row", spread: int = 1) -> DataFrame:

@@ -87,6 +87,14 @@ def extract_beside(t):
     return reports.assemble_extract(sheet, log, ["a", "b"])
 
 
+@query(EXTRACT_WIDE.replace("o_orderkey AS _row", "CAST(o_orderkey % 2 AS VARCHAR) AS file, o_orderkey // 2 AS _row"))
+def extract_two_sheets(t):
+    """Two files whose rows have the same numbers; fields stay with the rows of their own file."""
+    sheet, log = extract_inputs(t)
+    place = [(F.col("_row") % 2).cast("string").alias("file"), F.floor(F.col("_row") / 2).alias("_row")]
+    return reports.assemble_extract(sheet.select(*place, "a", "o_orderstatus", "b"), log, ["a", "b"], row=["file", "_row"])
+
+
 @query(EXTRACT_WIDE)
 def extract_salted(t):
     """The same with the frequent URLs salted over four tasks, results appended at the end."""
@@ -290,8 +298,7 @@ def sheet_institutions(t):
 ANSWERS = """'[{"期刊名称":"x","主办单位":["U' || k || '"," U' || k || ' ","V"],"关键句子":"s","关联单位":"R' || k || '","信息位置":null}, {"主办单位":"V","关键句子":"s","关联单位":"","来源链接":"http://' || k || '"}]'"""
 
 
-@query(
-    f"""WITH {ITEMS}, wide AS (SELECT _row, {PIVOT} FROM cells GROUP BY _row),
+METHODS = f"""WITH {ITEMS}, wide AS (SELECT _row, {PIVOT} FROM cells GROUP BY _row),
 log AS (SELECT 'Supplier#' || lpad(CAST(user_id AS VARCHAR), 9, '0') AS n, event_type, CAST(json_extract_string(props, '$.k') AS VARCHAR) AS k, ts, event_id FROM events),
 scan AS (SELECT * FROM log WHERE event_type IN ('click', 'purchase') QUALIFY row_number() OVER (PARTITION BY n ORDER BY ts DESC, event_id DESC) = 1),
 search AS (SELECT * FROM log WHERE event_type = 'signup' QUALIFY row_number() OVER (PARTITION BY n ORDER BY ts DESC, event_id DESC) = 1)
@@ -301,9 +308,10 @@ SELECT s_suppkey AS _row, s_name AS "原始_刊名", CAST(s_nationkey AS VARCHAR
  CASE WHEN b.n IS NULL THEN '' ELSE s_name END AS "AI核心_期刊名称", coalesce('U' || b.k || ';V', '') AS "AI核心_主办单位", CASE WHEN b.n IS NULL THEN '' ELSE 's' END AS "AI核心_关键句子",
  '' AS "AI核心_判断依据", coalesce('http://' || b.k, '') AS "AI核心_来源链接", 0 AS part, {", ".join(f'''coalesce("关键词_{k}", '') AS "关键词_{k}"''' for k in KEYWORD_COLS)}
 FROM supplier LEFT JOIN scan a ON a.n = s_name LEFT JOIN search b ON b.n = s_name LEFT JOIN wide ON wide._row = s_suppkey"""
-)
-def methods_beside(t):
-    """Suppliers as journals beside the answers of all three methods."""
+
+
+def methods_inputs(t):
+    """Suppliers as journals, and what three methods know of them."""
     sheet = t.supplier.select(F.col("s_suppkey").alias("_row"), F.col("s_name").alias("刊名"), F.col("s_nationkey").alias("人工单位"))
     log = event_log(t).withColumn("k", F.col("k").cast("string"))
     name = F.concat(F.lit("Supplier#"), F.lpad("key", 9, "0")).alias("journal_name")
@@ -317,12 +325,27 @@ def methods_beside(t):
             "url2": F.lit(""),
         }
     )
-    search = rows.filter("event_type <> 'view'").withColumn("status", F.when(kind == "signup", "success").otherwise("failed"))
-    return reports.combine_methods(sheet, supplier_items(t), scan, search)
+    search = rows.withColumn("status", F.when(kind == "signup", "success").otherwise("failed"))
+    return sheet, supplier_items(t), scan, search
+
+
+@query(METHODS)
+def methods_beside(t):
+    """Suppliers as journals beside the answers of all three methods."""
+    return reports.combine_methods(*methods_inputs(t))
+
+
+@query(METHODS.replace("\nSELECT s_suppkey AS _row,", "\nSELECT CAST(s_suppkey % 2 AS VARCHAR) AS file, s_suppkey // 2 AS _row,"))
+def methods_two_sheets(t):
+    """The same over two files whose rows have the same numbers."""
+    sheet, items, scan, search = methods_inputs(t)
+    place = {"file": (F.col("_row") % 2).cast("string"), "_row": F.floor(F.col("_row") / 2)}
+    return reports.combine_methods(sheet.withColumns(place), items.withColumns(place), scan, search, row=["file", "_row"])
 
 
-REPORT_LOG = """log AS (SELECT 'U' || user_id AS n, event_type AS e, json_extract_string(props, '$.k') AS k, CAST(ts AS VARCHAR) AS time, ts, event_id FROM events),
-last AS (SELECT * FROM log WHERE n <> 'U3' QUALIFY row_number() OVER (PARTITION BY n ORDER BY ts DESC, event_id DESC) = 1),
+# One user's rows stand under another name, so that a customer has none.
+REPORT_LOG = """log AS (SELECT CASE WHEN user_id = 3 THEN 'gone' ELSE 'U' || user_id END AS n, event_type AS e, json_extract_string(props, '$.k') AS k, CAST(ts AS VARCHAR) AS time, ts, event_id FROM events),
+last AS (SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY n ORDER BY ts DESC, event_id DESC) = 1),
 j AS (SELECT c_custkey AS _row, 'U' || c_custkey AS name, last.* FROM customer LEFT JOIN last ON n = 'U' || c_custkey),
 f AS (SELECT *, 0 AS "at" FROM j WHERE e IN ('click', 'signup') UNION ALL SELECT *, 1 FROM j WHERE e = 'signup' UNION ALL SELECT *, NULL FROM j WHERE n IS NULL OR e NOT IN ('click', 'signup'))"""
 
@@ -331,8 +354,8 @@ def report_log(t):
     kind = F.col("event_type")
     k = F.get_json_object("props", "$.k")
     one = F.concat(F.lit('{"主办单位":"H'), k, F.lit('","关联单位":"R'), k, F.lit('","来源链接1":"http://own/'), k, F.lit('"}'))
-    log = t.events.filter("user_id <> 3").select(
-        F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("journal_name"),
+    log = t.events.select(
+        F.when(F.col("user_id") == 3, "gone").otherwise(F.concat(F.lit("U"), F.col("user_id").cast("string"))).alias("journal_name"),
         F.when(kind.isin("click", "signup", "view"), "success").otherwise("failed").alias("status"),
         F.when(kind == "error", "timeout").when(kind == "purchase", F.lit(None)).otherwise("").alias("error_type"),
         F.when(kind == "error", "slow").alias("error_message"),

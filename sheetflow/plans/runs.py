@@ -2,6 +2,7 @@
 
 from dataclasses import replace
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sheetflow.functions.curl import parse_block, parse_curl, render_curl
@@ -25,7 +26,7 @@ from sheetflow.operators.keyed import extraction_status, latest, overlay, pendin
 from sheetflow.plans.registry import query
 from sheetflow.plans.texts import REPLY, by_type, sql_by_type
 from sheetflow.session import work_dir
-from sheetflow.sources.logs import append_log, read_log
+from sheetflow.sources.logs import append_log, compact_log, read_log
 from sheetflow.sources.textfiles import read_blocks, read_lines
 from sheetflow.streaming.watch import watch
 
@@ -52,7 +53,9 @@ LOG = """WITH log AS (SELECT CAST(user_id AS VARCHAR) AS key, CASE event_type WH
 SELECT c_custkey AS _row, CAST(c_custkey AS VARCHAR) AS key FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM done)"""
 )
 def pending_any(t):
-    tried = t.events.filter("event_type = 'purchase' AND value > 90").select(F.concat(F.lit(" "), F.col("user_id").cast("string")).alias("user"))
+    # all other events are those of names that are no task
+    mine = (F.col("event_type") == "purchase") & (F.col("value") > 90)
+    tried = t.events.select(F.concat(F.when(mine, " ").otherwise("other "), F.col("user_id").cast("string")).alias("user"))
     tasks = t.customer.select(F.col("c_custkey").alias("_row"), F.col("c_custkey").cast("string").alias("key"))
     return pending(tasks, tried, "key", "any", log_key="user")
 
@@ -64,7 +67,8 @@ WHERE CAST(c_custkey AS VARCHAR) NOT IN (SELECT key FROM log WHERE status = 'suc
 )
 def pending_success(t):
     tasks = t.customer.select(F.col("c_custkey").alias("_row"), F.col("c_custkey").cast("string").alias("key"))
-    return pending(tasks, event_log(t).filter("status <> 'success' OR value > 100"), "key", "success")
+    half = (F.col("status") == "success") & (F.col("value") <= 100)
+    return pending(tasks, event_log(t).withColumn("status", F.when(half, "partial").otherwise(F.col("status"))), "key", "success")
 
 
 SEARCH_LOG = """sl AS (SELECT event_type AS sheet, event_id AS row, 'user ' || user_id AS keywords, CAST(ts AS VARCHAR) AS search_time, CAST(floor(value) AS BIGINT) AS search_duration_ms,
@@ -73,9 +77,9 @@ SEARCH_LOG = """sl AS (SELECT event_type AS sheet, event_id AS row, 'user ' || u
   CASE WHEN k % 4 > 0 AND k % 5 > 0 THEN 'http://u/' || (k % 50) ELSE '' END AS url1, CASE WHEN k % 4 > 0 AND k % 5 > 1 THEN 'http://u/' || (k % 20) ELSE '' END AS url2,
   CASE WHEN k % 4 > 0 AND k % 5 > 3 THEN 'http://hot/' ELSE '' END AS url3, ts, event_id
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events))"""
-SNAP_LOG = """nl AS (SELECT CASE WHEN k % 3 = 0 THEN 'http://hot/' ELSE 'http://u/' || (k % 40) END AS url, CASE WHEN event_type <> 'error' THEN 'aa/bb/' || k ELSE '' END AS snapshot_path,
+SNAP_LOG = """nl AS (SELECT CASE WHEN value <= 3 THEN 'http://gone/' || (k % 40) WHEN k % 3 = 0 THEN 'http://hot/' ELSE 'http://u/' || (k % 40) END AS url, CASE WHEN event_type <> 'error' THEN 'aa/bb/' || k ELSE '' END AS snapshot_path,
   CASE WHEN event_type IN ('error', 'view') THEN 'timeout ' || k ELSE '' END AS snapshot_error, ts, event_id
-  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events WHERE value > 3))"""
+  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events))"""
 
 
 def keyword_logs(t):
@@ -102,8 +106,9 @@ def keyword_logs(t):
         link(k % 5 > 3, F.lit("http://hot/")).alias("url3"),
         seq,
     )
-    snap = e.filter("value > 3").select(
-        F.when(k % 3 == 0, "http://hot/").otherwise(F.concat(F.lit("http://u/"), (k % 40).cast("string"))).alias("url"),
+    snap = e.select(
+        # pages that nobody asks for
+        F.when(F.col("value") <= 3, F.concat(F.lit("http://gone/"), (k % 40).cast("string"))).when(k % 3 == 0, "http://hot/").otherwise(F.concat(F.lit("http://u/"), (k % 40).cast("string"))).alias("url"),
         F.when(F.col("event_type") != "error", F.concat(F.lit("aa/bb/"), k.cast("string"))).otherwise("").alias("snapshot_path"),
         F.when(F.col("event_type").isin("error", "view"), F.concat(F.lit("timeout "), k.cast("string"))).otherwise("").alias("snapshot_error"),
         seq,
@@ -364,15 +369,15 @@ def log_drift_csv(t):
 
 
 @query(
-    """WITH log AS (SELECT DISTINCT ON (user_id) 'user "' || user_id || '"' AS journal_name, event_type AS status, CAST(json_extract_string(props, '$.k') AS BIGINT) AS total_tokens,
-   '[' || props || ',' || chr(10) || '"é"]' AS results_json FROM events WHERE event_type <> 'error' ORDER BY user_id, ts DESC, event_id DESC)
+    """WITH log AS (SELECT DISTINCT ON (user_id, event_type = 'error') CASE WHEN event_type = 'error' THEN 'lost "' ELSE 'user "' END || user_id || '"' AS journal_name, event_type AS status, CAST(json_extract_string(props, '$.k') AS BIGINT) AS total_tokens,
+   '[' || props || ',' || chr(10) || '"é"]' AS results_json FROM events ORDER BY user_id, event_type = 'error', ts DESC, event_id DESC)
 SELECT *, '' AS error_type FROM log"""
 )
 def log_files(t):
     """A log appended as CSV in two runs, read back, latest row per name."""
     path = work_dir(t.spark, "csv-log")
-    rows = t.events.filter("event_type <> 'error'").select(
-        F.concat(F.lit('user "'), F.col("user_id").cast("string"), F.lit('"')).alias("journal_name"),
+    rows = t.events.select(
+        F.concat(F.when(F.col("event_type") == "error", 'lost "').otherwise('user "'), F.col("user_id").cast("string"), F.lit('"')).alias("journal_name"),
         F.col("event_type").alias("status"),
         F.get_json_object("props", "$.k").alias("total_tokens"),
         F.concat(F.lit("["), "props", F.lit(',\n"é"]')).alias("results_json"),
@@ -387,15 +392,40 @@ def log_files(t):
     return last.select("journal_name", "status", "total_tokens", "results_json", "error_type")
 
 
-@query("SELECT url AS line, true AS gap_free, (SELECT count(*) FROM pages) AS n FROM pages")
+def in_files(t, text, path):
+    """A text of each page written to four files, in order of the pages."""
+    t.pages.repartitionByRange(4, "page_id").sortWithinPartitions("page_id").select(text).write.text(path)
+
+
+def in_place(number):
+    """Whether ``seq`` is the place of the page among those of its file."""
+    return (F.col("seq") == F.row_number().over(Window.partitionBy("file").orderBy(number))).alias("in_place")
+
+
+@query("SELECT page_id, page_id || ' ' || url AS line, true AS in_place FROM pages")
 def line_files(t):
-    """URLs written as text and read back as numbered lines, without a gap in the numbers."""
+    """URLs written as text between blank lines and read back; each line has its number."""
     path = work_dir(t.spark, "lines")
-    t.pages.select(F.concat(F.lit("  "), "url", F.lit("\r\n  "))).write.text(path)
-    lines = read_lines(t.spark, path)
-    per_file = lines.groupBy("file").agg(F.max("seq").alias("high"), F.count_distinct("seq").alias("n"))
-    total = per_file.agg(F.sum("n").alias("n"), F.bool_and(F.col("high") == F.col("n")).alias("gap_free"))
-    return lines.select("line", total.select("gap_free").scalar().alias("gap_free"), total.select("n").scalar().alias("n"))
+    in_files(t, F.concat(F.lit("  "), F.col("page_id").cast("string"), F.lit(" "), "url", F.lit("\r\n  ")), path)
+    lines = read_lines(t.spark, path).withColumn("page_id", F.split("line", " ")[0].cast("long"))
+    return lines.select("page_id", "line", in_place("page_id"))
+
+
+@query(
+    LOG
+    + """, runs AS (SELECT key, status, event_type, event_id, CASE WHEN event_type = 'click' THEN 3 ELSE event_id % 2 + 1 END AS run FROM log)
+SELECT key, status, event_type, event_id FROM runs QUALIFY row_number() OVER (PARTITION BY key ORDER BY run DESC, event_id DESC) = 1"""
+)
+def log_compacted(t):
+    """Two runs are rewritten as one commit with a row per key, a third run follows: the latest rows are those of the runs."""
+    path = work_dir(t.spark, "compacted-log")
+    rows = event_log(t).select("key", "status", "event_type", "event_id")
+    click = F.col("event_type") == "click"
+    for run in (0, 1):
+        append_log(rows.filter(~click & (F.col("event_id") % 2 == run)).orderBy("event_id"), path)
+    compact_log(t.spark, path, "key", purge=True)
+    append_log(rows.filter(click).orderBy("event_id"), path)
+    return latest(read_log(t.spark, path), "key").drop("_seq")
 
 
 CURL = """concat(CASE WHEN url LIKE 'https:%' THEN concat('name=Page ', page_id, '\n') ELSE '' END, CASE WHEN url LIKE '%/en/%' THEN 'expected_json_key=status\n' ELSE '' END,
@@ -403,7 +433,7 @@ CURL = """concat(CASE WHEN url LIKE 'https:%' THEN concat('name=Page ', page_id,
 
 
 @query(
-    """SELECT CASE WHEN url LIKE 'https:%' THEN 'Page ' || page_id ELSE 'Command for ' || url[1:50] || '...' END AS name,
+    """SELECT true AS in_place, CASE WHEN url LIKE 'https:%' THEN 'Page ' || page_id ELSE 'Command for ' || url[1:50] || '...' END AS name,
  CASE WHEN url LIKE '%/en/%' THEN 'status' END AS expected_json_key, url, CASE WHEN url LIKE '%.com/%' THEN 'POST' ELSE 'GET' END AS method,
  'text/html' AS accept, CAST(page_id AS VARCHAR) AS sid, 'a=b' AS t, CASE WHEN url LIKE '%.com/%' THEN 'q=1' END AS data,
  'curl ''' || url || ''' \\' || chr(10) || '  -H ''accept: text/html'' \\' || chr(10) || '  -b ''sid=' || page_id || '; keep=1''' ||
@@ -414,10 +444,11 @@ def curl_files(t):
     """Command blocks written as text, read back, taken apart and written smaller."""
     path = work_dir(t.spark, "blocks")
     block = F.concat(F.lit("[CURL_START]\n"), F.expr(CURL), F.lit("\n[CURL_END]\n# between"))
-    t.pages.select(block).write.text(path)
+    in_files(t, block, path)
     blocks = read_blocks(t.spark, path).withColumn("b", parse_block("block")).filter("b IS NOT NULL")
     parts = blocks.withColumn("r", parse_curl("b.command"))
     return parts.select(
+        in_place(F.col("r.cookies")["sid"].cast("long")),
         "b.name",
         "b.expected_json_key",
         "r.url",

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from sheetflow.operators.grid import flatten_header, promote_header, skip_blank, slice_rows, stop_at_blank
+from sheetflow.operators.grid import flatten_header, promote_header, promote_headers, skip_blank, slice_rows, stop_at_blank
 from sheetflow.plans.registry import query
 from sheetflow.sources.workbook import read_sheet, to_workbooks
 
@@ -119,6 +119,41 @@ def grid_gap_per_file(t):
     return stop_at_blank(files, ["name"])
 
 
+@query(
+    SHEET_SQL
+    + f""", f AS (SELECT CAST(_row % 100 AS VARCHAR) AS file, _row // 100 AS _row, name, c_mktsegment FROM ({GAPS}) WHERE _row // 100 >= 1),
+ends AS (SELECT file, _row AS s FROM f WHERE trim(name, ' ' || chr(9)) = ''
+ UNION ALL SELECT file, _row + 1 FROM f WHERE (file, _row + 1) NOT IN (SELECT (file, _row) FROM f)
+ UNION ALL SELECT DISTINCT file, 1 FROM f WHERE (file, 1) NOT IN (SELECT (file, _row) FROM f)),
+stops AS (SELECT file, min(s) AS s FROM ends GROUP BY file)
+SELECT f.* FROM f JOIN stops USING (file) WHERE _row < s"""
+)
+def grid_leading_gap(t):
+    """A file whose first asked row is missing gives nothing, whatever comes after it."""
+    rows = customer_sheet(t).filter("c_nationkey <> 7")
+    files = rows.select((F.col("_row") % 100).cast("string").alias("file"), F.floor(F.col("_row") / 100).alias("_row"), "name", "c_mktsegment")
+    return stop_at_blank(slice_rows(files, "1+"), ["name"], first=1)
+
+
+@query(
+    """SELECT 'f' || c_custkey % 4 AS file, 's' AS sheet, CAST(c_custkey // 4 + 2 AS INTEGER) AS _row, CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
+ CAST(c_nationkey AS VARCHAR) AS c_nationkey, CAST(c_acctbal AS VARCHAR) AS c_acctbal, CASE WHEN c_custkey % 4 <> 3 THEN c_mktsegment END AS c_mktsegment FROM customer"""
+)
+def grid_mixed_headers(t):
+    """Four files with the customers' columns in four orders, one file without the last of them."""
+    c = t.customer
+    number = F.col("c_custkey") % 4
+
+    def cells(values, row):
+        entries = [F.struct(((F.lit(i) * 2 + number) % 5 + 1).cast("int").alias("col"), v.alias("value"), F.lit(name).alias("_name")) for i, (name, v) in enumerate(values.items())]
+        found = c.select(F.concat(F.lit("f"), number.cast("string")).alias("file"), F.lit("s").alias("sheet"), row.cast("int").alias("row"), number.alias("_n"), F.inline(F.array(*entries)))
+        return found.filter("_n <> 3 OR _name <> 'c_mktsegment'").drop("_n", "_name")
+
+    header = cells({name: F.lit(f" {name} ") for name in c.columns}, F.lit(1)).distinct()
+    body = cells({name: F.col(name).cast("string") for name in c.columns}, F.floor(F.col("c_custkey") / 4) + 2)
+    return promote_headers(header.unionByName(body))
+
+
 @query(
     """SELECT CAST(c_custkey % 500 + 2 AS INTEGER) AS _row, CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
  CASE WHEN c_acctbal = floor(c_acctbal) THEN CAST(CAST(c_acctbal AS BIGINT) AS VARCHAR) ELSE CAST(c_acctbal AS VARCHAR) END AS c_acctbal, c_mktsegment FROM customer"""

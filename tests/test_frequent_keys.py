@@ -65,7 +65,7 @@ def snapshots(sheet, log):
         F.lit("[1]").alias("search_result_json"), F.lit("").alias("search_error"), F.col("key").alias("url1"), F.lit("").alias("url2"), F.lit("").alias("url3"), "_seq",
     )
     shots = log.select(F.col("key").alias("url"), F.lit("p").alias("snapshot_path"), F.lit("").alias("snapshot_error"), "_seq")
-    return reports.assemble_snapshots(sheet, results, shots, "q"), "快照1"
+    return reports.assemble_snapshots(sheet, results, shots, "A"), "快照1"
 
 
 def results(sheet, log):

@@ -1,7 +1,9 @@
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from sheetflow.operators import grid
+from sheetflow.operators.grid import promote_header, promote_headers, slice_rows, stop_at_blank
 
 CELLS = "row int, col int, value string"
 
@@ -71,3 +73,38 @@ def test_methods():
     for bad in ("", ",", "scan,other"):
         with pytest.raises(ValueError):
             grid.method_set(bad)
+
+
+def test_missing_first_row_stops_at_once(spark):
+    rows_ = [("a", 5, "x"), ("a", 6, "y"), ("b", 3, "x"), ("b", 4, "y"), ("b", 6, "z"), ("c", 1, "x"), ("c", 3, "y"), ("d", 3, "x"), ("d", 4, " "), ("d", 5, "z"), (None, 3, "n")]
+    df = spark.createDataFrame(rows_, "file string, _row int, name string")
+    got = rows(stop_at_blank(slice_rows(df, "3+"), ["name"], first=3), "file", "_row")
+    assert got == sorted([("b", 3), ("b", 4), ("c", 3), ("d", 3), (None, 3)], key=repr)
+    # without it a sheet begins where its first row stands
+    assert rows(stop_at_blank(df, ["name"]), "file", "_row") == sorted([("a", 5), ("a", 6), ("b", 3), ("b", 4), ("c", 1), ("d", 3), (None, 3)], key=repr)
+    one = df.filter("file = 'a'").drop("file")
+    assert stop_at_blank(one, ["name"], first=3).isEmpty() and stop_at_blank(one, ["name"], first=5).count() == 2 == stop_at_blank(one, ["name"]).count()
+    assert stop_at_blank(one, ["name"], first=3, gaps=False).count() == 2
+    assert stop_at_blank(df.filter("false"), ["name"], first=3).isEmpty()
+
+
+def test_gaps_over_many_ranges(spark):
+    n, missing = 3000, 2345
+    df = spark.range(n).filter(F.col("id") != missing).select((F.col("id") % 2).cast("string").alias("file"), F.floor(F.col("id") / 2).alias("_row"), F.lit("x").alias("name"))
+    got = stop_at_blank(df.repartition(6), ["name"], first=0).groupBy("file").agg(F.max("_row").alias("last")).collect()
+    assert {r["file"]: r["last"] for r in got} == {"0": n // 2 - 1, "1": missing // 2 - 1}
+
+
+def test_each_sheet_by_its_own_header(spark):
+    cells = [
+        ("a", "s", 1, 1, " id "), ("a", "s", 1, 2, "name"), ("a", "s", 1, 3, None), ("a", "s", 2, 1, "1"), ("a", "s", 2, 2, "x"), ("a", "s", 2, 3, "lost"),
+        ("b", "s", 1, 1, "name"), ("b", "s", 1, 2, "id"), ("b", "s", 1, 3, "name"), ("b", "s", 2, 1, "old"), ("b", "s", 2, 2, "2"), ("b", "s", 2, 3, "y"), ("b", "s", 4, 2, "3"),
+        ("c", "s", 1, 1, "more"), ("c", "s", 2, 1, "z"), ("d", "s", 2, 1, "no header"),
+    ]
+    df = spark.createDataFrame(cells, "file string, sheet string, row int, col int, value string")
+    out = promote_headers(df)
+    assert out.columns == ["file", "sheet", "_row", "id", "more", "name"]
+    assert rows(out) == [("a", "s", 2, "1", None, "x"), ("b", "s", 2, "2", None, "y"), ("b", "s", 4, "3", None, None), ("c", "s", 2, None, "z", None)]
+    assert rows(promote_headers(df, columns=["name"]), "file", "_row", "name") == [("a", 2, "x"), ("b", 2, "y")]
+    with pytest.raises(ValueError, match="different headers"):
+        promote_header(df)

@@ -109,3 +109,21 @@ def test_provenance_in_numeric_order(spark):
     assert rows(reports.url_provenance(df)) == [("u", 0, "s\nt", "x\n9\n10", "a\nb"), ("v", 0, "s", "1", "c")]
     parts = reports.url_provenance(df, length=1).filter("url = 'u'").collect()
     assert sorted(x for p in parts for x in (p["rows"] or "").split("\n") if x) == ["10", "9", "x"]
+
+
+def test_rows_of_two_files_do_not_mix(spark):
+    """Equal row numbers in two files: fields, institutions and keyword texts stay with their own file."""
+    place = ["file", "_row"]
+    sheet = spark.createDataFrame([("f1", 2, "http://a", "J"), ("f2", 2, "http://b", "K"), ("f2", 3, "http://a", "J")], "file string, _row int, `主页链接` string, `刊名` string")
+    log = spark.createDataFrame([("http://a", "true", "A", 1), ("http://b", "true", "B", 2)], "url string, SUCCESS string, name string, _seq int")
+    out = reports.assemble_extract(sheet, log, ["主页链接"], row=place)
+    assert rows(out, "file", "_row", "主页链接-name") == [("f1", 2, "A"), ("f2", 2, "B"), ("f2", 3, "A")]
+    found = [(F.sha1(F.lit(u)).alias("url_hash"), F.array(F.struct(F.lit(n).alias("name"), F.lit("Press").alias("matched_keyword"))).alias("items")) for u, n in (("http://a", "A"), ("http://b", "B"))]
+    artifacts = spark.range(1).select(*found[0]).unionByName(spark.range(1).select(*found[1]))
+    items = reports.sheet_items(sheet, artifacts, row=place)
+    assert rows(items, "file", "_row", "name") == [("f1", 2, "A"), ("f2", 2, "B"), ("f2", 3, "A")]
+    wide = reports.combine_methods(sheet, items, None, None, "extract", row=place)
+    assert rows(wide, "file", "_row", "原始_刊名", "关键词_Press") == [("f1", 2, "J", "A"), ("f2", 2, "K", "B"), ("f2", 3, "J", "A")]
+    assert rows(reports.keyword_names(items, place), "file", "_row", "name", "nth") == [("f1", 2, "A", 1), ("f2", 2, "B", 1), ("f2", 3, "A", 1)]
+    urls = reports.journal_urls(sheet, "刊名", ["主页链接"], place)
+    assert rows(urls, "file", "_row", "url") == [("f1", 2, "http://a"), ("f2", 2, "http://b"), ("f2", 3, "http://a")]
