@@ -274,7 +274,8 @@ def repair(rows: DataFrame, key: str = "conv_id", turn: str = "turn", role: str
     told = sums.join(distinct, "conv", "left").join(found, "conv")
     conversations = told.select(F.col("key").alias(key), gaps, *counts, "illegal", "cost", "audit")
 
-    edits = _edits(found.filter("audit <> ''").select("conv", "audit"))
+    # written, for it is read twice, and so that its real size decides how it is joined
+    edits = stored(_edits(found.filter("audit <> ''").select("conv", "audit")), "conversation-edits")
     # a kept row is the first of its equals, so its id names it
     kept = edits.filter("letter <> 'I'").join(order.select("conv", "nth", "id"), ["conv", "nth"]).drop("nth")
     texts = rows.select(conv, name, quoted(key).alias("key"), role_.alias("role"), text_.alias("text")).groupBy("conv", "id").agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("key", "role", "text")])
