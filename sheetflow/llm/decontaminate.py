@@ -148,9 +148,11 @@ def benchmark_hits(
 
     Words are lower-cased runs of ASCII letters, digits and all characters
     beyond ASCII. A window is ``window`` consecutive words of an item; an item
-    with fewer words is one window; an item without words or without an id is
-    none. Null text has no words; every row of ``docs`` gives one row, other
-    columns are ignored. Items of equal id count once, whatever their texts.
+    with fewer words is one window; an item without words is none. Null text
+    has no words; every row of ``docs`` gives one row, other columns are
+    ignored. Items of equal id count once, whatever their texts; those without
+    an id have windows like others and count as one item, a null in ``items``.
+    No items: nothing is hit.
 
     The items are cut by a hash of their id into shards of about
     ``shard_words`` words; each shard's automaton is broadcast, so its size is
@@ -185,14 +187,14 @@ def benchmark_hits(
 
 def _automata(items: DataFrame, item_key: str, item_text: str, window: int, shard_words: int) -> list:
     """Broadcast automata over all items, each of bounded size."""
-    listed = items.filter(quoted(item_key).isNotNull()).select(
-        quoted(item_key).cast("string").alias("id"), quoted(item_text).cast("string").cast("binary").alias("text")
-    )
+    listed = items.select(quoted(item_key).cast("string").alias("id"), quoted(item_text).cast("string").cast("binary").alias("text"))
+    # items without an id are dealt by their texts
+    dealt = F.xxhash64(F.coalesce("id", "text"))
     size = listed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-(size // 4) // shard_words))
     out = []
     for shard in range(shards):
-        rows = listed.filter(F.pmod(F.xxhash64("id"), F.lit(shards)) == shard).collect()
+        rows = listed.filter(F.pmod(dealt, F.lit(shards)) == shard).collect()
         found = Automaton([(r["id"], normal_words(r["text"])) for r in rows], window)
         out.append(items.sparkSession.sparkContext.broadcast(found))
     return out
@@ -226,7 +228,7 @@ def _task(automaton):
                 out["n_words"].append(len(words))
                 out["starts"].append([m[0] for m in merged])
                 out["stops"].append([m[1] for m in merged])
-                out["items"].append(sorted({a.items[n] for n in found}))
+                out["items"].append(sorted({a.items[n] for n in found}, key=lambda i: (i is None, i or "")))
             yield out
 
     return work
@@ -288,11 +290,14 @@ def remove_benchmark(docs: DataFrame, items: DataFrame, key: str = "doc_id", tex
     """Key and text with every occurring window cut out; a contaminated text becomes null.
 
     Takes the limits of ``benchmark_hits`` and ``share`` of ``contamination``.
+    Every row gives one row, also where keys are null or repeat: the rows are
+    numbered in the shared folder. A null text stays null; no items leave every
+    text as it is, and an empty table gives an empty one.
     """
     share = limits.pop("share", 20)
-    judged = contamination(benchmark_hits(docs, items, key, text, **limits), share)
-    # rows of equal key are told apart by nothing, so the key has to be unique here
-    both = keyed_bytes(docs, key, text).join(judged.withColumnRenamed(key, "key"), "key")
+    texts = stored(keyed_bytes(docs, key, text).withColumn("number", F.monotonically_increasing_id()), "numbered")
+    judged = contamination(benchmark_hits(texts.select("number", "text"), items, "number", "text", **limits), share)
+    both = texts.join(judged, "number")
 
     def cut(batches):
         import pyarrow as pa

@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sheetflow.functions.strings import let, running_sums
 from sheetflow.llm.common import stored
 from sheetflow.operators.keyed import lookup, quoted
 
@@ -122,7 +123,20 @@ TERM = r"[\p{L}\p{N}]++"
 
 
 def _terms(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
+    """The terms of a text, found in the text as it is and then lowered one by one, for lowering may change lengths."""
+    return F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower)
+
+
+def _term_spans(text: Column, terms: Column) -> Column:
+    """Where a text has one of the terms. Places are running sums of the pieces' lengths, so the work grows with the text."""
+
+    def placed(words: Column, gaps: Column) -> Column:
+        widths = F.zip_with(F.slice(gaps, 1, F.size(words)), words, lambda g, w: F.length(g) + F.length(w))
+        ends = let(running_sums(widths), lambda at: F.zip_with(at, widths, lambda a, w: a + w))
+        spans = F.zip_with(words, ends, lambda w, e: F.struct(F.lit("term").alias("kind"), (e - F.length(w)).alias("start"), e.alias("stop"), w.alias("value")))
+        return F.filter(spans, lambda s: F.array_contains(terms, F.lower(s["value"])))
+
+    return let(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), lambda words: let(F.split(text, TERM, -1), lambda gaps: placed(words, gaps)))
 
 
 def disclosing_terms(docs: DataFrame, holders: DataFrame, text: str = "text", threshold: float = 0.9, support: int = 3) -> DataFrame:
@@ -138,8 +152,9 @@ def disclosing_terms(docs: DataFrame, holders: DataFrame, text: str = "text", th
     often = each.groupBy("entity").agg(F.count("text").alias("n_entity")).filter(F.col("n_entity") >= support)
     asked = lookup(each, often, "entity", "inner").withColumn("words", _terms(F.col("text")))
     own = _terms(F.regexp_replace("entity", "^[a-z]+:", ""))
-    others = F.explode(F.array_except("words", own)).alias("term")
-    around = asked.select("entity", "n_entity", F.xxhash64("words").alias("same"), others)
+    # hashed before the words become rows: beside an explode it would be worked out for each of them
+    named = asked.select("entity", "n_entity", F.xxhash64("words").alias("same"), F.array_except("words", own).alias("others"))
+    around = named.select("entity", "n_entity", "same", F.explode("others").alias("term"))
     counted = around.groupBy("entity", "n_entity", "term", "same").agg(F.count("same").alias("n"))
     joint = counted.groupBy("entity", "n_entity", "term").agg(F.sum("n").alias("joint"), F.count("n").alias("texts"))
     joint = joint.filter(F.col("texts") >= support)
@@ -174,8 +189,7 @@ def personal_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", **l
     by_text = lookup(pairs, terms.groupBy("entity").agg(F.collect_set("term").alias("terms")), "entity", "inner")
     by_text = by_text.groupBy("digest").agg(F.array_distinct(F.flatten(F.collect_list("terms"))).alias("terms"))
     rows = lookup(held.withColumn("digest", digest), by_text, "digest")
-    every = _places(F.split(F.lower("text"), TERM, -1), _terms(F.col("text")), "term")
-    more = F.when(F.col("terms").isNotNull(), F.filter(every, lambda s: F.array_contains("terms", s["value"])))
+    more = F.when(F.col("terms").isNotNull(), _term_spans(F.col("text"), F.col("terms")))
     apart = F.filter(more, lambda s: ~F.exists("spans", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
     extra = F.coalesce(apart, F.array().cast(f"array<{SPAN}>"))
     with_terms = rows.select("key", F.col("spans").alias("base"), F.concat("spans", extra).alias("spans"), "text")

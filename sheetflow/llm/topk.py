@@ -55,22 +55,24 @@ def top_k(
 
     ``queries``: a condition on the rows. ``vector``: an array of integers; rows
     with a null key or vector take no part, a shorter vector counts as filled up
-    with 0, of rows of equal key the one with the smallest vector counts. Equal
-    scores go to the smaller key. A query with fewer than ``k`` others gets them
-    all. Other columns are ignored.
-
-    Of equal vectors only the k + 1 smallest keys can appear in any result, so
-    only those are indexed; each task drops the others before the shuffle. The
+    with 0. Every row is a candidate, also where keys or whole rows repeat; what
+    has the key of the query is the query's own. Queries of equal key have one
+    result, the best of all of them. Equal scores go to the smaller key. A query
+    with fewer than ``k`` others gets them all; an empty table gives an empty
+    one. Other columns are ignored.
+
+    Of equal vectors only the k + 1 smallest keys, and of equal rows only k, can
+    appear in any result, so only those are indexed; each task drops the others before the shuffle. The
     pivots are a sample of fixed size; all distinct rows are indexed. What the
     driver and the tasks hold of the index is one line per annulus, bounded by
     ``most_blocks``; beyond that the blocks grow instead.
     """
     spark = vectors.sparkSession
     rows = vectors.filter(quoted(key).isNotNull() & quoted(vector).isNotNull())
-    rows = rows.select(quoted(key).cast("long").alias("id"), quoted(vector).alias("v"), queries.alias("asks"))
-    rows = stored(rows.groupBy("id").agg(F.min("v").alias("v"), F.max("asks").alias("asks")), "vectors")
+    rows = stored(rows.select(quoted(key).cast("long").alias("id"), quoted(vector).alias("v"), queries.alias("asks")), "vectors")
+    equal = rows.withColumn("nth", F.row_number().over(Window.partitionBy("id", "v").orderBy("id"))).filter(F.col("nth") <= k)
     same = Window.partitionBy("v").orderBy("id")
-    listed = stored(rows.withColumn("nth", F.row_number().over(same)).filter(F.col("nth") <= k + 1).select("id", "v"), "listed")
+    listed = stored(equal.withColumn("place", F.dense_rank().over(same)).filter(F.col("place") <= k + 1).select("id", "v"), "listed")
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     n, width, reach = listed.agg(F.count("id"), F.max(F.size("v")), F.max(square)).first()
     asking = rows.filter("asks")
@@ -196,9 +198,10 @@ def _compare(width: int, k: int):
                 scores = _scores(q, x)
                 query, row, score = [], [], []
                 for i, line in zip(who.tolist(), scores, strict=True):
-                    cut = np.partition(line, -(k + 1))[-(k + 1)] if len(line) > k + 1 else line.min()
-                    at = np.flatnonzero(line >= cut)
-                    at = at[own[at] != i]
+                    others = np.flatnonzero(own != i)
+                    mine = line[others]
+                    cut = np.partition(mine, -k)[-k] if len(mine) > k else None
+                    at = others if cut is None else others[mine >= cut]
                     at = at[np.lexsort((own[at], -line[at]))][:k]
                     query += [i] * len(at)
                     row += own[at].tolist()

@@ -94,8 +94,8 @@ def hits(rows, items, window=13):
     windows = {}
     for i, t in items:
         w = pattern.findall(ascii_lower(t or ""))
-        for at in range(max(1, len(w) - window + 1)) if w and i is not None else []:
-            windows.setdefault(tuple(w[at : at + window]), set()).add(str(i))
+        for at in range(max(1, len(w) - window + 1)) if w else []:
+            windows.setdefault(tuple(w[at : at + window]), set()).add(None if i is None else str(i))
     sizes = {len(w) for w in windows}
     out = []
     for k, t in rows:
@@ -108,7 +108,7 @@ def hits(rows, items, window=13):
                     found |= windows[s]
                     hit[at : at + n] = [True] * n
         n_hit = sum(hit)
-        out.append((k, len(w), n_hit, len(found), sha(",".join(sorted(found))), n_hit > 0 and 20 * n_hit >= len(w)))
+        out.append((k, len(w), n_hit, len(found), sha(",".join(sorted(found - {None}))), n_hit > 0 and 20 * n_hit >= len(w)))
     return out
 
 
