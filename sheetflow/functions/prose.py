@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -118,6 +119,14 @@ def html_to_text(c: Column | str, paragraphs: bool = False) -> Column:
 # another character takes its place for that time.
 _MARK, _STAND_IN = "\uffff", "\ufffe"
 
+# The end marks of SENTENCE_END that not every script has.
+_WIDE_ENDS = "。！？"
+
+
+def _ends(marks: str) -> str:
+    """SENTENCE_END with the mark first and what stands before it after that, so that most characters are passed at once."""
+    return rf"[{marks}](?:(?<!\.)|(?<=[A-Z][a-z]{{2}}\.)|(?<=[a-z]\.)(?={BLANK}++[A-Z])){BLANK}++"
+
 
 def split_sentences(c: Column | str) -> Column:
     """``array<struct<sentence,pos>>`` of the sentences longer than ten characters.
@@ -134,9 +143,11 @@ def split_sentences(c: Column | str) -> Column:
         return F.struct(own.alias("sentence"), pos.alias("pos"))
 
     def cut(text: Column) -> Column:
-        marked = F.translate(text, _MARK, _STAND_IN)
-        marked = F.regexp_replace(marked, "(" + PARAGRAPH_GAP.replace(r"\s", BLANK) + ")", f"{_MARK}$1{_MARK}")
-        marked = F.regexp_replace(marked, "(" + SENTENCE_END.replace(r"\s", BLANK) + ")", f"$1{_MARK}")
+        marked = F.when(F.contains(text, F.lit(_MARK)), F.translate(text, _MARK, _STAND_IN)).otherwise(text)
+        marked = F.regexp_replace(marked, PARAGRAPH_GAP.replace(r"\s", BLANK), f"{_MARK}$0{_MARK}")
+        wide = reduce(lambda a, b: a | b, [F.contains(text, F.lit(c)) for c in _WIDE_ENDS])
+        cut_at = lambda t, marks: F.regexp_replace(t, _ends(marks), f"$0{_MARK}")
+        marked = let(marked, lambda t: F.when(wide, cut_at(t, ".!?" + _WIDE_ENDS)).otherwise(cut_at(t, ".!?")))
 
         def sentences(pieces: Column) -> Column:
             starts = running_sums(F.transform(pieces, F.length))

@@ -10,9 +10,18 @@ from pyspark.sql import functions as F
 # Every character that counts as blank at the ends of a cell, by rule.
 BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
+def _ranges(characters: str) -> str:
+    """The characters as the ranges of a class, which costs less than one by one."""
+    codes = sorted(map(ord, characters))
+    begins = [c for c in codes if c - 1 not in codes]
+    return "".join(f"\\x{{{b:x}}}-\\x{{{e:x}}}" for b, e in zip(begins, (c for c in codes if c + 1 not in codes), strict=True))
+
+
 # One blank, and one character that is none, for Java patterns.
-BLANK = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in BLANKS) + "]"
-_INK = "[^" + "".join(f"\\x{{{ord(c):x}}}" for c in BLANKS) + "]"
+BLANK = f"[{_ranges(BLANKS)}]"
+_INK = f"[^{_ranges(BLANKS)}]"
+# Values whose sums are taken one after the other.
+RUN = 64
 _VAR = re.compile(r"\{\{(\w+)\}\}")
 
 
@@ -52,29 +61,24 @@ def sha1_hex(c: Column | str) -> Column:
 def running_sums(values: Column) -> Column:
     """Sum of all values before each one, over an array of numbers.
 
-    The values are taken in blocks of about the root of their number: the sums
-    of whole blocks, then those inside a block, so the work stays far below the
-    square of the length.
+    The values are taken in blocks of ``RUN``: the sums before whole blocks, by
+    blocks of blocks, then those inside a block. So the work grows with the
+    length, up to some millions of values.
     """
 
     def total(xs: Column) -> Column:
         return F.aggregate(xs, F.lit(0), lambda a, x: a + x)
 
-    def inside(block: Column, before: Column) -> Column:
-        return F.transform(block, lambda _, i: before + total(F.slice(block, F.lit(1), i)))
-
-    def summed(xs: Column) -> Column:
-        width = F.ceil(F.sqrt(F.size(xs))).cast("int")
-        blocks = F.transform(F.sequence(F.lit(1), F.size(xs), width), lambda at: F.slice(xs, at, width))
-        return let(
-            blocks,
-            lambda bs: let(
-                F.transform(bs, total),
-                lambda sums: F.flatten(F.transform(bs, lambda b, k: let(total(F.slice(sums, F.lit(1), k)), lambda before: inside(b, before)))),
-            ),
-        )
-
-    return F.when(F.size(values) > 0, summed(values)).otherwise(F.array().cast("array<int>"))
+    def before(xs: Column, base: Column) -> Column:
+        return F.transform(xs, lambda _, i: base + total(F.slice(xs, F.lit(1), i)))
+
+    def summed(xs: Column, depth: int) -> Column:
+        if not depth:
+            return before(xs, F.lit(0))
+        blocks = F.transform(F.sequence(F.lit(1), F.size(xs), F.lit(RUN)), lambda at: F.slice(xs, at, F.lit(RUN)))
+        return let(blocks, lambda bs: F.flatten(F.zip_with(bs, let(F.transform(bs, total), lambda sums: summed(sums, depth - 1)), before)))
+
+    return F.when(F.size(values) > 0, let(values, lambda xs: summed(xs, 2))).otherwise(F.array().cast("array<int>"))
 
 
 # -- column letters -----------------------------------------------------------
