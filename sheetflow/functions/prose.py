@@ -90,20 +90,30 @@ def unescape_entities(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 
 
-def html_to_text(c: Column | str, paragraphs: bool = False) -> Column:
+# An opening tag from its name on, with ">" in quoted attributes.
+_ATTRIBUTES = r"""(?:\s(?:[^>"']++|"[^"]*+"|'[^']*+')*+)?>"""
+
+
+def html_to_text(c: Column | str, paragraphs: bool = False, marks: bool = False) -> Column:
     """Text of a page without scripts, styles, comments and tags.
 
     Tags fall away in the JVM, with ``>`` in quoted attributes; a script or
     style that is not closed goes on to the end. Python only resolves character
     references, and only gets the texts that have any. With ``paragraphs`` block elements leave an
-    empty line, so that sentences do not run across them.
+    empty line, so that sentences do not run across them. ``marks`` also writes
+    list items as ``- item`` and headings as ``## heading``, which is how
+    :func:`is_noise` knows them.
     """
-    text = as_column(c)
+    text, paragraphs = as_column(c), paragraphs or marks
     text = F.regexp_replace(text, r"(?s)<!--.*?-->", " ")
     text = F.regexp_replace(text, r"(?is)<script\b.*?(?:</script\s*>|\z)", " ")
     text = F.regexp_replace(text, r"(?is)<style\b.*?(?:</style\s*>|\z)", " ")
     if paragraphs:
         text = F.regexp_replace(text, r"\s+", " ")
+        if marks:
+            text = F.regexp_replace(text, "(?i)<li" + _ATTRIBUTES, "\n\n- ")
+            for level in range(1, 7):
+                text = F.regexp_replace(text, f"(?i)<h{level}" + _ATTRIBUTES, "\n\n" + "#" * level + " ")
         text = F.regexp_replace(text, rf"(?i)</?(?:{BLOCK_TAGS})(?:\s[^>]*)?/?>", "\n\n")
     # an attribute whose quote is not closed: the tag ends at the next >
     text = F.regexp_replace(text, r"""</?[A-Za-z!?](?:[^>"']++|"[^"]*+"|'[^']*+')*+>""", " ")

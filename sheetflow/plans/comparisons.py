@@ -1,10 +1,14 @@
 """Keyed comparisons of two versions of a table."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from sheetflow.operators.diff import diff
 from sheetflow.operators.keyed import duplicate_keys
 from sheetflow.plans.registry import query
+from sheetflow.session import work_dir
+from sheetflow.sources.logs import read_log, write_report
 
 OLD_SQL = """old AS (
   SELECT o_orderkey, o_orderstatus, o_totalprice, nullif(o_orderpriority, '5-LOW') AS o_orderpriority, o_orderdate
@@ -99,7 +103,7 @@ def diff_ordered(t):
     return compared(t).settled().ordered()["修改的详情"]
 
 
-@query(
+REPORT = (
     MODIFIED
     + """, a AS (SELECT * FROM new ANTI JOIN old USING (o_orderkey)), d AS (SELECT * FROM old ANTI JOIN new USING (o_orderkey))
 SELECT '新增的行' AS section, CAST(o_orderkey AS VARCHAR) AS name, o_orderstatus || ' ' || coalesce(o_orderpriority, '') || ' ' || o_custkey AS text FROM a
@@ -111,9 +115,10 @@ UNION ALL SELECT '差异总览', '对比结果', CASE WHEN (SELECT count(*) FROM
 UNION ALL SELECT '差异总览', '文件1 (旧)', 'a' UNION ALL SELECT '差异总览', '文件2 (新)', 'b' UNION ALL SELECT '差异总览', '唯一键', 'o_orderkey'
 UNION ALL SELECT '差异总览', '仅旧表的列', '' UNION ALL SELECT '差异总览', '仅新表的列', 'o_custkey'"""
 )
-def diff_report(t):
-    """Every section of the report, worked out in one pass and written once."""
-    parts = compared(t).report("a", "b")
+
+
+def told(parts):
+    """The sections of a report in one shape."""
     key, blank = F.col("o_orderkey").cast("string"), F.lit("")
     row = ["o_orderstatus", F.coalesce("o_orderpriority", blank)]
     texts = {
@@ -123,7 +128,21 @@ def diff_report(t):
         "修改的详情": (F.concat_ws(" ", key, "变化的列"), F.concat(F.coalesce("旧值", blank), F.lit(" > "), F.coalesce("新值", blank))),
     }
     shown = [df.select(F.lit(name).alias("section"), texts[name][0].alias("name"), texts[name][1].alias("text")) for name, df in parts.items()]
-    return shown[0].unionByName(shown[1]).unionByName(shown[2]).unionByName(shown[3])
+    return reduce(lambda x, y: x.unionByName(y), shown)
+
+
+@query(REPORT)
+def diff_report(t):
+    """Every section of the report, worked out in one pass and written once."""
+    return told(compared(t).report("a", "b"))
+
+
+@query(REPORT)
+def report_files(t):
+    """The report as one CSV file set per section, read back."""
+    path = work_dir(t.spark, "report")
+    written = write_report(compared(t).report("a", "b"), path, always=("差异总览",))
+    return told({name: read_log(t.spark, f"{path}/{name}", fmt="csv") for name in written})
 
 
 @query(

@@ -343,6 +343,12 @@ def methods_two_sheets(t):
     return reports.combine_methods(sheet.withColumns(place), items.withColumns(place), scan, search, row=["file", "_row"])
 
 
+@query(f"""SELECT * REPLACE ({", ".join(f'{chr(39) * 2} AS "{c}"' for c in [*(f"AI精准_{c}" for c in reports.SCAN_FIELDS), *(f"关键词_{k}" for k in KEYWORD_COLS)])}) FROM ({METHODS})""")
+def methods_searched(t):
+    """One method of three is asked for; the columns of the others stay blank."""
+    return reports.combine_methods(*methods_inputs(t), include=" Search ")
+
+
 # One user's rows stand under another name, so that a customer has none.
 REPORT_LOG = """log AS (SELECT CASE WHEN user_id = 3 THEN 'gone' ELSE 'U' || user_id END AS n, event_type AS e, json_extract_string(props, '$.k') AS k, CAST(ts AS VARCHAR) AS time, ts, event_id FROM events),
 last AS (SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY n ORDER BY ts DESC, event_id DESC) = 1),

@@ -26,7 +26,7 @@ from sheetflow.operators.keyed import extraction_status, latest, overlay, pendin
 from sheetflow.plans.registry import query
 from sheetflow.plans.texts import REPLY, by_type, sql_by_type
 from sheetflow.session import work_dir
-from sheetflow.sources.logs import append_log, compact_log, read_log
+from sheetflow.sources.logs import append_log, compact_log, read_log, write_csv_bom
 from sheetflow.sources.textfiles import read_blocks, read_lines
 from sheetflow.streaming.watch import watch
 
@@ -428,6 +428,14 @@ def log_compacted(t):
     return latest(read_log(t.spark, path), "key").drop("_seq")
 
 
+@query("SELECT CAST(event_id AS VARCHAR) AS \"序号\", event_type, props || chr(10) || '\"é\"' AS props FROM events")
+def csv_with_bom(t):
+    """Events written as CSV for spreadsheet programs, read back without the byte order mark."""
+    path = work_dir(t.spark, "bom")
+    write_csv_bom(t.events.select(F.col("event_id").alias("序号"), "event_type", F.concat("props", F.lit('\n"é"')).alias("props")), path)
+    return read_log(t.spark, path, fmt="csv").drop("_seq")
+
+
 CURL = """concat(CASE WHEN url LIKE 'https:%' THEN concat('name=Page ', page_id, '\n') ELSE '' END, CASE WHEN url LIKE '%/en/%' THEN 'expected_json_key=status\n' ELSE '' END,
  'curl ''', url, ''' \\\\\n  -H ''accept: text/html'' \\\\\n  -H ''Cookie: x=1'' \\\\\n  -b ''sid=', page_id, '; t=a=b; keep=1''', CASE WHEN url LIKE '%.com/%' THEN ' \\\\\n  --data-raw ''q=1''' ELSE '' END)"""
 

@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from sheetflow.operators.grid import flatten_header, promote_header, promote_headers, skip_blank, slice_rows, stop_at_blank
+from sheetflow.functions.strings import render_template, template_vars
+from sheetflow.operators.grid import flatten_header, meta_value, promote_header, promote_headers, require_columns, skip_blank, slice_rows, stop_at_blank
+from sheetflow.operators.keyed import in_input_order
 from sheetflow.plans.registry import query
 from sheetflow.sources.workbook import read_sheet, to_workbooks
 
@@ -55,6 +57,20 @@ def header_paths(t):
     return flatten_header(cells, merges, rows=3)
 
 
+@query("SELECT c_custkey, c_name || ' of ' || c_mktsegment || ' in ASIA' AS query FROM customer")
+def meta_template(t):
+    """A template from the settings sheet, rendered for every row once the columns it needs are there."""
+    meta = t.region.select(F.concat(F.lit(" "), "r_name").alias("key"), F.concat(F.lit("{{c_name}} of {{c_mktsegment}} in "), "r_name").alias("value"))
+    template = meta_value(meta, "ASIA")
+    sheet = require_columns(t.customer, template_vars(template))
+    return sheet.select("c_custkey", render_template(template, sheet.columns).alias("query"))
+
+
+@query("SELECT c_custkey AS _row, c_name FROM customer")
+def input_order(t):
+    return in_input_order(t.customer.select(F.col("c_custkey").alias("_row"), "c_name").repartition(8, "c_name"))
+
+
 def customer_sheet(t):
     """Customers as a sheet whose name cell is blank where the balance is very low."""
     return t.customer.select(

@@ -7,7 +7,7 @@ from sheetflow.functions.jsontext import decode_unicode, json_from_text, json_it
 from sheetflow.functions.strings import build_keywords, non_empty, prefix_path, render_q, render_rules, render_template, safe_name, sha1_hex, stamp
 from sheetflow.operators.keyed import first_seen
 from sheetflow.operators.reports import flatten_lookup, lookup_stats, unpivot_urls, url_check, url_order, with_seq
-from sheetflow.plans.registry import query
+from sheetflow.plans.registry import CHECKS, query
 
 
 def people(t):
@@ -240,6 +240,15 @@ def reply_items(t):
     return r.select("event_id", "found", F.explode(valid_items(json_items("found"), ["k"])).alias("i")).select("event_id", "found", F.col("i")["k"].alias("k"))
 
 
+@query(CHECKS["reply_items"].replace("WHERE list_contains(json_keys(item), 'k')", "WHERE length(item->>'k') > 1"))
+def replies_checked(t):
+    """The same with a test of the caller's own in place of the required field."""
+    r = t.events.select("event_id", json_from_text(by_type(REPLY)).alias("found"))
+    long = lambda item: F.coalesce(F.length(F.try_element_at(item, F.lit("k"))) > 1, F.lit(False))
+    kept = valid_items(json_items("found"), [], validator=long)
+    return r.select("event_id", "found", F.explode(kept).alias("i")).select("event_id", "found", F.col("i")["k"].alias("k"))
+
+
 @query("SELECT doc_id, length(text) AS n, md5(text) AS digest FROM documents")
 def unicode_text(t):
     """Documents whose accents were written as escapes read as before."""

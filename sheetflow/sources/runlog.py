@@ -93,15 +93,16 @@ class RunLog:
             raise OSError(f"could not commit {commit.name}")
 
     def exists(self) -> bool:
-        return bool(self._names(f"{self.path}/commits"))
+        """Whether something was ever committed; an unfinished line is no commit."""
+        return any(n.endswith(".json") for n in self._names(f"{self.path}/commits"))
 
     def is_plain(self) -> bool:
         """A folder with files of its own and no manifest."""
-        return not self.exists() and any(n[0] not in "._" for n in self._names(self.path))
+        return not self.exists() and any(n[0] not in "._" and n not in ("rows", "commits") for n in self._names(self.path))
 
     def commits(self) -> list[Commit]:
         """The lines that count, in order; those that a compaction replaced do not."""
-        if not any(n.endswith(".json") for n in self._names(f"{self.path}/commits")):
+        if not self.exists():
             return []
         lines = self.spark.read.text(f"{self.path}/commits/*.json").collect()
         found = sorted((Commit(**json.loads(r["value"])) for r in lines), key=lambda c: c.name)

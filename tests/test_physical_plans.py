@@ -8,10 +8,10 @@ from sheetflow.plans.registry import QUERIES
 
 # Queries that hand work to Python: page texts, workbooks, supplied calls.
 PYTHON = {
-    "page_text", "page_paragraphs", "page_institutions", "xlsx_cells", "enrich_resume", "model_scan",
+    "page_text", "page_text_hard", "page_paragraphs", "page_institutions", "xlsx_cells", "enrich_resume", "model_scan",
 }
 # Queries that write and read files while they are built.
-FILES = {"enrich_log", "watch_folder", "log_files", "line_files", "curl_files", "log_drift_parquet", "log_drift_csv", "log_compacted", "method_fallback_pages", "diff_ordered", "diff_report"}
+FILES = {"enrich_log", "watch_folder", "log_files", "line_files", "curl_files", "log_drift_parquet", "log_drift_csv", "log_compacted", "method_fallback_pages", "diff_ordered", "diff_report", "report_files", "csv_with_bom"}
 
 
 def plan(df):

@@ -57,6 +57,12 @@ def test_html(one):
     assert one(prose.html_to_text(F.lit(None).cast("string"))) is None
 
 
+def test_marks_of_lists_and_headings(one):
+    page = "<body><h1>Top</h1>\n<H3 id='a>b'>Sub</H3><ul><li>one</li><li class=x>two <b>bold</b></ul>text<header>no heading</header><link rel=x><hr></body>"
+    assert one(prose.html_to_text(F.lit(page), marks=True)) == "# Top\n\n### Sub\n\n- one\n\n- two bold\n\ntext\n\nno heading"
+    assert [one(prose.is_noise(F.lit(line))) for line in ("- one", "## Sub head", "# Top")] == [True, True, False]
+
+
 def test_markdown(one):
     text = "**Bold** and *it* [link](http://x) `code` <b>t</b>"
     assert one(prose.clean_markdown(F.lit(text))) == "Bold and it link code t"

@@ -93,6 +93,15 @@ def test_only_committed_rows_count(spark, tmp_path):
     assert RunLog(spark, path).next_run() == 2
 
 
+def test_a_log_whose_first_commit_was_lost(spark, tmp_path):
+    path = str(tmp_path / "log")
+    spark.createDataFrame([("a", 1)], "url string, n int").write.parquet(f"{path}/rows/00000001-00000-unfinished")
+    os.mkdir(f"{path}/commits")
+    open(f"{path}/commits/.00000001-00000-unfinished", "w").close()
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "_row int, url string")
+    assert rows(enrich(df, "url", lambda row: {"n": 2}, "n int", path, retry=NONE), "url", "n") == [("a", 2), ("b", 2)]
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])
 @pytest.mark.parametrize("key", [None, "k"])
 def test_order_survives_compaction_and_copies(spark, tmp_path, fmt, key):
