@@ -16,8 +16,10 @@ Equal sets are one node from the start. Lists are scanned in two steps, neither
 of which writes out all pairs of a list. First the set that is in most lists
 stands for each list and the others are compared with it. What is linked then
 is one component. Second, only in lists that still hold several components,
-sets of different components are compared by sketches that never miss a link;
-pairs that pass are compared exactly.
+sets of different components are compared. Both steps compare sketches first,
+which never miss a link: one bit for each of many cells, the parity of the
+n-grams dealt to it, so sets that differ in d n-grams differ in d bits at most.
+Only the texts of pairs that pass are fetched, and compared exactly.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheetflow.llm import repeats as R
@@ -38,9 +40,11 @@ from sheetflow.operators.keyed import lookup, quoted
 U = np.uint64
 LIGHT = 63  # class number of light lists; heavy classes are below
 GROWTH = 1.5  # of size classes
-CELLS = 2  # sketch cells per block
+CELLS = 16  # sketch cells per block, a bit each
 PARTS = 2  # of the lists of a shuffle partition, of which a task holds one at a time
-ITEM = 256  # sets compared with as many others in one piece of work
+ITEM = 1024  # sets compared with as many others in one piece of work
+BITS = 16  # of the filter in front of a fetch of texts, for each text wanted
+MAPS = 8192  # most bitmaps of that filter, of 4096 bytes each
 
 
 @dataclass(frozen=True)
@@ -127,16 +131,31 @@ def set_id(grams: np.ndarray) -> int:
     return total - 2**64 if total >= 2**63 else total
 
 
+NODES = "doc long, key long, hash long, node long, size long, class int, own binary, next binary"
+
+
+def _sketch(grams: np.ndarray, blocks: int) -> bytes:
+    """The parity of the n-grams in each of many cells."""
+    cells = CELLS * blocks
+    odd = np.bincount((R.mix(grams + U(177)) % U(cells)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def _nodes(batches, rule: Rule):
+    """Name and size of each row's set, its class, and its sketches for the classes it is listed in."""
     powers = R.Powers(2 * R.PIECE)
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
     for b in batches:
-        names, sizes = [], []
+        found: list[tuple] = []
         for t in b.column(1).to_pylist():
             grams = shingles(t, rule, powers)
-            names.append(set_id(grams) if len(grams) else None)
-            sizes.append(len(grams))
-        found = [pa.array(names, pa.int64()), pa.array(sizes, pa.int64())]
-        yield pa.RecordBatch.from_arrays([b.column(0), *b.columns[2:], *found], names=["doc", "key", "hash", "node", "size"])
+            if not len(grams):
+                found.append((None, 0, None, None, None))
+                continue
+            (c, blocks), *more = rule.classes(len(grams))
+            found.append((set_id(grams), len(grams), c, _sketch(grams, blocks), _sketch(grams, more[0][1]) if more else None))
+        columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)]
+        yield pa.RecordBatch.from_arrays([b.column(0), *b.columns[2:], *columns], names=[part.split()[0] for part in NODES.split(", ")])
 
 
 def _dealt(grams: np.ndarray, blocks: int) -> np.ndarray:
@@ -292,19 +311,15 @@ def _linked(batches, rule: Rule):
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _sketches(batches, rule: Rule):
-    """For each class a set is listed in, one byte for each of its many small blocks."""
-    powers = R.Powers(2 * R.PIECE)
-    for b in batches:
-        node, c, sketch, size = [], [], [], []
-        for n, t in zip(b.column(0).to_pylist(), R.unpacked(b.column(1)), strict=True):
-            grams = shingles(t, rule, powers)
-            for number, blocks in rule.classes(len(grams)):
-                node.append(n)
-                c.append(number)
-                size.append(len(grams))
-                sketch.append((R.mix(_blocks(grams, CELLS * blocks)) & U(255)).astype(np.uint8).tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(c, pa.int32()), pa.array(size, pa.int64()), pa.array(sketch, pa.binary())], names=["node", "class", "size", "sketch"])
+def _alike(batches, rule: Rule):
+    """The pairs whose sketches differ in few enough cells; pairs without sketches pass."""
+    for batch in batches:
+        a, b, both, x, y = (column.to_pylist() for column in batch.columns)
+        keep = []
+        for total, one, other in zip(both, x, y, strict=True):
+            apart_by = 0 if one is None or other is None else (int.from_bytes(one) ^ int.from_bytes(other)).bit_count()
+            keep.append(apart_by <= rule.differ(total))
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 def _compare(batches, rule: Rule):
@@ -314,13 +329,14 @@ def _compare(batches, rule: Rule):
     i and j of the list, about ITEM of each.
     """
     held: list[tuple] = []
+    told: set[tuple[int, int]] = set()  # pairs are often near in many lists
 
     def work(rows):
         component = np.array([r[1] for r in rows])
         if len(rows) < 2 or (component == component[0]).all():
             return
         node, size, side = (np.array([r[k] for r in rows]) for k in (0, 2, 3))
-        cells = np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(len(rows), -1)
+        cells = np.frombuffer(b"".join(r[4] for r in rows), f"u{CELLS // 8}").reshape(len(rows), -1)
         i, j = rows[0][5][1:]
         left = np.flatnonzero(side == i)
         right = np.flatnonzero(side == j)
@@ -331,11 +347,15 @@ def _compare(batches, rule: Rule):
             most = (rule.den - rule.num) * (size[others] + size[x]) // (rule.den + rule.num)
             others, most = others[np.abs(size[others] - size[x]) <= most], most[np.abs(size[others] - size[x]) <= most]
             if len(others):
-                near = others[(cells[others] != cells[x]).sum(axis=1) <= most]
+                near = others[np.bitwise_count(cells[others] ^ cells[x]).sum(axis=1) <= most]
                 a += [node[x]] * len(near)
                 b += node[near].tolist()
-        if a:
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        new = set(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), strict=True)) - told
+        if len(told) > 1_000_000:
+            told.clear()
+        told.update(new)
+        if new:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*new, strict=True)], names=["a", "b"])
 
     for batch in batches:
         for node, component, size, side, sketch, bucket, i, j in zip(*(x.to_pylist() for x in batch.columns), strict=True):
@@ -348,6 +368,29 @@ def _compare(batches, rule: Rule):
         yield from work(held)
 
 
+def _fetched(docs: DataFrame, key: str, text: str, pairs: DataFrame, about: DataFrame) -> DataFrame:
+    """node and text, compressed, of the sets in ``pairs``.
+
+    Other texts are left where they are read: a filter of ``BITS`` bits for each
+    wanted row, but at most ``MAPS`` bitmaps (32 MB), is broadcast. It lets some
+    more rows pass, the more the fuller it is; the join decides.
+    """
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = stored(about.join(ends, "node", "left_semi").select("node", "doc", "hash"), "wanted")
+    maps = min(MAPS, max(1, -(-BITS * wanted.count() // 32768)))
+    spot = lambda doc, mark: F.pmod(F.xxhash64(doc, mark), F.lit(maps * 32768)) + 1
+    bits = wanted.select(spot(F.col("doc"), F.col("hash")).alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("map"))
+    bits = bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits"))
+    body, name, at, map_, all_ = quoted(text).cast("string"), *(apart(docs, n) for n in ("_spot", "_at", "_map", "_bits"))
+    rows = docs.withColumn(name, spot(R.row_key(quoted(key), body), F.xxhash64(body)))
+    rows = rows.withColumns({map_: F.bitmap_bucket_number(name), at: F.bitmap_bit_position(name)})
+    rows = rows.join(F.broadcast(bits.select(F.col("map").alias(map_), F.col("bits").alias(all_))), map_)
+    byte = F.conv(F.hex(F.substring(F.col(all_), (F.col(at) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    rows = rows.filter(F.getbit(byte, (F.col(at) % 8).cast("int")) == 1).select(*[quoted(c) for c in docs.columns])
+    texts = R.packed(rows, key, text, hashed=True).join(wanted, ["doc", "hash"])
+    return stored(texts.dropDuplicates(["node"]).select("node", "text"), "sets")
+
+
 def _exact(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """The linked ones of ``pairs`` (a, b): what is shuffled to them is compressed text, far smaller than its n-grams."""
     of_b = pairs.join(sets.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
@@ -395,7 +438,7 @@ def _joined(docs: DataFrame, key: str, text: str, rule: Rule) -> tuple[DataFrame
     rows = docs.select(
         R.row_key(quoted(key), body).alias("doc"), body.cast("binary").alias("text"), quoted(key).cast("long").alias("key"), F.xxhash64(body).alias("hash")
     )
-    nodes = stored(rows.mapInArrow(lambda b: _nodes(b, rule), "doc long, key long, hash long, node long, size long"), "nodes")
+    nodes = stored(rows.mapInArrow(lambda b: _nodes(b, rule), NODES), "nodes")
     sizes = nodes.filter("size BETWEEN 1 AND 64").groupBy("size").count().collect()
     limit = rule.light_limit({r["size"]: r["count"] for r in sizes})
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -406,11 +449,17 @@ def _joined(docs: DataFrame, key: str, text: str, rule: Rule) -> tuple[DataFrame
     one = nodes.filter("node IS NOT NULL").groupBy("node").agg(
         F.min(F.struct("doc", "hash")).alias("first"), F.min("key").alias("key"), F.max("size").alias("size")
     )
-    about = shared.groupBy("node").agg(F.count("list").alias("lists")).join(one, "node")
-    about = stored(about.select("node", "size", "lists", "first.doc", "first.hash"), "about")
-    texts = R.packed(docs, key, text, hashed=True).join(about.select("node", "doc", "hash"), ["doc", "hash"])
-    sets = stored(texts.dropDuplicates(["node"]).select("node", "text"), "sets")
-    release(docs.sparkSession)
+    sketches = nodes.filter("node IS NOT NULL").groupBy("node").agg(F.any_value(F.struct("class", "own", "next")).alias("s"))
+    about = shared.groupBy("node").agg(F.count("list").alias("lists")).join(one, "node").join(sketches, "node")
+    about = stored(about.select("node", "size", "lists", "first.doc", "first.hash", "s.*"), "about")
+
+    def sketched(node: str, sketch: str) -> DataFrame:
+        pick = F.struct("class", "own", "next").alias(sketch)
+        return about.select(F.col("node").alias(node), F.col("size").alias(f"size_{sketch}"), pick)
+
+    def of_class(sketch: str) -> Column:
+        at = F.col(sketch)
+        return F.when(F.col("class") == at["class"], at["own"]).when(F.col("class") == at["class"] + 1, at["next"])
 
     # first step: one set stands for each list; in light lists the smallest, in heavy ones the one in most lists
     entries = stored(lookup(shared, about.select("node", "size", "lists"), "node", "inner"), "entries")
@@ -421,8 +470,11 @@ def _joined(docs: DataFrame, key: str, text: str, rule: Rule) -> tuple[DataFrame
     both = F.col("size") + F.col("size_a")
     can = F.abs(F.col("size") - F.col("size_a")) * (rule.den + rule.num) <= (rule.den - rule.num) * both
     star = lookup(entries, stands, "list", "inner").filter(can & (F.col("a") != F.col("node")))
-    star = stored(star.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(), "star")
-    links = stored(_exact(star, sets, rule), "links")
+    star = star.groupBy(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).agg(F.min(F.col("list").bitwiseAND(F.lit(63))).alias("class"))
+    star = lookup(lookup(star, sketched("a", "x"), "a", "inner"), sketched("b", "y"), "b", "inner")
+    star = star.select("a", "b", (F.col("size_x") + F.col("size_y")).alias("both"), of_class("x").alias("x"), of_class("y").alias("y"))
+    star = stored(star.mapInArrow(lambda b: _alike(b, rule), "a long, b long"), "star")
+    links = stored(_exact(star, _fetched(docs, key, text, star, about), rule), "links")
     release(docs.sparkSession)
     member = components(links)
 
@@ -436,15 +488,13 @@ def _joined(docs: DataFrame, key: str, text: str, rule: Rule) -> tuple[DataFrame
     mixed = mixed.select("list", F.ceil(F.col("n") / ITEM).cast("int").alias("cuts"))
     held = lookup(known, mixed, "list", "inner")
     held = held.withColumn("side", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int")).withColumn("class", F.col("list").bitwiseAND(F.lit(63)).cast("int"))
-    sketches = stored(sets.mapInArrow(lambda b: _sketches(b, rule), "node long, class int, size long, sketch binary"), "sketches")
-    held = lookup(stored(held.drop("size"), "held"), sketches, ["node", "class"], "inner")
+    held = lookup(stored(held, "held"), sketched("node", "x"), "node", "inner").withColumn("sketch", of_class("x"))
     held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
     held = held.select("node", "component", "size", "side", "sketch", "list", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
     pieces = held.repartition(parts, "list", "i", "j").sortWithinPartitions("list", "i", "j", "node")
     near = pieces.mapInArrow(lambda b: _compare(b, rule), "a long, b long").distinct()
     near = stored(near.join(star, ["a", "b"], "left_anti"), "near")
-    ends = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-    more = stored(_exact(near, sets.join(ends, "node", "left_semi"), rule), "links")
+    more = links.limit(0) if near.isEmpty() else stored(_exact(near, _fetched(docs, key, text, near, about), rule), "links")
     if not more.isEmpty():
         member = components(links.unionByName(more))
 
