@@ -7,9 +7,13 @@ range is matched across ranges by rank: the n-th left-over piece of a range
 takes the n-th left-over gap of the nearest larger range. The gaps are updated
 and the next round begins; pieces that fit into no gap open new sequences.
 
-Only a handful of figures per range reach the driver, never rows. All state is
-written to the shared folder between rounds, so a lost executor costs tasks of
-one round.
+A round begins with what still waits and the gaps that can still take something:
+a gap smaller than the smallest waiting piece is done with. So the ranges grow
+few, and once one range holds all, its sweep alone is best fit.
+
+Only a handful of figures per range and the number of rows of each size reach
+the driver, never rows. All state is written to the shared folder between
+rounds, so a lost executor costs tasks of one round.
 """
 
 from __future__ import annotations
@@ -80,7 +84,9 @@ def token_pieces(
     closing = int(end_id).to_bytes(4, "little")
 
     def work(pairs) -> Iterator[dict[str, list]]:
-        ids = Ids(tokenizer, worker_memo(f"words {tokenizer}"))
+        # one for all tasks of a worker: to read the vocabulary takes longer than a small task
+        known = worker_memo(f"ids {tokenizer}")
+        ids = known.get("ids") or known.setdefault("ids", Ids(tokenizer, worker_memo(f"words {tokenizer}")))
         for keys, texts in pairs:
             out: dict[str, list] = {"key": [], "piece": [], "start": [], "length": [], "ids_crc32": []}
             for k, t in zip(keys, texts, strict=True):
@@ -199,57 +205,48 @@ def pack(pieces: DataFrame, capacity: int = 4096, rows_per_range: int = 25_000)
         both = waiting.unionByName(gaps, allowMissingColumns=True)
         ranges = max(1, -(-(n + open_gaps) // rows_per_range))
         order = [F.col("size").desc(), F.col("state").desc(), F.xxhash64("seq", "key", "piece")]
-        ordered = both.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+        ordered = (both.repartitionByRange(ranges, *order) if ranges > 1 else both.repartition(1)).sortWithinPartitions(*order)
         swept = stored(ordered.mapInArrow(lambda b: _sweep(b, capacity), STATE), "sweep")
+        placed.append(swept.filter("state = 2").select(*PIECE, "seq", "at"))
         offered, missed = F.col("rank").isNotNull() & (F.col("state") == 1), F.col("state") == 0
-        figures = swept.groupBy("part").agg(
+        figures = swept.filter(offered | missed).groupBy("part").agg(
             F.count_if(offered),
             F.min(F.when(offered, F.col("size"))),
             F.count_if(missed),
             F.max(F.when(missed, F.col("size"))),
         )
         figures = sorted(map(tuple, figures.collect()))
-        placed.append(swept.filter("state = 2").select(*PIECE, "seq", "at"))
-        matched, waiting, gaps = _match(swept, _by_rank(figures), capacity)
-        placed.append(matched)
         if not sum(f[3] for f in figures):
             break
-        here = waiting.agg(F.count("size"), F.sum("size"), F.max("size")).first()
-        room, open_gaps = gaps.agg(F.max("size"), F.count("size")).first()
-        n = here[0]
+        matched, waiting, gaps = _match(swept, _by_rank(figures), capacity)
+        if matched is not None:
+            placed.append(matched)
+        # at most two rows for each size there can be
+        sizes = waiting.select("state", "size").unionByName(gaps.select("state", "size")).groupBy("state", "size").count().collect()
+        wait = {r["size"]: r["count"] for r in sizes if r["state"] == 0}
+        room = {r["size"]: r["count"] for r in sizes if r["state"] == 1}
+        n, least, widest = sum(wait.values()), min(wait, default=capacity + 1), max(room, default=0)
+        gaps = gaps.filter(F.col("size") >= least)
+        open_gaps = sum(c for size, c in room.items() if size >= least)
         # Pieces beyond the largest gap can only go to new sequences; open those now.
-        need = waiting.filter(F.col("size") > (room or 0)).agg(F.sum("size")).first()[0] or 0
+        need = sum(size * c for size, c in wait.items() if size > widest)
     done = placed[0]
     for p in placed[1:]:
         done = done.unionByName(p)
     return done.select(*PIECE, F.col("seq").alias("sequence_id"), F.col("at").cast("long").alias("offset"))
 
 
-def _match(swept: DataFrame, plan: list[tuple], capacity: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Pieces placed by rank, pieces that still wait, and the gaps after this round."""
-    spark = swept.sparkSession
+def _match(swept: DataFrame, plan: list[tuple], capacity: int) -> tuple[DataFrame | None, DataFrame, DataFrame]:
+    """Pieces placed by rank (None without a plan), pieces that still wait, and the gaps after this round."""
     lost = swept.filter("state = 0")
     gaps = swept.filter("state = 1")
     if not plan:
-        empty = swept.filter("state = 2 AND state = 0").select(*PIECE, "seq", "at")
-        return empty, lost.select("state", "size", "seq", *PIECE), gaps.select("state", "size", "seq")
-    by_part: dict[int, list[tuple]] = {}
-    for part, *rest in plan:
-        by_part.setdefault(part, []).append(tuple(rest))
-
-    def aim(batches):
-        for b in batches:
-            part, rank = b.column("part").to_numpy(zero_copy_only=False), b.column("rank").to_numpy(zero_copy_only=False)
-            to_part, to_rank = np.full(len(part), -1, np.int32), np.full(len(part), -1, np.int64)
-            for p in np.unique(part):
-                for first, last, other, at, each in by_part.get(int(p), ()):
-                    hit = (part == p) & (rank >= first) & (rank < last)
-                    to_part[hit], to_rank[hit] = other, at + (rank[hit] - first) // each
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(to_part), pa.array(to_rank)], names=[*b.schema.names, "to_part", "to_rank"])
-
-    # a few numbers per range travel with the task, as many as there are ranges
-    aimed = lost.mapInArrow(aim, f"{STATE}, to_part int, to_rank long")
-    piece = aimed.filter("to_part >= 0").select("to_part", "to_rank", F.col("size").alias("took"), *PIECE)
+        return None, lost.select("state", "size", "seq", *PIECE), gaps.select("state", "size", "seq")
+    steps = swept.sparkSession.createDataFrame(plan, "of_part int, first long, last long, to_part int, at_gap long, each long")
+    of_step = F.expr("part = of_part AND rank >= first AND rank < last")
+    aimed = lost.join(steps, of_step, "left")
+    aimed = aimed.withColumn("to_rank", F.expr("at_gap + (rank - first) div each"))
+    piece = aimed.filter("to_part IS NOT NULL").select("to_part", "to_rank", F.col("size").alias("took"), *PIECE)
     offered = gaps.filter("rank IS NOT NULL").select(F.col("part").alias("to_part"), F.col("rank").alias("to_rank"), "size", "seq")
     gap = Window.partitionBy("to_part", "to_rank")
     inside = gap.orderBy(*PIECE)
@@ -260,7 +257,7 @@ def _match(swept: DataFrame, plan: list[tuple], capacity: int) -> tuple[DataFram
     )
     kept = stored(filled, "matched")
     matched = kept.filter("took IS NOT NULL").select(*PIECE, "seq", (capacity - F.col("size") + F.col("upto") - F.col("took")).cast("int").alias("at"))
-    waiting = aimed.filter("to_part < 0").select("state", "size", "seq", *PIECE)
+    waiting = aimed.filter("to_part IS NULL").select("state", "size", "seq", *PIECE)
     after = kept.filter("nth = 1").select(F.lit(1).alias("state"), (F.col("size") - F.coalesce("all", F.lit(0))).cast("int").alias("size"), "seq")
     rest = gaps.filter("rank IS NULL").select("state", "size", "seq").unionByName(after).filter("size > 0")
     return matched, waiting, rest
