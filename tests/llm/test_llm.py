@@ -422,3 +422,22 @@ def test_items_without_an_id(spark):
         removed = decontaminate.remove_benchmark(df, bench, share=1000, shard_words=words)
         same(removed, [(1, None), (None, None), (None, None), (7, None), (7, "delta")])
         same(decontaminate.remove_benchmark(df, bench.filter("item_id = 5"), share=2, shard_words=words), [(1, "alpha beta gamma"), (None, "one two"), (None, "one two "), (7, None), (7, "delta")])
+
+
+def test_sketches_miss_no_link():
+    """Sets that differ in d n-grams differ in d bits at most, and linked pairs always pass."""
+    import pyarrow as pa
+
+    rule, rng = jaccard.Rule(), np.random.default_rng(5)
+    for size in (12, 60, 400):
+        for gone in range(0, 2 * rule.differ(2 * size) + 2):
+            a = np.unique(rng.integers(0, 2**63, size, dtype=np.uint64))
+            b = np.unique(np.concatenate([a[gone:], rng.integers(0, 2**63, gone, dtype=np.uint64)]))
+            blocks = rule.classes(size)[0][1]
+            x, y = jaccard._sketch(a, blocks), jaccard._sketch(b, blocks)
+            differ = (int.from_bytes(x, "big") ^ int.from_bytes(y, "big")).bit_count()
+            assert differ <= len(np.setxor1d(a, b))
+            batch = pa.RecordBatch.from_pydict({"a": [1], "b": [2], "both": [len(a) + len(b)], "x": [x], "y": [y]})
+            passed = sum(out.num_rows for out in jaccard._alike([batch], rule))
+            same = len(np.intersect1d(a, b))
+            assert passed or rule.den * same < rule.num * (len(a) + len(b) - same)
