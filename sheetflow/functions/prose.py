@@ -5,7 +5,7 @@ from __future__ import annotations
 import html
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,10 +84,31 @@ def markdown_to_plain(c: Column | str) -> Column:
     return collapse(clean_markdown(c))
 
 
-@F.pandas_udf(T.StringType())
-def unescape_entities(texts: pd.Series) -> pd.Series:
-    """Character references, by the table of the HTML standard."""
-    return texts.map(html.unescape, na_action="ignore")
+# A character reference, as html.unescape finds it.
+_REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+
+
+@F.arrow_udf(T.MapType(T.StringType(), T.StringType()))
+def resolve_references(found: pa.Array) -> pa.Array:
+    """Character references with what they stand for, by the table of the HTML standard."""
+    known = [None if refs is None else [(r, html.unescape(r)) for r in refs] for refs in found.to_pylist()]
+    return pa.array(known, pa.map_(pa.string(), pa.string()))
+
+
+def unescape_entities(c: Column | str) -> Column:
+    """Text with its character references resolved; Python gets the references alone, not the text around them."""
+
+    def references(text: Column) -> Column:
+        return F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0))
+
+    def resolved(text: Column, known: Column) -> Column:
+        # the text is cut at its references; each piece but the last has one behind it
+        pieces = F.zip_with(F.split(text, _REFERENCE), references(text), lambda p, r: F.concat(p, F.coalesce(known[r], F.lit(""))))
+        return F.when(known.isNull(), text).otherwise(F.array_join(pieces, ""))
+
+    text = as_column(c)
+    known = resolve_references(let(text, lambda t: F.when(F.contains(t, F.lit("&")), F.array_distinct(references(t)))))
+    return let(F.struct(text.alias("text"), known.alias("known")), lambda x: resolved(x["text"], x["known"]))
 
 
 # An opening tag from its name on, with ">" in quoted attributes.
@@ -99,7 +120,7 @@ def html_to_text(c: Column | str, paragraphs: bool = False, marks: bool = False)
 
     Tags fall away in the JVM, with ``>`` in quoted attributes; a script or
     style that is not closed goes on to the end. Python only resolves character
-    references, and only gets the texts that have any. With ``paragraphs`` block elements leave an
+    references, and only gets those, never a text. With ``paragraphs`` block elements leave an
     empty line, so that sentences do not run across them. ``marks`` also writes
     list items as ``- item`` and headings as ``## heading``, which is how
     :func:`is_noise` knows them.
@@ -118,7 +139,7 @@ def html_to_text(c: Column | str, paragraphs: bool = False, marks: bool = False)
     # an attribute whose quote is not closed: the tag ends at the next >
     text = F.regexp_replace(text, r"""</?[A-Za-z!?](?:[^>"']++|"[^"]*+"|'[^']*+')*+>""", " ")
     text = F.regexp_replace(text, r"</?[A-Za-z!?][^>]*>", " ")
-    text = F.coalesce(unescape_entities(F.when(F.contains(text, F.lit("&")), text)), text)
+    text = unescape_entities(text)
     if not paragraphs:
         return collapse(text)
     text = F.regexp_replace(text, r"(?U)[\s&&[^\n]]+", " ")

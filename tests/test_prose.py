@@ -1,3 +1,4 @@
+import html
 import random
 import re
 
@@ -57,6 +58,35 @@ def test_html(one):
     assert one(prose.html_to_text(F.lit(None).cast("string"))) is None
 
 
+REFERENCES = ["&amp;", "&amp", "&notit;", "&#65;", "&#x41", "&#X1F600;", "&#0;", "&#00000000000000000000000000000000000000065;", "&", "&&", "&;", "&#;", "&#x;", "&unknown;", "&CounterClockwiseContourIntegral;", "&lt;b&gt;", "&é;", "&😀copy;", "&nbsp", "&amp;lt;", "&" + "x" * 40 + ";"]
+
+
+def test_character_references(spark):
+    rng = random.Random(5)
+    bits = [*REFERENCES, "word", " ", "\n", "\t", ";", "#", "é", "😀", "$1", "\\"]
+    texts = ["", *REFERENCES, *("".join(rng.choice(bits) for _ in range(rng.randrange(30))) for _ in range(500)), "a&lt;" * 20_000, None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", prose.unescape_entities("t").alias("u"))
+    for r in df.collect():
+        assert r["u"] == (None if texts[r["i"]] is None else html.unescape(texts[r["i"]])), texts[r["i"]]
+
+
+@pytest.mark.parametrize("given", [{}, {"paragraphs": True}, {"marks": True}])
+def test_no_page_text_goes_to_python(spark, given, monkeypatch):
+    """A worker holds whole batches, so it is only given what it needs: distinct references, not the texts."""
+    sent = []
+    resolve = prose.resolve_references
+
+    def seen(c):
+        sent.append(c)
+        return resolve(c)
+
+    monkeypatch.setattr(prose, "resolve_references", seen)
+    page = "<p>" + "long text " * 1000 + "&amp;&copy;&amp;</p>"
+    df = spark.createDataFrame([(page,)], "html string")
+    assert df.select(prose.html_to_text("html", **given).alias("t")).collect()[0]["t"].endswith("long text &©&")
+    assert [r[0] for c in sent for r in df.select(c).collect()] == [["&amp;", "&copy;"]]
+
+
 def test_marks_of_lists_and_headings(one):
     page = "<body><h1>Top</h1>\n<H3 id='a>b'>Sub</H3><ul><li>one</li><li class=x>two <b>bold</b></ul>text<header>no heading</header><link rel=x><hr></body>"
     assert one(prose.html_to_text(F.lit(page), marks=True)) == "# Top\n\n### Sub\n\n- one\n\n- two bold\n\ntext\n\nno heading"
