@@ -14,6 +14,8 @@ from sheetflow.session import settle
 
 # Rows without a key go to this many surrogate keys.
 NULL_BUCKETS = 1024
+# Rows that a task of a grouping takes on, so that its memory does not grow with the table.
+ROWS_A_TASK = 500_000
 
 
 def quoted(name: str) -> Column:
@@ -196,46 +198,58 @@ def position(c: Column | str) -> Column:
     return F.coalesce(as_column(c).try_cast("int"), F.lit(0))
 
 
-def numbered(rows: DataFrame, by: Sequence[str], order: Sequence[str], nth: str = "nth") -> DataFrame:
+def tasks_for(df: DataFrame) -> int:
+    """Tasks for a grouping of all rows: as the session says, more where each would get too many rows."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS_A_TASK))
+
+
+def numbered(rows: DataFrame, by: Sequence[str], order: Sequence[str], nth: str = "nth", tasks: int | None = None) -> DataFrame:
     """Rows numbered from 1 within their group, however large the group is.
 
     The rows are sorted into ranges by group and order, so a large group lies
     in several ranges; each range counts its own rows, and the counts of the
-    ranges before it are added.
+    ranges before it are added. ``tasks`` is the number of ranges.
     """
     groups = [quoted(c) for c in by]
     place = [*groups, *[quoted(c) for c in order]]
-    count = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    count = tasks or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # settled, for Spark draws the bounds of the ranges anew whenever it computes them
     ranged = settle(rows.repartitionByRange(count, *place).withColumn("_range", F.spark_partition_id()))
     inside = Window.partitionBy("_range", *groups).orderBy(*[quoted(c) for c in order])
-    local = ranged.withColumn("_local", F.row_number().over(inside))
-    sizes = local.groupBy("_range", *groups).agg(F.max("_local").alias("_size"))
+    local = (ranged.repartition(count, "_range") if tasks else ranged).withColumn("_local", F.row_number().over(inside))
+    sizes = ranged.groupBy("_range", *groups).agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    start = sizes.select("_range", *groups, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    start = sizes.select("_range", *groups, F.sum("_size").over(before).alias("_start")).filter("_start IS NOT NULL")
     start = start.select(F.col("_range").alias("_r"), F.col("_start"), *[quoted(c).alias(f"_by{i}") for i, c in enumerate(by)])
     same = reduce(lambda x, y: x & y, [quoted(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)], F.col("_range") == F.col("_r"))
-    joined = local.join(start, same)
-    return joined.select(*[quoted(c) for c in rows.columns], (F.col("_local") + F.col("_start")).alias(nth))
+    # only the first group of a range can have begun before it: one row a range at most
+    joined = local.join(F.broadcast(start), same, "left")
+    return joined.select(*[quoted(c) for c in rows.columns], (F.col("_local") + F.coalesce("_start", F.lit(0))).alias(nth))
 
 
 def distinct_values(
-    df: DataFrame, by: Sequence[str], value: str, order: Sequence[str], apart: Column | None = None, tied: bool = False
+    df: DataFrame, by: Sequence[str], value: str, order: Sequence[str], apart: Column | None = None, tied: bool = False, tasks: int | None = None
 ) -> DataFrame:
     """Distinct values of each group, one per row, numbered from 1 in order: the groups, ``value`` and ``nth``.
 
-    Repeats are dropped before the shuffle; rows that differ in ``apart`` do
-    not count as repeats. ``tied`` says that a value always has the same place,
-    which spares looking for its first one.
+    Rows that differ in ``apart`` do not count as repeats. ``tied`` says that a
+    value always has the same place, which spares looking for its first one.
+    Repeats are dropped twice: among those of one task of the input, spread
+    over all ``tasks``, then among what is left, so that a frequent value does
+    not meet in one task and no task holds more than its share of the rows.
     """
+    tasks = tasks or tasks_for(df)
     groups = [quoted(c) for c in by]
-    kept_apart = [] if apart is None else [apart.alias("_a")]
     place = quoted(order[0]) if len(order) == 1 else F.struct(*[quoted(c).alias(f"o{i}") for i, c in enumerate(order)])
-    if tied:
-        rows = df.select(*groups, quoted(value).alias("_v"), place.alias("_o"), *kept_apart).distinct()
-    else:
-        rows = df.groupBy(*groups, quoted(value).alias("_v"), *kept_apart).agg(F.min(place).alias("_o"))
-    return numbered(rows, by, ["_o", "_v"]).select(*groups, F.col("_v").alias(value), "nth")
+    rows = df.select(*groups, quoted(value).alias("_v"), place.alias("_o"), *([] if apart is None else [apart.alias("_a")]))
+    same = [quoted(c) for c in rows.columns if tied or c != "_o"]
+
+    def once(rows: DataFrame, *keys: Column) -> DataFrame:
+        spread = rows.repartition(tasks, *keys)
+        return spread.dropDuplicates() if tied else spread.groupBy(*keys).agg(F.min("_o").alias("_o"))
+
+    few = once(rows.withColumn("_p", F.spark_partition_id()), *same, F.col("_p")).drop("_p")
+    return numbered(once(few, *same), by, ["_o", "_v"], tasks=tasks).select(*groups, F.col("_v").alias(value), "nth")
 
 
 def joined_cells(
@@ -255,12 +269,13 @@ def joined_cells(
     holds its values from ``part * length`` on, at most ``length`` of them. The
     rule is the same for every group, and the parts in order are the whole.
     """
-    by = list(by)
-    values = distinct_values(df, by, value, order, apart, tied)
+    by, tasks = list(by), tasks_for(df)
+    values = distinct_values(df, by, value, order, apart, tied, tasks)
     cut = values.select(*[quoted(c) for c in by], F.floor((F.col("nth") - 1) / length).cast("int").alias("part"), "nth", quoted(value).alias("_v"))
     listed = F.array_sort(F.collect_list(F.struct("nth", "_v")))
     text = F.array_join(F.transform(listed, lambda x: x["_v"].cast("string")), sep)
-    return cut.groupBy(*[quoted(c) for c in by], "part").agg(text.alias(out))
+    cells = [*[quoted(c) for c in by], F.col("part")]
+    return cut.repartition(tasks, *cells).groupBy(*cells).agg(text.alias(out))
 
 
 def merge_values(values: Column | str, sep: str = ";") -> Column:

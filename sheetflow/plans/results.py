@@ -239,7 +239,7 @@ cells AS (SELECT _row, kw AS keyword, string_agg(name, ';' ORDER BY "at", name)
 
 def supplier_items(t):
     """Brands a supplier delivers, as names under the keyword of their part type."""
-    pairs = t.lineitem.select("l_suppkey", "l_partkey").distinct()
+    pairs = t.lineitem.select("l_suppkey", "l_partkey")
     parts = t.part.select("p_partkey", "p_brand", F.expr(BRANDS).alias("keyword"))
     joined = pairs.join(parts, F.col("l_partkey") == F.col("p_partkey"))
     return joined.select(F.col("l_suppkey").alias("_row"), "keyword", F.col("p_brand").alias("name"), F.col("l_partkey").alias("at"))

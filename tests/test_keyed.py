@@ -115,6 +115,19 @@ def test_joined_cells_kept_apart(spark):
     assert rows(keyed.joined_cells(df, ["g"], "v", ["o"], ";", apart=F.col("o")).filter("g IS NULL")) == [(None, 0, "b;a;b")]
 
 
+@pytest.mark.parametrize("tied", [False, True])
+def test_tasks_of_a_grouping_follow_its_rows(spark, monkeypatch, tied):
+    """A task gets its share of the rows, however few partitions the session asks for; a frequent value and long groups stay whole."""
+    monkeypatch.setattr(keyed, "ROWS_A_TASK", 100)
+    number = F.when(F.col("id") % 2 == 0, 0).otherwise(F.floor(F.col("id") / 3))
+    df = spark.range(0, 6000, 1, 3).select((F.col("id") % 3 % 2).alias("g"), F.lpad(number.cast("string"), 5, "0").alias("v")).withColumn("o", F.col("v"))
+    assert keyed.tasks_for(df) == 60
+    values = keyed.distinct_values(df, ["g"], "v", ["o"], tied=tied)
+    expected = {g: sorted({f"{0 if i % 2 == 0 else i // 3:05d}" for i in range(6000) if i % 3 % 2 == g}) for g in (0, 1)}
+    assert rows(values, "g", "v", "nth") == sorted(((g, v, n) for g, l in expected.items() for n, v in enumerate(l, 1)), key=repr)
+    assert values.groupBy(F.spark_partition_id()).count().agg(F.max("count")).collect()[0][0] < sum(map(len, expected.values())) / 4
+
+
 def test_merge_values(one):
     assert one(keyed.merge_values(F.array(F.lit(" a"), F.lit(None), F.lit(""), F.lit("b"), F.lit("a\n")))) == "a;b"
 
