@@ -269,17 +269,20 @@ def load_artifacts(artifacts: DataFrame, priority: Sequence[str] = ("langextract
     """(url_hash, items, method): the best readable artefact per URL.
 
     ``artifacts`` has url_hash, method and the JSON ``content``; content that
-    does not parse falls through to the next method.
+    does not parse falls through to the next method. Of several of one URL and
+    method the last by ``_seq`` counts, where there is that column; else one
+    that does not depend on the order of the rows.
     """
     from sheetflow.functions.institutions import INSTITUTION
 
     items = F.from_json(F.get_json_object("content", "$.host_institutions"), f"array<{item_type or INSTITUTION}>")
     order = F.array_position(F.array(*[F.lit(m) for m in priority]), F.col("method"))
+    place = [F.col("_seq")] if "_seq" in artifacts.columns else []
     readable = (
         artifacts.filter(F.col("method").isin(*priority) & is_json_object("content"))
-        .select("url_hash", F.coalesce(items, F.array().cast(f"array<{item_type or INSTITUTION}>")).alias("items"), "method", order.alias("_rank"))
+        .select("url_hash", F.coalesce(items, F.array().cast(f"array<{item_type or INSTITUTION}>")).alias("items"), "method", F.struct(-order, *place, F.xxhash64("content")).alias("_rank"))
     )
-    best = F.min_by(F.struct("items", "method"), "_rank")
+    best = F.max_by(F.struct("items", "method"), "_rank")
     return readable.groupBy("url_hash").agg(best.alias("b")).select("url_hash", "b.items", "b.method")
 
 

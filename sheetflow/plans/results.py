@@ -182,11 +182,13 @@ def stage_tables(t):
     rules = u.filter("m IN (0, 1, 2)").select(
         F.col("hash").alias("url_hash"),
         F.lit("regexp").alias("method"),
+        F.col("page_id").alias("_seq"),
         F.when(m == 0, '{"host_institutions": []}').otherwise(body(item(F.concat(F.lit("Rule "), pid), "Owner", "T", "regexp"))).alias("content"),
     )
     model = u.filter("m IN (1, 2)").select(
         F.col("hash").alias("url_hash"),
         F.lit("langextract").alias("method"),
+        F.col("page_id").alias("_seq"),
         F.when(m == 2, '{"host_institutions": [broken').otherwise(body(item(F.concat(F.lit("Org "), pid), "press", "S", "langextract"), item(F.concat(F.lit("B"), l), "", "", "langextract"))).alias("content"),
     )
     return snaps, exts, rules.unionByName(model)

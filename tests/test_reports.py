@@ -127,3 +127,14 @@ def test_rows_of_two_files_do_not_mix(spark):
     assert rows(reports.keyword_names(items, place), "file", "_row", "name", "nth") == [("f1", 2, "A", 1), ("f2", 2, "B", 1), ("f2", 3, "A", 1)]
     urls = reports.journal_urls(sheet, "刊名", ["主页链接"], place)
     assert rows(urls, "file", "_row", "url") == [("f1", 2, "http://a"), ("f2", 2, "http://b"), ("f2", 3, "http://a")]
+
+
+def test_the_last_artefact_of_a_url_and_method_counts(spark):
+    """Also where several pages have the same URL, and in whatever order the rows arrive."""
+    given = [("h", "regexp", f'{{"host_institutions": [{{"name": "N{i}"}}]}}', i) for i in range(3)]
+    bare = []
+    for order in (given, given[::-1], [given[1], given[2], given[0]]):
+        df = spark.createDataFrame(order, "url_hash string, method string, content string, _seq long").coalesce(1)
+        assert [[i["name"] for i in r["items"]] for r in reports.load_artifacts(df).collect()] == [["N2"]]
+        bare += [[i["name"] for i in r["items"]] for r in reports.load_artifacts(df.drop("_seq")).collect()]
+    assert bare == [bare[0]] * 3
