@@ -6,14 +6,17 @@ import sys
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from sheetflow.operators.keyed import quoted
 from sheetflow.session import work_dir
 
 # Letters, digits and accented Latin letters without case or composition surprises.
 PLAIN_LETTERS = "a-zA-ZÀ-ÖØ-öø-ÿ"
+SLICE = 2 << 20  # bytes of a batch that are worked on at a time
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -59,6 +62,14 @@ def per_text(df: DataFrame, work: Callable[[Iterator[tuple]], Iterator[dict[str,
     return df.mapInArrow(run, schema)
 
 
+def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``SLICE`` bytes: one batch may hold all rows of a task, and Python makes several copies of what it works on."""
+    for b in batches:
+        rows = max(1, SLICE * b.num_rows // max(1, b.nbytes))
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def apart(df: DataFrame, name: str) -> str:
     """A column name like ``name`` that the frame does not have yet."""
     while name.lower() in (c.lower() for c in df.columns):
@@ -70,18 +81,23 @@ def keep_rows(df: DataFrame, text: str, judge: Callable[[], Callable[[list], lis
     """The rows of ``df`` whose text is accepted, with all their columns, where they are read.
 
     ``judge`` is called once per task and gives a function from the texts of a
-    batch, as bytes, to keep or drop. Where ``only`` does not hold, the text is
-    handed over as null.
+    slice, as bytes, to keep or drop. Where ``only`` does not hold, the text is
+    handed over as null. A text column is read as it stands in the row; other
+    types go to Python a second time, as text.
     """
     name = apart(df, "_judged")
-    body = quoted(text).cast("string").cast("binary")
-    rows = df.withColumn(name, body if only is None else F.when(only, body))
+    use = F.lit(True) if only is None else F.coalesce(only, F.lit(False))
+    at = df.columns.index(text) if text in df.columns and isinstance(df.schema[text].dataType, StringType) else None
+    rows = df.withColumn(name, F.when(use, quoted(text).cast("string").cast("binary")) if at is None else use)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         accept = judge()
-        for b in batches:
+        for b in slices(batches):
             last = b.num_columns - 1
-            keep = pa.array(accept(b.column(last).to_pylist()), pa.bool_())
+            texts = b.column(last)
+            if at is not None:
+                texts = pc.if_else(texts, b.column(at).cast(pa.binary()), pa.scalar(None, pa.binary()))
+            keep = pa.array(accept(texts.to_pylist()), pa.bool_())
             yield b.select(list(range(last))).filter(keep)
 
     return rows.mapInArrow(run, df.schema)

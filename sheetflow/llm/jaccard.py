@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheetflow.llm import repeats as R
-from sheetflow.llm.common import apart, release, stored
+from sheetflow.llm.common import apart, release, slices, stored
 from sheetflow.llm.components import components
 from sheetflow.operators.keyed import lookup, quoted
 
@@ -42,6 +42,7 @@ LIGHT = 63  # class number of light lists; heavy classes are below
 GROWTH = 1.5  # of size classes
 CELLS = 16  # sketch cells per block, a bit each
 PARTS = 2  # of the lists of a shuffle partition, of which a task holds one at a time
+GATHER = 1 << 19  # list rows gathered at a time, or the 2000 sets that come first
 ITEM = 1024  # sets compared with as many others in one piece of work
 BITS = 16  # of the filter in front of a fetch of texts, for each text wanted
 MAPS = 8192  # most bitmaps of that filter, of 4096 bytes each
@@ -145,7 +146,7 @@ def _nodes(batches, rule: Rule):
     """Name and size of each row's set, its class, and its sketches for the classes it is listed in."""
     powers = R.Powers(2 * R.PIECE)
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
-    for b in batches:
+    for b in slices(batches):
         found: list[tuple] = []
         for t in b.column(1).to_pylist():
             grams = shingles(t, rule, powers)
@@ -201,8 +202,8 @@ def _lists(batches, rule: Rule, limit: int, parts: int):
     start = rule.common(limit + 1)
     for b in batches:
         seen: set[int] = set()
-        lists, nodes = [], []
-        for t in b.column(1).to_pylist():
+        lists, nodes, held = [], [], 0
+        for t in (t for part in slices([b]) for t in part.column(1).to_pylist()):
             grams = shingles(t, rule, powers)
             n = len(grams)
             name = set_id(grams) if n else None
@@ -221,9 +222,10 @@ def _lists(batches, rule: Rule, limit: int, parts: int):
             if rows:
                 lists.append(np.concatenate(rows))
                 nodes.append(name)
-            if len(lists) >= 2000:
+                held += len(lists[-1])
+            if len(lists) >= 2000 or held >= GATHER:
                 yield _gathered(lists, nodes, parts)
-                lists, nodes = [], []
+                lists, nodes, held = [], [], 0
         if lists:
             yield _gathered(lists, nodes, parts)
 
@@ -231,15 +233,15 @@ def _lists(batches, rule: Rule, limit: int, parts: int):
 def _gathered(lists: list[np.ndarray], nodes: list[int], parts: int) -> pa.RecordBatch:
     """One row per part and mark: the lists, set by set, the sets, and how many lists each has there."""
     both = np.concatenate(lists)
-    of = np.repeat(np.arange(len(nodes)), [len(x) for x in lists])
+    of = np.repeat(np.arange(len(nodes), dtype=np.int32), [len(x) for x in lists])
     order = np.argsort(both, kind="stable")
     both, of = both[order], of[order]
     again = np.concatenate(([False], both[1:] == both[:-1]))
     shared = again | np.concatenate((again[1:], [False]))
     names = np.array(nodes, np.int64)
     place = np.where(again, R.mix(both + names[of].view(U)), both)
-    part = ((place >> U(32)) * U(parts) >> U(32)).astype(np.int64)
-    group = 2 * part + shared
+    group = 2 * ((place >> U(32)) * U(parts) >> U(32)).astype(np.int32) + shared
+    del place, again, shared
     order = np.lexsort((of, group))
     both, of, group = both[order], of[order], group[order]
     cuts = np.concatenate(([0], np.flatnonzero(np.diff(group)) + 1, [len(group)]))
@@ -297,7 +299,7 @@ def _linked(batches, rule: Rule):
     """The pairs that are linked, by their exact sets; rows of equal ``a`` mostly follow one another."""
     powers = R.Powers(2 * R.PIECE)
     last, x = None, None
-    for b in batches:
+    for b in slices(batches):
         a, c = b.column(0).to_pylist(), b.column(1).to_pylist()
         keep = []
         for node, first, second in zip(a, b.column(2).to_pylist(), R.unpacked(b.column(3)), strict=True):

@@ -6,12 +6,13 @@ from collections import Counter, defaultdict
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from conftest import DATA
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sheetflow.llm import decontaminate, jaccard, language, packing, pii, queries, repeats, secret_scan, substring_dedup, suffix_dedup, token_counts, topk
+from sheetflow.llm import common, decontaminate, jaccard, language, packing, pii, queries, repeats, secret_scan, substring_dedup, suffix_dedup, token_counts, topk
 from sheetflow.llm.components import components
 
 rng = random.Random(7)
@@ -441,3 +442,49 @@ def test_sketches_miss_no_link():
             passed = sum(out.num_rows for out in jaccard._alike([batch], rule))
             same = len(np.intersect1d(a, b))
             assert passed or rule.den * same < rule.num * (len(a) + len(b) - same)
+
+
+def test_rows_are_kept_slice_by_slice(spark):
+    docs = spark.range(0, 4000, 1, 1).select("id", F.concat(F.repeat(F.lit("text "), 400), F.col("id").cast("string")).alias("text"))
+    docs = docs.withColumn("text", F.when(F.col("id") != 7, F.col("text")))
+
+    def judge():
+        return lambda texts: [len(texts) < 2000 and t is not None for t in texts]
+
+    few = common.keep_rows(docs, "text", judge, F.col("id") % 2 == 1)
+    assert sorted(r["id"] for r in few.select("id").collect()) == [k for k in range(1, 4000, 2) if k != 7]
+    assert few.columns == docs.columns
+    # the text goes to Python once
+    assert "as binary" not in few._jdf.queryExecution().executedPlan().toString()
+    # other types than text, and names in other case
+    numbers = docs.select("id", F.col("id").alias("text"))
+    for rows, name in ((numbers, "text"), (docs.withColumn("text", F.col("text").cast("binary")), "text"), (docs, "TEXT")):
+        assert common.keep_rows(rows, name, lambda: lambda texts: [t is not None and t.endswith(b"8") for t in texts]).count() == 400
+
+
+def test_sets_are_made_slice_by_slice():
+    n, rule = 6000, jaccard.Rule(5, 80, 100)
+    texts = pa.array([b"w" * 4000 + b" %d" % (i % (n // 2)) for i in range(n)], pa.binary())
+    numbers = pa.array(range(n), pa.int64())
+    batch = pa.RecordBatch.from_arrays([numbers, texts, numbers, numbers], names=["doc", "text", "key", "hash"])
+    out = list(jaccard._nodes([batch], rule))
+    assert max(b.num_rows for b in out) < 2000
+    assert [k for b in out for k in b.column(0).to_pylist()] == list(range(n))
+    # equal texts of one batch stay one set, though slices part them
+    names = np.concatenate([np.frombuffer(x, np.int64) for b in jaccard._lists([batch.select([0, 1])], rule, 0, 1) for x in b.column(2).to_pylist()])
+    assert len(set(names.tolist())) == len(names) == n // 2
+
+
+def test_lists_are_gathered_by_their_rows(monkeypatch):
+    rule, local = jaccard.Rule(5, 80, 100), random.Random(3)
+    texts = [" ".join(str(local.randrange(10**6)) for _ in range(3000)).encode() for _ in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40), pa.int64()), pa.array(texts, pa.binary())], names=["doc", "text"])
+
+    def lists():
+        return [[(x, sum(map(len, b.column(1).to_pylist())) // 8) for x in b.column(2).to_pylist()] for b in jaccard._lists([batch], rule, 0, 1)]
+
+    whole = lists()
+    monkeypatch.setattr(jaccard, "GATHER", 5000)
+    parts = lists()
+    assert len(whole) == 1 and len(parts) > 5 and max(n for b in parts for _, n in b) < 10_000
+    assert sum(b[0][1] for b in whole) == sum(b[0][1] for b in parts)
