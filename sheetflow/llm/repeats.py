@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheetflow.llm.common import stored
+from sheetflow.llm.common import slices, stored
 from sheetflow.operators.keyed import quoted
 
 U = np.uint64
@@ -34,8 +34,10 @@ BASE = U(0x9E3779B97F4A7C15)
 INVERSE = U(pow(int(BASE), -1, 1 << 64))
 # Values of documents without a key: beyond all keys, and equal in rank.
 NO_KEY = 1 << 62
-# Values scanned at once; longer documents are scanned in overlapping pieces.
+# Longer documents are scanned in overlapping pieces of so many values.
 PIECE = 400_000
+# Shorter ones are scanned together, until they have so many values: a scan holds some twenty arrays of them.
+GATHER = 100_000
 
 np.seterr(over="ignore")
 
@@ -64,6 +66,13 @@ class Powers:
         """Hash of the values from ``begin`` to ``end``, wherever they stand."""
         return mix((sums[end] - sums[begin]) * self.down[begin] + (end - begin).astype(U) * U(0xD6E8FEB86659FD93))
 
+    def every(self, sums: np.ndarray, width: int) -> np.ndarray:
+        """Hash of each ``width`` consecutive values."""
+        x = sums[width:] - sums[:-width]
+        x *= self.down[: len(x)]
+        x += U(width * 0xD6E8FEB86659FD93 % (1 << 64))
+        return mix(x)
+
 
 # A fixed random value for each byte.
 BYTE_VALUES = mix((np.arange(1, 257).astype(U) * U(0x2545F4914F6CDD1D)) + U(0x632BE59BD9B4E019)) | U(1)
@@ -105,10 +114,9 @@ class Scan:
     def __init__(self, values: np.ndarray, sizes: np.ndarray, window: int, gram: int, powers: Powers):
         self.window, self.gram, self.powers = window, gram, powers
         self.sums = powers.sums(values)
-        self.owner = np.repeat(np.arange(len(sizes)), sizes)
+        self.owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         n = len(values) - window + 1
-        at = np.arange(len(values) - gram + 1)
-        self.grams = powers.hash(self.sums, at, at + gram)
+        self.grams = powers.every(self.sums, gram)
         least = _sliding_min(self.grams, window - gram + 1)[:n]
         inside = self.owner[:n] == self.owner[window - 1 :]
         # a run also ends where its smallest gram falls out, though an equal one may follow
@@ -175,7 +183,8 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     pad = (-len(x)) % width
     rows = np.concatenate((x, np.full(pad, ~U(0)))).reshape(-1, width)
     left = np.minimum.accumulate(rows, axis=1).ravel()
-    right = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
+    np.minimum.accumulate(rows[:, ::-1], axis=1, out=rows[:, ::-1])
+    right = rows.ravel()
     n = len(x) - width + 1
     return np.minimum(right[:n], left[width - 1 : width - 1 + n])
 
@@ -189,7 +198,7 @@ def scans(texts: list, values_of, window: int, gram: int, powers: Powers) -> Ite
             part = values[at : at + PIECE + window - 1]
             held.append((i, at, part))
             total += len(part)
-            if total >= PIECE:
+            if total >= GATHER:
                 yield _scan(held, window, gram, powers)
                 held, total = [], 0
     if held:
@@ -314,7 +323,7 @@ def packed(docs: DataFrame, key: str, text: str, hashed: bool = False) -> DataFr
 
     def run(batches):
         press = zstandard.ZstdCompressor(level=3)
-        for b in batches:
+        for b in slices(batches):
             small = [None if t is None else press.compress(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(small, pa.binary()), *b.columns[2:]], names=b.schema.names)
 
@@ -333,7 +342,7 @@ def by_document(found: DataFrame, **wanted: Column) -> DataFrame:
 
 
 class Wanted:
-    """Names that each text of a batch asks for, from an array column of the batch."""
+    """Names that each text of a batch asks for, from an array column of the batch (or of a slice of it)."""
 
     def __init__(self, column: pa.Array):
         sizes = np.diff(column.offsets.to_numpy()) if not column.null_count else pc.fill_null(pc.list_value_length(column), 0).to_numpy()

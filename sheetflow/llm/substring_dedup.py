@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheetflow.llm import repeats as R
+from sheetflow.llm.common import slices
 from sheetflow.operators.keyed import quoted
 
 GRAM = 3
@@ -47,7 +48,7 @@ def repeated_words(docs: DataFrame, key: str = "doc_id", text: str = "text", win
 
 def _paths(batches, window: int):
     powers = R.Powers(2 * R.PIECE)
-    for b in batches:
+    for b in slices(batches):
         keys = b.column(0).to_numpy()
         for scan, text, _ in R.scans(b.column(1).to_pylist(), R.word_values, window, GRAM, powers):
             yield R.distinct_rows(keys[text[scan.owner[scan.begin]]], scan.bucket, scan.run)
@@ -55,7 +56,7 @@ def _paths(batches, window: int):
 
 def _edges(batches, window: int):
     powers = R.Powers(2 * R.PIECE)
-    for b in batches:
+    for b in slices(batches):
         keys, asked = b.column(0).to_numpy(), R.Wanted(b.column(2))
         for scan, text, _ in R.scans(R.unpacked(b.column(1)), R.word_values, window, GRAM, powers):
             start, edge = scan.windows(np.flatnonzero(asked.has(text[scan.owner[scan.begin]], scan.run)))
@@ -65,7 +66,7 @@ def _edges(batches, window: int):
 
 def _removed(batches, window: int):
     powers = R.Powers(2 * R.PIECE)
-    for b in batches:
+    for b in slices(batches):
         out: dict[str, list] = {n: [] for n in ("n_words", "starts", "stops", "kept")}
         paths, edges = R.Wanted(b.column(2)), R.Wanted(b.column(3))
         texts = R.unpacked(b.column(1))

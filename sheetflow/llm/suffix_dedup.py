@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheetflow.llm import repeats as R
+from sheetflow.llm.common import slices
 from sheetflow.operators.keyed import quoted
 
 GRAM = 32
@@ -56,9 +57,9 @@ def repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", win
 
 def _runs(batches, window: int, gram: int):
     powers = R.Powers(2 * R.PIECE)
-    for b in batches:
+    for b in slices(batches):
         keys = b.column(0).to_numpy()
-        # equal keys in one batch are different texts, so a text's number keeps them apart
+        # equal keys in one slice are different texts, so a text's number keeps them apart
         for scan, text, _ in R.scans(b.column(1).to_pylist(), R.byte_values, window, gram, powers):
             yield _per_text(text[scan.owner[scan.begin]], keys, scan.bucket, scan.run)
 
@@ -70,7 +71,7 @@ def _per_text(number: np.ndarray, keys: np.ndarray, bucket: np.ndarray, name: np
 
 def _blocks(batches, window: int, gram: int):
     powers = R.Powers(2 * R.PIECE)
-    for b in batches:
+    for b in slices(batches):
         keys, asked = b.column(0).to_numpy(), R.Wanted(b.column(2))
         for scan, text, _ in R.scans(R.unpacked(b.column(1)), R.byte_values, window, gram, powers):
             first, _, core, hull = scan.blocks(np.flatnonzero(asked.has(text[scan.owner[scan.begin]], scan.run)), BLOCK)
@@ -80,7 +81,7 @@ def _blocks(batches, window: int, gram: int):
 
 def _singles(batches, window: int, gram: int):
     powers = R.Powers(2 * R.PIECE)
-    for b in batches:
+    for b in slices(batches):
         keys, runs, blocks = b.column(0).to_numpy(), R.Wanted(b.column(2)), R.Wanted(b.column(3))
         for scan, text, _ in R.scans(R.unpacked(b.column(1)), R.byte_values, window, gram, powers):
             first, last, _, hull = scan.blocks(np.flatnonzero(runs.has(text[scan.owner[scan.begin]], scan.run)), BLOCK)
@@ -93,7 +94,7 @@ def _singles(batches, window: int, gram: int):
 
 def _removed(batches, window: int, gram: int):
     powers = R.Powers(2 * R.PIECE)
-    for b in batches:
+    for b in slices(batches):
         out: dict[str, list] = {n: [] for n in ("n_bytes", "starts", "stops", "kept")}
         runs, blocks, windows, mixed = (R.Wanted(b.column(c)) for c in (2, 3, 4, 5))
         texts = [t or b"" for t in R.unpacked(b.column(1))]

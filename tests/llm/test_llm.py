@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import zstandard
 from conftest import DATA
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -488,3 +489,44 @@ def test_lists_are_gathered_by_their_rows(monkeypatch):
     parts = lists()
     assert len(whole) == 1 and len(parts) > 5 and max(n for b in parts for _, n in b) < 10_000
     assert sum(b[0][1] for b in whole) == sum(b[0][1] for b in parts)
+
+
+def test_scans_of_short_texts_are_small():
+    texts = [bytes(rng.randrange(97, 123) for _ in range(900)) * 10 for _ in range(100)]
+    held = [(scan, text) for scan, text, _ in repeats.scans(texts, repeats.byte_values, 200, 32, repeats.Powers(10))]
+    assert max(len(scan.owner) for scan, _ in held) < 120_000
+    assert np.concatenate([text for _, text in held]).tolist() == list(range(100))
+
+
+def test_hashes_of_every_gram():
+    values = repeats.byte_values(bytes(rng.randrange(256) for _ in range(500)), None)
+    powers = repeats.Powers(10)
+    sums = powers.sums(values)
+    for width in (1, 32, 500):
+        at = np.arange(500 - width + 1)
+        assert powers.every(sums, width).tolist() == powers.hash(sums, at, at + width).tolist()
+
+
+@pytest.mark.parametrize("module, first, limits", [(suffix_dedup, "_runs", (200, 32)), (substring_dedup, "_paths", (13,))])
+def test_repeats_work_on_slices_of_a_batch(module, first, limits, monkeypatch):
+    n, local = 60, random.Random(5)
+    texts = [" ".join(str(local.randrange(10**6)) for _ in range(300)).encode() for _ in range(n // 2)]
+    texts += [t[:500] + b" " + t for t in texts]
+    small = [zstandard.compress(t) for t in texts]
+    held, scans = [], repeats.scans
+    monkeypatch.setattr(repeats, "scans", lambda texts, *more: held.append(len(texts)) or scans(texts, *more))
+
+    def work():
+        held.clear()
+        batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array(texts, pa.binary())], names=["doc", "text"])
+        found = {(r["doc"], r["name"]) for b in getattr(module, first)([batch], *limits) for r in b.to_pylist()}
+        names = pa.array([sorted(x for d, x in found if d == doc)[:3] if doc % 3 else None for doc in range(n)], pa.list_(pa.int64()))
+        none = pa.array([None] * n, pa.list_(pa.int64()))
+        batch = pa.RecordBatch.from_arrays([batch.column(0), pa.array(small, pa.binary()), names, none, none, none], names=list("abcdef"))
+        return found, [r for b in module._removed([batch], *limits) for r in b.to_pylist()], max(held)
+
+    whole = work()
+    monkeypatch.setattr(common, "SLICE", 5000)
+    parts = work()
+    assert whole[:2] == parts[:2] and sum(bool(r["starts"]) for r in whole[1]) == n * 2 // 3
+    assert whole[2] == n and parts[2] < 10
